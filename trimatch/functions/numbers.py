@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, IntegralType
 
 # Working precision for parsed measures; results are rounded to MONEY.
 NUMBER = "decimal(18,6)"
@@ -14,9 +15,12 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def safe_number(col: Column | str) -> Column:
+def safe_number(col: Column | str, dtype: DataType | None = None) -> Column:
     """Text or number -> decimal; anything unparseable (``'1,234.5'``, ``'x'``,
-    ``'inf'``) becomes NULL instead of failing the job."""
+    ``'inf'``) becomes NULL instead of failing the job.  When the column is
+    known to be numeric already, it is cast directly (no text round trip)."""
+    if isinstance(dtype, (DecimalType, IntegralType)):
+        return _c(col).try_cast(NUMBER)
     return F.trim(_c(col).cast("string")).try_cast(NUMBER)
 
 

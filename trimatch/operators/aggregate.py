@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from trimatch.functions.numbers import NUMBER, safe_number
 
@@ -28,13 +30,17 @@ def first_row(cols: list[str], pos: Column | str = "src_pos") -> Column:
     return F.min_by(F.struct(*[F.col(c) for c in cols]), _c(pos))
 
 
-def leg_sum(col: Column | str, round_before_sum: bool) -> Column:
+def leg_sum(col: Column | str, round_before_sum: bool, dtype: DataType | None = None) -> Column:
     """Sum of a measure parsed tolerantly.  An all-NULL group sums to 0 (so a
-    present leg with unparseable values is still tested).  Rounded to cents
-    per line before summing, or once after."""
-    v = safe_number(col)
+    present leg with unparseable values is still tested).
+
+    Rounded to cents per line before summing (then summed exactly as whole
+    cents in a ``long``: fast, and an overflow fails the job under ANSI mode
+    instead of wrapping), or summed as decimals and rounded once after."""
+    v = safe_number(col, dtype)
     if round_before_sum:
-        s = F.sum(F.round(v, 2).cast("decimal(18,2)"))
+        cents = F.sum((F.round(v, 2) * 100).cast("long"))
+        s = cents.cast("decimal(28,0)") * F.lit(Decimal("0.01"))
     else:
         s = F.round(F.sum(v), 2)
     return F.coalesce(s, F.lit(0)).cast(SUM_TYPE)
@@ -53,7 +59,8 @@ def aggregate_leg(df: DataFrame, keys: Mapping[str, Column], sums: Mapping[str,
                       *[F.col(src).alias(f"__a_{out}") for out, src in carry.items()],
                       F.col(pos).alias("__pos"))
     keyed = keyed.where(_all_not_null(list(keys)))
-    aggs = [leg_sum(f"__m_{n}", round_before_sum).alias(n) for n in sums]
+    types = {f.name: f.dataType for f in keyed.schema.fields}
+    aggs = [leg_sum(f"__m_{n}", round_before_sum, types[f"__m_{n}"]).alias(n) for n in sums]
     if first == "row" and carry:
         row = first_row([f"__a_{o}" for o in carry], "__pos").alias("__row")
         out = keyed.groupBy(*keys).agg(*aggs, row)

@@ -56,7 +56,12 @@ def base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    oc = o.join(c, o.o_custkey == c.c_custkey)
+    # Both join inputs are hash-partitioned on the order key: the layout a
+    # sort-merge join needs at scale (so these add no exchange there), and it
+    # spreads the per-line work over all tasks even when a file is a single
+    # row group.  AQE may still broadcast a side whose measured size is small.
+    oc = o.join(c, o.o_custkey == c.c_custkey).repartition("o_orderkey")
+    li = li.repartition("l_orderkey")
     b = li.join(oc, li.l_orderkey == oc.o_orderkey)
     k, p = F.col("l_orderkey"), F.col("l_partkey")
     qty = F.col("l_quantity").cast(MONEY)
@@ -162,11 +167,45 @@ def invoice_leg(base: DataFrame, type_codes: bool = False) -> DataFrame:
     )
 
 
+# Staged legs registered by :func:`stage_legs`: sf_dir -> {leg name: path}.
+_STAGED: dict[str, dict[str, str]] = {}
+
+
 def legs(spark: SparkSession, sf_dir: str, type_codes: bool = False) -> Legs:
+    """The three legs: the staged copies when :func:`stage_legs` ran for this
+    input in this process, else derived lazily from the tables."""
+    staged = _STAGED.get(sf_dir)
+    if staged:
+        inv = staged["invoices_codes" if type_codes else "invoices"]
+        return Legs(*(spark.read.parquet(p) for p in (staged["orders"], staged["deliveries"], inv)))
     base = base_lines(spark, sf_dir)
     return Legs(order_leg(base), delivery_leg(base), invoice_leg(base, type_codes))
 
 
+def stage_legs(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Legs:
+    """Stage the legs as Parquet in the shared checkpoint folder, like staging
+    the parsed extracts of a period: the tables are joined once into a line
+    table, and each leg is written as a projection of that staged table."""
+    from trimatch.sources.staging import stage, stage_path
+
+    root = "legs-" + "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
+    base = stage(spark, f"{root}/lines", lambda: base_lines(spark, sf_dir), refresh=refresh)
+    builders = {"orders": lambda: order_leg(base), "deliveries": lambda: delivery_leg(base),
+                "invoices": lambda: invoice_leg(base), "invoices_codes": lambda: invoice_leg(base, True)}
+    paths = {}
+    for leg, build in builders.items():
+        stage(spark, f"{root}/{leg}", build, refresh=refresh)
+        paths[leg] = stage_path(spark, f"{root}/{leg}")
+    _STAGED[sf_dir] = paths
+    return legs(spark, sf_dir)
+
+
+def unstage_legs(sf_dir: str | None = None) -> None:
+    """Forget staged legs (all, or those of one input)."""
+    for k in [k for k in _STAGED if sf_dir is None or k == sf_dir]:
+        del _STAGED[k]
+
+
 # --- variant extracts -------------------------------------------------------
 
 ORDER_COLS_11 = ("platform_order_no", "main_order_no", "sale_order_no", "order_type",
