@@ -38,6 +38,8 @@ def read_invoice_file(spark: SparkSession, path: str, fmt: str | None = None) ->
               .option("encoding", "UTF-8").csv(path))
     else:
         df = spark.read.parquet(path)
+    if not df.columns:
+        raise ValueError(f"{path}: no header")
     return (df.withColumn("src_file", F.col("_metadata.file_name"))
             .withColumn("src_pos", F.monotonically_increasing_id()))
 
@@ -50,7 +52,7 @@ def read_monthly_invoices(spark: SparkSession, paths: Sequence[str], fmt: str |
     for p in paths:
         try:
             frames.append(read_invoice_file(spark, p, fmt))
-        except (AnalysisException, OSError) as e:  # unreadable: report and go on
+        except (AnalysisException, OSError, ValueError) as e:  # unreadable: report and go on
             log(f"skipped {p}: {e}")
     if not frames:
         raise ValueError("no invoice extract could be read")
