@@ -397,4 +397,19 @@ Q["match_coverage"] = with_(INV_F, OMS) + """SELECT COUNT(*) AS invoice_keys,
   COUNT(*) FILTER (WHERE shipped_qty IS NOT NULL) AS with_delivery,
   COUNT(*) FILTER (WHERE category <> '2.Not test') AS tested FROM oms_c"""
 
+Q["oms_flag_counts"] = with_(INV_F, OMS) + """SELECT
+  COUNT(*) FILTER (WHERE category = '2.Not test') AS n_not_test,
+  COUNT(*) FILTER (WHERE category = '1.1完全匹配') AS n_full_match,
+  COUNT(*) FILTER (WHERE category = '1.2金额不一致') AS n_amount_differs,
+  COUNT(*) FILTER (WHERE category = '1.3数量不一致') AS n_qty_differs,
+  COUNT(*) FILTER (WHERE category = '1.4均不一致') AS n_both_differ FROM oms_c"""
+
+Q["dms_org_split_summary"] = with_(DMS, f"""
+dorg_c AS (SELECT {ORG_GROUP} AS org_group, category, invoice_amount FROM dms_c)""") + summary("dorg_c", by="org_group")
+
+Q["dms_match_coverage"] = with_(DMS) + """SELECT COUNT(*) AS invoice_keys,
+  COUNT(*) FILTER (WHERE order_amount IS NOT NULL) AS with_order,
+  COUNT(*) FILTER (WHERE shipped_qty IS NOT NULL) AS with_delivery,
+  COUNT(*) FILTER (WHERE category <> '2.Not test') AS tested FROM dms_c"""
+
 ORACLES = Q

@@ -31,7 +31,7 @@ from trimatch.plans import ledger
 from trimatch.plans import reconcile as R
 from trimatch.plans import spec as S
 from trimatch.plans.spec import DMS, OMS
-from trimatch.plans.summary import (category_summary, combine_sources, match_coverage,
+from trimatch.plans.summary import (category_summary, combine_sources, flag_counts, match_coverage,
                                     nottest_breakdown, org_split_summary)
 from trimatch.sources import tpch_legs as L
 from trimatch.sources.invoices import align_union
@@ -374,6 +374,18 @@ def match_coverage_q(spark, sf_dir):
     return match_coverage(_oms(spark, sf_dir))
 
 
+def oms_flag_counts(spark, sf_dir):
+    return flag_counts(_oms(spark, sf_dir))
+
+
+def dms_org_split_summary(spark, sf_dir):
+    return edge(org_split_summary(_oms(spark, sf_dir, DMS)))
+
+
+def dms_match_coverage(spark, sf_dir):
+    return match_coverage(_oms(spark, sf_dir, DMS))
+
+
 QUERIES: dict[str, Query] = {
     "oms_category_summary": oms_category_summary,
     "oms_match_detail": oms_match_detail,
@@ -416,5 +428,8 @@ QUERIES: dict[str, Query] = {
     "ledger_summary": ledger_summary,
     "null_share_by_period": null_share_by_period,
     "match_coverage": match_coverage_q,
+    "oms_flag_counts": oms_flag_counts,
+    "dms_org_split_summary": dms_org_split_summary,
+    "dms_match_coverage": dms_match_coverage,
 }
 

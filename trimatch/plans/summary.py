@@ -37,8 +37,8 @@ def category_summary(result: DataFrame, amount: str = "invoice_amount",
 def flag_counts(result: DataFrame) -> DataFrame:
     """One row: number of rows in each class (the console counts of the
     original), as columns."""
-    return result.agg(*[F.count_if(F.col("category") == c).alias(f"n_{i}")
-                        for i, c in enumerate(S.CATEGORIES)])
+    names = ("n_not_test", "n_full_match", "n_amount_differs", "n_qty_differs", "n_both_differ")
+    return result.agg(*[F.count_if(F.col("category") == c).alias(n) for n, c in zip(names, S.CATEGORIES)])
 
 
 def nottest_breakdown(result: DataFrame) -> DataFrame:
