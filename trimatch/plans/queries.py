@@ -62,9 +62,9 @@ def _legs(spark, sf_dir, type_codes=False):
     return L.legs(spark, sf_dir, type_codes)
 
 
-def _oms(spark, sf_dir, spec=OMS):
+def _oms(spark, sf_dir, spec=OMS, carry=False):
     lg = _legs(spark, sf_dir)
-    return R.reconcile(lg.orders, lg.deliveries, lg.invoices, spec)
+    return R.reconcile(lg.orders, lg.deliveries, lg.invoices, spec, carry)
 
 
 # --- reconciliation results -------------------------------------------------
@@ -86,11 +86,11 @@ DETAIL_DMS = ["order_no", "item_code", "invoice_amount", "invoice_qty_sales", "i
 
 
 def oms_match_detail(spark, sf_dir):
-    return edge(_oms(spark, sf_dir).select(*DETAIL_OMS))
+    return edge(_oms(spark, sf_dir, carry=DETAIL_OMS).select(*DETAIL_OMS))
 
 
 def dms_match_detail(spark, sf_dir):
-    return edge(_oms(spark, sf_dir, DMS).select(*DETAIL_DMS))
+    return edge(_oms(spark, sf_dir, DMS, carry=DETAIL_DMS).select(*DETAIL_DMS))
 
 
 def dms_category_summary(spark, sf_dir):
@@ -103,48 +103,44 @@ def dms_norm_category_summary(spark, sf_dir):
 
 def combined_summary(spark, sf_dir):
     lg = _legs(spark, sf_dir)
-    both = combine_sources({"OMS": R.reconcile(lg.orders, lg.deliveries, lg.invoices, OMS),
-                            "DMS": R.reconcile(lg.orders, lg.deliveries, lg.invoices, DMS)})
+    both = combine_sources({"OMS": R.reconcile(lg.orders, lg.deliveries, lg.invoices, OMS, carry=False),
+                            "DMS": R.reconcile(lg.orders, lg.deliveries, lg.invoices, DMS, carry=False)})
     return edge(category_summary(both, by=("source",)))
 
 
 # --- leg totals -------------------------------------------------------------
 
-def _no_carry(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if not c.startswith(("ord_", "dlv_", "inv_"))])
-
-
 def oms_order_agg(spark, sf_dir):
-    return edge(_no_carry(R.oms_order_totals(_legs(spark, sf_dir).orders)))
+    return edge(R.oms_order_totals(_legs(spark, sf_dir).orders, carry=False))
 
 
 def oms_delivery_agg(spark, sf_dir):
-    return edge(_no_carry(R.oms_delivery_totals(_legs(spark, sf_dir).deliveries)))
+    return edge(R.oms_delivery_totals(_legs(spark, sf_dir).deliveries, carry=False))
 
 
 def oms_invoice_agg(spark, sf_dir):
-    return edge(_no_carry(R.oms_invoice_totals(_legs(spark, sf_dir).invoices)))
+    return edge(R.oms_invoice_totals(_legs(spark, sf_dir).invoices, carry=False))
 
 
 def dms_order_agg(spark, sf_dir):
-    return edge(_no_carry(R.dms_order_totals(_legs(spark, sf_dir).orders, DMS)))
+    return edge(R.dms_order_totals(_legs(spark, sf_dir).orders, DMS, carry=False))
 
 
 def dms_delivery_agg(spark, sf_dir):
-    return edge(_no_carry(R.dms_delivery_totals(_legs(spark, sf_dir).deliveries, DMS)))
+    return edge(R.dms_delivery_totals(_legs(spark, sf_dir).deliveries, DMS, carry=False))
 
 
 def dms_invoice_agg(spark, sf_dir):
-    return edge(_no_carry(R.dms_invoice_totals(_legs(spark, sf_dir).invoices, DMS)))
+    return edge(R.dms_invoice_totals(_legs(spark, sf_dir).invoices, DMS, carry=False))
 
 
 # --- joins, mapping, routing ------------------------------------------------
 
 def uninvoiced_lines(spark, sf_dir):
     lg = _legs(spark, sf_dir)
-    o = _no_carry(R.oms_order_totals(lg.orders))
-    d = _no_carry(R.oms_delivery_totals(lg.deliveries))
-    i = R.oms_invoice_totals(lg.invoices).select("order_no", "item_code")
+    o = R.oms_order_totals(lg.orders, carry=False)
+    d = R.oms_delivery_totals(lg.deliveries, carry=False)
+    i = R.oms_invoice_totals(lg.invoices, carry=False).select("order_no", "item_code")
     u = uninvoiced(o, d, i)
     legs_present = (F.when(F.col("order_amount").isNotNull() & F.col("shipped_qty").isNotNull(), "order+delivery")
                     .when(F.col("shipped_qty").isNotNull(), "delivery only").otherwise("order only"))
@@ -196,12 +192,12 @@ def oms_strict_nottest(spark, sf_dir):
     """Partial-year OMS: raw codes, Jan-Sep window, sums only, Not test when
     any joined column is NULL."""
     lg = _legs(spark, sf_dir)
-    r = _no_carry(R.reconcile(lg.orders, lg.deliveries, lg.invoices, OMS_PARTIAL))
+    r = R.reconcile(lg.orders, lg.deliveries, lg.invoices, OMS_PARTIAL, carry=False)
     return edge(category_summary(strict_not_test(r)))
 
 
 def org_split_summary_q(spark, sf_dir):
-    return edge(org_split_summary(_oms(spark, sf_dir)))
+    return edge(org_split_summary(_oms(spark, sf_dir, carry={"inv_sales_org"})))
 
 
 # --- invoice types and scenes ----------------------------------------------
@@ -346,8 +342,7 @@ def invoice_monthly_union(spark, sf_dir):
 def column_resolution(spark, sf_dir):
     raw = L.invoice_with_source_headers(_legs(spark, sf_dir).invoices)
     inv = resolve_invoice_columns(raw)
-    totals = R.dms_invoice_totals(inv, DMS)
-    return edge(_no_carry(totals))
+    return edge(R.dms_invoice_totals(inv, DMS, carry=False))
 
 
 # --- ledgers and quality ----------------------------------------------------
@@ -379,7 +374,7 @@ def oms_flag_counts(spark, sf_dir):
 
 
 def dms_org_split_summary(spark, sf_dir):
-    return edge(org_split_summary(_oms(spark, sf_dir, DMS)))
+    return edge(org_split_summary(_oms(spark, sf_dir, DMS, carry={"inv_sales_org"})))
 
 
 def dms_match_coverage(spark, sf_dir):

@@ -7,6 +7,8 @@ joins use, so the join stage reuses the aggregates' hash partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Collection  # noqa: F401  (used in annotations)
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -68,6 +70,20 @@ def _timestamps(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns(conv) if conv else df
 
 
+Carry = "bool | Collection[str]"
+
+
+def _pick(carry_map: dict[str, str], carry) -> dict[str, str]:
+    """The carried attributes a caller asked for: all (True), none (False)
+    or the named ones.  Unused attributes are pruned by Catalyst anyway;
+    not building them keeps plan construction short."""
+    if carry is True:
+        return carry_map
+    if not carry:
+        return {}
+    return {k: v for k, v in carry_map.items() if k in carry}
+
+
 def _item(spec: SourceSpec, col: str = "item_code"):
     return norm_code(col) if spec.normalize_codes else F.col(col).cast("string")
 
@@ -102,72 +118,76 @@ def oms_invoices_used(invoices: DataFrame, orders: DataFrame | None = None,
     return direct
 
 
-def oms_order_totals(orders: DataFrame, spec: SourceSpec = OMS) -> DataFrame:
+def oms_order_totals(orders: DataFrame, spec: SourceSpec = OMS, carry=True) -> DataFrame:
     o = oms_filtered_orders(orders, spec)
     return aggregate_leg(o, {"order_no": F.col("sale_order_no"), "item_code": _item(spec)},
                          {"order_amount": "pay_amount", "order_qty": "item_num"},
-                         ORDER_CARRY_OMS, spec.round_before_sum)
+                         _pick(ORDER_CARRY_OMS, carry), spec.round_before_sum)
 
 
-def oms_delivery_totals(deliveries: DataFrame, spec: SourceSpec = OMS) -> DataFrame:
+def oms_delivery_totals(deliveries: DataFrame, spec: SourceSpec = OMS, carry=True) -> DataFrame:
     d = oms_filtered_deliveries(deliveries, spec)
     main = "main_no" if "main_no" in d.columns else None
     return aggregate_leg(d, {"order_no": delivery_order_no(main, "order_no"), "item_code": _item(spec)},
-                         {"shipped_qty": "shipped_qty"}, DELIVERY_CARRY_OMS, spec.round_before_sum)
+                         {"shipped_qty": "shipped_qty"}, _pick(DELIVERY_CARRY_OMS, carry), spec.round_before_sum)
 
 
 def oms_invoice_totals(invoices: DataFrame, orders: DataFrame | None = None,
-                       spec: SourceSpec = OMS) -> DataFrame:
+                       spec: SourceSpec = OMS, carry=True) -> DataFrame:
     mapped_orders = oms_filtered_orders(orders, spec) if orders is not None else None
     used = oms_invoices_used(invoices, mapped_orders, spec)
     return aggregate_leg(used, {"order_no": F.col("oms_order_no"), "item_code": _item(spec)},
                          {"invoice_amount": "amount", "invoice_qty": "qty"},
-                         INVOICE_CARRY_OMS, spec.round_before_sum)
+                         _pick(INVOICE_CARRY_OMS, carry), spec.round_before_sum)
 
 
 def reconcile_oms(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,
-                  spec: SourceSpec = OMS) -> DataFrame:
-    inv = oms_invoice_totals(invoices, orders, spec)
-    j = three_way_match(inv, oms_delivery_totals(deliveries, spec), oms_order_totals(orders, spec))
+                  spec: SourceSpec = OMS, carry=True) -> DataFrame:
+    inv = oms_invoice_totals(invoices, orders, spec, carry)
+    j = three_way_match(inv, oms_delivery_totals(deliveries, spec, carry),
+                        oms_order_totals(orders, spec, carry))
     return classify_oms(oms_variances(j), spec.amount_tol, spec.qty_tol)
 
 
 # --- DMS --------------------------------------------------------------------
 
-def dms_order_totals(orders: DataFrame, spec: SourceSpec) -> DataFrame:
+def dms_order_totals(orders: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
     o = _timestamps(channel_contains(orders), "create_time", "update_time")
     return aggregate_leg(o, {"order_no": F.col("platform_order_no"), "item_code": _item(spec)},
                          {"order_amount": "pay_amount", "order_qty": "item_num"},
-                         ORDER_CARRY_DMS, spec.round_before_sum)
+                         _pick(ORDER_CARRY_DMS, carry), spec.round_before_sum)
 
 
-def dms_delivery_totals(deliveries: DataFrame, spec: SourceSpec) -> DataFrame:
+def dms_delivery_totals(deliveries: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
     d = _timestamps(has_value(deliveries, "external_order_no"), "biz_time")
     return aggregate_leg(d, {"order_no": F.col("external_order_no"), "item_code": _item(spec)},
-                         {"shipped_qty": "shipped_qty"}, DELIVERY_CARRY_DMS, spec.round_before_sum)
+                         {"shipped_qty": "shipped_qty"}, _pick(DELIVERY_CARRY_DMS, carry), spec.round_before_sum)
 
 
-def dms_invoice_totals(invoices: DataFrame, spec: SourceSpec) -> DataFrame:
+def dms_invoice_totals(invoices: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
     i = has_value(filter_invoice_type_text(invoices, "invoice_type"), "dms_order_no")
     return aggregate_leg(i, {"order_no": F.col("dms_order_no"), "item_code": _item(spec)},
                          {"invoice_amount": "amount", "invoice_qty_sales": "qty_sales_unit",
                           "invoice_qty": "qty_base_unit"},
-                         INVOICE_CARRY_DMS, spec.round_before_sum)
+                         _pick(INVOICE_CARRY_DMS, carry), spec.round_before_sum)
 
 
 def reconcile_dms(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,
-                  spec: SourceSpec) -> DataFrame:
-    j = three_way_match(dms_invoice_totals(invoices, spec), dms_order_totals(orders, spec),
-                        dms_delivery_totals(deliveries, spec))
+                  spec: SourceSpec, carry=True) -> DataFrame:
+    j = three_way_match(dms_invoice_totals(invoices, spec, carry), dms_order_totals(orders, spec, carry),
+                        dms_delivery_totals(deliveries, spec, carry))
     return classify_dms(dms_variances(j), spec.amount_tol, spec.qty_tol)
 
 
 def reconcile(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,
-              spec: SourceSpec = OMS) -> DataFrame:
-    """Classified three-way match, one row per invoice key."""
+              spec: SourceSpec = OMS, carry=True) -> DataFrame:
+    """Classified three-way match, one row per invoice key.
+
+    ``carry`` selects the carried leg attributes (``ord_*``, ``dlv_*``,
+    ``inv_*``): all by default, none with ``False``, or a set of names."""
     if spec.name == "DMS":
-        return reconcile_dms(orders, deliveries, invoices, spec)
-    return reconcile_oms(orders, deliveries, invoices, spec)
+        return reconcile_dms(orders, deliveries, invoices, spec, carry)
+    return reconcile_oms(orders, deliveries, invoices, spec, carry)
 
 
 __all__ = ["KEYS", "reconcile", "reconcile_dms", "reconcile_oms"]

@@ -175,8 +175,10 @@ def invoice_leg(base: DataFrame, type_codes: bool = False) -> DataFrame:
     )
 
 
-# Staged legs registered by :func:`stage_legs`: sf_dir -> {leg name: path}.
-_STAGED: dict[str, dict[str, str]] = {}
+# Staged legs registered by :func:`stage_legs`: sf_dir -> {leg name: reader}.
+# The readers are plain lazy DataFrames over the staged files; keeping them
+# saves re-listing the files for every query.
+_STAGED: dict[str, dict[str, DataFrame]] = {}
 
 
 def legs(spark: SparkSession, sf_dir: str, type_codes: bool = False) -> Legs:
@@ -185,7 +187,7 @@ def legs(spark: SparkSession, sf_dir: str, type_codes: bool = False) -> Legs:
     staged = _STAGED.get(sf_dir)
     if staged:
         inv = staged["invoices_codes" if type_codes else "invoices"]
-        return Legs(*(spark.read.parquet(p) for p in (staged["orders"], staged["deliveries"], inv)))
+        return Legs(staged["orders"], staged["deliveries"], inv)
     base = base_lines(spark, sf_dir)
     return Legs(order_leg(base), delivery_leg(base), invoice_leg(base, type_codes))
 
@@ -194,17 +196,14 @@ def stage_legs(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Legs:
     """Stage the legs as Parquet in the shared checkpoint folder, like staging
     the parsed extracts of a period: the tables are joined once into a line
     table, and each leg is written as a projection of that staged table."""
-    from trimatch.sources.staging import stage, stage_path
+    from trimatch.sources.staging import stage
 
     root = "legs-" + "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
     base = stage(spark, f"{root}/lines", lambda: base_lines(spark, sf_dir), refresh=refresh)
     builders = {"orders": lambda: order_leg(base), "deliveries": lambda: delivery_leg(base),
                 "invoices": lambda: invoice_leg(base), "invoices_codes": lambda: invoice_leg(base, True)}
-    paths = {}
-    for leg, build in builders.items():
-        stage(spark, f"{root}/{leg}", build, refresh=refresh)
-        paths[leg] = stage_path(spark, f"{root}/{leg}")
-    _STAGED[sf_dir] = paths
+    _STAGED[sf_dir] = {leg: stage(spark, f"{root}/{leg}", build, refresh=refresh)
+                       for leg, build in builders.items()}
     return legs(spark, sf_dir)
 
 
