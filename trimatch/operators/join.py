@@ -21,11 +21,18 @@ def three_way_match(invoices: DataFrame, first: DataFrame, second: DataFrame,
 
 def uninvoiced(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,
                keys=KEYS) -> DataFrame:
-    """Order/delivery keys with no invoice: full join of orders and deliveries,
-    then an anti join on the invoice keys (Catalyst does not rewrite a full
-    join + IS NULL into an anti join by itself)."""
-    od = orders.join(deliveries, keys, "full")
-    return od.join(invoices.select(*keys), keys, "left_anti")
+    """Order/delivery keys with no invoice (the full join of orders and
+    deliveries, less the invoice keys).
+
+    The anti join is applied to each side *before* the full join: a key is
+    invoiced or not whichever side it comes from, so the result is the same,
+    but every join then meets inputs already hash-partitioned on ``keys`` and
+    no exchange is added (anti-joining the full join's coalesced keys would
+    re-shuffle it).  Catalyst does not rewrite full join + IS NULL into anti
+    joins by itself."""
+    inv = invoices.select(*keys)
+    return (orders.join(inv, keys, "left_anti")
+            .join(deliveries.join(inv, keys, "left_anti"), keys, "full"))
 
 
 def dms_order_map(orders: DataFrame, normalize: bool = True, dedupe: bool = True) -> DataFrame:

@@ -7,8 +7,6 @@ joins use, so the join stage reuses the aggregates' hash partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Collection  # noqa: F401  (used in annotations)
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -70,9 +68,6 @@ def _timestamps(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns(conv) if conv else df
 
 
-Carry = "bool | Collection[str]"
-
-
 def _pick(carry_map: dict[str, str], carry) -> dict[str, str]:
     """The carried attributes a caller asked for: all (True), none (False)
     or the named ones.  Unused attributes are pruned by Catalyst anyway;
