@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
 
 from trimatch.functions.codes import delivery_order_no, norm_code, safe_label
-from trimatch.functions.dates import ledger_date
 from trimatch.functions.numbers import safe_number
 from trimatch.operators.aggregate import first_non_null, first_row, type_counts
 from trimatch.operators.classify import invoice_scene, strict_not_test
