@@ -107,6 +107,24 @@ def order_rows(parsed: DataFrame, layout: int = 13) -> DataFrame:
     return out.select(*ORDER_COLS_13, "src_file", "src_pos")
 
 
+def order_rows_auto(parsed: DataFrame) -> DataFrame:
+    """Orders whose layout is decided per row: 13 or more values -> the
+    13-column layout (cut to 13), 11 or 12 -> the 11-column layout (cut to
+    11, ``line_amount`` and ``channel_name2`` NULL), fewer -> dropped.  Lets
+    the early and late extracts be read in one pass."""
+    v = F.col("vals")
+    n = F.size(v)
+    late = n >= 13
+    cols = []
+    for name in ORDER_COLS_13:
+        c13 = F.get(v, ORDER_COLS_13.index(name))
+        if name in ORDER_COLS_11:
+            cols.append(F.when(late, c13).otherwise(F.get(v, ORDER_COLS_11.index(name))).alias(name))
+        else:
+            cols.append(F.when(late, c13).alias(name))
+    return parsed.where(n >= 11).select(*cols, "src_file", "src_pos")
+
+
 def delivery_rows(parsed: DataFrame) -> DataFrame:
     """Deliveries: 8 or more values -> 8-column layout (with ``main_no``),
     exactly 7 -> 7-column layout, fewer -> dropped.  Decided per row, so a
