@@ -47,9 +47,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin repartition of a scan that has fewer input splits than the
     session has cores; a scan of many files is returned as it is (no extra
-    shuffle).  Only for plain scans: counting their splits runs no job."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    shuffle).  Only for plain scans: counting their splits runs no job.
+    Sessions without RDD access (Spark Connect) get the scan unchanged."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API on this session: leave planning to Spark
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
