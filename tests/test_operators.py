@@ -255,3 +255,26 @@ def test_empty_leg_gives_typed_result(mk, spec, empty):
     assert len(rows) == (0 if empty == "i" else 1)
     if empty != "i":
         assert rows[0]["category"] == S.NOT_TEST
+
+
+def test_unresolved_invoice_measures_give_empty_result(mk):
+    o = mk.orders([{"sale_order_no": "DD1", "item_code": "7", "pay_amount": "1", "item_num": "1"}])
+    d = mk.deliveries([{"order_no": "DD1", "item_code": "7", "shipped_qty": "1"}])
+    i = mk.invoices([{"oms_order_no": "DD1", "item_code": "7", "amount": "1", "qty": "1"}]).drop("qty")
+    r = reconcile(o, d, i, S.OMS)
+    assert r.count() == 0 and "category" in r.columns
+
+
+def test_dms_partial_carries_first_row(mk):
+    from trimatch.plans.reconcile import dms_invoice_totals
+    i = mk.invoices([
+        {"dms_order_no": "1", "item_code": "7", "amount": "1", "qty_sales_unit": "1", "qty_base_unit": "1",
+         "remark": None, "invoice_no": "A"},
+        {"dms_order_no": "1", "item_code": "7", "amount": "2", "qty_sales_unit": "1", "qty_base_unit": "1",
+         "remark": "later", "invoice_no": "B"},
+    ])
+    first_row = dms_invoice_totals(i, S.DMS_PARTIAL).first()
+    first_nn = dms_invoice_totals(i, S.DMS).first()
+    assert (first_row["inv_remark"], first_row["inv_invoice_no"]) == (None, "A")
+    assert (first_nn["inv_remark"], first_nn["inv_invoice_no"]) == ("later", "A")
+    assert first_row["invoice_amount"] == first_nn["invoice_amount"] == Decimal("3.00")

@@ -127,10 +127,19 @@ def oms_delivery_totals(deliveries: DataFrame, spec: SourceSpec = OMS, carry=Tru
                          {"shipped_qty": "shipped_qty"}, _pick(DELIVERY_CARRY_OMS, carry), spec.round_before_sum)
 
 
+def _measures_or_empty(df: DataFrame, measures: tuple[str, ...]) -> DataFrame:
+    """A leg whose measure columns could not be resolved yields an empty,
+    typed result (and so an empty reconciliation) instead of an error."""
+    missing = [m for m in measures if m not in df.columns]
+    if not missing:
+        return df
+    return df.withColumns({m: F.lit(None).cast("string") for m in missing}).where(F.lit(False))
+
+
 def oms_invoice_totals(invoices: DataFrame, orders: DataFrame | None = None,
                        spec: SourceSpec = OMS, carry=True) -> DataFrame:
     mapped_orders = oms_filtered_orders(orders, spec) if orders is not None else None
-    used = oms_invoices_used(invoices, mapped_orders, spec)
+    used = _measures_or_empty(oms_invoices_used(invoices, mapped_orders, spec), ("amount", "qty"))
     return aggregate_leg(used, {"order_no": F.col("oms_order_no"), "item_code": _item(spec)},
                          {"invoice_amount": "amount", "invoice_qty": "qty"},
                          _pick(INVOICE_CARRY_OMS, carry), spec.round_before_sum)
@@ -161,10 +170,12 @@ def dms_delivery_totals(deliveries: DataFrame, spec: SourceSpec, carry=True) ->
 
 def dms_invoice_totals(invoices: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
     i = has_value(filter_invoice_type_text(invoices, "invoice_type"), "dms_order_no")
+    i = _measures_or_empty(i, ("amount", "qty_sales_unit", "qty_base_unit"))
     return aggregate_leg(i, {"order_no": F.col("dms_order_no"), "item_code": _item(spec)},
                          {"invoice_amount": "amount", "invoice_qty_sales": "qty_sales_unit",
                           "invoice_qty": "qty_base_unit"},
-                         _pick(INVOICE_CARRY_DMS, carry), spec.round_before_sum)
+                         _pick(INVOICE_CARRY_DMS, carry), spec.round_before_sum,
+                         first=spec.invoice_first)
 
 
 def reconcile_dms(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,

@@ -71,6 +71,9 @@ class SourceSpec:
                          ``external_order_no`` on the orders).
     ``dedupe_map``       de-duplicate that cross-reference (avoids fan-out).
     ``legacy_total``     add the old doubled grand-total row to summaries.
+    ``invoice_first``    how invoice attributes are carried: ``"non_null"``
+                         (first non-NULL value per column) or ``"row"``
+                         (the whole first row, NULLs kept).
     """
 
     name: str
@@ -82,6 +85,7 @@ class SourceSpec:
     map_dms_invoices: bool = False
     dedupe_map: bool = True
     legacy_total: bool = False
+    invoice_first: str = "non_null"
     excluded_statuses: tuple[str, ...] = field(default=EXCLUDED_STATUSES)
     kept_order_types: tuple[str, ...] = field(default=KEPT_ORDER_TYPES)
 
@@ -93,3 +97,5 @@ OMS = SourceSpec(name="OMS", normalize_codes=True, round_before_sum=True,
                  amount_tol=Decimal("1"), qty_tol=Decimal("0"))
 DMS = SourceSpec(name="DMS", normalize_codes=False, round_before_sum=False,
                  amount_tol=Decimal("1"), qty_tol=Decimal("0.01"))
+# Partial-year DMS run: invoice attributes come from the whole first row.
+DMS_PARTIAL = DMS.with_(invoice_first="row")
