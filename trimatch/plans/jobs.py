@@ -28,7 +28,7 @@ from trimatch.plans.spec import DMS, OMS, SourceSpec
 from trimatch.plans.summary import category_summary
 from trimatch.sources import dump
 from trimatch.sources.invoices import read_monthly_invoices
-from trimatch.sources.staging import stage
+from trimatch.sources.staging import stage_many
 
 
 def load_orders(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
@@ -49,10 +49,11 @@ def load_invoices(spark: SparkSession, paths: Sequence[str], profile: str) -> Da
 
 def stage_inputs(spark: SparkSession, name: str, orders: DataFrame, deliveries: DataFrame,
                  invoices: DataFrame, refresh: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stage the parsed legs once (positions become fixed; later runs reuse)."""
-    return (stage(spark, f"{name}/orders", lambda: orders, refresh=refresh),
-            stage(spark, f"{name}/deliveries", lambda: deliveries, refresh=refresh),
-            stage(spark, f"{name}/invoices", lambda: invoices, refresh=refresh))
+    """Stage the parsed legs once, as concurrent jobs (positions become fixed;
+    later runs reuse the staged tables)."""
+    s = stage_many(spark, {f"{name}/orders": lambda: orders, f"{name}/deliveries": lambda: deliveries,
+                           f"{name}/invoices": lambda: invoices}, refresh=refresh)
+    return s[f"{name}/orders"], s[f"{name}/deliveries"], s[f"{name}/invoices"]
 
 
 def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: DataFrame,

@@ -35,6 +35,18 @@ def stage(spark: SparkSession, name: str, builder: Callable[[], DataFrame],
     return spark.read.parquet(path)
 
 
+def stage_many(spark: SparkSession, builders: dict[str, Callable[[], DataFrame]],
+               base: str | None = None, refresh: bool = False, parallel: int = 4) -> dict[str, DataFrame]:
+    """Stage several tables as concurrent jobs (the scheduler shares the
+    executors between them); returns name -> staged reader."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(builders)))) as pool:
+        futures = {name: pool.submit(stage, spark, name, build, base, (), refresh)
+                   for name, build in builders.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def read_back(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a written result for later analysis."""
     if fmt == "csv":

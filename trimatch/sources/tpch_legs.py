@@ -201,14 +201,15 @@ def stage_legs(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Legs:
     """Stage the legs as Parquet in the shared checkpoint folder, like staging
     the parsed extracts of a period: the tables are joined once into a line
     table, and each leg is written as a projection of that staged table."""
-    from trimatch.sources.staging import stage
+    from trimatch.sources.staging import stage, stage_many
 
     root = "legs-" + "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
     base = stage(spark, f"{root}/lines", lambda: base_lines(spark, sf_dir), refresh=refresh)
-    builders = {"orders": lambda: order_leg(base), "deliveries": lambda: delivery_leg(base),
-                "invoices": lambda: invoice_leg(base), "invoices_codes": lambda: invoice_leg(base, True)}
-    _STAGED[sf_dir] = {leg: stage(spark, f"{root}/{leg}", build, refresh=refresh)
-                       for leg, build in builders.items()}
+    builders = {f"{root}/orders": lambda: order_leg(base), f"{root}/deliveries": lambda: delivery_leg(base),
+                f"{root}/invoices": lambda: invoice_leg(base),
+                f"{root}/invoices_codes": lambda: invoice_leg(base, True)}
+    staged = stage_many(spark, builders, refresh=refresh)
+    _STAGED[sf_dir] = {name.rsplit("/", 1)[1]: df for name, df in staged.items()}
     return legs(spark, sf_dir)
 
 
