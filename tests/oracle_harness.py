@@ -8,6 +8,7 @@ sorted by name, values normalised to text).  Usable from pytest and as
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -84,6 +85,9 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
     spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("STAGED") == "1":   # run against staged legs instead
+        from trimatch.sources.tpch_legs import stage_legs
+        stage_legs(spark, sf_dir, refresh=True)
     con = duck(sf_dir)
     bad = 0
     for n in names:

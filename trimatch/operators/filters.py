@@ -20,9 +20,22 @@ def keep_types(orders: DataFrame, types=S.KEPT_ORDER_TYPES, col: str = "order_ty
     return orders.where(F.col(col).isin(*types))
 
 
+PERIOD_PARTITION = "period_year"
+
+
 def period_filter(df: DataFrame, col: str, start, end) -> DataFrame:
-    """Rows whose timestamp lies in ``[start, end)``; NULL or unparsed dates drop."""
-    return df.where(in_period(col, start, end))
+    """Rows whose timestamp lies in ``[start, end)``; NULL or unparsed dates
+    drop.  On a staged leg partitioned by ``period_year`` (the year of its
+    business date) the matching partition predicate is added too, so whole
+    directories are skipped; the exact range still decides row by row."""
+    cond = in_period(col, start, end)
+    if PERIOD_PARTITION in df.columns:
+        y = F.col(PERIOD_PARTITION)
+        if start is not None:
+            cond = cond & (y >= int(str(start)[:4]))
+        if end is not None:
+            cond = cond & (y <= int(str(end)[:4]))
+    return df.where(cond)
 
 
 def channel_contains(orders: DataFrame, token: str = S.DMS_CHANNEL_TOKEN, col: str = "channel_name") -> DataFrame:

@@ -28,7 +28,7 @@ from trimatch.plans.spec import DMS, OMS, SourceSpec
 from trimatch.plans.summary import category_summary
 from trimatch.sources import dump
 from trimatch.sources.invoices import read_monthly_invoices
-from trimatch.sources.staging import stage_many
+from trimatch.sources.staging import by_period, stage_many
 
 
 def load_orders(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
@@ -51,7 +51,8 @@ def stage_inputs(spark: SparkSession, name: str, orders: DataFrame, deliveries:
                  invoices: DataFrame, refresh: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stage the parsed legs once, as concurrent jobs (positions become fixed;
     later runs reuse the staged tables)."""
-    s = stage_many(spark, {f"{name}/orders": lambda: orders, f"{name}/deliveries": lambda: deliveries,
+    s = stage_many(spark, {f"{name}/orders": lambda: by_period(orders, "create_time"),
+                           f"{name}/deliveries": lambda: by_period(deliveries, "biz_time"),
                            f"{name}/invoices": lambda: invoices}, refresh=refresh)
     return s[f"{name}/orders"], s[f"{name}/deliveries"], s[f"{name}/invoices"]
 

@@ -35,14 +35,26 @@ def stage(spark: SparkSession, name: str, builder: Callable[[], DataFrame],
     return spark.read.parquet(path)
 
 
+def by_period(df: DataFrame, date_col: str) -> DataFrame:
+    """Add the ``period_year`` partition column (year of the business date)
+    and cluster rows by it, so each year is a directory of few files."""
+    from pyspark.sql import functions as F
+
+    from trimatch.functions.dates import safe_timestamp
+
+    ts = safe_timestamp(date_col, dtype=df.schema[date_col].dataType)
+    return df.withColumn("period_year", F.year(ts)).repartition("period_year")
+
+
 def stage_many(spark: SparkSession, builders: dict[str, Callable[[], DataFrame]],
-               base: str | None = None, refresh: bool = False, parallel: int = 4) -> dict[str, DataFrame]:
+               base: str | None = None, refresh: bool = False, parallel: int = 4,
+               partition_by: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Stage several tables as concurrent jobs (the scheduler shares the
     executors between them); returns name -> staged reader."""
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(builders)))) as pool:
-        futures = {name: pool.submit(stage, spark, name, build, base, (), refresh)
+        futures = {name: pool.submit(stage, spark, name, build, base, partition_by, refresh)
                    for name, build in builders.items()}
         return {name: f.result() for name, f in futures.items()}
 

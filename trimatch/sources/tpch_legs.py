@@ -200,15 +200,18 @@ def legs(spark: SparkSession, sf_dir: str, type_codes: bool = False) -> Legs:
 def stage_legs(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Legs:
     """Stage the legs as Parquet in the shared checkpoint folder, like staging
     the parsed extracts of a period: the tables are joined once into a line
-    table, and each leg is written as a projection of that staged table."""
-    from trimatch.sources.staging import stage, stage_many
+    table, and each leg is written as a projection of that staged table,
+    partitioned by the year of its business date (``period_year``) so date
+    windows skip whole directories."""
+    from trimatch.sources.staging import by_period, stage, stage_many
 
     root = "legs-" + "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
     base = stage(spark, f"{root}/lines", lambda: base_lines(spark, sf_dir), refresh=refresh)
-    builders = {f"{root}/orders": lambda: order_leg(base), f"{root}/deliveries": lambda: delivery_leg(base),
-                f"{root}/invoices": lambda: invoice_leg(base),
-                f"{root}/invoices_codes": lambda: invoice_leg(base, True)}
-    staged = stage_many(spark, builders, refresh=refresh)
+    builders = {f"{root}/orders": lambda: by_period(order_leg(base), "create_time"),
+                f"{root}/deliveries": lambda: by_period(delivery_leg(base), "biz_time"),
+                f"{root}/invoices": lambda: by_period(invoice_leg(base), "invoice_date"),
+                f"{root}/invoices_codes": lambda: by_period(invoice_leg(base, True), "invoice_date")}
+    staged = stage_many(spark, builders, refresh=refresh, partition_by=("period_year",))
     _STAGED[sf_dir] = {name.rsplit("/", 1)[1]: df for name, df in staged.items()}
     return legs(spark, sf_dir)
 
