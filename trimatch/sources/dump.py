@@ -40,17 +40,28 @@ DELIVERY_COLS_8 = ("business_type", "main_no", "order_no", "external_order_no",
 def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str = "UTF-8") -> DataFrame:
     """``(src_file, src_pos, line)`` for every line of the dump files.
 
-    UTF-8 goes through the text source (files split across tasks; position
-    from ``monotonically_increasing_id``, which follows file order within one
-    read; stage the parsed result to keep it).  Any other charset is decoded
-    per file from ``binaryFile`` with an exact line number; legacy charsets
-    such as GBK need ``spark.sql.legacy.javaCharsets=true``."""
+    * UTF-8: the text source (files split across tasks).
+    * Other ASCII-compatible charsets (Latin-1, GBK, ...): a line can be cut
+      at the ``\n`` byte, so the line-splitting CSV reader decodes them, still
+      split across tasks (one column, no quoting).  Legacy charsets such as
+      GBK need ``spark.sql.legacy.javaCharsets=true``.
+    * UTF-16/32, where ``\n`` bytes occur inside characters: decoded per
+      file from ``binaryFile`` (one file per task, at most 2 GB per file).
+
+    Positions come from ``monotonically_increasing_id``, which follows file
+    order within one read; stage the parsed result to keep them."""
     paths = [path] if isinstance(path, str) else list(path)
-    if charset.upper().replace("-", "") in ("UTF8",):
-        df = spark.read.text(paths)
-        return df.select(F.col("_metadata.file_name").alias("src_file"),
-                         F.monotonically_increasing_id().alias("src_pos"),
-                         F.col("value").alias("line"))
+    cs = charset.upper().replace("_", "-")
+    pos = F.monotonically_increasing_id().alias("src_pos")
+    name = F.col("_metadata.file_name").alias("src_file")
+    if cs.replace("-", "") == "UTF8":
+        return spark.read.text(paths).select(name, pos, F.col("value").alias("line"))
+    if not cs.startswith(("UTF-16", "UTF-32", "UCS")):
+        df = (spark.read.schema("line string").option("encoding", charset).option("sep", "\u0001")
+              .option("quote", "").option("nullValue", None).option("maxCharsPerColumn", -1)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .csv(paths))
+        return df.select(name, pos, "line")
     raw = spark.read.format("binaryFile").load(paths)
     text = F.decode(F.col("content"), charset)
     return raw.select(F.regexp_extract(F.col("path"), r"([^/]*)$", 1).alias("src_file"),
