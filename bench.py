@@ -28,7 +28,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", app="trimatch-bench", shuffle_partitions=2 * cpus,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = build_session(f"local[{cpus}]", app="trimatch-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                                  "spark.sql.files.maxPartitionBytes": str(64 << 20)})
     names = only or list(QUERIES)
@@ -47,7 +48,7 @@ def main() -> None:
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
-                      "shuffle_partitions": 2 * cpus}))
+                      "shuffle_partitions": parts}))
     spark.stop()
 
 
