@@ -46,3 +46,11 @@ def test_result_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert base == other
+
+
+def test_legacy_total_row_doubles_all_data(spark):
+    lg = L.legs(spark, SF)
+    r = reconcile(lg.orders, lg.deliveries, lg.invoices, carry=False)
+    s = {x["category"]: (x["n_rows"], x["invoice_amount"]) for x in category_summary(r, legacy_total=True).collect()}
+    assert s[S.GRAND_TOTAL][0] == 2 * s[S.ALL_DATA][0]
+    assert s[S.GRAND_TOTAL][1] == 2 * s[S.ALL_DATA][1]
