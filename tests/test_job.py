@@ -61,6 +61,22 @@ def test_job_reproduces_golden_counts(spark):
     assert os.path.isdir(f"{out}/scenes/label=To B (OMS)")
     assert spark.read.parquet(f"{out}/uninvoiced").count() == 2399 + 1046 + 266
 
+    b = {r["missing"]: r["n_rows"] for r in jobs.breakdown(spark, out).collect()}
+    assert (b[S.MISSING_ORDER], b[S.MISSING_DELIVERY], b[S.MISSING_BOTH]) == (578, 146, 56)
+    findings = {(r["table"], r["finding"]) for r in jobs.check(spark, o, dl, i).collect()}
+    assert ("orders", "ok") in findings and ("deliveries", "ok") in findings
+    assert ("invoices", "missing") not in findings
+
+    jobs.ledgers(spark, [o1, o2], [d1, d2], f"{d}/ledger")
+    summ = {r["item"]: r["value"] for r in spark.read.option("header", True).csv(f"{d}/ledger/summary").collect()}
+    assert (summ["订单总金额"], summ["订单总数量"], summ["订单记录数"]) == ("301,270,840.87", "152,257", "6,000")
+    assert (summ["发货总数量"], summ["发货记录数"]) == ("136,654", "5,412")
+    assert spark.read.option("header", True).csv(f"{d}/ledger/order_ledger").count() == 6000
+
+    jobs.split_types(spark, inv_paths, f"{d}/types")
+    assert sorted(x for x in os.listdir(f"{d}/types") if x.startswith("label=")) == \
+        ["label=标准发票（2B)", "label=标准发票（2C)", "label=标准退货发票"]
+
     dms_inv = jobs.load_invoices(spark, inv_paths, "DMS")
     assert {"dms_order_no", "amount", "qty_sales_unit", "qty_base_unit", "item_code", "invoice_type"} <= set(dms_inv.columns)
     counts = jobs.run(spark, S.DMS, o, dl, dms_inv, f"{d}/out_dms")

@@ -6,8 +6,11 @@ their headers, repair shifted delivery files, stage the three legs, then
 reconcile and write the reports (detail by organisation group and class, the
 class summary, uninvoiced lines, invoice scenes).
 
-    python -m trimatch.plans.jobs OMS --orders o1.sql o2.sql \\
+    python -m trimatch.plans.jobs match OMS --orders o1.sql o2.sql \\
         --deliveries d1.sql d2.sql --invoices inv/2025-01.csv ... --out out/
+    python -m trimatch.plans.jobs ledger --orders ... --deliveries ... --out led/
+    python -m trimatch.plans.jobs split-types --invoices ... --out types/
+    python -m trimatch.plans.jobs breakdown out/
 """
 
 from __future__ import annotations
@@ -21,14 +24,16 @@ from pyspark.sql import functions as F
 from trimatch.operators.classify import invoice_scene
 from trimatch.operators.join import uninvoiced
 from trimatch.operators.repair import repair_shift
-from trimatch.operators.resolve import resolve_invoice_columns
+from trimatch.operators.quality import check_schema, required_roles
+from trimatch.operators.resolve import positional, require, resolve_invoice_columns
+from trimatch.plans import ledger
 from trimatch.plans import reconcile as R
 from trimatch.plans.report import write_by_label, write_csv, write_report
 from trimatch.plans.spec import DMS, OMS, SourceSpec
-from trimatch.plans.summary import category_summary
+from trimatch.plans.summary import category_summary, nottest_breakdown
 from trimatch.sources import dump
 from trimatch.sources.invoices import read_monthly_invoices
-from trimatch.sources.staging import by_period, stage_many
+from trimatch.sources.staging import by_period, read_back, stage_many
 
 
 def load_orders(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
@@ -76,27 +81,99 @@ def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: Da
     return {r["category"]: r["n_rows"] for r in category_summary(result).collect()}
 
 
+def ledgers(spark: SparkSession, order_paths: Sequence[str], delivery_paths: Sequence[str], out: str,
+            charset: str = "UTF-8") -> None:
+    """Order and delivery ledgers and their totals, as CSV (empty for NULL).
+    Column names come from each dump's own header line when it has one."""
+    ol = dump.read_lines(spark, list(order_paths), charset)
+    dl = dump.read_lines(spark, list(delivery_paths), charset)
+    orders = dump.rows_with_header(spark, ol, dump.ORDER_COLS_HEADERLESS, pad_from=11)
+    deliveries = dump.rows_with_header(spark, dl, dump.DELIVERY_COLS_7)
+    write_csv(ledger.order_ledger(orders), f"{out}/order_ledger")
+    write_csv(ledger.delivery_ledger(deliveries), f"{out}/delivery_ledger")
+    write_csv(ledger.ledger_summary(orders, deliveries).coalesce(1), f"{out}/summary")
+
+
+def split_types(spark: SparkSession, invoice_paths: Sequence[str], out: str, fmt: str = "csv") -> None:
+    """One output per invoice type (NULL types skipped), file-safe names; the
+    type column is found by name, else it is the 15th column."""
+    inv = read_monthly_invoices(spark, list(invoice_paths))
+    col = next((c for c in inv.columns if "发票类型" in c), None) or positional(inv.columns)
+    require("invoice_type", col)
+    write_by_label(inv, col, out, fmt)
+
+
+def breakdown(spark: SparkSession, report: str, fmt: str = "parquet") -> DataFrame:
+    """Missing-leg breakdown of the Not-test rows of a written match report."""
+    return nottest_breakdown(read_back(spark, f"{report}/match/detail", fmt))
+
+
+def check(spark: SparkSession, orders: DataFrame, deliveries: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Conformance findings of staged legs: order columns and their order,
+    delivery columns as a set, invoice key roles present."""
+    o = check_schema(spark, orders.drop("src_file", "src_pos", "period_year"), dump.ORDER_COLS_13, "orders")
+    d = check_schema(spark, deliveries.drop("src_file", "src_pos", "period_year", "main_no"),
+                     dump.DELIVERY_COLS_7, "deliveries", as_set=True)
+    roles = required_roles(spark, invoices.columns, {"order_no": ("oms_order_no", "dms_order_no"),
+                                                     "material": ("item_code",)}, "invoices")
+    return o.unionByName(d).unionByName(
+        roles.select("table", F.when(F.col("present"), "ok").otherwise("missing").alias("finding"),
+                     F.col("role").alias("detail")))
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="trimatch")
-    ap.add_argument("source", choices=["OMS", "DMS"])
-    ap.add_argument("--orders", nargs="+", required=True)
-    ap.add_argument("--deliveries", nargs="+", required=True)
-    ap.add_argument("--invoices", nargs="+", required=True)
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--charset", default="UTF-8")
-    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    ap.add_argument("--period", nargs=2, metavar=("START", "END"))
-    ap.add_argument("--refresh", action="store_true", help="re-parse even if staged legs exist")
+    sub = ap.add_subparsers(dest="cmd", required=True)
+    m = sub.add_parser("match", help="reconcile and write the reports")
+    m.add_argument("source", choices=["OMS", "DMS"])
+    m.add_argument("--orders", nargs="+", required=True)
+    m.add_argument("--deliveries", nargs="+", required=True)
+    m.add_argument("--invoices", nargs="+", required=True)
+    m.add_argument("--out", required=True)
+    m.add_argument("--charset", default="UTF-8")
+    m.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    m.add_argument("--period", nargs=2, metavar=("START", "END"))
+    m.add_argument("--normalize-codes", choices=["on", "off"], help="override the profile default")
+    m.add_argument("--map-dms", action="store_true", help="OMS: map DMS-only invoices via the orders")
+    m.add_argument("--legacy-total", action="store_true", help="add the old doubled total row")
+    m.add_argument("--refresh", action="store_true", help="re-parse even if staged legs exist")
+    lg = sub.add_parser("ledger", help="order and delivery ledgers with totals")
+    lg.add_argument("--orders", nargs="+", required=True)
+    lg.add_argument("--deliveries", nargs="+", required=True)
+    lg.add_argument("--out", required=True)
+    lg.add_argument("--charset", default="UTF-8")
+    st = sub.add_parser("split-types", help="one output per invoice type")
+    st.add_argument("--invoices", nargs="+", required=True)
+    st.add_argument("--out", required=True)
+    bd = sub.add_parser("breakdown", help="missing-leg breakdown of a written report")
+    bd.add_argument("report")
+    bd.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     a = ap.parse_args(argv)
+
     from trimatch.session import build_session
-    spark = build_session(app=f"trimatch-{a.source}")
+    spark = build_session(app=f"trimatch-{a.cmd}")
+    if a.cmd == "ledger":
+        ledgers(spark, a.orders, a.deliveries, a.out, a.charset)
+        return
+    if a.cmd == "split-types":
+        split_types(spark, a.invoices, a.out)
+        return
+    if a.cmd == "breakdown":
+        for r in breakdown(spark, a.report, a.format).collect():
+            print(f"{r['missing']}\t{r['n_rows']}\t{r['share_pct']:.1f}%")
+        return
     spec = OMS if a.source == "OMS" else DMS
     if a.period:
         spec = spec.with_(period=tuple(a.period))
+    if a.normalize_codes:
+        spec = spec.with_(normalize_codes=a.normalize_codes == "on")
+    spec = spec.with_(map_dms_invoices=a.map_dms, legacy_total=a.legacy_total)
     o, d, i = stage_inputs(spark, f"job-{a.source}", load_orders(spark, a.orders, a.charset),
                            load_deliveries(spark, a.deliveries, a.charset),
                            load_invoices(spark, a.invoices, a.source), refresh=a.refresh)
     counts = run(spark, spec, o, d, i, a.out, a.format)
+    for f in check(spark, o, d, i).where(F.col("finding") != "ok").collect():
+        print(f"check\t{f['table']}\t{f['finding']}\t{f['detail']}")
     for k in sorted(counts):
         print(f"{k}\t{counts[k]}")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trimatch.functions.dates import ledger_date
+from trimatch.functions.dates import ledger_date, safe_timestamp
 from trimatch.functions.numbers import format_total, safe_number, zero_fill
 
 # Ledger summary items and units.
@@ -25,10 +25,18 @@ DELIVERY_LEDGER_COLS = ("business_date", "business_type", "order_no", "external_
                         "item_code", "item_name", "shipped_qty", "biz_time")
 
 
+def _as_timestamp(df: DataFrame, col: str) -> DataFrame:
+    """Text dates (as parsed from dumps) become timestamps; others pass."""
+    if col not in df.columns:
+        return df
+    return df.withColumn(col, safe_timestamp(col, dtype=df.schema[col].dataType))
+
+
 def order_ledger(orders: DataFrame) -> DataFrame:
     """Order lines in ledger form: business date, amounts zero-filled and
     rounded to cents, quantity zero-filled; only columns that exist."""
     cols = orders.columns
+    orders = _as_timestamp(orders, "create_time")
     o = orders.withColumn("business_date", ledger_date("create_time" if "create_time" in cols else None))
     fills = {c: zero_fill(c, 2) for c in ("line_amount", "pay_amount") if c in cols}
     if "item_num" in cols:
@@ -39,6 +47,7 @@ def order_ledger(orders: DataFrame) -> DataFrame:
 
 def delivery_ledger(deliveries: DataFrame) -> DataFrame:
     cols = deliveries.columns
+    deliveries = _as_timestamp(deliveries, "biz_time")
     d = deliveries.withColumn("business_date", ledger_date("biz_time" if "biz_time" in cols else None))
     if "shipped_qty" in cols:
         d = d.withColumn("shipped_qty", zero_fill("shipped_qty", None))
