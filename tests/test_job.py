@@ -79,6 +79,7 @@ def test_job_reproduces_golden_counts(spark):
 
     dms_inv = jobs.load_invoices(spark, inv_paths, "DMS")
     assert {"dms_order_no", "amount", "qty_sales_unit", "qty_base_unit", "item_code", "invoice_type"} <= set(dms_inv.columns)
-    counts = jobs.run(spark, S.DMS, o, dl, dms_inv, f"{d}/out_dms")
+    counts = jobs.run(spark, S.DMS, o, dl, dms_inv, f"{d}/out_dms", labels=True)
+    assert "SAP开票含税金额" in spark.read.parquet(f"{d}/out_dms/match/detail").columns
     assert [counts[c] for c in (S.FULL_MATCH, S.AMOUNT_DIFFERS, S.QTY_DIFFERS, S.BOTH_DIFFER, S.NOT_TEST)] == \
         [326, 61, 35, 9, 367]

@@ -28,7 +28,8 @@ from trimatch.operators.quality import check_schema, required_roles
 from trimatch.operators.resolve import positional, require, resolve_invoice_columns
 from trimatch.plans import ledger
 from trimatch.plans import reconcile as R
-from trimatch.plans.report import write_by_label, write_csv, write_report
+from trimatch.plans.report import (DMS_REPORT_LABELS, OMS_REPORT_LABELS, write_by_label, write_csv,
+                                   write_report)
 from trimatch.plans.spec import DMS, OMS, SourceSpec
 from trimatch.plans.summary import category_summary, nottest_breakdown
 from trimatch.sources import dump
@@ -63,10 +64,12 @@ def stage_inputs(spark: SparkSession, name: str, orders: DataFrame, deliveries:
 
 
 def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: DataFrame,
-        invoices: DataFrame, out: str, fmt: str = "parquet") -> dict[str, int]:
-    """Reconcile and write every report; returns the class counts."""
+        invoices: DataFrame, out: str, fmt: str = "parquet", labels: bool = False) -> dict[str, int]:
+    """Reconcile and write every report; returns the class counts.  With
+    ``labels`` the detail carries the original workbook headers."""
     result = R.reconcile(orders, deliveries, invoices, spec)
-    write_report(result, f"{out}/match", fmt=fmt)
+    names = (OMS_REPORT_LABELS if spec.name == "OMS" else DMS_REPORT_LABELS) if labels else None
+    write_report(result, f"{out}/match", fmt=fmt, labels=names)
     if spec.name == "OMS":
         o = R.oms_order_totals(orders, spec, carry=False)
         d = R.oms_delivery_totals(deliveries, spec, carry=False)
@@ -136,6 +139,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--normalize-codes", choices=["on", "off"], help="override the profile default")
     m.add_argument("--map-dms", action="store_true", help="OMS: map DMS-only invoices via the orders")
     m.add_argument("--legacy-total", action="store_true", help="add the old doubled total row")
+    m.add_argument("--labels", action="store_true", help="original workbook headers in the detail")
     m.add_argument("--refresh", action="store_true", help="re-parse even if staged legs exist")
     lg = sub.add_parser("ledger", help="order and delivery ledgers with totals")
     lg.add_argument("--orders", nargs="+", required=True)
@@ -171,7 +175,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     o, d, i = stage_inputs(spark, f"job-{a.source}", load_orders(spark, a.orders, a.charset),
                            load_deliveries(spark, a.deliveries, a.charset),
                            load_invoices(spark, a.invoices, a.source), refresh=a.refresh)
-    counts = run(spark, spec, o, d, i, a.out, a.format)
+    counts = run(spark, spec, o, d, i, a.out, a.format, labels=a.labels)
     for f in check(spark, o, d, i).where(F.col("finding") != "ok").collect():
         print(f"check\t{f['table']}\t{f['finding']}\t{f['detail']}")
     for k in sorted(counts):
