@@ -14,15 +14,21 @@ AMOUNT = "decimal(28,2)"
 
 def category_summary(result: DataFrame, amount: str = "invoice_amount",
                      by: tuple[str, ...] = (), legacy_total: bool = False) -> DataFrame:
-    """Rows and invoice amount per class plus an all-data row, in one pass
-    (grouping sets: both levels come from one partial aggregate map-side).
+    """Rows and invoice amount per class plus an all-data row.
+
+    The rows are aggregated by class first (partial aggregation map-side),
+    and the grouping sets then run over those few class rows: the Expand
+    behind grouping sets never sees the detail rows.
 
     ``legacy_total`` adds the old grand-total row that counted every row
     twice (all data + classes)."""
     by = list(by)
-    g = (result.groupingSets([by + ["category"], by], *by, "category")
-         .agg(F.count(F.lit(1)).alias("n_rows"),
-              F.coalesce(F.sum(amount), F.lit(0)).cast(AMOUNT).alias("invoice_amount"),
+    per_class = (result.groupBy(*by, "category")
+                 .agg(F.count(F.lit(1)).alias("n_rows"),
+                      F.coalesce(F.sum(amount), F.lit(0)).cast(AMOUNT).alias("invoice_amount")))
+    g = (per_class.groupingSets([by + ["category"], by], *by, "category")
+         .agg(F.sum("n_rows").alias("n_rows"),
+              F.sum("invoice_amount").cast(AMOUNT).alias("invoice_amount"),
               F.grouping("category").alias("__g")))
     out = g.select(*by, F.when(F.col("__g") == 1, S.ALL_DATA).otherwise(F.col("category")).alias("category"),
                    "n_rows", "invoice_amount")
