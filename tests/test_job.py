@@ -5,6 +5,8 @@ resolution, staging), must reconcile to the golden class counts."""
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from trimatch.plans import jobs
@@ -31,7 +33,9 @@ def _write_dump(df, cols, path, header=None):
     return path
 
 
-def test_job_reproduces_golden_counts(spark):
+@pytest.fixture(scope="module")
+def extracts(spark):
+    """The sf0.001 legs as order/delivery dumps and monthly invoice CSVs."""
     lg = L.legs(spark, SF)
     d = tempfile.mkdtemp(prefix="trimatch-job-")
     early, late = L.order_extracts(lg.orders)
@@ -47,7 +51,11 @@ def test_job_reproduces_golden_counts(spark):
         p = f"{d}/inv/{name}.csv"
         raw.where(cond).coalesce(1).write.mode("overwrite").option("header", True).csv(p)
         inv_paths.append(p)
+    return d, o1, o2, d1, d2, inv_paths
+
 
+def test_job_reproduces_golden_counts(spark, extracts):
+    d, o1, o2, d1, d2, inv_paths = extracts
     orders = jobs.load_orders(spark, [o1, o2])
     deliveries = jobs.load_deliveries(spark, [d1, d2])
     invoices = jobs.load_invoices(spark, inv_paths, "OMS")
@@ -83,3 +91,12 @@ def test_job_reproduces_golden_counts(spark):
     assert "SAP开票含税金额" in spark.read.parquet(f"{d}/out_dms/match/detail").columns
     assert [counts[c] for c in (S.FULL_MATCH, S.AMOUNT_DIFFERS, S.QTY_DIFFERS, S.BOTH_DIFFER, S.NOT_TEST)] == \
         [326, 61, 35, 9, 367]
+
+
+def test_cli_match(spark, extracts, capsys):
+    d, o1, o2, d1, d2, inv_paths = extracts
+    jobs.main(["match", "OMS", "--orders", o1, o2, "--deliveries", d1, d2,
+               "--invoices", *inv_paths, "--out", f"{d}/cli", "--refresh"])
+    lines = dict(line.split("\t", 1) for line in capsys.readouterr().out.splitlines()
+                 if "\t" in line and not line.startswith("check"))
+    assert lines[S.FULL_MATCH] == "1076" and lines[S.NOT_TEST] == "780" and lines[S.ALL_DATA] == "2115"
