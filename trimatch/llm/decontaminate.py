@@ -153,28 +153,55 @@ def _names(ids: list, pairs: np.ndarray, n: int) -> pa.Array:
     return list_array([ids[k] for k in pairs[:, 1]], np.bincount(pairs[:, 0], minlength=n), pa.string())
 
 
-def match_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slack: int | None = 2 * WINDOW,
-                    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                    item_text: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """One row per document and benchmark block: word count, the occurrences
-    of windows as word spans, the items they come from, and the items with a
-    proximity match.  (A benchmark of one block gives one row per document.)"""
+def _blocks(benchmark: DataFrame, width: int, item_col: str, item_text: str, block_terms: int) -> Iterator[Windows]:
+    """The benchmark's windows in blocks of bounded size; one at least."""
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text).cast("string").alias("text"))
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    frames, block, size = [], [], 0
-
-    def close() -> None:
-        frames.append(source.mapInArrow(_match(Windows(block, width), slack), _SCHEMA))
-
+    block, size, none = [], 0, True
     for r in items.orderBy("id", "text").toLocalIterator():
         block.append((r.id, r.text))
         size += width * len((r.text or "").split())
         if size >= block_terms:
-            close()
-            block, size = [], 0
-    if block or not frames:
-        close()
-    return union_all(frames)
+            yield Windows(block, width)
+            block, size, none = [], 0, False
+    if block or none:
+        yield Windows(block, width)
+
+
+def match_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slack: int | None = 2 * WINDOW,
+                    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                    item_text: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """One row per document: word count, the occurrences of windows as word
+    spans, the items they come from, and the items with a proximity match.
+    One benchmark block needs no shuffle; the rows of several are brought
+    together by document."""
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    frames = [source.mapInArrow(_match(win, slack), _SCHEMA)
+              for win in _blocks(benchmark, width, item_col, item_text, block_terms)]
+    if len(frames) == 1:
+        return frames[0]
+    return union_all(frames).groupBy("doc_id", "n_words").agg(*(
+        F.flatten(F.collect_list(c)).alias(c) for c in ("hit_starts", "hit_ends", "items", "near_items")))
+
+
+def flag_contaminated(docs: DataFrame, benchmark: DataFrame, flag: str = "contaminated", width: int = WINDOW,
+                      text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+                      block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """``docs`` with a column that tells whether any window occurs; no shuffle
+    however many blocks the benchmark has."""
+    out = docs.withColumn(flag, F.lit(False))
+    for win in _blocks(benchmark, width, item_col, item_text, block_terms):
+        def run(batches: Iterator[pa.RecordBatch], match=_match(win, None)) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                slim = pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.int64()), b.column(text_col)],
+                                                  names=["doc_id", "text"])
+                hit = np.concatenate([np.diff(m.column("hit_starts").offsets.to_numpy()) > 0
+                                      for m in match(iter([slim]))] or [np.zeros(0, bool)])
+                hit |= b.column(flag).to_numpy(zero_copy_only=False)
+                cols = list(b.columns)
+                cols[b.schema.get_field_index(flag)] = pa.array(hit)
+                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+        out = out.mapInArrow(run, out.schema)
+    return out
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,14 +222,10 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
     """One row per document: words, words hit, items found, and whether it is
-    contaminated.  Rows of several benchmark blocks are brought together by
-    document first; a single block needs no shuffle."""
-    found = match_benchmark(docs, benchmark, **kwargs)
-    if found._jdf.queryExecution().analyzed().nodeName() == "Union":
-        found = found.groupBy("doc_id", "n_words").agg(*(
-            F.flatten(F.collect_list(c)).alias(c) for c in ("hit_starts", "hit_ends", "items", "near_items")))
-    return found.mapInArrow(_digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
-                                     "contaminated boolean, n_near_items long")
+    contaminated."""
+    return match_benchmark(docs, benchmark, **kwargs).mapInArrow(
+        _digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
+                 "contaminated boolean, n_near_items long")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
