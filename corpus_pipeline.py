@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trimatch.llm import decontaminate, packing, pii, quality
+from trimatch.llm import chosen_path, decontaminate, packing, pii, quality
 from trimatch.llm.common import table, work_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,6 +21,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.score(docs.select(*COLUMNS), model).filter(F.col("score") >= quality.THRESHOLD).select(*COLUMNS)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates (five-word shingles,
+    similarity of 0.8 or more)."""
+    found = chosen_path.near_duplicates(docs, shingle=5, percent=80)
+    dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a window of a benchmark item."""
     found = decontaminate.flag_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
@@ -40,6 +48,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality", quality_filter),
+    ("near_duplicates", one_of_each_group),
     ("decontaminate", drop_contaminated),
     ("pii", hide_personal),
     ("pack", pack_sequences),
