@@ -90,7 +90,7 @@ def train(texts: list[str | None], labels: list[int], dim: int = DIM, epochs: in
     """Stochastic gradient descent; returns (one number per bucket, bias)."""
     y = np.asarray(labels, np.int64)
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
+    if len(set(labels)) < 2:
         share = min(max(share, 1e-3), 1 - 1e-3)
         return np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
@@ -142,9 +142,9 @@ def scores(idx: np.ndarray, doc: np.ndarray, n_docs: int, weights: np.ndarray, b
     return 1 / (1 + np.exp(-(mean + bias)))
 
 
-def _score(weights: np.ndarray, bias: float):
+def _score(weights: np.ndarray, bias: float, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_blocks(batches, max_bytes=1 << 17):
+        for rows, buf, offs in text_blocks(batches, text_col, max_bytes=1 << 17):
             score = scores(*features(buf, offs), rows.num_rows, weights, bias)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(score, pa.float64())],
                                              names=[*rows.schema.names, "score"])
@@ -152,10 +152,10 @@ def _score(weights: np.ndarray, bias: float):
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``; the text column must be named ``text`` and is kept."""
-    model = (model[0], model[1])
-    schema = docs.select("*", F.lit(0.0).alias("score")).schema
-    return docs.mapInArrow(_score(*model), schema)
+    """``docs`` with ``score`` (which replaces a column of that name)."""
+    rows = docs.drop("score")
+    schema = rows.select("*", F.lit(0.0).alias("score")).schema
+    return rows.mapInArrow(_score(*model, text_col), schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
