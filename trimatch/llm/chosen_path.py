@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_starts, grams, lower, mix, staged, table, text_blocks, text_buffer, union_all, word_hashes, words
+from .common import gram_starts, grams, lower, mix, row_slices, staged, table, text_blocks, text_buffer, union_all, word_hashes, words
 
 TOKENS = 128
 TREES = 8
@@ -200,7 +200,7 @@ def _compare(k: int, percent: int):
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
-    for b in batches:
+    for b in row_slices(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(
             [pack.compress((t.as_py() or "").encode()) for t in b.column("text")], pa.binary())], names=["doc_id", "z"])
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from trimatch.session import checkpoint_dir
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2**64
@@ -86,6 +86,13 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text",
             at = to
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 # --- words -------------------------------------------------------------------
 
 def byte_set(*spans: tuple[int, int]) -> np.ndarray:

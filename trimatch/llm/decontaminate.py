@@ -125,7 +125,7 @@ class Shard:
 
 def _match(win: Windows, slack: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_blocks(batches):
+        for rows, buf, offs in text_blocks(batches, max_bytes=1 << 20):
             buf = lower(buf)
             starts, ends, first = words(buf, offs, NOT_WORD)
             n = np.diff(first)

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_starts, grams, staged, table, text_blocks, text_buffer, word_hashes, words
+from .common import gram_starts, grams, row_slices, staged, table, text_blocks, text_buffer, word_hashes, words
 
 WIDTH = 50
 PREFIX = 18
@@ -83,7 +83,7 @@ def _anchors(width: int, prefix: int):
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
-    for b in batches:
+    for b in row_slices(batches):
         z = [pack.compress(b" ".join((t.as_py() or "").encode().split())) for t in b.column("text")]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(z, pa.binary())], names=["doc_id", "z"])
 
@@ -236,7 +236,7 @@ def repeated_ranges(rows: DataFrame, packed: DataFrame, width: int = WIDTH, pref
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
-    for b in batches:
+    for b in row_slices(batches):
         out: tuple[list, ...] = ([], [], [], [])
         for z, gone in zip(b.column("z"), b.column("gone"), strict=True):
             w = unpack.decompress(z.as_py()).split()
