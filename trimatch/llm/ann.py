@@ -10,7 +10,9 @@ all rows, and the visits are widened until their recall reaches ``recall``.
 
 Leaves of more than ``cell_rows`` vectors are split into cells by a hash of
 the id, so a vector that fills a third of the table costs more cells and no
-larger task.  Each cell gives the best ``k`` per query; scores are double
+larger task.  Each cell gives the best ``k`` per query, without those below a
+score that the query's ``k``-th neighbour reaches anyway (its ``k``-th best in
+the sample); scores are double
 precision inner products of the original vectors.
 
 Edge cases: vectors that are null, empty, all zero, hold a null or non-finite
@@ -119,14 +121,16 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 1))
 
 
-def _top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple]:
-    """The best k rows for each query: (query, row number, score)."""
+def _top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int,
+         least: np.ndarray | None = None) -> list[tuple]:
+    """The best k rows for each query that reach its ``least`` score:
+    (query, row number, score)."""
     out = []
     for at in range(0, len(q), 512):
         scores = q[at:at + 512] @ x.T
         for i, s in enumerate(scores):
             me = q_ids[at + i]
-            ok = np.flatnonzero(ids != me)
+            ok = np.flatnonzero(ids != me) if least is None else np.flatnonzero((ids != me) & (s >= least[at + i]))
             if len(ok) > k:
                 s_ok = s[ok]
                 ok = ok[s_ok >= np.partition(s_ok, len(ok) - k)[len(ok) - k]]
@@ -135,6 +139,19 @@ def _top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: in
     return out
 
 
+def _least(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """A score that each query's k-th neighbour reaches: its k-th best among
+    the sampled rows (less a rounding margin)."""
+    out = np.full(len(q), -np.inf)
+    for at in range(0, len(q), 64):
+        s = q[at:at + 64] @ x.T
+        s[q_ids[at:at + 64, None] == ids[None, :]] = -np.inf
+        if s.shape[1] >= k:
+            kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+            out[at:at + 64] = kth - 1e-9 * (1 + np.abs(kth))
+    return out
+
+
 def _rows(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
@@ -157,7 +174,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
     asked = valid_vectors(queries, id_col, vec_col).dropDuplicates(["vec_id"])
     by_hash = [F.xxhash64("vec_id"), "vec_id"]
     n = rows.count()
-    sample = np.array([r.v for r in rows.orderBy(*by_hash).limit(sample_rows).collect()])
+    drawn = rows.orderBy(*by_hash).limit(sample_rows).collect()
+    sample, sample_ids = np.array([r.v for r in drawn]), np.array([r.vec_id for r in drawn])
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree = Tree.fit(sample, leaf_rows * len(sample) / n)
@@ -188,7 +206,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 take, leaves, cell = [], [], []
-                for i, q in enumerate(_matrix(part.column("v"))):
+                asked_here = _matrix(part.column("v"))
+                least = _least(part.column("vec_id").to_numpy(), asked_here, sample_ids, sample, k)
+                for i, q in enumerate(asked_here):
                     seen = found = 0
                     for leaf in tree.best_bins(q):
                         if seen >= visits and found > k:
@@ -200,19 +220,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
                         seen += 1
                         found += sizes.get(leaf, 0)
                 rows = part.take(pa.array(take, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int32()), pa.array(cell, pa.int32()), *rows.columns],
-                                                 names=["leaf", "cell", *b.schema.names])
+                yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int32()), pa.array(cell, pa.int32()), *rows.columns,
+                                                  pa.array(least[np.array(take, np.int64)])],
+                                                 names=["leaf", "cell", *b.schema.names, "least"])
 
     kind = "leaf int, cell int, vec_id long, v array<double>"
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         out = _top(left.column("vec_id").to_numpy(), _matrix(left.column("v")),
-                   right.column("vec_id").to_numpy(), _matrix(right.column("v")), k) if left.num_rows and right.num_rows else []
+                   right.column("vec_id").to_numpy(), _matrix(right.column("v")), k, left.column("least").to_numpy()) if left.num_rows and right.num_rows else []
         ids = right.column("vec_id").to_numpy() if right.num_rows else []
         return pa.Table.from_batches([_rows(["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()],
                                             [(q, ids[j], s) for q, j, s in out])])
 
-    found = asked.mapInArrow(route, kind).groupBy("leaf", "cell").cogroup(
+    found = asked.mapInArrow(route, kind + ", least double").groupBy("leaf", "cell").cogroup(
         rows.mapInArrow(place, kind).groupBy("leaf", "cell")).applyInArrow(compare, _TOP)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
