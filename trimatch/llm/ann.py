@@ -10,9 +10,8 @@ all rows, and the visits are widened until their recall reaches ``recall``.
 
 Leaves of more than ``cell_rows`` vectors are split into cells by a hash of
 the id, so a vector that fills a third of the table costs more cells and no
-larger task.  Each cell gives the best ``k`` per query, without those below a
-score that the query's ``k``-th neighbour reaches anyway (its ``k``-th best in
-the sample); scores are double
+larger task.  A query's first leaves give a score that its ``k``-th neighbour
+reaches; the other leaves give only rows that reach it too.  Scores are double
 precision inner products of the original vectors.
 
 Edge cases: vectors that are null, empty, all zero, hold a null or non-finite
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import staged, table
 
 K = 20
 SAMPLE_ROWS = 20_000
@@ -43,6 +42,7 @@ LEAF_ROWS = 256
 MAX_LEAVES = 8192
 CELL_ROWS = 2048
 RECALL = 0.96
+FIRST_LEAVES = 4
 _TOP = "query_id long, vec_id long, score double"
 
 
@@ -139,19 +139,6 @@ def _top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: in
     return out
 
 
-def _least(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
-    """A score that each query's k-th neighbour reaches: its k-th best among
-    the sampled rows (less a rounding margin)."""
-    out = np.full(len(q), -np.inf)
-    for at in range(0, len(q), 64):
-        s = q[at:at + 64] @ x.T
-        s[q_ids[at:at + 64, None] == ids[None, :]] = -np.inf
-        if s.shape[1] >= k:
-            kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-            out[at:at + 64] = kth - 1e-9 * (1 + np.abs(kth))
-    return out
-
-
 def _rows(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
@@ -174,8 +161,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
     asked = valid_vectors(queries, id_col, vec_col).dropDuplicates(["vec_id"])
     by_hash = [F.xxhash64("vec_id"), "vec_id"]
     n = rows.count()
-    drawn = rows.orderBy(*by_hash).limit(sample_rows).collect()
-    sample, sample_ids = np.array([r.v for r in drawn]), np.array([r.vec_id for r in drawn])
+    sample = np.array([r.v for r in rows.orderBy(*by_hash).limit(sample_rows).collect()])
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree = Tree.fit(sample, leaf_rows * len(sample) / n)
@@ -201,41 +187,51 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
             yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), pa.array(cell.astype(np.int32)), *b.columns],
                                              names=["leaf", "cell", *b.schema.names])
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                take, leaves, cell = [], [], []
-                asked_here = _matrix(part.column("v"))
-                least = _least(part.column("vec_id").to_numpy(), asked_here, sample_ids, sample, k)
-                for i, q in enumerate(asked_here):
-                    seen = found = 0
-                    for leaf in tree.best_bins(q):
-                        if seen >= visits and found > k:
-                            break
-                        here = cells.get(leaf, 0)
-                        take += [i] * here
-                        leaves += [leaf] * here
-                        cell += range(here)
-                        seen += 1
-                        found += sizes.get(leaf, 0)
-                rows = part.take(pa.array(take, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int32()), pa.array(cell, pa.int32()), *rows.columns,
-                                                  pa.array(least[np.array(take, np.int64)])],
-                                                 names=["leaf", "cell", *b.schema.names, "least"])
+    def route(rest: bool):
+        """Queries with the cells of their first leaves, or of the rest."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, 256):
+                    part = b.slice(at, 256)
+                    take, leaves, cell = [], [], []
+                    for i, q in enumerate(_matrix(part.column("v"))):
+                        seen = found = 0
+                        for leaf in tree.best_bins(q):
+                            first = seen < FIRST_LEAVES or found <= k
+                            if not first and (seen >= visits or not rest):
+                                break
+                            if first != rest:
+                                here = cells.get(leaf, 0)
+                                take += [i] * here
+                                leaves += [leaf] * here
+                                cell += range(here)
+                            seen += 1
+                            found += sizes.get(leaf, 0)
+                    rows = part.take(pa.array(take, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int32()), pa.array(cell, pa.int32()), *rows.columns],
+                                                     names=["leaf", "cell", *b.schema.names])
+        return run
 
     kind = "leaf int, cell int, vec_id long, v array<double>"
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = _top(left.column("vec_id").to_numpy(), _matrix(left.column("v")),
-                   right.column("vec_id").to_numpy(), _matrix(right.column("v")), k, left.column("least").to_numpy()) if left.num_rows and right.num_rows else []
+        out = _top(left.column("vec_id").to_numpy(), _matrix(left.column("v")), right.column("vec_id").to_numpy(),
+                   _matrix(right.column("v")), k, left.column("least").to_numpy()) if left.num_rows and right.num_rows else []
         ids = right.column("vec_id").to_numpy() if right.num_rows else []
         return pa.Table.from_batches([_rows(["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()],
                                             [(q, ids[j], s) for q, j, s in out])])
 
-    found = asked.mapInArrow(route, kind + ", least double").groupBy("leaf", "cell").cogroup(
-        rows.mapInArrow(place, kind).groupBy("leaf", "cell")).applyInArrow(compare, _TOP)
+    def visit(queries: DataFrame, rest: bool) -> DataFrame:
+        return queries.mapInArrow(route(rest), kind + ", least double").groupBy("leaf", "cell").cogroup(
+            rows.mapInArrow(place, kind).groupBy("leaf", "cell")).applyInArrow(compare, _TOP)
+
+    # the first leaves tell a score that the k-th neighbour reaches; the others
+    # give only rows that reach it too
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    first = staged(visit(asked.withColumn("least", F.lit(float("-inf"))), False), "first-leaves")
+    kth = first.withColumn("r", F.row_number().over(order)).filter(F.col("r") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+    again = asked.join(kth, "vec_id", "left").select("vec_id", "v", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+    found = first.unionByName(visit(again, True))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
 
