@@ -79,7 +79,11 @@ def test_job_reproduces_golden_counts(spark, extracts):
     summ = {r["item"]: r["value"] for r in spark.read.option("header", True).csv(f"{d}/ledger/summary").collect()}
     assert (summ["订单总金额"], summ["订单总数量"], summ["订单记录数"]) == ("301,270,840.87", "152,257", "6,000")
     assert (summ["发货总数量"], summ["发货记录数"]) == ("136,654", "5,412")
-    assert spark.read.option("header", True).csv(f"{d}/ledger/order_ledger").count() == 6000
+    led = spark.read.option("header", True).csv(f"{d}/ledger/order_ledger")
+    assert led.count() == 6000 and {"业务日期", "支付金额"} <= set(led.columns)
+    acc = spark.read.parquet(f"{out}/accounting")
+    assert {r["leg"]: r["n"] for r in acc.groupBy("leg").agg(F.sum("n_rows").alias("n")).collect()} == \
+        {"orders": 6000, "deliveries": 5412, "invoices": 5540}
 
     jobs.split_types(spark, inv_paths, f"{d}/types")
     assert sorted(x for x in os.listdir(f"{d}/types") if x.startswith("label=")) == \
@@ -100,3 +104,16 @@ def test_cli_match(spark, extracts, capsys):
     lines = dict(line.split("\t", 1) for line in capsys.readouterr().out.splitlines()
                  if "\t" in line and not line.startswith("check"))
     assert lines[S.FULL_MATCH] == "1076" and lines[S.NOT_TEST] == "780" and lines[S.ALL_DATA] == "2115"
+
+
+def test_cli_options_take_effect(spark, extracts, capsys):
+    d, o1, o2, d1, d2, inv_paths = extracts
+    args = ["match", "OMS", "--orders", o1, o2, "--deliveries", d1, d2, "--invoices", *inv_paths]
+    jobs.main([*args, "--out", f"{d}/legacy", "--legacy-total", "--format", "csv", "--labels"])
+    summary = spark.read.option("header", True).csv(f"{d}/legacy/match/summary")
+    assert summary.where(F.col("category") == S.GRAND_TOTAL).count() == 2
+    b = {r["missing"]: r["n_rows"] for r in jobs.breakdown(spark, f"{d}/legacy", "csv").collect()}
+    assert (b[S.MISSING_ORDER], b[S.MISSING_DELIVERY], b[S.MISSING_BOTH]) == (578, 146, 56)
+    assert spark.read.option("header", True).csv(f"{d}/legacy/rejected").count() == 0
+    with pytest.raises(ValueError, match="external_order_no"):
+        jobs.main([*args, "--out", f"{d}/mapped", "--map-dms"])

@@ -42,6 +42,21 @@ def test_shift_nulls_and_empty(spark):
 
 # --- numbers and dates ------------------------------------------------------
 
+def test_large_amounts_sum_exactly(mk):
+    from trimatch.plans.reconcile import oms_order_totals
+    import pyspark.sql.functions as F
+    o = mk.orders([{"sale_order_no": "DD1", "item_code": "1", "pay_amount": "1"}] * 2) \
+        .withColumn("pay_amount", F.lit("1000000000000.25"))
+    assert str(oms_order_totals(o, carry=False).first()["order_amount"]) == "2000000000000.50"
+
+
+def test_double_codes_match_their_text(spark, mk):
+    from trimatch.plans.reconcile import oms_order_totals
+    import pyspark.sql.functions as F
+    o = mk.orders([{"sale_order_no": "DD1", "item_code": "1", "pay_amount": "1"}]).withColumn("item_code", F.lit(12345678.0))
+    assert oms_order_totals(o, carry=False).first()["item_code"] == "12345678"
+
+
 def test_safe_number(spark):
     df = spark.createDataFrame([(v,) for v in ["", " 12.5 ", "1e3", "1,234.5", "abc", None, "inf", "-3"]], "v string")
     got = [r[0] for r in df.select(numbers.safe_number("v")).collect()]
@@ -138,6 +153,8 @@ def test_duplicate_type_header_and_sniff(spark):
     assert resolve.sniff_type_column(codes_only) is None
     text = spark.createDataFrame([(None,), ("标准发票（2B)",)], "`发票类型` string")
     assert resolve.sniff_type_column(text) == "发票类型"
+    late = spark.createDataFrame([("ZA01",)] * 100 + [("标准发票（2B)",)] * 5, "`发票类型` string")
+    assert resolve.sniff_type_column(late) == "发票类型"                # however late the text appears
 
 
 def test_dms_roles_missing_raise(spark):

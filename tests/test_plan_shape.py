@@ -1,8 +1,5 @@
 """Plan-shape checks: what the engine promises about shuffles and scans."""
 
-import os
-import tempfile
-
 from trimatch.plans import spec as S
 from trimatch.plans.reconcile import reconcile
 from trimatch.plans.report import DMS_REPORT_LABELS, label_columns, report_columns
@@ -15,15 +12,10 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_only_under_split(spark):
-    one = spark.read.parquet(f"{SF}/lineitem.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert L.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    d = tempfile.mkdtemp(prefix="trimatch-many-")
-    spark.range(0, 1000, numPartitions=16).write.mode("overwrite").parquet(os.path.join(d, "t"))
-    many = spark.read.option("maxPartitionBytes", 1).parquet(os.path.join(d, "t"))
-    assert many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert L.spread(many) is many                                        # no extra shuffle
+def test_no_round_robin_in_any_leg(spark):
+    lg = L.legs(spark, SF)
+    r = reconcile(lg.orders, lg.deliveries, lg.invoices, S.OMS, carry=False)
+    assert "RoundRobin" not in _plan(r)
 
 
 def test_joins_reuse_aggregate_partitioning(spark):

@@ -25,14 +25,6 @@ def norm_code(col: Column | str, dtype: DataType | None = None) -> Column:
     return F.regexp_replace(code_text(col, dtype), r"\.0$", "")
 
 
-def order_item(order_no: Column | str, item: Column | str) -> Column:
-    """Display form of the match key: order number followed by item code.
-
-    Only for reports; joins use the two columns so ``'1' + '23'`` can never
-    meet ``'12' + '3'``."""
-    return F.concat(_c(order_no), _c(item))
-
-
 def delivery_order_no(main_no: Column | str | None, order_no: Column | str,
                       prefix: str = "DD") -> Column:
     """Main order number when it starts with ``prefix``, else the order number."""

@@ -82,14 +82,4 @@ def type_counts(df: DataFrame, col: str, out: str = "invoice_type") -> DataFrame
             .agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("n_rows"), out))
 
 
-def match_share(col: Column | str, pattern: str) -> Column:
-    """Aggregate: share of rows whose value matches ``pattern`` (NULL = no)."""
-    return F.coalesce(F.avg(F.coalesce(_c(col).rlike(pattern), F.lit(False)).cast("double")), F.lit(0.0))
-
-
-def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    return df.select(col).distinct()
-
-
-__all__ = ["NUMBER", "aggregate_leg", "distinct_values", "first_non_null", "first_row",
-           "leg_sum", "match_share", "type_counts"]
+__all__ = ["NUMBER", "aggregate_leg", "first_non_null", "first_row", "leg_sum", "type_counts"]

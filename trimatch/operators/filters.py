@@ -61,32 +61,43 @@ def invoice_type_keep_text(col: str) -> Column:
     return c.rlike(S.KEPT_INVOICE_TEXT_PATTERN) | c.contains(S.KEPT_INVOICE_TEXT_CONTAINS)
 
 
-def filter_invoice_type_adaptive(invoices: DataFrame, col: str | None = "invoice_type",
-                                 codes=S.KEPT_INVOICE_CODES, share: float = 0.5) -> DataFrame:
-    """OMS invoice-type filter.  If more than ``share`` of the type values are
+def keep_invoice_type_adaptive(invoices: DataFrame, col: str | None = "invoice_type",
+                               codes=S.KEPT_INVOICE_CODES, share: float = 0.5) -> Column:
+    """OMS invoice-type rule.  If more than ``share`` of the type values are
     codes (two capitals + two digits) keep the listed codes, else keep the
     standard 2B and standard return texts (their cancellations included).
-    No type column -> no filter.  The decision is a one-value subquery, so the
-    table is never collected and no join is needed."""
+    No type column -> all are kept.  The decision is a one-value subquery, so
+    the table is never collected and no join is needed."""
     if col is None or col not in invoices.columns:
-        return invoices
+        return F.lit(True)
     is_code = code_share(invoices, col) > F.lit(share)
     keep = F.when(is_code, F.col(col).isin(*codes)).otherwise(invoice_type_keep_text(col))
-    return invoices.where(F.coalesce(keep, F.lit(False)))
+    return F.coalesce(keep, F.lit(False))
 
 
-def filter_invoice_type_text(invoices: DataFrame, col: str | None = "invoice_type",
-                             must=S.DMS_INVOICE_MUST, must_not=S.DMS_INVOICE_MUST_NOT) -> DataFrame:
-    """DMS invoice-type filter: contains every ``must`` and no ``must_not``."""
+def filter_invoice_type_adaptive(invoices: DataFrame, col: str | None = "invoice_type",
+                                 codes=S.KEPT_INVOICE_CODES, share: float = 0.5) -> DataFrame:
+    """Rows that :func:`keep_invoice_type_adaptive` keeps."""
+    return invoices.where(keep_invoice_type_adaptive(invoices, col, codes, share))
+
+
+def keep_invoice_type_text(invoices: DataFrame, col: str | None = "invoice_type",
+                           must=S.DMS_INVOICE_MUST, must_not=S.DMS_INVOICE_MUST_NOT) -> Column:
+    """DMS invoice-type rule: contains every ``must`` and no ``must_not``."""
     if col is None or col not in invoices.columns:
-        return invoices
-    c = F.col(col)
+        return F.lit(True)
     cond = F.lit(True)
     for m in must:
-        cond = cond & c.contains(m)
+        cond = cond & F.col(col).contains(m)
     for m in must_not:
-        cond = cond & ~c.contains(m)
-    return invoices.where(F.coalesce(cond, F.lit(False)))
+        cond = cond & ~F.col(col).contains(m)
+    return F.coalesce(cond, F.lit(False))
+
+
+def filter_invoice_type_text(invoices: DataFrame, col: str | None = "invoice_type",
+                             must=S.DMS_INVOICE_MUST, must_not=S.DMS_INVOICE_MUST_NOT) -> DataFrame:
+    """Rows that :func:`keep_invoice_type_text` keeps."""
+    return invoices.where(keep_invoice_type_text(invoices, col, must, must_not))
 
 
 def route_invoices(invoices: DataFrame, oms_col: str = "oms_order_no",

@@ -37,7 +37,7 @@ def uninvoiced(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,
 
 def dms_order_map(orders: DataFrame, normalize: bool = True, dedupe: bool = True) -> DataFrame:
     """Cross-reference (external order no., item) -> sale order no."""
-    item = norm_code("item_code") if normalize else F.col("item_code")
+    item = norm_code("item_code", orders.schema["item_code"].dataType) if normalize else F.col("item_code")
     m = (orders.where(F.col("external_order_no").isNotNull())
          .select(F.col("external_order_no").alias("__ext"), item.alias("__item"),
                  F.col("sale_order_no").alias("__sale")))
@@ -52,6 +52,6 @@ def map_dms_to_oms(to_map: DataFrame, orders: DataFrame, dms_col: str = "dms_ord
     ``dedupe`` the map is distinct, so a repeated order line cannot multiply
     invoice rows; an item sold on several orders still maps to each."""
     m = dms_order_map(orders, normalize, dedupe)
-    item = norm_code("item_code") if normalize else F.col("item_code")
+    item = norm_code("item_code", to_map.schema["item_code"].dataType) if normalize else F.col("item_code")
     j = to_map.join(m, (F.col(dms_col) == F.col("__ext")) & (item == F.col("__item")), "inner")
     return j.withColumn("oms_order_no", F.col("__sale")).drop("__ext", "__item", "__sale")

@@ -1,10 +1,10 @@
-"""Data-quality checks: schema conformance, null share by period, stage counts."""
+"""Data-quality checks: schema conformance, null share by period."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,10 +39,3 @@ def null_share(df: DataFrame, col: str, date_col: str, split_month: int = 9,
     share = F.col("null_rows").cast("double") / F.col("n_rows").cast("double")
     return g.select("period", "n_rows", "null_rows", share.alias("null_share"),
                     (share > F.lit(threshold)).alias("mostly_null"))
-
-
-def observe_rows(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter to a stage; it fills when the stage is next run,
-    so counting costs no extra job."""
-    obs = Observation(stage)
-    return df.observe(obs, F.count(F.lit(1)).alias("n_rows")), obs

@@ -2,8 +2,8 @@
 
 Extract headers drift between months; a role (amount, quantity, material,
 order number, ...) is found by candidate lists.  Each resolver looks only at
-``df.columns`` except :func:`sniff_type_column`, which reads at most 100
-values.  Resolved columns are then selected under canonical names."""
+``df.columns`` except :func:`sniff_type_column`, which reads one column.
+Resolved columns are then selected under canonical names."""
 
 from __future__ import annotations
 
@@ -41,6 +41,20 @@ INVOICE_ATTRIBUTES = (
     (("数据源文件",), "src_file"),
     (("DMS销售单号",), "dms_order_no"),
 )
+# DMS attributes, in priority order; they differ from the OMS ones.
+DMS_INVOICE_ATTRIBUTES = (
+    (("SAP发票号", "SAP发票编号", "SAP账单号", "发票号", "发票编号"), "invoice_no"),
+    (("SAP订单号",), "sap_order_no"),
+    (("OMS订单号", "OMS主订单号", "OMS系统订单号"), "oms_order_no"),
+    (("公司代码", "公司"), "company_code"),
+    (("发票备注", "备注", "发票说明"), "remark"),
+    (("发票类型", "发票类型.1"), "invoice_type"),
+    (("销售组织", "销售组织代码"), "sales_org"),
+    (("客户名称", "客户"), "customer_name"),
+    (("名称", "物料名称"), "item_name"),
+    (("开票日期", "发票日期"), "invoice_date"),
+    (("数据源文件",), "src_file"),
+)
 
 
 class MissingColumn(ValueError):
@@ -95,15 +109,14 @@ def restore_duplicate_headers(df: DataFrame, base: str = INVOICE_TYPE_TOKEN) ->
     return df.withColumnsRenamed(ren)
 
 
-def sniff_type_column(df: DataFrame, sample: int = 100) -> str | None:
-    """``发票类型.1`` if present; else ``发票类型`` only if one of its first
-    ``sample`` non-NULL values contains ``发票`` (a bounded read)."""
+def sniff_type_column(df: DataFrame) -> str | None:
+    """``发票类型.1`` if present; else ``发票类型`` only if any of its values
+    contains ``发票`` (one aggregate over the whole column)."""
     if INVOICE_TYPE_DUPLICATE in df.columns:
         return INVOICE_TYPE_DUPLICATE
     if INVOICE_TYPE_TOKEN not in df.columns:
         return None
-    head = df.where(F.col(INVOICE_TYPE_TOKEN).isNotNull()).select(INVOICE_TYPE_TOKEN).limit(sample)
-    hit = head.agg(F.bool_or(F.col(INVOICE_TYPE_TOKEN).cast("string").contains(INVOICE_TYPE_SNIFF_TOKEN))).first()[0]
+    hit = df.agg(F.bool_or(F.col(INVOICE_TYPE_TOKEN).cast("string").contains(INVOICE_TYPE_SNIFF_TOKEN))).first()[0]
     return INVOICE_TYPE_TOKEN if hit else None
 
 
@@ -139,19 +152,16 @@ def dms_invoice_roles(df: DataFrame) -> dict[str, str]:
     t = sniff_type_column(df)
     if t:
         roles["invoice_type"] = t
-    for cands, name in INVOICE_ATTRIBUTES:
+    for cands, name in DMS_INVOICE_ATTRIBUTES:
         if name in roles:
             continue
         c = first_exact(cols, cands)
         if c:
             roles[name] = c
-    oms = first_exact(cols, OMS_ORDER_CANDIDATES)
-    if oms:
-        roles["oms_order_no"] = oms
     return roles
 
 
-def resolve_invoice_columns(df: DataFrame, profile: str = "DMS", keep: Sequence[str] = ("src_pos",)) -> DataFrame:
+def resolve_invoice_columns(df: DataFrame, profile: str = "DMS", keep: Sequence[str] = ("src_pos", "src_file")) -> DataFrame:
     """Select the resolved roles under canonical names (measures stay text;
     the aggregation parses them tolerantly)."""
     df = restore_duplicate_headers(df)

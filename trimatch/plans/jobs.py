@@ -24,33 +24,43 @@ from pyspark.sql import functions as F
 from trimatch.operators.classify import invoice_scene
 from trimatch.operators.join import uninvoiced
 from trimatch.operators.repair import repair_shift
-from trimatch.operators.quality import check_schema, required_roles
+from trimatch.functions.dates import safe_timestamp
+from trimatch.operators.quality import check_schema, null_share, required_roles
 from trimatch.operators.resolve import positional, require, resolve_invoice_columns
 from trimatch.plans import ledger
 from trimatch.plans import reconcile as R
 from trimatch.plans.report import (DMS_REPORT_LABELS, OMS_REPORT_LABELS, write_by_label, write_csv,
                                    write_report)
-from trimatch.plans.spec import DMS, OMS, SourceSpec
-from trimatch.plans.summary import category_summary, nottest_breakdown
+from trimatch.plans.accounting import leg_accounting, set_aside
+from trimatch.plans.spec import DMS, DMS_PARTIAL, OMS, OMS_PARTIAL, SourceSpec
+from trimatch.plans.summary import nottest_breakdown
 from trimatch.sources import dump
+from trimatch.sources.files import inputs_digest
 from trimatch.sources.invoices import read_monthly_invoices
 from trimatch.sources.staging import by_period, read_back, stage_many
 
 
 def load_orders(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
-    return dump.order_rows_auto(dump.parse_dump(dump.read_lines(spark, list(paths), charset)))
+    return dump.order_rows(dump.parse_dump(dump.read_lines(spark, list(paths), charset)))
 
 
 def load_deliveries(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
     """Deliveries with the shifted-column repair applied per file to the
     7-value rows (8-value rows carry a main order number and are not shifted)."""
     rows = dump.delivery_rows(dump.parse_dump(dump.read_lines(spark, list(paths), charset)))
-    seven = repair_shift(rows.where(F.col("layout") == 7))
-    return seven.unionByName(rows.where(F.col("layout") == 8)).drop("layout")
+    return repair_shift(rows).drop("layout")
 
 
-def load_invoices(spark: SparkSession, paths: Sequence[str], profile: str) -> DataFrame:
-    return resolve_invoice_columns(read_monthly_invoices(spark, list(paths)), profile)
+def load_rejected(spark: SparkSession, order_paths: Sequence[str], delivery_paths: Sequence[str],
+                  charset: str = "UTF-8") -> DataFrame:
+    """VALUES rows of the dumps that are too short for their layout."""
+    return dump.rejected_rows(dump.parse_dump(dump.read_lines(spark, list(order_paths), charset)), "orders").unionByName(
+        dump.rejected_rows(dump.parse_dump(dump.read_lines(spark, list(delivery_paths), charset)), "deliveries"))
+
+
+def load_invoices(spark: SparkSession, paths: Sequence[str], profile: str, charset: str = "UTF-8",
+                  skipped: list[tuple[str, str]] | None = None) -> DataFrame:
+    return resolve_invoice_columns(read_monthly_invoices(spark, list(paths), charset=charset, skipped=skipped), profile)
 
 
 def stage_inputs(spark: SparkSession, name: str, orders: DataFrame, deliveries: DataFrame,
@@ -63,37 +73,48 @@ def stage_inputs(spark: SparkSession, name: str, orders: DataFrame, deliveries:
     return s[f"{name}/orders"], s[f"{name}/deliveries"], s[f"{name}/invoices"]
 
 
+def _write(df: DataFrame, path: str, fmt: str) -> None:
+    if fmt == "csv":
+        write_csv(df, path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
 def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: DataFrame,
         invoices: DataFrame, out: str, fmt: str = "parquet", labels: bool = False) -> dict[str, int]:
     """Reconcile and write every report; returns the class counts.  With
-    ``labels`` the detail carries the original workbook headers."""
+    ``labels`` the detail carries the original workbook headers.  Beside the
+    reports: ``accounting`` (where every input row went) and ``set_aside``
+    (rows without a usable key)."""
+    if spec.map_dms_invoices and "external_order_no" not in orders.columns:
+        raise ValueError("mapping DMS invoices needs external_order_no on the orders; these extracts don't have it")
     result = R.reconcile(orders, deliveries, invoices, spec)
     names = (OMS_REPORT_LABELS if spec.name == "OMS" else DMS_REPORT_LABELS) if labels else None
-    write_report(result, f"{out}/match", fmt=fmt, labels=names)
+    counts = write_report(result, f"{out}/match", fmt=fmt, labels=names, legacy_total=spec.legacy_total)
     if spec.name == "OMS":
         o = R.oms_order_totals(orders, spec, carry=False)
         d = R.oms_delivery_totals(deliveries, spec, carry=False)
         i = R.oms_invoice_totals(invoices, orders, spec, carry=False)
-        u = uninvoiced(o, d, i)
-        if fmt == "csv":
-            write_csv(u, f"{out}/uninvoiced")
-        else:
-            u.write.mode("overwrite").parquet(f"{out}/uninvoiced")
+        _write(uninvoiced(o, d, i), f"{out}/uninvoiced", fmt)
     if "invoice_type" in invoices.columns and "dms_order_no" in invoices.columns:
-        write_by_label(invoice_scene(invoices), "scene", f"{out}/scenes", fmt)
-    return {r["category"]: r["n_rows"] for r in category_summary(result).collect()}
+        flat = invoices.drop("src_pos") if fmt == "csv" else invoices
+        write_by_label(invoice_scene(flat), "scene", f"{out}/scenes", fmt)
+    _write(leg_accounting(orders, deliveries, invoices, spec).coalesce(1), f"{out}/accounting", fmt)
+    _write(set_aside(orders, deliveries, invoices, spec), f"{out}/set_aside", fmt)
+    return counts or {}
 
 
 def ledgers(spark: SparkSession, order_paths: Sequence[str], delivery_paths: Sequence[str], out: str,
             charset: str = "UTF-8") -> None:
-    """Order and delivery ledgers and their totals, as CSV (empty for NULL).
-    Column names come from each dump's own header line when it has one."""
+    """Order and delivery ledgers and their totals, as CSV (empty for NULL)
+    with printed headers.  Column names come from each dump's own header line
+    when it has one; source headers are understood."""
     ol = dump.read_lines(spark, list(order_paths), charset)
     dl = dump.read_lines(spark, list(delivery_paths), charset)
     orders = dump.rows_with_header(spark, ol, dump.ORDER_COLS_HEADERLESS, pad_from=11)
     deliveries = dump.rows_with_header(spark, dl, dump.DELIVERY_COLS_7)
-    write_csv(ledger.order_ledger(orders), f"{out}/order_ledger")
-    write_csv(ledger.delivery_ledger(deliveries), f"{out}/delivery_ledger")
+    write_csv(ledger.labelled(ledger.order_ledger(orders), ledger.ORDER_LEDGER_LABELS), f"{out}/order_ledger")
+    write_csv(ledger.labelled(ledger.delivery_ledger(deliveries), ledger.DELIVERY_LEDGER_LABELS), f"{out}/delivery_ledger")
     write_csv(ledger.ledger_summary(orders, deliveries).coalesce(1), f"{out}/summary")
 
 
@@ -103,12 +124,18 @@ def split_types(spark: SparkSession, invoice_paths: Sequence[str], out: str, fmt
     inv = read_monthly_invoices(spark, list(invoice_paths))
     col = next((c for c in inv.columns if "发票类型" in c), None) or positional(inv.columns)
     require("invoice_type", col)
-    write_by_label(inv, col, out, fmt)
+    write_by_label(inv.drop("src_pos") if fmt == "csv" else inv, col, out, fmt)
 
 
 def breakdown(spark: SparkSession, report: str, fmt: str = "parquet") -> DataFrame:
     """Missing-leg breakdown of the Not-test rows of a written match report."""
-    return nottest_breakdown(read_back(spark, f"{report}/match/detail", fmt))
+    detail = read_back(spark, f"{report}/match/detail", fmt)
+    for labels in (OMS_REPORT_LABELS, DMS_REPORT_LABELS):       # a labelled report reads alike
+        if labels["shipped_qty"] in detail.columns:
+            detail = detail.withColumnsRenamed({v: k for k, v in labels.items()})
+    if "order_qty" not in detail.columns:
+        detail = detail.withColumn("order_qty", F.lit(None))
+    return nottest_breakdown(detail)
 
 
 def check(spark: SparkSession, orders: DataFrame, deliveries: DataFrame, invoices: DataFrame) -> DataFrame:
@@ -140,6 +167,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--map-dms", action="store_true", help="OMS: map DMS-only invoices via the orders")
     m.add_argument("--legacy-total", action="store_true", help="add the old doubled total row")
     m.add_argument("--labels", action="store_true", help="original workbook headers in the detail")
+    m.add_argument("--partial", action="store_true", help="partial-year profile of the source")
+    m.add_argument("--skip-unreadable", action="store_true", help="go on without invoice files that can't be read; they are listed in OUT/skipped")
     m.add_argument("--refresh", action="store_true", help="re-parse even if staged legs exist")
     lg = sub.add_parser("ledger", help="order and delivery ledgers with totals")
     lg.add_argument("--orders", nargs="+", required=True)
@@ -166,16 +195,28 @@ def main(argv: Sequence[str] | None = None) -> None:
         for r in breakdown(spark, a.report, a.format).collect():
             print(f"{r['missing']}\t{r['n_rows']}\t{r['share_pct']:.1f}%")
         return
-    spec = OMS if a.source == "OMS" else DMS
+    spec = {("OMS", False): OMS, ("OMS", True): OMS_PARTIAL, ("DMS", False): DMS, ("DMS", True): DMS_PARTIAL}[a.source, a.partial]
     if a.period:
         spec = spec.with_(period=tuple(a.period))
     if a.normalize_codes:
         spec = spec.with_(normalize_codes=a.normalize_codes == "on")
     spec = spec.with_(map_dms_invoices=a.map_dms, legacy_total=a.legacy_total)
-    o, d, i = stage_inputs(spark, f"job-{a.source}", load_orders(spark, a.orders, a.charset),
-                           load_deliveries(spark, a.deliveries, a.charset),
-                           load_invoices(spark, a.invoices, a.source), refresh=a.refresh)
+    skipped: list[tuple[str, str]] | None = [] if a.skip_unreadable else None
+    invoices = load_invoices(spark, a.invoices, a.source, a.charset, skipped)
+    digest = inputs_digest(spark, [*a.orders, *a.deliveries, *a.invoices], len(a.orders), len(a.deliveries), a.source, a.charset, skipped)
+    o, d, i = stage_inputs(spark, f"job-{a.source}-{digest}", load_orders(spark, a.orders, a.charset),
+                           load_deliveries(spark, a.deliveries, a.charset), invoices, refresh=a.refresh)
     counts = run(spark, spec, o, d, i, a.out, a.format, labels=a.labels)
+    rejected = load_rejected(spark, a.orders, a.deliveries, a.charset)
+    _write(rejected.withColumn("src_pos", F.to_json("src_pos")), f"{a.out}/rejected", a.format)
+    if skipped:
+        _write(spark.createDataFrame(skipped, "path string, reason string").coalesce(1), f"{a.out}/skipped", a.format)
+        for path, reason in skipped:
+            print(f"skipped\t{path}\t{reason}")
+    if "line_amount" in o.columns:
+        when = o.withColumn("create_time", safe_timestamp("create_time", dtype=o.schema["create_time"].dataType))
+        for r in null_share(when, "line_amount", "create_time").collect():
+            print(f"check\tline_amount\t{r['period']}\t{r['null_rows']} of {r['n_rows']} NULL")
     for f in check(spark, o, d, i).where(F.col("finding") != "ok").collect():
         print(f"check\t{f['table']}\t{f['finding']}\t{f['detail']}")
     for k in sorted(counts):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trimatch.functions.dates import ledger_date, safe_timestamp
-from trimatch.functions.numbers import format_total, safe_number, zero_fill
+from trimatch.functions.numbers import safe_number, zero_fill
 
 # Ledger summary items and units.
 ORDER_AMOUNT = "订单总金额"
@@ -25,6 +25,32 @@ DELIVERY_LEDGER_COLS = ("business_date", "business_type", "order_no", "external_
                         "item_code", "item_name", "shipped_qty", "biz_time")
 
 
+# Headers of the delivery dumps, and of the ledgers as printed.
+SOURCE_NAMES = {"主单号": "main_no", "订单号": "order_no", "业务时间": "biz_time", "料号": "item_code",
+                "名称": "item_name", "已发货数量": "shipped_qty"}
+ORDER_LEDGER_LABELS = {
+    "business_date": "业务日期", "platform_order_no": "平台订单号", "sale_order_no": "销售订单号",
+    "channel_name": "渠道名称", "item_code": "商品代码", "item_num": "商品数量", "line_amount": "行金额",
+    "pay_amount": "支付金额", "order_type": "订单类型", "order_status": "订单状态",
+    "create_time": "创建时间", "update_time": "更新时间",
+}
+DELIVERY_LEDGER_LABELS = {
+    "business_date": "业务日期", "business_type": "业务类型", "order_no": "订单号",
+    "external_order_no": "外部订单号", "item_code": "料号", "item_name": "商品名称",
+    "shipped_qty": "已发货数量", "biz_time": "业务时间",
+}
+
+
+def canonical(df: DataFrame) -> DataFrame:
+    """Source headers under the names the operators use."""
+    return df.withColumnsRenamed({k: v for k, v in SOURCE_NAMES.items() if k in df.columns and v not in df.columns})
+
+
+def labelled(ledger: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Printed headers; columns without one keep their name."""
+    return ledger.withColumnsRenamed(labels)
+
+
 def _as_timestamp(df: DataFrame, col: str) -> DataFrame:
     """Text dates (as parsed from dumps) become timestamps; others pass."""
     if col not in df.columns:
@@ -46,6 +72,8 @@ def order_ledger(orders: DataFrame) -> DataFrame:
 
 
 def delivery_ledger(deliveries: DataFrame) -> DataFrame:
+    """Delivery lines in ledger form; source headers are understood."""
+    deliveries = canonical(deliveries)
     cols = deliveries.columns
     deliveries = _as_timestamp(deliveries, "biz_time")
     d = deliveries.withColumn("business_date", ledger_date("biz_time" if "biz_time" in cols else None))
@@ -57,6 +85,7 @@ def delivery_ledger(deliveries: DataFrame) -> DataFrame:
 def ledger_summary(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Totals from the unformatted inputs as (item, value, unit) rows; one
     global aggregate per leg, stacked and unioned (no join)."""
+    deliveries = canonical(deliveries)
     o = orders.agg(F.coalesce(F.sum(safe_number("pay_amount")), F.lit(0)).alias("amt"),
                    F.coalesce(F.sum(safe_number("item_num")), F.lit(0)).alias("qty"),
                    F.count(F.lit(1)).alias("n"))
@@ -76,4 +105,4 @@ def _fmt(col: str, scale: int) -> str:
     return f"format_number({col}, {scale})"
 
 
-__all__ = ["delivery_ledger", "format_total", "ledger_summary", "order_ledger"]
+__all__ = ["canonical", "delivery_ledger", "labelled", "ledger_summary", "order_ledger"]

@@ -412,4 +412,141 @@ Q["dms_match_coverage"] = with_(DMS) + """SELECT COUNT(*) AS invoice_keys,
   COUNT(*) FILTER (WHERE shipped_qty IS NOT NULL) AS with_delivery,
   COUNT(*) FILTER (WHERE category <> '2.Not test') AS tested FROM dms_c"""
 
+ORD_TEXT = ("platform_order_no, main_order_no, sale_order_no, order_type, order_status, "
+            + _ts("create_time") + ", " + _ts("update_time") + ", channel_name, item_code")
+
+Q["dump_orders"] = with_() + f"""SELECT {ORD_TEXT}, {d('line_amount')}, {d('pay_amount')}, {d('item_num')},
+  channel_name2, src_file, src_pos FROM ord WHERE month(create_time) <= 9 OR src_pos % 101 <> 0"""
+
+Q["dump_rejected"] = with_() + """SELECT 'orders' AS leg, src_file, 12 AS n_values, 'fewer than 13 values' AS reason,
+  COUNT(*) AS n_rows FROM ord WHERE month(create_time) > 9 AND src_pos % 101 = 0 GROUP BY src_file"""
+
+Q["dump_deliveries"] = with_() + f"""SELECT business_type, main_no, order_no, external_order_no, {_ts('biz_time')}, item_code,
+  item_name, {d('shipped_qty')}, CASE WHEN main_no IS NULL THEN 7 ELSE 8 END AS layout, src_file, src_pos FROM dlv"""
+
+Q["dump_repair"] = with_() + f"""SELECT business_type, COALESCE(main_no, order_no) AS order_no, external_order_no,
+  {_ts('biz_time')}, item_code, item_name, {d('shipped_qty')}, 7 AS layout,
+  CASE WHEN month(biz_time) <= 9 THEN 'early' ELSE 'late' END AS src_file, src_pos FROM dlv"""
+
+Q["dump_with_header"] = with_() + f"""SELECT {ORD_TEXT}, CAST(NULL AS DOUBLE) AS line_amount, {d('pay_amount')}, {d('item_num')},
+  CAST(NULL AS VARCHAR) AS organization_code, src_file, src_pos FROM ord"""
+
+Q["dump_ledger_totals"] = Q["ledger_summary"]
+
+Q["first_value_two_files"] = with_("""
+placed AS (SELECT *, row_number() OVER (PARTITION BY oms_order_no ORDER BY month(invoice_date) % 2, src_pos) AS place
+           FROM inv WHERE oms_order_no IS NOT NULL)""") + """
+SELECT oms_order_no AS order_no, arg_min(remark, place) FILTER (WHERE remark IS NOT NULL) AS first_remark,
+  arg_min(sales_org, place) AS first_sales_org, arg_min(invoice_no, place) AS first_invoice_no
+FROM placed GROUP BY oms_order_no"""
+
+Q["leg_accounting"] = with_("""
+ord_k AS (SELECT * REPLACE (CASE WHEN src_pos % 37 <> 0 THEN item_code END AS item_code,
+                            CASE WHEN src_pos % 53 <> 0 THEN sale_order_no END AS sale_order_no) FROM ord),
+dlv_k AS (SELECT * REPLACE (CASE WHEN src_pos % 41 <> 0 THEN item_code END AS item_code) FROM dlv),
+inv_k AS (SELECT * REPLACE (CASE WHEN src_pos % 43 <> 0 THEN item_code END AS item_code,
+                            CASE WHEN src_pos % 59 <> 0 THEN oms_order_no END AS oms_order_no) FROM inv),
+fate AS (
+  SELECT 'orders' AS leg, CAST(pay_amount AS DECIMAL(18,2)) AS m, CASE
+      WHEN order_status IN ('OBSOLETE', 'CANCEL') THEN 'status'
+      WHEN order_type NOT IN ('liquid_milk_order', 'factory_item', 'oem_order') THEN 'order type'
+      WHEN create_time IS NULL THEN 'no date'
+      WHEN create_time < TIMESTAMP '1998-01-01' OR create_time >= TIMESTAMP '1999-01-01' THEN 'outside period'
+      WHEN sale_order_no IS NULL THEN 'no order number' WHEN item_code IS NULL THEN 'no item code' ELSE '' END AS reason
+  FROM ord_k
+  UNION ALL SELECT 'deliveries', CAST(shipped_qty AS DECIMAL(18,2)), CASE
+      WHEN biz_time IS NULL THEN 'no date'
+      WHEN biz_time < TIMESTAMP '1998-01-01' OR biz_time >= TIMESTAMP '1999-01-01' THEN 'outside period'
+      WHEN order_no IS NULL THEN 'no order number' WHEN item_code IS NULL THEN 'no item code' ELSE '' END
+  FROM dlv_k
+  UNION ALL SELECT 'invoices', CAST(amount AS DECIMAL(18,2)), CASE
+      WHEN NOT (regexp_matches(invoice_type, '标准发票\\s*[（(]?\\s*2B') OR contains(invoice_type, '标准退货发票')) THEN 'invoice type'
+      WHEN oms_order_no IS NULL AND dms_order_no IS NOT NULL THEN 'needs map'
+      WHEN oms_order_no IS NULL THEN 'no order number' WHEN item_code IS NULL THEN 'no item code' ELSE '' END
+  FROM inv_k)""") + f"""
+SELECT leg, CASE WHEN reason = '' THEN 'used' WHEN reason IN ('no order number', 'no item code') THEN 'set aside'
+                 ELSE 'filtered' END AS outcome, reason, COUNT(*) AS n_rows, {d('SUM(m)', 'measure')}, 0 AS unparsed
+FROM fate GROUP BY leg, reason"""
+
+Q["norm_code_double"] = """SELECT CAST(l_partkey + 10000000 AS VARCHAR) AS item_code, COUNT(*) AS n_rows
+FROM lineitem GROUP BY 1"""
+
+Q["text_dates"] = with_() + """SELECT form, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE t IS NULL) AS null_rows,
+  strftime(min(t), '%Y-%m-%d %H:%M:%S') AS earliest, strftime(max(t), '%Y-%m-%d %H:%M:%S') AS latest FROM (
+  SELECT 'iso' AS form, date_trunc('second', create_time) AS t FROM ord
+  UNION ALL SELECT 'slash', date_trunc('day', create_time) FROM ord
+  UNION ALL SELECT 'compact', date_trunc('day', create_time) FROM ord
+  UNION ALL SELECT 'day_first', NULL FROM ord) x GROUP BY form"""
+
+Q["subcent_rounding"] = with_() + f"""SELECT order_type,
+  {d('SUM(round(pay_amount + 0.004, 2))', 'rounded_lines')}, {d('round(SUM(pay_amount + 0.004), 2)', 'rounded_sum')}
+FROM ord GROUP BY order_type"""
+
+Q["oms_strict_carried"] = with_(INV_F, oms_ctes("pt", normalize=False, period=("1997-01-01", "1997-10-01")), f"""
+rem AS (SELECT oms_order_no AS order_no, item_code, {_fn('remark', 'inv_remark')} FROM inv_f
+        WHERE oms_order_no IS NOT NULL GROUP BY oms_order_no, item_code),
+pt_x AS (SELECT CASE WHEN shipped_qty IS NULL OR order_amount IS NULL OR order_qty IS NULL OR inv_remark IS NULL
+                     THEN '2.Not test' ELSE category END AS category, invoice_amount
+         FROM pt_c LEFT JOIN rem USING (order_no, item_code))""") + summary("pt_x")
+
+Q["column_resolution_oms"] = with_(INV_F) + f"""SELECT oms_order_no AS order_no, {_norm('item_code')} AS item_code,
+  {d('COALESCE(SUM(amount), 0)', 'invoice_amount')}, {d('COALESCE(SUM(qty), 0)', 'invoice_qty')},
+  {_fn('src_file', 'inv_src_file')}, {_fn('remark', 'inv_remark')}
+FROM inv_f WHERE oms_order_no IS NOT NULL GROUP BY 1, 2"""
+
+
+# The printed headers of the two detail reports.
+ORD_HEADERS = {"sale_order_no": "订单-销售订单号", "platform_order_no": "订单-平台订单号", "main_order_no": "订单-主订单号",
+               "channel_name": "订单-渠道名称", "order_type": "订单-订单类型", "order_status": "订单-订单状态",
+               "create_time": "订单-创建时间", "update_time": "订单-更新时间", "item_code": "订单-商品代码"}
+DLV_HEADERS = {"order_no": "发货-订单号", "main_no": "发货-主单号", "external_order_no": "发货-外部订单号",
+               "biz_time": "发货-业务时间", "item_code": "发货-料号", "item_name": "发货-商品名称", "business_type": "发货-业务类型"}
+INV_HEADERS = {"invoice_no": "发票-SAP发票号", "company_code": "发票-公司代码", "remark": "发票-发票备注",
+               "invoice_type": "发票-发票类型", "sales_org": "发票-销售组织", "invoice_date": "发票-开票日期",
+               "customer_name": "发票-客户名称", "item_name": "发票-物料名称", "src_file": "发票-数据源文件"}
+
+
+def _firsts(src: str, key: str, item: str, headers: dict[str, str], where: str) -> str:
+    """First non-NULL value of every attribute by key, under printed headers."""
+    cols = []
+    for c, label in headers.items():
+        v = f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c.endswith(("_time", "_date")) else c
+        cols.append(f"arg_min({v}, src_pos) FILTER (WHERE {c} IS NOT NULL) AS \"{label}\"")
+    return f"(SELECT {key} AS k_order, {item} AS k_item, {', '.join(cols)} FROM {src} WHERE {where} GROUP BY 1, 2)"
+
+
+def _report(prefix: str, keys: dict[str, tuple], headers: dict[str, dict], measures: dict[str, str]) -> str:
+    shown = ", ".join(f'CAST(c.{m} AS DOUBLE) AS "{label}"' for m, label in measures.items())
+    attrs = ", ".join(f'{leg}."{label}"' for leg, h in headers.items() for label in h.values())
+    joins = "\n".join(f"LEFT JOIN {_firsts(*keys[leg][:3], headers[leg], keys[leg][3])} {leg}\n  ON c.order_no = {leg}.k_order AND c.item_code = {leg}.k_item"
+                      for leg in headers)
+    return f"{shown}, category, {attrs} FROM {prefix}_c c\n{joins}"
+
+
+NORM_ITEM = _norm("item_code")
+Q["oms_report"] = with_(INV_F, OMS) + "SELECT c.order_no, c.item_code, i.inv_oms_order_no, i.inv_item_code, " + _report(
+    "oms",
+    {"o": ("oms_of", "sale_order_no", NORM_ITEM, "TRUE"),
+     "l": ("dlv", "CASE WHEN starts_with(main_no, 'DD') THEN main_no ELSE order_no END", NORM_ITEM, "TRUE"),
+     "v": ("inv_f", "oms_order_no", NORM_ITEM, "oms_order_no IS NOT NULL")},
+    {"o": ORD_HEADERS, "l": DLV_HEADERS, "v": INV_HEADERS | {"dms_order_no": "发票-DMS销售单号"}},
+    {"order_amount": "订单金额", "order_qty": "订单数量", "shipped_qty": "发货数量", "invoice_amount": "开票金额",
+     "invoice_qty": "开票数量", "order_minus_shipped_qty": "订单-发货数量", "order_minus_invoice_qty": "订单-开票数量",
+     "shipped_minus_invoice_qty": "发货-开票数量", "order_minus_invoice_amount": "订单-发票金额"}) + f"""
+LEFT JOIN (SELECT oms_order_no AS k_order, {NORM_ITEM} AS k_item, {_fn('oms_order_no', 'inv_oms_order_no')},
+                  {_fn('item_code', 'inv_item_code')} FROM inv_f WHERE oms_order_no IS NOT NULL GROUP BY 1, 2) i
+  ON c.order_no = i.k_order AND c.item_code = i.k_item"""
+
+Q["dms_report"] = with_(DMS) + "SELECT c.order_no AS \"DMS订单\", c.item_code AS \"物料编码\", " + _report(
+    "dms",
+    {"o": ("ord", "platform_order_no", "item_code", "contains(upper(channel_name), 'DMS')"),
+     "l": ("dlv", "external_order_no", "item_code", "external_order_no IS NOT NULL"),
+     "v": ("inv", "dms_order_no", "item_code", "contains(invoice_type, '标准发票') AND contains(invoice_type, '2B') "
+           "AND NOT contains(invoice_type, '退货') AND dms_order_no IS NOT NULL")},
+    {"o": ORD_HEADERS, "l": DLV_HEADERS | {"item_name": "发货-物料名称"}, "v": INV_HEADERS | {"oms_order_no": "发票-OMS订单号"}},
+    {"invoice_amount": "SAP开票含税金额", "invoice_qty_sales": "SAP开票销售数量", "invoice_qty": "SAP开票基本数量",
+     "order_amount": "DMS订单金额", "order_qty": "DMS订单数量", "shipped_qty": "DMS发货数量",
+     "invoice_minus_order_amount": "SAP-DMS订单金额", "invoice_minus_order_qty": "SAP-DMS订单数量(基本单位)",
+     "invoice_minus_shipped_qty": "SAP-DMS发货数量(基本单位)"})
+
 ORACLES = Q

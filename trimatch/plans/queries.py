@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
 
 from trimatch.functions.codes import delivery_order_no, norm_code, safe_label
+from trimatch.functions.dates import safe_timestamp
 from trimatch.functions.numbers import safe_number
-from trimatch.operators.aggregate import first_non_null, first_row, type_counts
+from trimatch.operators.aggregate import first_non_null, first_row, leg_sum, type_counts
 from trimatch.operators.classify import invoice_scene, strict_not_test
 from trimatch.operators.filters import (channel_contains, drop_status, filter_invoice_type_adaptive,
                                         filter_invoice_type_text, keep_types, of_category,
@@ -29,9 +30,12 @@ from trimatch.operators.resolve import resolve_invoice_columns
 from trimatch.plans import ledger
 from trimatch.plans import reconcile as R
 from trimatch.plans import spec as S
+from trimatch.plans.accounting import leg_accounting
+from trimatch.plans.report import DMS_REPORT_LABELS, OMS_REPORT_LABELS, label_columns, report_columns
 from trimatch.plans.spec import DMS, OMS
 from trimatch.plans.summary import (category_summary, combine_sources, flag_counts, match_coverage,
                                     nottest_breakdown, org_split_summary)
+from trimatch.sources import dump
 from trimatch.sources import tpch_legs as L
 from trimatch.sources.invoices import align_union
 
@@ -285,10 +289,8 @@ def safe_number_q(spark, sf_dir):
         "thousands": F.format_number(F.col("amount"), 2),
         "blank": F.when(F.col("src_pos") % 2 == 0, F.lit("")).otherwise(F.col("amount").cast("string")),
     }
-    parts = [inv.select(F.lit(k).alias("form"), safe_number(v).alias("v")) for k, v in forms.items()]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    u = inv.select(F.explode(F.array(*[F.struct(F.lit(k).alias("form"), v.alias("t")) for k, v in forms.items()])).alias("x")) \
+        .select("x.form", safe_number("x.t").alias("v"))
     return edge(u.groupBy("form").agg(F.count(F.lit(1)).alias("n_rows"),
                                       F.count_if(F.col("v").isNull()).alias("null_rows"),
                                       F.sum("v").cast("decimal(28,2)").alias("total")))
@@ -380,7 +382,126 @@ def dms_match_coverage(spark, sf_dir):
     return match_coverage(_oms(spark, sf_dir, DMS))
 
 
+# --- dumps: legs rendered as VALUES lines, parsed back ------------------------
+
+def _typed(df: DataFrame, numbers=(), dates=()) -> DataFrame:
+    return df.withColumns({c: safe_number(c).cast("double") for c in numbers} | {c: safe_timestamp(c) for c in dates})
+
+
+def dump_orders(spark, sf_dir):
+    parsed = dump.parse_dump(L.order_dump(_legs(spark, sf_dir).orders))
+    return edge(_typed(dump.order_rows(parsed), ("line_amount", "pay_amount", "item_num"), ("create_time", "update_time")))
+
+
+def dump_rejected(spark, sf_dir):
+    parsed = dump.parse_dump(L.order_dump(_legs(spark, sf_dir).orders))
+    return dump.rejected_rows(parsed, "orders").groupBy("leg", "src_file", "n_values", "reason").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+def dump_deliveries(spark, sf_dir):
+    rows = dump.delivery_rows(dump.parse_dump(L.delivery_dump(_legs(spark, sf_dir).deliveries)))
+    return edge(_typed(rows, ("shipped_qty",), ("biz_time",)))
+
+
+def dump_repair(spark, sf_dir):
+    """The shifted delivery file as dump lines, parsed and repaired."""
+    shifted = L.shifted_delivery_file(_legs(spark, sf_dir).deliveries)
+    rows = dump.delivery_rows(dump.parse_dump(L.values_lines(shifted, dump.DELIVERY_COLS_7)))
+    return edge(_typed(repair_shift(rows).drop("main_no"), ("shipped_qty",), ("biz_time",)))
+
+
+def dump_with_header(spark, sf_dir):
+    rows = dump.rows_with_header(spark, L.headed_dump(_legs(spark, sf_dir).orders), dump.ORDER_COLS_HEADERLESS, pad_from=11)
+    return edge(_typed(rows, ("line_amount", "pay_amount", "item_num"), ("create_time", "update_time")))
+
+
+def dump_ledger_totals(spark, sf_dir):
+    """Ledger totals of headed dumps whose delivery columns have source names."""
+    lg = _legs(spark, sf_dir)
+    orders = dump.rows_with_header(spark, L.headed_dump(lg.orders), dump.ORDER_COLS_HEADERLESS, pad_from=11)
+    back = {v: k for k, v in ledger.SOURCE_NAMES.items()}
+    return ledger.ledger_summary(orders, lg.deliveries.withColumnsRenamed(back))
+
+
+# --- rules that clean legs don't exercise -------------------------------------
+
+def first_value_two_files(spark, sf_dir):
+    """Positions restart in every file: the file listed first wins, then the
+    place in it."""
+    place = F.struct((F.month("invoice_date") % 2).alias("file_no"), F.col("src_pos").alias("row"))
+    inv = _legs(spark, sf_dir).invoices.withColumn("src_pos", place).where(F.col("oms_order_no").isNotNull())
+    return inv.groupBy(F.col("oms_order_no").alias("order_no")).agg(
+        first_non_null("remark").alias("first_remark"), first_non_null("sales_org").alias("first_sales_org"),
+        first_non_null("invoice_no").alias("first_invoice_no"))
+
+
+def leg_accounting_q(spark, sf_dir):
+    """Where every row of legs with missing keys goes (1998 only)."""
+    lg = L.with_missing_keys(_legs(spark, sf_dir))
+    return edge(leg_accounting(lg.orders, lg.deliveries, lg.invoices, OMS.with_(period=PERIOD_1998)))
+
+
+def norm_code_double(spark, sf_dir):
+    code = F.col("l_partkey").cast("double") + F.lit(10_000_000.0)
+    li = L.read_table(spark, sf_dir, "lineitem").select(code.alias("code"))
+    return li.groupBy(norm_code("code", li.schema["code"].dataType).alias("item_code")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def text_dates(spark, sf_dir):
+    """Order dates as text in several spellings; tolerant parsing of each."""
+    forms = {"iso": "yyyy-MM-dd HH:mm:ss", "slash": "yyyy/MM/dd", "compact": "yyyyMMdd", "day_first": "dd-MM-yyyy"}
+    o = _legs(spark, sf_dir).orders
+    long = o.select(F.explode(F.array(*[F.struct(F.lit(k).alias("form"), F.date_format("create_time", f).alias("t"))
+                                        for k, f in forms.items()])).alias("x")).select("x.form", safe_timestamp("x.t").alias("ts"))
+    return edge(long.groupBy("form").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("ts").isNull()).alias("null_rows"),
+                                         F.min("ts").alias("earliest"), F.max("ts").alias("latest")))
+
+
+def subcent_rounding(spark, sf_dir):
+    """Sums of amounts with a fraction of a cent, rounded before and after."""
+    o = _legs(spark, sf_dir).orders.select("order_type", (F.col("pay_amount") + F.lit("0.004").cast("decimal(4,3)")).alias("v"))
+    kind = o.schema["v"].dataType
+    return edge(o.groupBy("order_type").agg(leg_sum("v", True, kind).alias("rounded_lines"), leg_sum("v", False, kind).alias("rounded_sum")))
+
+
+def oms_strict_carried(spark, sf_dir):
+    """Strict rule with a carried attribute: its NULL alone makes Not test."""
+    spec = S.OMS_PARTIAL.with_(period=("1997-01-01", "1997-10-01"))
+    return edge(category_summary(_oms(spark, sf_dir, spec, carry={"inv_remark"})))
+
+
+def column_resolution_oms(spark, sf_dir):
+    raw = L.invoice_with_source_headers(_legs(spark, sf_dir).invoices)
+    inv = resolve_invoice_columns(raw, "OMS")
+    return edge(R.oms_invoice_totals(inv, carry={"inv_src_file", "inv_remark"}))
+
+
+def oms_report(spark, sf_dir):
+    """The full OMS detail under its printed headers."""
+    return label_columns(report_columns(edge(_oms(spark, sf_dir, carry=True))), OMS_REPORT_LABELS)
+
+
+def dms_report(spark, sf_dir):
+    return label_columns(report_columns(edge(_oms(spark, sf_dir, DMS, carry=True))), DMS_REPORT_LABELS)
+
+
 QUERIES: dict[str, Query] = {
+    "dump_orders": dump_orders,
+    "dump_rejected": dump_rejected,
+    "dump_deliveries": dump_deliveries,
+    "dump_repair": dump_repair,
+    "dump_with_header": dump_with_header,
+    "dump_ledger_totals": dump_ledger_totals,
+    "first_value_two_files": first_value_two_files,
+    "leg_accounting": leg_accounting_q,
+    "norm_code_double": norm_code_double,
+    "text_dates": text_dates,
+    "subcent_rounding": subcent_rounding,
+    "oms_strict_carried": oms_strict_carried,
+    "column_resolution_oms": column_resolution_oms,
+    "oms_report": oms_report,
+    "dms_report": dms_report,
     "oms_category_summary": oms_category_summary,
     "oms_match_detail": oms_match_detail,
     "dms_match_detail": dms_match_detail,

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from trimatch.functions.codes import delivery_order_no, norm_code
+from trimatch.functions.codes import code_text, delivery_order_no, norm_code
 from trimatch.functions.dates import safe_timestamp
 from trimatch.operators.aggregate import aggregate_leg
-from trimatch.operators.classify import classify_dms, classify_oms, dms_variances, oms_variances
+from trimatch.operators.classify import (classify_dms, classify_oms, dms_variances, oms_variances,
+                                          strict_not_test)
 from trimatch.operators.filters import (channel_contains, drop_status, filter_invoice_type_adaptive,
                                         filter_invoice_type_text, has_value, keep_types,
                                         period_filter, route_invoices)
@@ -43,17 +44,19 @@ INVOICE_CARRY_OMS = {
     "inv_item_code": "item_code", "inv_dms_order_no": "dms_order_no",
 }
 ORDER_CARRY_DMS = {
+    "ord_platform_order_no": "platform_order_no", "ord_item_code": "item_code",
     "ord_sale_order_no": "sale_order_no", "ord_main_order_no": "main_order_no",
     "ord_channel_name": "channel_name", "ord_order_type": "order_type",
     "ord_order_status": "order_status", "ord_create_time": "create_time",
     "ord_update_time": "update_time",
 }
 DELIVERY_CARRY_DMS = {
+    "dlv_external_order_no": "external_order_no", "dlv_item_code": "item_code",
     "dlv_order_no": "order_no", "dlv_main_no": "main_no", "dlv_biz_time": "biz_time",
     "dlv_item_name": "item_name", "dlv_business_type": "business_type",
 }
 INVOICE_CARRY_DMS = {
-    "inv_invoice_no": "invoice_no", "inv_oms_order_no": "oms_order_no",
+    "inv_invoice_no": "invoice_no", "inv_sap_order_no": "sap_order_no", "inv_oms_order_no": "oms_order_no",
     "inv_company_code": "company_code", "inv_remark": "remark",
     "inv_invoice_type": "invoice_type", "inv_sales_org": "sales_org",
     "inv_customer_name": "customer_name", "inv_item_name": "item_name",
@@ -79,8 +82,10 @@ def _pick(carry_map: dict[str, str], carry) -> dict[str, str]:
     return {k: v for k, v in carry_map.items() if k in carry}
 
 
-def _item(spec: SourceSpec, col: str = "item_code"):
-    return norm_code(col) if spec.normalize_codes else F.col(col).cast("string")
+def _item(spec: SourceSpec, df: DataFrame, col: str = "item_code"):
+    """Item code as text; floating codes never in scientific notation."""
+    kind = df.schema[col].dataType
+    return norm_code(col, kind) if spec.normalize_codes else code_text(col, kind)
 
 
 # --- OMS --------------------------------------------------------------------
@@ -115,7 +120,7 @@ def oms_invoices_used(invoices: DataFrame, orders: DataFrame | None = None,
 
 def oms_order_totals(orders: DataFrame, spec: SourceSpec = OMS, carry=True) -> DataFrame:
     o = oms_filtered_orders(orders, spec)
-    return aggregate_leg(o, {"order_no": F.col("sale_order_no"), "item_code": _item(spec)},
+    return aggregate_leg(o, {"order_no": F.col("sale_order_no"), "item_code": _item(spec, o)},
                          {"order_amount": "pay_amount", "order_qty": "item_num"},
                          _pick(ORDER_CARRY_OMS, carry), spec.round_before_sum)
 
@@ -123,7 +128,7 @@ def oms_order_totals(orders: DataFrame, spec: SourceSpec = OMS, carry=True) -> D
 def oms_delivery_totals(deliveries: DataFrame, spec: SourceSpec = OMS, carry=True) -> DataFrame:
     d = oms_filtered_deliveries(deliveries, spec)
     main = "main_no" if "main_no" in d.columns else None
-    return aggregate_leg(d, {"order_no": delivery_order_no(main, "order_no"), "item_code": _item(spec)},
+    return aggregate_leg(d, {"order_no": delivery_order_no(main, "order_no"), "item_code": _item(spec, d)},
                          {"shipped_qty": "shipped_qty"}, _pick(DELIVERY_CARRY_OMS, carry), spec.round_before_sum)
 
 
@@ -140,7 +145,7 @@ def oms_invoice_totals(invoices: DataFrame, orders: DataFrame | None = None,
                        spec: SourceSpec = OMS, carry=True) -> DataFrame:
     mapped_orders = oms_filtered_orders(orders, spec) if orders is not None else None
     used = _measures_or_empty(oms_invoices_used(invoices, mapped_orders, spec), ("amount", "qty"))
-    return aggregate_leg(used, {"order_no": F.col("oms_order_no"), "item_code": _item(spec)},
+    return aggregate_leg(used, {"order_no": F.col("oms_order_no"), "item_code": _item(spec, used)},
                          {"invoice_amount": "amount", "invoice_qty": "qty"},
                          _pick(INVOICE_CARRY_OMS, carry), spec.round_before_sum)
 
@@ -150,28 +155,29 @@ def reconcile_oms(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,
     inv = oms_invoice_totals(invoices, orders, spec, carry)
     j = three_way_match(inv, oms_delivery_totals(deliveries, spec, carry),
                         oms_order_totals(orders, spec, carry))
-    return classify_oms(oms_variances(j), spec.amount_tol, spec.qty_tol)
+    out = classify_oms(oms_variances(j), spec.amount_tol, spec.qty_tol)
+    return strict_not_test(out) if spec.strict else out
 
 
 # --- DMS --------------------------------------------------------------------
 
 def dms_order_totals(orders: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
     o = _timestamps(channel_contains(orders), "create_time", "update_time")
-    return aggregate_leg(o, {"order_no": F.col("platform_order_no"), "item_code": _item(spec)},
+    return aggregate_leg(o, {"order_no": F.col("platform_order_no"), "item_code": _item(spec, o)},
                          {"order_amount": "pay_amount", "order_qty": "item_num"},
                          _pick(ORDER_CARRY_DMS, carry), spec.round_before_sum)
 
 
 def dms_delivery_totals(deliveries: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
     d = _timestamps(has_value(deliveries, "external_order_no"), "biz_time")
-    return aggregate_leg(d, {"order_no": F.col("external_order_no"), "item_code": _item(spec)},
+    return aggregate_leg(d, {"order_no": F.col("external_order_no"), "item_code": _item(spec, d)},
                          {"shipped_qty": "shipped_qty"}, _pick(DELIVERY_CARRY_DMS, carry), spec.round_before_sum)
 
 
 def dms_invoice_totals(invoices: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
     i = has_value(filter_invoice_type_text(invoices, "invoice_type"), "dms_order_no")
     i = _measures_or_empty(i, ("amount", "qty_sales_unit", "qty_base_unit"))
-    return aggregate_leg(i, {"order_no": F.col("dms_order_no"), "item_code": _item(spec)},
+    return aggregate_leg(i, {"order_no": F.col("dms_order_no"), "item_code": _item(spec, i)},
                          {"invoice_amount": "amount", "invoice_qty_sales": "qty_sales_unit",
                           "invoice_qty": "qty_base_unit"},
                          _pick(INVOICE_CARRY_DMS, carry), spec.round_before_sum,

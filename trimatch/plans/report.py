@@ -6,20 +6,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trimatch.functions.codes import safe_label
 from trimatch.operators.classify import split_by_org
 from trimatch.plans import spec as S
 from trimatch.plans.summary import category_summary
+from trimatch.sources.files import remove
 
-# Report headers of the original workbooks for the OMS detail.
+# Report headers of the original workbooks.
 OMS_REPORT_LABELS = {
     "order_amount": "订单金额", "order_qty": "订单数量", "shipped_qty": "发货数量",
     "invoice_amount": "开票金额", "invoice_qty": "开票数量",
     "order_minus_shipped_qty": "订单-发货数量", "order_minus_invoice_qty": "订单-开票数量",
     "shipped_minus_invoice_qty": "发货-开票数量", "order_minus_invoice_amount": "订单-发票金额",
-    "inv_dms_order_no": "发票-DMS销售单号", "inv_sales_org": "发票-销售组织",
-    "inv_invoice_type": "发票-发票类型",
+    "ord_sale_order_no": "订单-销售订单号", "ord_platform_order_no": "订单-平台订单号",
+    "ord_main_order_no": "订单-主订单号", "ord_channel_name": "订单-渠道名称",
+    "ord_order_type": "订单-订单类型", "ord_order_status": "订单-订单状态",
+    "ord_create_time": "订单-创建时间", "ord_update_time": "订单-更新时间",
+    "ord_item_code": "订单-商品代码",
+    "dlv_order_no": "发货-订单号", "dlv_main_no": "发货-主单号",
+    "dlv_external_order_no": "发货-外部订单号", "dlv_biz_time": "发货-业务时间",
+    "dlv_item_code": "发货-料号", "dlv_item_name": "发货-商品名称", "dlv_business_type": "发货-业务类型",
+    "inv_invoice_no": "发票-SAP发票号", "inv_company_code": "发票-公司代码", "inv_remark": "发票-发票备注",
+    "inv_invoice_type": "发票-发票类型", "inv_sales_org": "发票-销售组织",
+    "inv_invoice_date": "发票-开票日期", "inv_customer_name": "发票-客户名称",
+    "inv_item_name": "发票-物料名称", "inv_src_file": "发票-数据源文件",
+    "inv_dms_order_no": "发票-DMS销售单号",
 }
 DMS_REPORT_LABELS = {
     "order_no": "DMS订单", "item_code": "物料编码", "invoice_amount": "SAP开票含税金额",
@@ -28,6 +41,20 @@ DMS_REPORT_LABELS = {
     "invoice_minus_order_amount": "SAP-DMS订单金额",
     "invoice_minus_order_qty": "SAP-DMS订单数量(基本单位)",
     "invoice_minus_shipped_qty": "SAP-DMS发货数量(基本单位)",
+    "ord_sale_order_no": "订单-销售订单号", "ord_main_order_no": "订单-主订单号",
+    "ord_channel_name": "订单-渠道名称", "ord_order_type": "订单-订单类型",
+    "ord_order_status": "订单-订单状态", "ord_create_time": "订单-创建时间",
+    "ord_update_time": "订单-更新时间", "ord_platform_order_no": "订单-平台订单号",
+    "ord_item_code": "订单-商品代码",
+    "dlv_order_no": "发货-订单号", "dlv_main_no": "发货-主单号", "dlv_biz_time": "发货-业务时间",
+    "dlv_item_name": "发货-物料名称", "dlv_business_type": "发货-业务类型",
+    "dlv_external_order_no": "发货-外部订单号", "dlv_item_code": "发货-料号",
+    "inv_invoice_no": "发票-SAP发票号", "inv_sap_order_no": "发票-SAP订单号",
+    "inv_oms_order_no": "发票-OMS订单号", "inv_company_code": "发票-公司代码",
+    "inv_remark": "发票-发票备注", "inv_invoice_type": "发票-发票类型",
+    "inv_sales_org": "发票-销售组织", "inv_customer_name": "发票-客户名称",
+    "inv_item_name": "发票-物料名称", "inv_invoice_date": "发票-开票日期",
+    "inv_src_file": "发票-数据源文件",
 }
 
 
@@ -53,25 +80,42 @@ def write_csv(df: DataFrame, path: str, null_value: str = "", mode: str = "overw
 
 def write_report(result: DataFrame, path: str, fmt: str = "parquet", max_rows: int = S.REPORT_MAX_ROWS,
                  org_col: str = "inv_sales_org", null_value: str = "N/A",
-                 labels: dict[str, str] | None = None) -> bool:
+                 labels: dict[str, str] | None = None, legacy_total: bool = False) -> dict[str, int] | None:
     """Classified detail partitioned by ``org_group`` and ``category`` (so each
     organisation group's Not-test rows are a partition, not a second pass),
     plus the class summary per group under ``path/summary``.  Files hold at
-    most ``max_rows`` rows.  Nothing is written for an empty result."""
-    if result.isEmpty():
-        return False
+    most ``max_rows`` rows.
+
+    The match runs once: the summary is made from three columns of the written
+    detail.  Returns the rows of each class over all groups, or None for an
+    empty result, of which nothing is left on disk."""
+    spark = result.sparkSession
     r = report_columns(split_by_org(result, org_col))
-    summary = category_summary(r, by=("org_group",))
-    if labels:
-        r = label_columns(r, labels)
+    shown = label_columns(r, labels) if labels else r
     if fmt == "csv":
-        write_csv(r, f"{path}/detail", null_value, partition_by=("org_group", "category"), max_rows=max_rows)
-        write_csv(summary.coalesce(1), f"{path}/summary")
+        write_csv(shown, f"{path}/detail", null_value, partition_by=("org_group", "category"), max_rows=max_rows)
     else:
-        (r.write.mode("overwrite").option("maxRecordsPerFile", max_rows)
+        (shown.write.mode("overwrite").option("maxRecordsPerFile", max_rows)
          .partitionBy("org_group", "category").parquet(f"{path}/detail"))
-        summary.coalesce(1).write.mode("overwrite").parquet(f"{path}/summary")
-    return True
+    kind = T.StructType([f for f in shown.schema.fields if f.name not in ("org_group", "category")]
+                        + [T.StructField("org_group", T.StringType()), T.StructField("category", T.StringType())])
+    amount = (labels or {}).get("invoice_amount", "invoice_amount")
+    back = spark.read.option("header", True).option("nullValue", null_value).schema(kind).format(fmt).load(f"{path}/detail")
+    written = back.select("org_group", "category", F.col(f"`{amount}`").alias("invoice_amount"))
+    summary = category_summary(written, by=("org_group",), legacy_total=legacy_total)
+    rows = summary.collect()                     # a few rows for each organisation group
+    if not rows:
+        remove(spark, path)
+        return None
+    summary = spark.createDataFrame(rows, summary.schema).coalesce(1)
+    if fmt == "csv":
+        write_csv(summary, f"{path}/summary")
+    else:
+        summary.write.mode("overwrite").parquet(f"{path}/summary")
+    counts: dict[str, int] = {}
+    for x in rows:
+        counts[x["category"]] = counts.get(x["category"], 0) + x["n_rows"]
+    return counts
 
 
 def write_by_label(df: DataFrame, col: str, path: str, fmt: str = "parquet") -> None:

@@ -74,6 +74,7 @@ class SourceSpec:
     ``invoice_first``    how invoice attributes are carried: ``"non_null"``
                          (first non-NULL value per column) or ``"row"``
                          (the whole first row, NULLs kept).
+    ``strict``           OMS: Not test when any column of the joined row is NULL.
     """
 
     name: str
@@ -86,6 +87,7 @@ class SourceSpec:
     dedupe_map: bool = True
     legacy_total: bool = False
     invoice_first: str = "non_null"
+    strict: bool = False
     excluded_statuses: tuple[str, ...] = field(default=EXCLUDED_STATUSES)
     kept_order_types: tuple[str, ...] = field(default=KEPT_ORDER_TYPES)
 
@@ -97,5 +99,7 @@ OMS = SourceSpec(name="OMS", normalize_codes=True, round_before_sum=True,
                  amount_tol=Decimal("1"), qty_tol=Decimal("0"))
 DMS = SourceSpec(name="DMS", normalize_codes=False, round_before_sum=False,
                  amount_tol=Decimal("1"), qty_tol=Decimal("0.01"))
+# Partial-year OMS run: raw codes, Not test as soon as any joined column is NULL.
+OMS_PARTIAL = OMS.with_(normalize_codes=False, strict=True)
 # Partial-year DMS run: invoice attributes come from the whole first row.
 DMS_PARTIAL = DMS.with_(invoice_first="row")

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trimatch.sources.files import file_path, position
+
 # A token: runs of quoted segments (an unterminated quote runs to the end) and
 # characters that are neither quote nor comma.
 TOKEN = r"(?:'[^']*(?:'|$)|[^',])+"
@@ -45,95 +47,93 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str = "U
       at the ``\n`` byte, so the line-splitting CSV reader decodes them, still
       split across tasks (one column, no quoting).  Legacy charsets such as
       GBK need ``spark.sql.legacy.javaCharsets=true``.
-    * UTF-16/32, where ``\n`` bytes occur inside characters: decoded per
-      file from ``binaryFile`` (one file per task, at most 2 GB per file).
+    * UTF-16/32 are refused: ``\n`` bytes occur inside characters, so such a
+      file can't be split; convert it to UTF-8 first.
 
-    Positions come from ``monotonically_increasing_id``, which follows file
-    order within one read; stage the parsed result to keep them."""
+    ``src_file`` is the full path; ``src_pos`` orders rows by the given list of
+    paths, then by place in the file (:mod:`trimatch.sources.files`)."""
     paths = [path] if isinstance(path, str) else list(path)
     cs = charset.upper().replace("_", "-")
-    pos = F.monotonically_increasing_id().alias("src_pos")
-    name = F.col("_metadata.file_name").alias("src_file")
+    if cs.startswith(("UTF-16", "UTF16", "UTF-32", "UTF32", "UCS")):
+        raise ValueError(f"{charset}: dumps in a multi-byte charset can't be split over tasks; convert them to UTF-8")
     if cs.replace("-", "") == "UTF8":
-        return spark.read.text(paths).select(name, pos, F.col("value").alias("line"))
-    if not cs.startswith(("UTF-16", "UTF-32", "UCS")):
+        df = spark.read.text(paths).withColumnRenamed("value", "line")
+    else:
         df = (spark.read.schema("line string").option("encoding", charset).option("sep", "\u0001")
               .option("quote", "").option("nullValue", None).option("maxCharsPerColumn", -1)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
               .csv(paths))
-        return df.select(name, pos, "line")
-    raw = spark.read.format("binaryFile").load(paths)
-    text = F.decode(F.col("content"), charset)
-    return raw.select(F.regexp_extract(F.col("path"), r"([^/]*)$", 1).alias("src_file"),
-                      F.posexplode(F.split(text, r"\r?\n")).alias("src_pos", "line")) \
-        .withColumn("src_pos", F.col("src_pos").cast("long"))
+    return df.select(file_path().alias("src_file"), position(spark, paths).alias("src_pos"), "line")
 
 
 def _strip(c: Column) -> Column:
     return F.regexp_replace(c, WS_EDGES, "")
 
 
-def values_body(line: Column) -> Column:
-    """Text inside the outer brackets of a VALUES line, else NULL."""
-    s = _strip(line)
-    part = F.regexp_replace(_strip(F.substring(s, 7, 1 << 30)), r"^;+|;+$", "")
-    start = F.instr(part, "(")
-    rpos = F.instr(F.reverse(part), ")")
-    end = F.when(rpos > 0, F.length(part) - rpos + 1).otherwise(F.lit(0))
-    body = F.substring(part, start + 1, end - start - 1)
-    ok = F.upper(s).startswith("VALUES") & (start > 0) & (end > start) & (_strip(body) != "")
-    return F.when(ok, body)
+# VALUES in any case, then everything from the first bracket to the last one.
+VALUES_LINE = r"(?is)^\s*VALUES[^(]*\((.*)\)[^)]*$"
 
 
 def tokens(line: Column) -> Column:
-    """Array of values of a VALUES line (NULL when the line is not one)."""
-    body = values_body(line)
+    """Array of values of a VALUES line (NULL when the line is not one).  One
+    expression per step, each read once: the optimizer copies what is read
+    twice."""
+    body = F.nullif(_strip(F.regexp_extract(line, VALUES_LINE, 1)), F.lit(""))
     raw = F.regexp_extract_all(body, F.lit(TOKEN), 0)
     kept = F.filter(F.transform(raw, lambda t: _strip(t)), lambda t: t != "")
-    return F.transform(kept, lambda t: F.when(F.upper(t) == "NULL", F.lit(None).cast("string"))
-                       .when(t.startswith("'") & t.endswith("'"),
-                             F.substring(t, 2, F.greatest(F.length(t) - 2, F.lit(0))))
-                       .otherwise(t))
+    return F.transform(kept, lambda t: F.when(F.upper(t) != "NULL", F.when(
+        t.startswith("'") & t.endswith("'"), F.substring(t, 2, F.greatest(F.length(t) - 2, F.lit(0)))).otherwise(t)))
 
 
 def parse_dump(lines: DataFrame) -> DataFrame:
-    """``(src_file, src_pos, vals)`` for every VALUES line."""
-    return (lines.select("src_file", "src_pos", tokens(F.col("line")).alias("vals"))
-            .where(F.col("vals").isNotNull()))
+    """``(src_file, src_pos, vals)`` for every VALUES line.  The explode (of
+    one array or none) keeps the tokeniser in one place: the optimizer would
+    copy a plain expression into every column read from it."""
+    found = F.filter(F.array(tokens(F.col("line"))), lambda v: v.isNotNull())
+    return lines.select("src_file", "src_pos", F.explode(found).alias("vals"))
 
 
 def _take(vals: Column, names: Sequence[str], start: int = 1) -> list[Column]:
     return [F.get(vals, i + start - 1).alias(n) for i, n in enumerate(names)]
 
 
-def order_rows(parsed: DataFrame, layout: int = 13) -> DataFrame:
-    """Orders in the 13-column shape.  An 11-column extract gets NULL
-    ``line_amount`` and ``channel_name2``; short rows drop, long rows are cut."""
-    names = ORDER_COLS_11 if layout == 11 else ORDER_COLS_13
-    rows = parsed.where(F.size("vals") >= len(names))
-    out = rows.select(*_take(F.col("vals"), names), "src_file", "src_pos")
-    if layout == 11:
-        out = out.withColumn("line_amount", F.lit(None).cast("string")) \
-                 .withColumn("channel_name2", F.lit(None).cast("string"))
-    return out.select(*ORDER_COLS_13, "src_file", "src_pos")
+def file_layouts(parsed: DataFrame) -> DataFrame:
+    """Per file, its order layout: 13 when at least as many rows have 13 or
+    more values as have 11 or 12, else 11."""
+    n = F.size("vals")
+    late, early = F.count_if(n >= 13), F.count_if((n >= 11) & (n < 13))
+    return parsed.groupBy("src_file").agg(F.when(late >= early, 13).otherwise(11).alias("layout"))
 
 
-def order_rows_auto(parsed: DataFrame) -> DataFrame:
-    """Orders whose layout is decided per row: 13 or more values -> the
-    13-column layout (cut to 13), 11 or 12 -> the 11-column layout (cut to
-    11, ``line_amount`` and ``channel_name2`` NULL), fewer -> dropped.  Lets
-    the early and late extracts be read in one pass."""
-    v = F.col("vals")
-    n = F.size(v)
-    late = n >= 13
+def with_layout(parsed: DataFrame, layout: int | None = None) -> DataFrame:
+    """Rows with their file's layout: given, or found by :func:`file_layouts`."""
+    if layout is not None:
+        return parsed.withColumn("layout", F.lit(layout))
+    return parsed.join(file_layouts(parsed), "src_file")
+
+
+def order_rows(parsed: DataFrame, layout: int | None = None) -> DataFrame:
+    """Orders in the 13-column shape, by each file's layout.  An 11-column file
+    gets NULL ``line_amount`` and ``channel_name2``; long rows are cut; short
+    rows are left to :func:`rejected_rows`."""
+    v, late = F.col("vals"), F.col("layout") == 13
     cols = []
     for name in ORDER_COLS_13:
-        c13 = F.get(v, ORDER_COLS_13.index(name))
+        c = F.when(late, F.get(v, ORDER_COLS_13.index(name)))
         if name in ORDER_COLS_11:
-            cols.append(F.when(late, c13).otherwise(F.get(v, ORDER_COLS_11.index(name))).alias(name))
-        else:
-            cols.append(F.when(late, c13).alias(name))
-    return parsed.where(n >= 11).select(*cols, "src_file", "src_pos")
+            c = c.otherwise(F.get(v, ORDER_COLS_11.index(name)))
+        cols.append(c.alias(name))
+    return with_layout(parsed, layout).where(F.size("vals") >= F.col("layout")).select(*cols, "src_file", "src_pos")
+
+
+def rejected_rows(parsed: DataFrame, leg: str) -> DataFrame:
+    """``(leg, src_file, src_pos, n_values, reason)`` of the VALUES rows that
+    are too short for their layout."""
+    need = F.col("layout") if leg == "orders" else F.lit(7)
+    rows = with_layout(parsed) if leg == "orders" else parsed
+    return rows.where(F.size("vals") < need).select(
+        F.lit(leg).alias("leg"), "src_file", "src_pos", F.size("vals").alias("n_values"),
+        F.format_string("fewer than %d values", need.cast("int")).alias("reason"))
 
 
 def delivery_rows(parsed: DataFrame) -> DataFrame:
@@ -170,26 +170,31 @@ def header_columns(lines: DataFrame) -> DataFrame:
 
 def rows_with_header(spark: SparkSession, lines: DataFrame, default: Sequence[str],
                      pad_from: int | None = None) -> DataFrame:
-    """Rows named by each file's own header line (else ``default``).  The
-    header list is metadata: one short row per file.  With ``pad_from`` an
-    11-value order row gets NULLs at position 10 and 13 first."""
-    by_header: dict[tuple, list[str]] = {}
-    for r in header_columns(lines).collect():
-        by_header.setdefault(tuple(r["columns"] or default), []).append(r["src_file"])
+    """Rows named by each file's own header line (else ``default``).
+
+    Only the distinct headers are collected (usually one or two); files meet
+    their header by a join.  With ``pad_from`` (11, orders), a row shorter than
+    its header is kept from that many values on: exactly ``pad_from`` values
+    lack the tenth and the last column, others lack what is missing at the end."""
+    headers = header_columns(lines).select("src_file", F.coalesce(
+        "columns", F.array(*[F.lit(c) for c in default])).alias("columns"))
     parsed = parse_dump(lines)
     frames = []
-    # one branch per distinct header (usually one or two), not per file
-    for names, files in by_header.items():
-        p = parsed.where(F.col("src_file").isin(*files))
-        v = F.col("vals")
-        if pad_from is not None:
-            v = F.when(F.size(v) == pad_from,
-                       F.concat(F.slice(v, 1, 9), F.array(F.lit(None).cast("string")),
-                                F.slice(v, 10, 2), F.array(F.lit(None).cast("string")))).otherwise(v)
-        p = p.select(v.alias("vals"), "src_file", "src_pos").where(F.size("vals") >= len(names))
-        frames.append(p.select(*_take(F.col("vals"), names), "src_file", "src_pos"))
+    for r in headers.select("columns").distinct().orderBy("columns").collect():
+        names = list(r["columns"])
+        files = headers.where(F.col("columns") == F.array(*[F.lit(c) for c in names])).select("src_file")
+        p = parsed.join(files, "src_file", "left_semi")
+        v, n = F.col("vals"), F.size("vals")
+        cols = [F.get(v, i).alias(c) for i, c in enumerate(names)]
+        keep = n >= len(names)
+        if pad_from is not None and len(names) > pad_from:
+            # the value each place takes in a row of exactly pad_from values
+            moved = [F.get(v, i if i < 9 else i - 1) if i != 9 and i <= pad_from else F.lit(None).cast("string") for i in range(len(names))]
+            cols = [F.when(n == pad_from, m).otherwise(F.get(v, i)).alias(c) for i, (c, m) in enumerate(zip(names, moved))]
+            keep = n >= pad_from
+        frames.append(p.where(keep).select(*cols, "src_file", "src_pos"))
     if not frames:
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in default) + ", src_file string, src_pos long")
+        return lines.where(F.lit(False)).select(*[F.lit(None).cast("string").alias(c) for c in default], "src_file", "src_pos")
     out = frames[0]
     for fr in frames[1:]:
         out = out.unionByName(fr, allowMissingColumns=True)

@@ -8,13 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from trimatch.session import checkpoint_dir
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+from trimatch.sources.files import exists
 
 
 def stage_path(spark: SparkSession, name: str, base: str | None = None) -> str:
@@ -25,9 +19,11 @@ def stage(spark: SparkSession, name: str, builder: Callable[[], DataFrame],
           base: str | None = None, partition_by: Sequence[str] = (), refresh: bool = False) -> DataFrame:
     """Read the staged table ``name`` if it was written completely, else build,
     write (Parquet, optionally partitioned, e.g. by month) and read it back.
+    ``name`` must say what the table was built from (see
+    :func:`trimatch.sources.files.inputs_digest`).
     The read-back cuts the lineage, so later jobs never re-parse sources."""
     path = stage_path(spark, name, base)
-    if refresh or not _exists(spark, path):
+    if refresh or not exists(spark, f"{path}/_SUCCESS"):
         w = builder().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -36,14 +32,15 @@ def stage(spark: SparkSession, name: str, builder: Callable[[], DataFrame],
 
 
 def by_period(df: DataFrame, date_col: str) -> DataFrame:
-    """Add the ``period_year`` partition column (year of the business date)
-    and cluster rows by it, so each year is a directory of few files."""
+    """Add the ``period_year`` partition column (year of the business date).
+    Rows are rebalanced by it: each year becomes a directory of few files, and
+    AQE splits a year that is too large for one task."""
     from pyspark.sql import functions as F
 
     from trimatch.functions.dates import safe_timestamp
 
     ts = safe_timestamp(date_col, dtype=df.schema[date_col].dataType)
-    return df.withColumn("period_year", F.year(ts)).repartition("period_year")
+    return df.withColumn("period_year", F.year(ts)).hint("rebalance", "period_year")
 
 
 def stage_many(spark: SparkSession, builders: dict[str, Callable[[], DataFrame]],
@@ -59,8 +56,10 @@ def stage_many(spark: SparkSession, builders: dict[str, Callable[[], DataFrame]]
         return {name: f.result() for name, f in futures.items()}
 
 
-def read_back(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a written result for later analysis."""
+def read_back(spark: SparkSession, path: str, fmt: str = "parquet", null_value: str = "N/A", schema=None) -> DataFrame:
+    """Read a written result for later analysis; the NULL marker of CSV
+    reports becomes NULL again.  Without ``schema`` CSV columns are text."""
     if fmt == "csv":
-        return spark.read.option("header", True).csv(path)
+        reader = spark.read.option("header", True).option("nullValue", null_value)
+        return (reader.schema(schema) if schema is not None else reader).csv(path)
     return spark.read.parquet(path)

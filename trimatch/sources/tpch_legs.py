@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trimatch.functions.numbers import MONEY
+from trimatch.sources.dump import DELIVERY_COLS_7, DELIVERY_COLS_8, ORDER_COLS_11, ORDER_COLS_13
 
 # Fixed values of the derivation (FIXTURES.md §3).
 DMS_SEGMENTS = ("BUILDING", "MACHINERY")
@@ -44,19 +45,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition of a scan that has fewer input splits than the
-    session has cores; a scan of many files is returned as it is (no extra
-    shuffle).  Only for plain scans: counting their splits runs no job.
-    Sessions without RDD access (Spark Connect) get the scan unchanged."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API on this session: leave planning to Spark
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with the order and customer columns the legs use.
 
@@ -70,11 +58,8 @@ def base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     # The join shuffles are left to Spark (ENSURE_REQUIREMENTS), so AQE keeps
-    # its skew-join split and its broadcast-by-measured-size decisions.  Only
-    # an input that arrives in fewer splits than there are cores (a file that
-    # is a single row group) is spread round-robin first.
-    oc = spread(o).join(c, o.o_custkey == c.c_custkey)
-    li = spread(li)
+    # its skew-join split and its broadcast-by-measured-size decisions.
+    oc = o.join(c, o.o_custkey == c.c_custkey)
     b = li.join(oc, li.l_orderkey == oc.o_orderkey)
     k, p = F.col("l_orderkey"), F.col("l_partkey")
     qty = F.col("l_quantity").cast(MONEY)
@@ -224,12 +209,6 @@ def unstage_legs(sf_dir: str | None = None) -> None:
 
 # --- variant extracts -------------------------------------------------------
 
-ORDER_COLS_11 = ("platform_order_no", "main_order_no", "sale_order_no", "order_type",
-                 "order_status", "create_time", "update_time", "channel_name",
-                 "item_code", "pay_amount", "item_num")
-ORDER_COLS_13 = ORDER_COLS_11[:9] + ("line_amount", "pay_amount", "item_num", "channel_name2")
-
-
 def order_extracts(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The two order layouts: Jan-Sep with 11 columns, Oct-Dec with 13."""
     early = orders.where(F.month("create_time") <= 9).select(*ORDER_COLS_11, "src_file", "src_pos")
@@ -245,10 +224,6 @@ def monthly_invoice_extracts(invoices: DataFrame) -> tuple[DataFrame, DataFrame]
     return early, late
 
 
-DELIVERY_COLS_7 = ("business_type", "order_no", "external_order_no", "biz_time",
-                   "item_code", "item_name", "shipped_qty")
-
-
 def shifted_delivery_file(deliveries: DataFrame) -> DataFrame:
     """7-column delivery rows as two files: ``early`` (Jan-Sep) written with
     columns 2 and 5 swapped, ``late`` written correctly.  Order numbers are
@@ -294,3 +269,53 @@ INVOICE_SOURCE_HEADERS = (
 def invoice_with_source_headers(invoices: DataFrame) -> DataFrame:
     cols = [F.col(c).cast("string").alias(h) for c, h in INVOICE_SOURCE_HEADERS]
     return invoices.select(*cols, "src_pos")
+
+
+# --- legs as dump lines -------------------------------------------------------
+
+def values_lines(df: DataFrame, cols: list[str] | tuple[str, ...], names=()) -> DataFrame:
+    """``(src_file, src_pos, line)``: rows as VALUES lines of the given columns."""
+    kinds = dict(df.dtypes)
+
+    def token(c: str) -> Column:
+        v = F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kinds[c].startswith("timestamp") else F.col(c).cast("string")
+        return F.when(v.isNull(), F.lit("NULL")).otherwise(F.concat(F.lit("'"), v, F.lit("'")))
+    line = F.concat(F.lit("VALUES ("), F.concat_ws(", ", *[token(c) for c in cols]), F.lit(");"))
+    return df.select("src_file", "src_pos", line.alias("line"), *names)
+
+
+def order_dump(orders: DataFrame) -> DataFrame:
+    """The two order files as lines; every late row whose position divides by
+    101 lacks its last value."""
+    early, late = order_extracts(orders)
+    full = values_lines(late, ORDER_COLS_13)
+    short = values_lines(late.where(F.col("src_pos") % 101 == 0), ORDER_COLS_13[:12])
+    return (values_lines(early, ORDER_COLS_11)
+            .unionByName(full.where(F.col("src_pos") % 101 != 0)).unionByName(short))
+
+
+def delivery_dump(deliveries: DataFrame) -> DataFrame:
+    """Deliveries as lines: 8 values with a main order number, else 7."""
+    eight = values_lines(deliveries.where(F.col("main_no").isNotNull()), DELIVERY_COLS_8)
+    return eight.unionByName(values_lines(deliveries.where(F.col("main_no").isNull()), DELIVERY_COLS_7))
+
+
+def headed_dump(orders: DataFrame) -> DataFrame:
+    """The order files, each with its own header line: the early one names its
+    11 columns, the late one has none that names columns."""
+    spark = orders.sparkSession
+    early, late = order_extracts(orders)
+    heads = spark.createDataFrame(
+        [("orders_01_09.sql", -1, f"INSERT INTO orders ({', '.join(ORDER_COLS_11)}) VALUES"),
+         ("orders_10_12.sql", -1, "INSERT INTO orders VALUES")], "src_file string, src_pos long, line string")
+    return heads.unionByName(values_lines(early, ORDER_COLS_11)).unionByName(
+        values_lines(late, ORDER_COLS_13[:9] + ORDER_COLS_13[10:12]))
+
+
+def with_missing_keys(lg: Legs) -> Legs:
+    """The legs with some item codes and order numbers removed."""
+    def gone(col: str, n: int) -> Column:
+        return F.when(F.col("src_pos") % n != 0, F.col(col))
+    return Legs(lg.orders.withColumns({"item_code": gone("item_code", 37), "sale_order_no": gone("sale_order_no", 53)}),
+                lg.deliveries.withColumn("item_code", gone("item_code", 41)),
+                lg.invoices.withColumns({"item_code": gone("item_code", 43), "oms_order_no": gone("oms_order_no", 59)}))

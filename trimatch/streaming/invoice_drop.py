@@ -3,8 +3,9 @@
 The batch path reads the month files of a year in one go.  When extracts
 arrive one month at a time, a file-source stream with ``availableNow`` picks
 up only files it has not seen (tracked in the checkpoint), tags each row with
-its file, and appends to the staged Parquet table the reconciliation reads.
-Restarting after a failure resumes from the checkpoint; nothing is read twice.
+its file, and appends to a staged Parquet table.  :func:`staged_invoices` reads
+that table for the reconciliation: positions by month and place, headers
+resolved.  Restarting after a failure resumes from the checkpoint; nothing is read twice.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from trimatch.operators.resolve import resolve_invoice_columns
 from trimatch.session import checkpoint_dir
 
 
@@ -30,3 +32,11 @@ def stage_invoice_stream(spark: SparkSession, source_dir: str, schema: StructTyp
     return (tagged.writeStream.format("parquet").option("checkpointLocation", ckpt)
             .partitionBy("src_month").outputMode("append").trigger(availableNow=True)
             .start(staged_path))
+
+
+def staged_invoices(spark: SparkSession, staged_path: str, profile: str = "OMS"):
+    """The staged months as the invoice leg: earlier months come first."""
+    df = spark.read.parquet(staged_path)
+    place = F.struct(F.col("src_month").cast("string").alias("month"), F.col("src_file").alias("file"),
+                     F.col("_metadata.file_path").alias("part"), F.monotonically_increasing_id().alias("row"))
+    return resolve_invoice_columns(df.withColumn("src_pos", place).drop("src_month"), profile)
