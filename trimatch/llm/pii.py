@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import table, text_buffer
+from .common import row_slices, table, text_buffer
 
 KEY = b"trimatch demonstration key"
 ROUNDS = 8
@@ -253,7 +253,7 @@ def pseudonymize(docs: DataFrame, key: bytes = KEY, text_col: str = "text", span
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = Pseudonymizer(key)
-        for b in batches:
+        for b in row_slices(batches):
             col = b.column(at)
             buf, offs = text_buffer(col)
             digit = np.concatenate([[0], np.cumsum((buf >= 48) & (buf <= 57))])
