@@ -3,6 +3,7 @@
 import pytest
 
 from oracle_harness import compare, duck
+from trimatch.plans.oracles import ORACLES
 from trimatch.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +22,8 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_contract(spark):
     import __spark_entry__ as e
-    assert set(e.queries()) == set(e.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(e.queries()) and set(ORACLES) <= set(e.oracle_sql()) <= set(e.queries())
     df = e.entry(spark)
     rows = {r["category"]: r["n_rows"] for r in df.collect()}
     assert rows["全部数据"] == 2115
