@@ -8,10 +8,10 @@ brings the context of all windows that its position stands for.
 
 Groups: a prefix of ``PREFIX`` words normally makes a group small enough for
 memory, and one task holds many groups.  A prefix with more than ``GROUP``
-occurrences is lengthened to the full width: its suffixes are spread by their
-first ``width`` words, and the smallest document of each is found by an
-ordinary aggregation, so a passage that a third of all documents share is
-combined before it is shuffled.
+occurrences is lengthened to the full width: equal contexts are combined
+first (by partial aggregation, before the shuffle), then the suffixes of the
+different ones are spread by their first ``width`` words and the smallest
+document of each is found by an ordinary aggregation.
 
 Subtrees: the suffixes of a group are ranked by prefix doubling over exact
 word numbers (depths 1, 2, 4, .. width), which gives the suffix tree's
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,21 +120,39 @@ def _context_batch(out: tuple[list, ...]) -> pa.RecordBatch:
 
 
 def _full_width(width: int):
-    """One row for each window of a frequent prefix: 128 bits of its words."""
+    """One row for each occurrence of a frequent prefix: 128 bits of the words
+    of each of its windows, and of its whole context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in row_slices(batches, 100):
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             for doc_id, z, found in zip(*(b.column(c) for c in ("doc_id", "z", "at")), strict=True):
                 text = unpack.decompress(z.as_py())
                 buf, offs = text_buffer(pa.array([text], pa.binary()).cast(pa.string()))
                 starts, ends, _ = words(buf, offs)
                 h = word_hashes(buf, starts, ends)
-                s = np.concatenate([np.arange(a["lo"], a["lo"] + a["n"]) for a in found.as_py()])
-                one, two = grams(h, width)[s], grams(h, width, second=True)[s]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                    pa.array(np.full(len(s), doc_id.as_py(), np.int64)), pa.array(s.astype(np.int32))],
-                    names=["w1", "w2", "doc_id", "lo"])
+                one, two = grams(h, width).view(np.int64), grams(h, width, second=True).view(np.int64)
+                for a in found.as_py():
+                    s = slice(a["lo"], a["lo"] + a["n"])
+                    key = np.frombuffer(xxhash.xxh3_128_digest(one[s].tobytes() + two[s].tobytes()), np.int64)
+                    for col, v in zip(out, (doc_id.as_py(), a["lo"], int(key[0]), int(key[1]), one[s], two[s]), strict=True):
+                        col.append(v)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+                                             names=["doc_id", "lo", "c1", "c2", "w1", "w2"])
+    return run
+
+
+def _covered(width: int):
+    """Word ranges of an occurrence whose windows start in an earlier document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            least = b.column("least")
+            n = np.diff(least.offsets.to_numpy())
+            row = np.repeat(np.arange(b.num_rows), n)
+            within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            doc, lo = b.column("doc_id").to_numpy(), b.column("lo").to_numpy()
+            yield _merged(doc, lo, row, within, least.flatten().to_numpy() < doc[row], width)
     return run
 
 
@@ -165,13 +184,7 @@ def _subtrees(width: int, tree_words: int):
         at = node[first[row] + within]
         least = np.full(int(at.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, at, doc[row])
-        gone = least[at] < doc[row]
-        r, s = row[gone], within[gone]
-        new = np.ones(len(r), bool)
-        new[1:] = (r[1:] != r[:-1]) | (s[1:] != s[:-1] + 1)
-        begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(r)) - 1
-        return _ranges(doc[r[begin]], lo[r[begin]] + s[begin], lo[r[begin]] + s[end] + width) if len(r) else _ranges(*[np.zeros(0, np.int64)] * 3)
+        return _merged(doc, lo, row, within, least[at] < doc[row], width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -202,6 +215,17 @@ def _subtrees(width: int, tree_words: int):
     return run
 
 
+def _merged(doc: np.ndarray, lo: np.ndarray, row: np.ndarray, within: np.ndarray, gone: np.ndarray, width: int) -> pa.RecordBatch:
+    """One range for each run of windows that go; ``row`` and ``within`` say
+    whose window and which."""
+    r, s = row[gone], within[gone]
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (s[1:] != s[:-1] + 1)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(r)) - 1 if len(r) else begin
+    return _ranges(doc[r[begin]], lo[r[begin]] + s[begin], lo[r[begin]] + s[end] + width)
+
+
 def _ranges(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc.astype(np.int64)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
                                       names=["doc_id", "lo", "hi"])
@@ -228,9 +252,16 @@ def repeated_ranges(rows: DataFrame, packed: DataFrame, width: int = WIDTH, pref
     short = (with_text(False).mapInArrow(_contexts(width), "h long, doc_id long, lo int, n int, ctx binary")
              .repartition("h").sortWithinPartitions("h")
              .mapInArrow(_subtrees(width, TREE_WORDS), "doc_id long, lo int, hi int"))
-    wide = staged(with_text(True).mapInArrow(_full_width(width), "w1 long, w2 long, doc_id long, lo int"), "full-width")
-    least = wide.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
-    full = wide.join(least, ["w1", "w2"]).filter("first < doc_id").select("doc_id", "lo", (F.col("lo") + width).cast("int").alias("hi"))
+    # a frequent prefix: equal contexts are combined before anything else, and
+    # windows are compared between different contexts only
+    wide = staged(with_text(True).mapInArrow(_full_width(width), "doc_id long, lo int, c1 long, c2 long, w1 array<long>, w2 array<long>"), "full-width")
+    contexts = staged(wide.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"), F.first("w1").alias("w1"), F.first("w2").alias("w2")), "contexts")
+    window = contexts.select("c1", "c2", "first", F.posexplode(F.arrays_zip("w1", "w2")).alias("i", "w")).select("c1", "c2", "first", "i", "w.w1", "w.w2")
+    least = window.groupBy("w1", "w2").agg(F.min("first").alias("least"))
+    by_context = window.join(least, ["w1", "w2"]).groupBy("c1", "c2").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "least"))), lambda x: x["least"]).alias("least"))
+    full = wide.select("doc_id", "lo", "c1", "c2").join(by_context, ["c1", "c2"]).select("doc_id", "lo", "least") \
+        .mapInArrow(_covered(width), "doc_id long, lo int, hi int")
     return short.unionByName(full)
 
 
