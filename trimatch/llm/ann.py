@@ -10,8 +10,8 @@ all rows, and the visits are widened until their recall reaches ``recall``.
 
 Leaves of more than ``cell_rows`` vectors are split into cells by a hash of
 the id, so a vector that fills a third of the table costs more cells and no
-larger task.  A query's first leaves give a score that its ``k``-th neighbour
-reaches; the other leaves give only rows that reach it too.  Scores are double
+larger task.  A query's first leaves, and the sample, give a score that its
+``k``-th neighbour reaches; the other leaves give only rows that reach it too.  Scores are double
 precision inner products of the original vectors.
 
 Edge cases: vectors that are null, empty, all zero, hold a null or non-finite
@@ -139,6 +139,19 @@ def _top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: in
     return out
 
 
+def _least(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """A score that each query's k-th neighbour reaches: its k-th best among
+    the sampled rows (less a rounding margin)."""
+    out = np.full(len(q), -np.inf)
+    for at in range(0, len(q), 64):
+        s = q[at:at + 64] @ x.T
+        s[q_ids[at:at + 64, None] == ids[None, :]] = -np.inf
+        if s.shape[1] >= k:
+            kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+            out[at:at + 64] = kth - 1e-9 * (1 + np.abs(kth))
+    return out
+
+
 def _rows(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
@@ -161,7 +174,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
     asked = valid_vectors(queries, id_col, vec_col).dropDuplicates(["vec_id"])
     by_hash = [F.xxhash64("vec_id"), "vec_id"]
     n = rows.count()
-    sample = np.array([r.v for r in rows.orderBy(*by_hash).limit(sample_rows).collect()])
+    drawn = rows.orderBy(*by_hash).limit(sample_rows).collect()
+    sample, sample_ids = np.array([r.v for r in drawn]), np.array([r.vec_id for r in drawn])
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree = Tree.fit(sample, leaf_rows * len(sample) / n)
@@ -193,8 +207,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
             for b in batches:
                 for at in range(0, b.num_rows, 256):
                     part = b.slice(at, 256)
+                    vectors = _matrix(part.column("v"))
+                    if rest:
+                        floor = np.maximum(part.column("least").to_numpy(), _least(
+                            part.column("vec_id").to_numpy(), vectors, sample_ids, sample, k))
+                        part = part.set_column(part.schema.get_field_index("least"), "least", pa.array(floor))
                     take, leaves, cell = [], [], []
-                    for i, q in enumerate(_matrix(part.column("v"))):
+                    for i, q in enumerate(vectors):
                         seen = found = 0
                         for leaf in tree.best_bins(q):
                             first = seen < FIRST_LEAVES or found <= k
@@ -225,8 +244,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
         return queries.mapInArrow(route(rest), kind + ", least double").groupBy("leaf", "cell").cogroup(
             rows.mapInArrow(place, kind).groupBy("leaf", "cell")).applyInArrow(compare, _TOP)
 
-    # the first leaves tell a score that the k-th neighbour reaches; the others
-    # give only rows that reach it too
+    # the first leaves give k rows at least; with the sample they tell a score
+    # that the k-th neighbour reaches, and the other leaves give only rows that
+    # reach it too
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     first = staged(visit(asked.withColumn("least", F.lit(float("-inf"))), False), "first-leaves")
     kth = first.withColumn("r", F.row_number().over(order)).filter(F.col("r") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
