@@ -44,7 +44,7 @@ from .common import gram_starts, grams, row_slices, staged, table, text_blocks,
 
 WIDTH = 50
 PREFIX = 18
-GROUP = 4096
+GROUP = 16384                   # contexts of one group: about 8 MB of text
 TREE_WORDS = 250_000
 _U = np.uint64
 
