@@ -145,6 +145,26 @@ def test_components_equal_all_pairs(spark, k, percent, node):
         assert sum(have[i] != want[i] for i in want) <= 0.1 * len(want)
 
 
+def variants(n, words=300):
+    """Variants linked to one original, the largest id, and hardly to one another."""
+    rng = random.Random(1)
+    base = prose(rng, words, 5000).split()
+    texts = {n: " ".join(base)}
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(words - 3), rng.randrange(5, 9)):
+            w[at] = f"e{rng.randrange(10 ** 6)}"
+        texts[i] = " ".join(w)
+    return texts
+
+
+def test_oversized_nodes_are_compared_wholly(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "ROUNDS", 0)
+    texts = variants(150)
+    got = by_id(chosen_path.near_duplicates(documents(spark, texts), node=16))
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == plain_components(texts, 3, 85)
+
+
 def test_near_duplicates_empty_null_repeated(spark):
     assert chosen_path.near_duplicates(documents(spark, [])).count() == 0
     df = documents(spark, {1: "a b c d", 2: "a b c d"})

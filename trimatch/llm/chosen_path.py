@@ -18,7 +18,9 @@ large-star and small-star steps on tables.
 
 A node that still exceeds ``NODE`` after ``ROUNDS`` rounds holds sets that
 agree on dozens of minwise tokens.  It is cut into cells that all hold the
-node's smallest id; a set linked to that one is linked to all of them.
+node's smallest id; a set linked to that one is linked to all of them.  Then
+the node is cut into blocks, and every pair of blocks is compared but for
+those whose sets are all in one component by then: no pair is left out.
 
 Edge cases: null and empty texts have an empty set and no links; a text of
 fewer words than a shingle is one shingle; a null doc_id is reported and
@@ -227,6 +229,26 @@ def components(links: DataFrame) -> DataFrame:
         state = new
 
 
+def block_pairs(rest: DataFrame, tied: DataFrame, node: int) -> DataFrame:
+    """(node, doc_id) for the members (path, doc_id) of oversized nodes: one
+    small node for each pair of blocks with sets that ``tied`` does not tie.
+    A component of half a node or more has blocks of its own, the others share
+    blocks."""
+    half = max(1, node // 2)
+    of = rest.join(tied, "doc_id", "left").select("path", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+    size = staged(of.groupBy("path", "c").agg(F.count("*").alias("m")), "sizes")
+    pool = size.filter(F.col("m") < half).groupBy("path").agg(F.sum("m").alias("p"))
+    spot = F.when(F.col("m") >= half, F.xxhash64("c", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("m") / half)))) \
+        .otherwise(F.pmod(F.xxhash64("c"), F.ceil(F.col("p") / half)))
+    block = staged(of.join(size, ["path", "c"]).join(pool, "path", "left").select(
+        "path", "doc_id", F.when(F.col("m") >= half, F.col("c")).alias("own"), spot.alias("block")), "blocks")
+    one = block.select("path", "own", "block").distinct()
+    two = one.select("path", F.col("own").alias("own2"), F.col("block").alias("block2"))
+    pairs = one.join(two, "path").filter((F.col("block") <= F.col("block2")) & ~F.coalesce(F.col("own") == F.col("own2"), F.lit(False)))
+    named = pairs.select("path", F.xxhash64("path", "block", "block2").alias("node"), F.explode(F.array("block", "block2")).alias("block"))
+    return block.join(named.distinct(), ["path", "block"]).select("node", "doc_id")
+
+
 # --- join -----------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees: int = TREES, node: int = NODE,
@@ -243,7 +265,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees:
     def nodes(p: DataFrame) -> DataFrame:
         return p.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x")).filter("n > 1")
 
-    small = []
+    small, over = [], None
     sigs = signed.select(F.col("doc_id").alias("d"), "sig").filter("d is not null")
     for level in range(ROUNDS + 1):
         size = staged(nodes(paths.distinct()), "nodes")
@@ -259,16 +281,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees:
             cell = rest.select("path", "doc_id", F.pmod(F.xxhash64("doc_id"), cells).cast("int").alias("cell"))
             lead = least.join(large, "path").select("path", "doc_id", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"))
             small.append(cell.unionByName(lead).distinct().select(F.xxhash64("path", "cell").alias("node"), "doc_id"))
+            over = rest.select("path", "doc_id")
             break
         # the largest nodes grow on; the signature of each member comes along
         paths = staged(rest.join(sigs.dropDuplicates(["d"]), F.col("doc_id") == F.col("d")).select("path", "doc_id", "sig")
                        .mapInArrow(_paths(second, DEEPER, trees), kind), "paths")
-    wanted = union_all(small).groupBy("doc_id").agg(F.collect_set("node").alias("nodes"))   # a few nodes per tree and set
     text = rows.filter("doc_id is not null").mapInArrow(_squeeze, "doc_id long, z binary")
-    links = (text.join(wanted, "doc_id").select(F.explode("nodes").alias("node"), "doc_id", "z")
-             .repartition("node").sortWithinPartitions("node", "doc_id")
-             .mapInArrow(_compare(shingle, percent), "a long, b long"))
-    found = components(links)
+
+    def compared(members: DataFrame) -> DataFrame:
+        wanted = members.groupBy("doc_id").agg(F.collect_set("node").alias("nodes"))    # a few nodes per tree and set
+        return (text.join(wanted, "doc_id").select(F.explode("nodes").alias("node"), "doc_id", "z")
+                .repartition("node").sortWithinPartitions("node", "doc_id")
+                .mapInArrow(_compare(shingle, percent), "a long, b long"))
+
+    found = components(compared(union_all(small)))
+    if over is not None:
+        more = compared(block_pairs(over, found, node))
+        found = components(found.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).unionByName(more))
     of_class = classes.select("k1", "k2", F.col("doc_id").alias("rep")).join(
         found.withColumnRenamed("doc_id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     named = signed.select("doc_id", "n_shingles", "k1", "k2")
