@@ -165,6 +165,16 @@ def test_oversized_nodes_are_compared_wholly(spark, monkeypatch):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == plain_components(texts, 3, 85)
 
 
+def test_deeper_nodes_get_more_trees(spark):
+    texts = variants(150)       # nodes of 16: all six rounds
+    got = by_id(chosen_path.near_duplicates(documents(spark, texts), node=16))
+    assert {i: r.component_id for i, r in got.items()} == {i: v[1] for i, v in plain_components(texts, 3, 85).items()}
+    for percent in (80, 85, 90):
+        for depth in (4, 13, 22):
+            trees = chosen_path.trees_for(percent, depth)
+            assert chosen_path.shared(percent, depth, trees) >= chosen_path.RECALL > chosen_path.shared(percent, depth, trees - 1)
+
+
 def test_near_duplicates_empty_null_repeated(spark):
     assert chosen_path.near_duplicates(documents(spark, [])).count() == 0
     df = documents(spark, {1: "a b c d", 2: "a b c d"})

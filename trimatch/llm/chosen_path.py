@@ -7,9 +7,11 @@ at the root and, at every node, follows the minwise tokens that the node
 selects (one, or two with probability 1/threshold - 1, so that a pair at the
 threshold keeps one common path on average).  Sets on the same path share a
 node.  Nodes of at most ``NODE`` sets are compared exhaustively on the full
-sets; larger ones branch further, in rounds.  Independent trees bring recall
-up: a pair at 0.85 shares a node of depth 4 with probability 0.64 in one
-tree, 0.9997 in eight.
+sets; larger ones branch further, in rounds.  Several trees bring recall up: a
+pair at 0.85 shares a node of depth 4 with probability 0.64 in one tree,
+0.9993 in eight, 0.9997 in ten.  Deeper nodes and lower thresholds need more
+trees for that (``trees_for``), and the sets of a node that branches further
+start in so many more: 15 in all at depth 7, 95 at depth 22.
 
 Nodes with the same members are compared once.  A node gives only the links
 that tie its verified components together, so a group of thousands of near
@@ -31,6 +33,7 @@ each reported; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +45,11 @@ from .common import gram_starts, grams, lower, mix, row_slices, staged, table, t
 
 TOKENS = 128
 TREES = 8
+RECALL = 0.9997
 DEPTH = 4
 DEEPER = 3
 ROUNDS = 6
+PATHS = 500_000     # held by a task at a time
 NODE = 1024
 _U = np.uint64
 _MULT = mix(np.arange(1, TOKENS + 1).astype(np.uint64)) | _U(1)
@@ -113,18 +118,43 @@ def grow(paths: np.ndarray, sets: np.ndarray, sig: np.ndarray, second: float, le
     return paths, sets
 
 
-def _paths(second: float, levels: int, trees: int):
+def shared(percent: int, depth: int, trees: int) -> float:
+    """Probability that a pair at the threshold shares a node of ``depth`` in
+    one of the trees.  Its common paths are a branching process: each goes on
+    by one token, or two.  All trees draw on the same tokens, of which the pair
+    agrees in more or fewer by chance."""
+    same = np.arange(TOKENS + 1) / TOKENS
+    second, lost = min(1.0, 100 / percent - 1), np.zeros(TOKENS + 1)
+    for _ in range(depth):
+        on = 1 - same + same * lost
+        lost = on * (1 - second + second * on)
+    p = percent / 100
+    chance = np.array([comb(TOKENS, m) * p ** m * (1 - p) ** (TOKENS - m) for m in range(TOKENS + 1)])
+    return 1 - float(chance @ lost ** trees)
+
+
+def trees_for(percent: int, depth: int) -> int:
+    """Trees that nodes of ``depth`` need for ``RECALL`` at the threshold."""
+    trees = 1
+    while shared(percent, depth, trees) < RECALL:
+        trees += 1
+    return trees
+
+
+def _paths(second: float, levels: int, trees: int, first: int = 0):
+    """Paths ``levels`` further; without a path, from the roots of the trees
+    after ``first`` up to ``trees``."""
+    size = int(PATHS / (1 + second) ** levels / max(1, trees - first)) + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in row_slices(batches, size):
             n = b.num_rows
-            if not n:
-                continue
             sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(n, TOKENS)
             if "path" in b.schema.names:
                 paths, sets = b.column("path").to_numpy().view(np.uint64), np.arange(n)
             else:
-                paths = np.repeat(mix(np.arange(1, trees + 1).astype(np.uint64)), n)
-                sets = np.tile(np.arange(n), trees)
+                paths = np.repeat(mix(np.arange(first + 1, trees + 1).astype(np.uint64)), n)
+                sets = np.tile(np.arange(n), trees - first)
             paths, sets = grow(paths, sets, sig, second, levels)
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), b.column("doc_id").take(pa.array(sets))],
                                              names=["path", "doc_id"])
@@ -256,6 +286,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees:
     """doc_id, n_shingles, component_id, kept: one row per document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     second = 100 / percent - 1
+    trees = max(trees, trees_for(percent, DEPTH))
     signed = staged(rows.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, k1 long, k2 long, sig binary"), "signatures")
     classes = signed.filter("k1 is not null and doc_id is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
@@ -266,7 +297,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees:
         return p.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x")).filter("n > 1")
 
     small, over = [], None
-    sigs = signed.select(F.col("doc_id").alias("d"), "sig").filter("d is not null")
+    one_sig = classes.select("doc_id", "sig")
     for level in range(ROUNDS + 1):
         size = staged(nodes(paths.distinct()), "nodes")
         few = size.filter(F.col("n") <= node).groupBy("n", "x").agg(F.min("path").alias("path"))
@@ -283,9 +314,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees:
             small.append(cell.unionByName(lead).distinct().select(F.xxhash64("path", "cell").alias("node"), "doc_id"))
             over = rest.select("path", "doc_id")
             break
-        # the largest nodes grow on; the signature of each member comes along
-        paths = staged(rest.join(sigs.dropDuplicates(["d"]), F.col("doc_id") == F.col("d")).select("path", "doc_id", "sig")
-                       .mapInArrow(_paths(second, DEEPER, trees), kind), "paths")
+        # the largest nodes grow on, and their sets in more trees, as the depth
+        # asks for; the signature of each member comes along
+        depth = DEPTH + DEEPER * (level + 1)
+        grown, first = rest.select("path", "doc_id"), trees
+        trees = max(trees, trees_for(percent, depth))
+        longer = grown.join(one_sig, "doc_id").mapInArrow(_paths(second, DEEPER, trees), kind)
+        if trees > first:
+            longer = longer.unionByName(grown.select("doc_id").distinct().join(one_sig, "doc_id")
+                                        .mapInArrow(_paths(second, depth, trees, first), kind))
+        paths = staged(longer, "paths")
     text = rows.filter("doc_id is not null").mapInArrow(_squeeze, "doc_id long, z binary")
 
     def compared(members: DataFrame) -> DataFrame:
