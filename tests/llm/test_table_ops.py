@@ -168,6 +168,14 @@ def test_invalid_numbers_stay():
     assert pii.Pseudonymizer(b"key").apply(text) == (text, [])
 
 
+def test_values_without_digits_are_replaced(spark):
+    mail, key = "john.smith@example.com", "abcdefabcdef" * 3
+    texts = {1: f"to {mail} now", 2: f"to {mail} now 7", 3: f"key {key} end", 4: f"key {key.upper()} end", 5: "no value"}
+    got = by_id(pii.pseudonymize(documents(spark, texts)))
+    assert [[x.kind for x in got[i].pii] for i in range(1, 6)] == [["email"], ["email"], ["secret"], ["secret"], []]
+    assert got[2].text == got[1].text + " 7" and mail not in got[1].text and got[5].text == "no value"
+
+
 def test_pseudonymize_table(spark):
     texts = {1: "x 4539578763621486 y", 2: None, 3: "", 4: "plain", 5: "z 4539578763621486", 6: "9 " * 20000 + "97.51.17.173"}
     df = documents(spark, texts, extra=True)
