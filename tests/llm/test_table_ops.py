@@ -168,6 +168,22 @@ def test_invalid_numbers_stay():
     assert pii.Pseudonymizer(b"key").apply(text) == (text, [])
 
 
+@pytest.mark.parametrize("text,kind,old", [
+    ("BE68539007547034 EUR", "iban", "BE68539007547034"),
+    ("pay ES91 2100 0418 4502 0005 1332 BIC now", "iban", "ES91 2100 0418 4502 0005 1332"),
+    ("BE68 5390 0754 7034 EUR TO X", "iban", "BE68 5390 0754 7034"),
+    ("ID42 4539 5787 6362 1486", "card", "4539 5787 6362 1486"),
+    ("NO42 BE68 5390 0754 7034 EUR", "iban", "BE68 5390 0754 7034"),
+])
+def test_failed_candidates_hide_nothing(text, kind, old):
+    change = pii.Pseudonymizer(b"key")
+    new, spans = change.apply(text)
+    at = text.index(old)
+    assert spans == [(at, at + len(old), kind)] and old not in new
+    assert new[:at] == text[:at] and new[at + len(old):] == text[at + len(old):]
+    assert new[at:at + len(old)] == change.apply(old)[0]
+
+
 def test_values_without_digits_are_replaced(spark):
     mail, key = "john.smith@example.com", "abcdefabcdef" * 3
     texts = {1: f"to {mail} now", 2: f"to {mail} now 7", 3: f"key {key} end", 4: f"key {key.upper()} end", 5: "no value"}

@@ -216,28 +216,42 @@ KINDS: dict[str, tuple[str, Callable[[str, bytes], str | None]]] = {
     "phone": (r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d(])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)", phone),
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
+_EACH = {k: re.compile(p) for k, (p, _) in KINDS.items()}
 
 #: Every kind has a digit, an @ or a run of hexadecimal letters.
 _SOME = re.compile(r"[\d@]|[a-f]{32}|[A-F]{32}")
 
 
+def _readings(text: str, m: re.Match) -> Iterator[tuple[str, int]]:
+    """(kind, end) of each way to read what starts at a match, in the order of
+    the kinds; an IBAN may end before any group that a blank parts."""
+    order = list(KINDS)
+    for kind in order[order.index(m.lastgroup):]:
+        own = m if kind == m.lastgroup else _EACH[kind].match(text, m.start())
+        if own:
+            yield kind, own.end()
+            if kind == "iban":
+                yield from ((kind, at) for at in range(own.end() - 1, own.start() + 13, -1) if text[at] == " ")
+
+
 class Pseudonymizer:
     def __init__(self, key: bytes) -> None:
         self.key = hashlib.blake2b(key).digest()[:32]
 
     def apply(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """New text, and (start, end, kind) of each pseudonym in it."""
-        out, spans, at, size = [], [], 0, 0
-        for m in _ANY.finditer(text):
-            kind, old = m.lastgroup, m.group()
-            new = KINDS[kind][1](old, self.key)
-            if new is None:
-                continue
-            out += [text[at:m.start()], new]
-            size += m.start() - at
-            spans.append((size, size + len(new), kind))
-            size += len(new)
-            at = m.end()
+        out, spans, at, size, pos = [], [], 0, 0, 0
+        while m := _ANY.search(text, pos):
+            pos = m.start() + 1
+            for kind, end in _readings(text, m):
+                new = KINDS[kind][1](text[m.start():end], self.key)
+                if new is not None:
+                    out += [text[at:m.start()], new]
+                    size += m.start() - at
+                    spans.append((size, size + len(new), kind))
+                    size += len(new)
+                    at = pos = end
+                    break
         return ("".join(out) + text[at:] if out else text), spans
 
 
