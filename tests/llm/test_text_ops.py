@@ -255,6 +255,19 @@ def test_proximity_finds_shuffled_items(spark):
     assert [(got[i].n_hit, got[i].n_near_items) for i in (1, 2, 3)] == [(0, 1), (0, 0), (10, 1)]
 
 
+def test_registered_proximity_query(spark, tmp_path):
+    import __spark_entry__ as entry
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    mixed = "kappa iota theta x eta zeta epsilon y delta gamma beta alpha"
+    spark.createDataFrame([("q", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    documents(spark, {1: mixed, 2: "alpha beta gamma", 3: item}).write.parquet(f"{tmp_path}/documents.parquet")
+    found = entry.queries()["op10_proximity"](spark, str(tmp_path))
+    exact = entry.queries()["op10_decontamination"](spark, str(tmp_path))
+    assert found.columns == [*exact.columns, "n_near_items"]
+    assert sorted(found.drop("n_near_items").collect()) == sorted(exact.collect())
+    assert {i: r.n_near_items for i, r in by_id(found).items()} == {1: 1, 2: 0, 3: 1}
+
+
 # --- op6 -------------------------------------------------------------------------
 
 def lm_texts():

@@ -241,10 +241,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contamination of the whole documents table by the whole benchmark:
-    exact phrases (the digest has no proximity matches)."""
+    exact phrases, with the columns of the SQL twin (``op10_proximity`` adds
+    the proximity matches)."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slack=None).drop("n_near_items")
 
 
+def op10_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op10_decontamination`` and n_near_items: items with a
+    proximity match, all words of a window within 20 words in any order."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLE = r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
