@@ -549,4 +549,12 @@ Q["dms_report"] = with_(DMS) + "SELECT c.order_no AS \"DMS订单\", c.item_code
      "invoice_minus_order_amount": "SAP-DMS订单金额", "invoice_minus_order_qty": "SAP-DMS订单数量(基本单位)",
      "invoice_minus_shipped_qty": "SAP-DMS发货数量(基本单位)"})
 
+Q["report_parts"] = with_(INV_F, OMS, f"""
+parts_c AS (SELECT {ORG_GROUP} AS org_group, * FROM oms_c),
+parts_n AS (SELECT *, (row_number() OVER (PARTITION BY org_group, category ORDER BY order_no, item_code) - 1) // 500 + 1 AS part FROM parts_c)""") + """
+SELECT org_group, category, part, COUNT(*) AS n_rows, CAST(SUM(invoice_amount) AS DOUBLE) AS invoice_amount,
+       arg_min(order_no || '|' || item_code, (order_no, item_code)) AS first_key,
+       arg_max(order_no || '|' || item_code, (order_no, item_code)) AS last_key
+FROM parts_n GROUP BY org_group, category, part"""
+
 ORACLES = Q

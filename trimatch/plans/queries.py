@@ -24,6 +24,7 @@ from trimatch.operators.filters import (channel_contains, drop_status, filter_in
                                         filter_invoice_type_text, keep_types, of_category,
                                         period_filter, route_invoices)
 from trimatch.operators.join import map_dms_to_oms, uninvoiced
+from trimatch.operators.numbering import written
 from trimatch.operators.quality import null_share
 from trimatch.operators.repair import repair_shift, shift_flags
 from trimatch.operators.resolve import resolve_invoice_columns
@@ -31,7 +32,7 @@ from trimatch.plans import ledger
 from trimatch.plans import reconcile as R
 from trimatch.plans import spec as S
 from trimatch.plans.accounting import leg_accounting
-from trimatch.plans.report import DMS_REPORT_LABELS, OMS_REPORT_LABELS, label_columns, report_columns
+from trimatch.plans.report import DMS_REPORT_LABELS, OMS_REPORT_LABELS, label_columns, report_columns, report_parts
 from trimatch.plans.spec import DMS, OMS
 from trimatch.plans.summary import (category_summary, combine_sources, flag_counts, match_coverage,
                                     nottest_breakdown, org_split_summary)
@@ -486,7 +487,18 @@ def dms_report(spark, sf_dir):
     return label_columns(report_columns(edge(_oms(spark, sf_dir, DMS, carry=True))), DMS_REPORT_LABELS)
 
 
+def report_parts_q(spark, sf_dir):
+    """Parts of 500 rows of the OMS detail: sizes and key ranges."""
+    parts = report_parts(written(_oms(spark, sf_dir, carry={"inv_sales_org"}), "match"), 500)
+    key = F.concat_ws("|", "order_no", "item_code")
+    return edge(parts.groupBy("org_group", "category", "part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("invoice_amount").cast("decimal(28,2)").alias("invoice_amount"),
+        F.min(F.struct("order_no", "item_code", key.alias("k")))["k"].alias("first_key"),
+        F.max(F.struct("order_no", "item_code", key.alias("k")))["k"].alias("last_key")))
+
+
 QUERIES: dict[str, Query] = {
+    "report_parts": report_parts_q,
     "dump_orders": dump_orders,
     "dump_rejected": dump_rejected,
     "dump_deliveries": dump_deliveries,

@@ -6,10 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trimatch.functions.codes import safe_label
 from trimatch.operators.classify import split_by_org
+from trimatch.operators.numbering import number_rows, work_path
 from trimatch.plans import spec as S
 from trimatch.plans.summary import category_summary
 from trimatch.sources.files import remove
@@ -69,49 +69,65 @@ def label_columns(result: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, null_value: str = "", mode: str = "overwrite",
-              partition_by=(), max_rows: int | None = None) -> None:
+              partition_by=()) -> None:
     w = df.write.mode(mode).option("header", True).option("nullValue", null_value)
-    if max_rows:
-        w = w.option("maxRecordsPerFile", max_rows)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
 
 
+def report_parts(result: DataFrame, max_rows: int = S.REPORT_MAX_ROWS, org_col: str = "inv_sales_org") -> DataFrame:
+    """``result`` with ``org_group`` and ``part``: inside each organisation
+    group and class the rows, by order number and item code, fill parts 1, 2, ...
+    of exactly ``max_rows`` rows; only the last may hold fewer.
+
+    ``result`` should be written rows: it is read twice.  Only classes of more
+    than ``max_rows`` rows are sorted and numbered."""
+    split = split_by_org(result, org_col)
+    where = ["org_group", "category"]
+    sizes = split.groupBy(*where).agg(F.count(F.lit(1)).alias("__rows")).select(
+        F.col("org_group").alias("__g"), F.col("category").alias("__c"), (F.col("__rows") > max_rows).alias("__cut"))
+    split = split.join(sizes, F.col("org_group").eqNullSafe(F.col("__g")) & F.col("category").eqNullSafe(F.col("__c"))).drop("__g", "__c")
+    whole = split.where(~F.col("__cut")).drop("__cut").withColumn("part", F.lit(1).cast("long"))
+    cut = number_rows(split.where("__cut").drop("__cut"), ["order_no", "item_code"], where, out="__no", unique=True)
+    return whole.unionByName(cut.withColumn("part", F.floor(F.col("__no") / max_rows) + 1).drop("__no"))
+
+
 def write_report(result: DataFrame, path: str, fmt: str = "parquet", max_rows: int = S.REPORT_MAX_ROWS,
                  org_col: str = "inv_sales_org", null_value: str = "N/A",
                  labels: dict[str, str] | None = None, legacy_total: bool = False) -> dict[str, int] | None:
-    """Classified detail partitioned by ``org_group`` and ``category`` (so each
-    organisation group's Not-test rows are a partition, not a second pass),
-    plus the class summary per group under ``path/summary``.  Files hold at
-    most ``max_rows`` rows.
-
-    The match runs once: the summary is made from three columns of the written
-    detail.  Returns the rows of each class over all groups, or None for an
-    empty result, of which nothing is left on disk."""
+    """Classified detail partitioned by ``org_group``, ``category`` and
+    ``part`` (so each organisation group's Not-test rows are a partition, not a
+    second pass), plus the class summary per group under ``path/summary``.  A
+    part is one file of exactly ``max_rows`` rows, the last of a class of fewer.
+
+    The match runs once: it is written as it comes, and parts and summary are
+    made from that copy, which goes when the report is there.  Returns the
+    rows of each class over all groups, or None for an empty result, of which
+    nothing is left on disk."""
     spark = result.sparkSession
-    r = report_columns(split_by_org(result, org_col))
-    shown = label_columns(r, labels) if labels else r
-    if fmt == "csv":
-        write_csv(shown, f"{path}/detail", null_value, partition_by=("org_group", "category"), max_rows=max_rows)
-    else:
-        (shown.write.mode("overwrite").option("maxRecordsPerFile", max_rows)
-         .partitionBy("org_group", "category").parquet(f"{path}/detail"))
-    kind = T.StructType([f for f in shown.schema.fields if f.name not in ("org_group", "category")]
-                        + [T.StructField("org_group", T.StringType()), T.StructField("category", T.StringType())])
-    amount = (labels or {}).get("invoice_amount", "invoice_amount")
-    back = spark.read.option("header", True).option("nullValue", null_value).schema(kind).format(fmt).load(f"{path}/detail")
-    written = back.select("org_group", "category", F.col(f"`{amount}`").alias("invoice_amount"))
-    summary = category_summary(written, by=("org_group",), legacy_total=legacy_total)
+    copy = work_path(spark, "match")
+    result.write.parquet(copy)
+    detail = spark.read.schema(result.schema).parquet(copy)
+    summary = category_summary(split_by_org(detail, org_col), by=("org_group",), legacy_total=legacy_total)
     rows = summary.collect()                     # a few rows for each organisation group
+    if rows:
+        parts = report_columns(report_parts(detail, max_rows, org_col))
+        where = ("org_group", "category", "part")
+        shown = (label_columns(parts, labels) if labels else parts).repartition(*where)
+        if fmt == "csv":
+            write_csv(shown, f"{path}/detail", null_value, partition_by=where)
+        else:
+            shown.write.mode("overwrite").partitionBy(*where).parquet(f"{path}/detail")
+        out = spark.createDataFrame(rows, summary.schema).coalesce(1)
+        if fmt == "csv":
+            write_csv(out, f"{path}/summary")
+        else:
+            out.write.mode("overwrite").parquet(f"{path}/summary")
+    remove(spark, copy)
     if not rows:
         remove(spark, path)
         return None
-    summary = spark.createDataFrame(rows, summary.schema).coalesce(1)
-    if fmt == "csv":
-        write_csv(summary, f"{path}/summary")
-    else:
-        summary.write.mode("overwrite").parquet(f"{path}/summary")
     counts: dict[str, int] = {}
     for x in rows:
         counts[x["category"]] = counts.get(x["category"], 0) + x["n_rows"]
