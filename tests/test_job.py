@@ -10,7 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from trimatch.plans import jobs
+from trimatch.plans import reconcile as R
 from trimatch.plans import spec as S
+from trimatch.plans.accounting import leg_accounting
 from trimatch.sources import tpch_legs as L
 
 SF = "/root/testdata/sf0.001"
@@ -97,6 +99,43 @@ def test_job_reproduces_golden_counts(spark, extracts):
         [326, 61, 35, 9, 367]
 
 
+def _rows(accounting):
+    return sorted(tuple(r) for r in accounting)
+
+
+@pytest.mark.parametrize("spec", [S.OMS, S.DMS, S.OMS.with_(map_dms_invoices=True), S.OMS.with_(period=("1997-01-01", "1998-01-01"), strict=True)])
+def test_run_observes_the_accounting(spark, spec):
+    lg = L.with_missing_keys(L.legs(spark, SF))
+    out = tempfile.mkdtemp(prefix="trimatch-observed-")
+    counts = jobs.run(spark, spec, lg.orders, lg.deliveries, lg.invoices, out)
+    want = leg_accounting(lg.orders, lg.deliveries, lg.invoices, spec).collect()
+    assert counts.observed and _rows(counts.accounting) == _rows(want)
+    assert _rows(spark.read.parquet(f"{out}/accounting").collect()) == _rows(want)
+    plain = R.reconcile(lg.orders, lg.deliveries, lg.invoices, spec)
+    got = spark.read.parquet(f"{out}/match/detail").drop("org_group", "part").select(plain.columns)
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    used = sum(r.n_rows for r in want if (r.leg, r.outcome) == ("invoices", "used"))
+    if spec.map_dms_invoices:       # here no item has several orders, so no row is multiplied
+        assert R.oms_invoices_used(lg.invoices, R.oms_filtered_orders(lg.orders, spec), spec).where(
+            "oms_order_no is not null and item_code is not null").count() == used
+        assert {r.reason for r in want if r.leg == "invoices"} >= {"mapped", "unmapped"}
+
+
+def test_a_match_without_invoices_counts_its_legs_apart(spark, mk):
+    o = mk.orders([dict(sale_order_no="DD1", item_code="1", pay_amount=1, item_num=1, external_order_no="1")])
+    counts = jobs.run(spark, S.OMS, o, mk.deliveries([]), mk.invoices([]), tempfile.mkdtemp(prefix="trimatch-none-"))
+    assert dict(counts) == {} and [(r.leg, r.outcome, r.n_rows) for r in counts.accounting] == [("orders", "used", 1)]
+
+
+def test_items_of_several_orders_are_reported(spark, mk):
+    o = mk.orders([dict(sale_order_no=f"DD{i}", item_code="7.0", external_order_no="55", order_type="oem_order") for i in (1, 2)]
+                  + [dict(sale_order_no="DD3", item_code="8", external_order_no="55")] * 2)
+    i = mk.invoices([dict(dms_order_no="55", item_code=c, amount=3) for c in ("7", "8", "9", None)])
+    spec = S.OMS.with_(map_dms_invoices=True)
+    got = {(r.outcome, r.reason): r.n_rows for r in leg_accounting(o, mk.deliveries([]), i, spec).collect() if r.leg == "invoices"}
+    assert got == {("used", "mapped to several orders"): 1, ("used", "mapped"): 1, ("filtered", "unmapped"): 1, ("set aside", "no item code"): 1}
+
+
 def test_cli_match(spark, extracts, capsys):
     d, o1, o2, d1, d2, inv_paths = extracts
     jobs.main(["match", "OMS", "--orders", o1, o2, "--deliveries", d1, d2,

@@ -16,9 +16,10 @@ class summary, uninvoiced lines, invoice scenes).
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from trimatch.operators.classify import invoice_scene
@@ -31,7 +32,7 @@ from trimatch.plans import ledger
 from trimatch.plans import reconcile as R
 from trimatch.plans.report import (DMS_REPORT_LABELS, OMS_REPORT_LABELS, write_by_label, write_csv,
                                    write_report)
-from trimatch.plans.accounting import leg_accounting, set_aside
+from trimatch.plans.accounting import ACCOUNTING, leg_accounting, observed_legs, set_aside
 from trimatch.plans.spec import DMS, DMS_PARTIAL, OMS, OMS_PARTIAL, SourceSpec
 from trimatch.plans.summary import nottest_breakdown
 from trimatch.sources import dump
@@ -80,17 +81,51 @@ def _write(df: DataFrame, path: str, fmt: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
+class RunCounts(dict):
+    """Rows of each class; ``accounting`` has where every input row went and
+    ``observed`` whether the match itself counted them."""
+    accounting: list[Row]
+    observed: bool
+
+
+def _read_again(spark: SparkSession, group: str) -> bool:
+    """Whether tasks of a job group failed or stages ran again, so that rows
+    may have been counted twice."""
+    tracker = spark.sparkContext.statusTracker()
+    for job in tracker.getJobIdsForGroup(group):
+        info = tracker.getJobInfo(job)
+        for stage in info.stageIds if info else ():
+            s = tracker.getStageInfo(stage)
+            if s and (s.currentAttemptId > 0 or s.numFailedTasks > 0):
+                return True
+    return False
+
+
 def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: DataFrame,
-        invoices: DataFrame, out: str, fmt: str = "parquet", labels: bool = False) -> dict[str, int]:
+        invoices: DataFrame, out: str, fmt: str = "parquet", labels: bool = False) -> RunCounts:
     """Reconcile and write every report; returns the class counts.  With
     ``labels`` the detail carries the original workbook headers.  Beside the
     reports: ``accounting`` (where every input row went) and ``set_aside``
-    (rows without a usable key)."""
+    (rows without a usable key).
+
+    The accounting is observed by the match while it reads the legs; it is
+    counted by jobs of its own only if stages of the match had to run again, or
+    if Spark never read a leg because nothing could match."""
     if spec.map_dms_invoices and "external_order_no" not in orders.columns:
         raise ValueError("mapping DMS invoices needs external_order_no on the orders; these extracts don't have it")
-    result = R.reconcile(orders, deliveries, invoices, spec)
+    legs, seen = observed_legs(orders, deliveries, invoices, spec)
+    result = R.reconcile(*legs, spec.with_(prefiltered=True))
     names = (OMS_REPORT_LABELS if spec.name == "OMS" else DMS_REPORT_LABELS) if labels else None
-    counts = write_report(result, f"{out}/match", fmt=fmt, labels=names, legacy_total=spec.legacy_total)
+    group = f"match-{uuid.uuid4().hex[:8]}"
+    spark.sparkContext.setJobGroup(group, f"{spec.name} match")
+    try:
+        counts = RunCounts(write_report(result, f"{out}/match", fmt=fmt, labels=names, legacy_total=spec.legacy_total) or {})
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    found = None if _read_again(spark, group) else seen.rows()
+    counts.observed = found is not None
+    counts.accounting = found if found is not None else leg_accounting(orders, deliveries, invoices, spec).collect()
     if spec.name == "OMS":
         o = R.oms_order_totals(orders, spec, carry=False)
         d = R.oms_delivery_totals(deliveries, spec, carry=False)
@@ -99,9 +134,9 @@ def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: Da
     if "invoice_type" in invoices.columns and "dms_order_no" in invoices.columns:
         flat = invoices.drop("src_pos") if fmt == "csv" else invoices
         write_by_label(invoice_scene(flat), "scene", f"{out}/scenes", fmt)
-    _write(leg_accounting(orders, deliveries, invoices, spec).coalesce(1), f"{out}/accounting", fmt)
+    _write(spark.createDataFrame(counts.accounting, ACCOUNTING).coalesce(1), f"{out}/accounting", fmt)
     _write(set_aside(orders, deliveries, invoices, spec), f"{out}/set_aside", fmt)
-    return counts or {}
+    return counts
 
 
 def ledgers(spark: SparkSession, order_paths: Sequence[str], delivery_paths: Sequence[str], out: str,

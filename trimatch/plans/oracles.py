@@ -468,6 +468,20 @@ SELECT leg, CASE WHEN reason = '' THEN 'used' WHEN reason IN ('no order number',
                  ELSE 'filtered' END AS outcome, reason, COUNT(*) AS n_rows, {d('SUM(m)', 'measure')}, 0 AS unparsed
 FROM fate GROUP BY leg, reason"""
 
+# the same rows where an invoice with a DMS number only takes the orders of that number and item
+Q["leg_accounting_mapped"] = (Q["leg_accounting"].replace("fate AS (", """xref AS (
+  SELECT external_order_no AS ext, regexp_replace(item_code, '\\.0$', '') AS item, COUNT(DISTINCT sale_order_no) AS n
+  FROM ord_k WHERE (order_status IS NULL OR order_status NOT IN ('OBSOLETE', 'CANCEL'))
+    AND order_type IN ('liquid_milk_order', 'factory_item', 'oem_order') AND external_order_no IS NOT NULL
+    AND create_time >= TIMESTAMP '1998-01-01' AND create_time < TIMESTAMP '1999-01-01'
+  GROUP BY 1, 2),
+fate AS (""", 1)
+    .replace("""THEN 'needs map'""", """THEN
+        CASE WHEN item_code IS NULL THEN 'no item code' WHEN coalesce(x.n, 0) = 0 THEN 'unmapped'
+             WHEN x.n = 1 THEN 'mapped' ELSE 'mapped to several orders' END""")
+    .replace("FROM inv_k)", "FROM inv_k LEFT JOIN xref x ON dms_order_no = x.ext AND regexp_replace(item_code, '\\.0$', '') = x.item)")
+    .replace("CASE WHEN reason = '' THEN 'used'", "CASE WHEN reason IN ('', 'mapped', 'mapped to several orders') THEN 'used'"))
+
 Q["norm_code_double"] = """SELECT CAST(l_partkey + 10000000 AS VARCHAR) AS item_code, COUNT(*) AS n_rows
 FROM lineitem GROUP BY 1"""
 

@@ -443,6 +443,12 @@ def leg_accounting_q(spark, sf_dir):
     return edge(leg_accounting(lg.orders, lg.deliveries, lg.invoices, OMS.with_(period=PERIOD_1998)))
 
 
+def leg_accounting_mapped(spark, sf_dir):
+    """The same with DMS numbers mapped to sale orders."""
+    lg = L.with_missing_keys(_legs(spark, sf_dir))
+    return edge(leg_accounting(lg.orders, lg.deliveries, lg.invoices, OMS.with_(period=PERIOD_1998, map_dms_invoices=True)))
+
+
 def norm_code_double(spark, sf_dir):
     code = F.col("l_partkey").cast("double") + F.lit(10_000_000.0)
     li = L.read_table(spark, sf_dir, "lineitem").select(code.alias("code"))
@@ -507,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "dump_ledger_totals": dump_ledger_totals,
     "first_value_two_files": first_value_two_files,
     "leg_accounting": leg_accounting_q,
+    "leg_accounting_mapped": leg_accounting_mapped,
     "norm_code_double": norm_code_double,
     "text_dates": text_dates,
     "subcent_rounding": subcent_rounding,

@@ -92,6 +92,8 @@ def _item(spec: SourceSpec, df: DataFrame, col: str = "item_code"):
 
 def oms_filtered_orders(orders: DataFrame, spec: SourceSpec = OMS) -> DataFrame:
     o = _timestamps(orders, "create_time", "update_time")
+    if spec.prefiltered:
+        return o
     o = keep_types(drop_status(o, spec.excluded_statuses), spec.kept_order_types)
     if spec.period:
         o = period_filter(o, "create_time", *spec.period)
@@ -100,7 +102,7 @@ def oms_filtered_orders(orders: DataFrame, spec: SourceSpec = OMS) -> DataFrame:
 
 def oms_filtered_deliveries(deliveries: DataFrame, spec: SourceSpec = OMS) -> DataFrame:
     d = _timestamps(deliveries, "biz_time")
-    if spec.period:
+    if spec.period and not spec.prefiltered:
         d = period_filter(d, "biz_time", *spec.period)
     return d
 
@@ -110,6 +112,8 @@ def oms_invoices_used(invoices: DataFrame, orders: DataFrame | None = None,
     """Type-filtered invoices keyed by an OMS number: direct ones, plus (when
     the spec asks and the orders carry ``external_order_no``) those mapped
     from a DMS number."""
+    if spec.prefiltered:
+        return invoices
     inv = filter_invoice_type_adaptive(invoices, "invoice_type")
     direct, to_map = route_invoices(inv)
     if spec.map_dms_invoices and orders is not None and "external_order_no" in orders.columns:
@@ -162,20 +166,20 @@ def reconcile_oms(orders: DataFrame, deliveries: DataFrame, invoices: DataFrame,
 # --- DMS --------------------------------------------------------------------
 
 def dms_order_totals(orders: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
-    o = _timestamps(channel_contains(orders), "create_time", "update_time")
+    o = _timestamps(orders if spec.prefiltered else channel_contains(orders), "create_time", "update_time")
     return aggregate_leg(o, {"order_no": F.col("platform_order_no"), "item_code": _item(spec, o)},
                          {"order_amount": "pay_amount", "order_qty": "item_num"},
                          _pick(ORDER_CARRY_DMS, carry), spec.round_before_sum)
 
 
 def dms_delivery_totals(deliveries: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
-    d = _timestamps(has_value(deliveries, "external_order_no"), "biz_time")
+    d = _timestamps(deliveries if spec.prefiltered else has_value(deliveries, "external_order_no"), "biz_time")
     return aggregate_leg(d, {"order_no": F.col("external_order_no"), "item_code": _item(spec, d)},
                          {"shipped_qty": "shipped_qty"}, _pick(DELIVERY_CARRY_DMS, carry), spec.round_before_sum)
 
 
 def dms_invoice_totals(invoices: DataFrame, spec: SourceSpec, carry=True) -> DataFrame:
-    i = has_value(filter_invoice_type_text(invoices, "invoice_type"), "dms_order_no")
+    i = invoices if spec.prefiltered else has_value(filter_invoice_type_text(invoices, "invoice_type"), "dms_order_no")
     i = _measures_or_empty(i, ("amount", "qty_sales_unit", "qty_base_unit"))
     return aggregate_leg(i, {"order_no": F.col("dms_order_no"), "item_code": _item(spec, i)},
                          {"invoice_amount": "amount", "invoice_qty_sales": "qty_sales_unit",

@@ -75,6 +75,8 @@ class SourceSpec:
                          (first non-NULL value per column) or ``"row"``
                          (the whole first row, NULLs kept).
     ``strict``           OMS: Not test when any column of the joined row is NULL.
+    ``prefiltered``      the legs hold only rows that the filters keep, with DMS
+                         numbers mapped (``accounting.observed_legs``).
     """
 
     name: str
@@ -88,6 +90,7 @@ class SourceSpec:
     legacy_total: bool = False
     invoice_first: str = "non_null"
     strict: bool = False
+    prefiltered: bool = False
     excluded_statuses: tuple[str, ...] = field(default=EXCLUDED_STATUSES)
     kept_order_types: tuple[str, ...] = field(default=KEPT_ORDER_TYPES)
 
