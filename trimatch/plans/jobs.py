@@ -18,13 +18,13 @@ from __future__ import annotations
 import argparse
 import uuid
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from trimatch.operators.classify import invoice_scene
 from trimatch.operators.join import uninvoiced
-from trimatch.operators.repair import repair_shift
 from trimatch.functions.dates import safe_timestamp
 from trimatch.operators.quality import check_schema, null_share, required_roles
 from trimatch.operators.resolve import positional, require, resolve_invoice_columns
@@ -42,21 +42,19 @@ from trimatch.sources.staging import by_period, read_back, stage_many
 
 
 def load_orders(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
-    return dump.order_rows(dump.parse_dump(dump.read_lines(spark, list(paths), charset)))
+    return dump.order_rows(dump.stage_parse(dump.read_lines(spark, list(paths), charset), "orders"))
 
 
 def load_deliveries(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
     """Deliveries with the shifted-column repair applied per file to the
     7-value rows (8-value rows carry a main order number and are not shifted)."""
-    rows = dump.delivery_rows(dump.parse_dump(dump.read_lines(spark, list(paths), charset)))
-    return repair_shift(rows).drop("layout")
+    parsed = dump.stage_parse(dump.read_lines(spark, list(paths), charset), "deliveries")
+    return dump.repaired_delivery_rows(parsed).drop("layout")
 
 
-def load_rejected(spark: SparkSession, order_paths: Sequence[str], delivery_paths: Sequence[str],
-                  charset: str = "UTF-8") -> DataFrame:
-    """VALUES rows of the dumps that are too short for their layout."""
-    return dump.rejected_rows(dump.parse_dump(dump.read_lines(spark, list(order_paths), charset)), "orders").unionByName(
-        dump.rejected_rows(dump.parse_dump(dump.read_lines(spark, list(delivery_paths), charset)), "deliveries"))
+def rejected(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """VALUES rows of the parsed dumps that are too short for their layout."""
+    return dump.rejected_rows(orders, "orders").unionByName(dump.rejected_rows(deliveries, "deliveries"))
 
 
 def load_invoices(spark: SparkSession, paths: Sequence[str], profile: str, charset: str = "UTF-8",
@@ -239,11 +237,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     skipped: list[tuple[str, str]] | None = [] if a.skip_unreadable else None
     invoices = load_invoices(spark, a.invoices, a.source, a.charset, skipped)
     digest = inputs_digest(spark, [*a.orders, *a.deliveries, *a.invoices], len(a.orders), len(a.deliveries), a.source, a.charset, skipped)
-    o, d, i = stage_inputs(spark, f"job-{a.source}-{digest}", load_orders(spark, a.orders, a.charset),
-                           load_deliveries(spark, a.deliveries, a.charset), invoices, refresh=a.refresh)
+    name = f"job-{a.source}-{digest}"
+    lines = {leg: dump.read_lines(spark, paths, a.charset) for leg, paths in (("orders", a.orders), ("deliveries", a.deliveries))}
+    parsed = stage_many(spark, {f"{name}/{leg}-tokens": partial(dump.parsed_lines, x) for leg, x in lines.items()}, refresh=a.refresh)
+    po, pd = parsed[f"{name}/orders-tokens"], parsed[f"{name}/deliveries-tokens"]
+    o, d, i = stage_inputs(spark, name, dump.order_rows(po), dump.repaired_delivery_rows(pd).drop("layout"), invoices, refresh=a.refresh)
     counts = run(spark, spec, o, d, i, a.out, a.format, labels=a.labels)
-    rejected = load_rejected(spark, a.orders, a.deliveries, a.charset)
-    _write(rejected.withColumn("src_pos", F.to_json("src_pos")), f"{a.out}/rejected", a.format)
+    _write(rejected(po, pd).withColumn("src_pos", F.to_json("src_pos")), f"{a.out}/rejected", a.format)
+    _write(dump.file_profile(po).unionByName(dump.file_profile(pd)).coalesce(1), f"{a.out}/dump_profile", a.format)
     if skipped:
         _write(spark.createDataFrame(skipped, "path string, reason string").coalesce(1), f"{a.out}/skipped", a.format)
         for path, reason in skipped:

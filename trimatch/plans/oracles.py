@@ -421,6 +421,14 @@ Q["dump_orders"] = with_() + f"""SELECT {ORD_TEXT}, {d('line_amount')}, {d('pay_
 Q["dump_rejected"] = with_() + """SELECT 'orders' AS leg, src_file, 12 AS n_values, 'fewer than 13 values' AS reason,
   COUNT(*) AS n_rows FROM ord WHERE month(create_time) > 9 AND src_pos % 101 = 0 GROUP BY src_file"""
 
+Q["dump_profile"] = with_("""
+wide AS (SELECT src_file, CASE WHEN month(create_time) <= 9 THEN 11 WHEN src_pos % 101 = 0 THEN 12 ELSE 13 END AS n, FALSE AS swapped FROM ord
+         UNION ALL SELECT CASE WHEN month(biz_time) <= 9 THEN 'early' ELSE 'late' END, 7, month(biz_time) <= 9 FROM dlv)""") + """
+SELECT src_file, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE n >= 13) AS late, COUNT(*) FILTER (WHERE n IN (11, 12)) AS early,
+  COUNT(*) FILTER (WHERE n >= 8) AS eight, COUNT(*) FILTER (WHERE n = 7) AS seven, COUNT(*) FILTER (WHERE n < 7) AS short,
+  COUNT(*) FILTER (WHERE swapped) AS digits_col2, COUNT(*) FILTER (WHERE swapped) AS dd_col5
+FROM wide GROUP BY src_file"""
+
 Q["dump_deliveries"] = with_() + f"""SELECT business_type, main_no, order_no, external_order_no, {_ts('biz_time')}, item_code,
   item_name, {d('shipped_qty')}, CASE WHEN main_no IS NULL THEN 7 ELSE 8 END AS layout, src_file, src_pos FROM dlv"""
 

@@ -389,27 +389,36 @@ def _typed(df: DataFrame, numbers=(), dates=()) -> DataFrame:
     return df.withColumns({c: safe_number(c).cast("double") for c in numbers} | {c: safe_timestamp(c) for c in dates})
 
 
+def _parsed_orders(spark, sf_dir):
+    return dump.stage_parse(L.order_dump(_legs(spark, sf_dir).orders), "orders")
+
+
 def dump_orders(spark, sf_dir):
-    parsed = dump.parse_dump(L.order_dump(_legs(spark, sf_dir).orders))
-    return edge(_typed(dump.order_rows(parsed), ("line_amount", "pay_amount", "item_num"), ("create_time", "update_time")))
+    return edge(_typed(dump.order_rows(_parsed_orders(spark, sf_dir)), ("line_amount", "pay_amount", "item_num"), ("create_time", "update_time")))
 
 
 def dump_rejected(spark, sf_dir):
-    parsed = dump.parse_dump(L.order_dump(_legs(spark, sf_dir).orders))
-    return dump.rejected_rows(parsed, "orders").groupBy("leg", "src_file", "n_values", "reason").agg(
+    return dump.rejected_rows(_parsed_orders(spark, sf_dir), "orders").groupBy("leg", "src_file", "n_values", "reason").agg(
         F.count(F.lit(1)).alias("n_rows"))
 
 
+def dump_profile(spark, sf_dir):
+    """Widths and shift marks of the order and the shifted delivery files."""
+    orders = dump.file_profile(_parsed_orders(spark, sf_dir))
+    shifted = L.shifted_delivery_file(_legs(spark, sf_dir).deliveries)
+    return orders.unionByName(dump.file_profile(dump.stage_parse(L.values_lines(shifted, dump.DELIVERY_COLS_7), "deliveries")))
+
+
 def dump_deliveries(spark, sf_dir):
-    rows = dump.delivery_rows(dump.parse_dump(L.delivery_dump(_legs(spark, sf_dir).deliveries)))
-    return edge(_typed(rows, ("shipped_qty",), ("biz_time",)))
+    parsed = dump.stage_parse(L.delivery_dump(_legs(spark, sf_dir).deliveries), "deliveries")
+    return edge(_typed(dump.delivery_rows(parsed), ("shipped_qty",), ("biz_time",)))
 
 
 def dump_repair(spark, sf_dir):
     """The shifted delivery file as dump lines, parsed and repaired."""
     shifted = L.shifted_delivery_file(_legs(spark, sf_dir).deliveries)
-    rows = dump.delivery_rows(dump.parse_dump(L.values_lines(shifted, dump.DELIVERY_COLS_7)))
-    return edge(_typed(repair_shift(rows).drop("main_no"), ("shipped_qty",), ("biz_time",)))
+    rows = dump.repaired_delivery_rows(dump.stage_parse(L.values_lines(shifted, dump.DELIVERY_COLS_7), "deliveries"))
+    return edge(_typed(rows.drop("main_no"), ("shipped_qty",), ("biz_time",)))
 
 
 def dump_with_header(spark, sf_dir):
@@ -507,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "report_parts": report_parts_q,
     "dump_orders": dump_orders,
     "dump_rejected": dump_rejected,
+    "dump_profile": dump_profile,
     "dump_deliveries": dump_deliveries,
     "dump_repair": dump_repair,
     "dump_with_header": dump_with_header,

@@ -19,11 +19,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trimatch.operators.numbering import written
+from trimatch.operators.repair import DD_PREFIX, DIGITS
 from trimatch.sources.files import file_path, position
 
-# A token: runs of quoted segments (an unterminated quote runs to the end) and
-# characters that are neither quote nor comma.
-TOKEN = r"(?:'[^']*(?:'|$)|[^',])+"
+# A token: runs of quoted segments (an unterminated quote runs to the end), of
+# characters that are neither quote nor comma nor blank, and of blanks inside it.
+TOKEN = r"(?!\s)(?:'[^']*+(?:'|\z)|[^',\s]++|\s++(?!,|\z))++"
 WS_EDGES = r"^\s+|\s+$"
 
 # Column layouts of the extracts.
@@ -70,19 +72,28 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, WS_EDGES, "")
 
 
-# VALUES in any case, then everything from the first bracket to the last one.
-VALUES_LINE = r"(?is)^\s*VALUES[^(]*\((.*)\)[^)]*$"
+# VALUES in any case, then everything from the first bracket to the last one,
+# without the blanks at its end; nothing if that is all blank.
+VALUES_LINE = r"(?is)^\s*VALUES[^(]*\((.*\S)\s*\)[^)]*\z"
+
+
+def raw_tokens(line: Column) -> Column:
+    """Array of tokens of a VALUES line as they stand, quotes included (NULL
+    when the line is not one)."""
+    body = F.nullif(F.regexp_extract(line, VALUES_LINE, 1), F.lit(""))
+    return F.regexp_extract_all(body, F.lit(TOKEN), 0)
+
+
+def token_value(t: Column) -> Column:
+    """What a token says: NULL in any case is none, one pair of outer quotes goes."""
+    null = (F.length(t) == 4) & (F.upper(t) == "NULL")
+    inner = F.substring(t, 2, F.greatest(F.length(t) - 2, F.lit(0)))
+    return F.when(~null, F.when(t.startswith("'") & t.endswith("'"), inner).otherwise(t))
 
 
 def tokens(line: Column) -> Column:
-    """Array of values of a VALUES line (NULL when the line is not one).  One
-    expression per step, each read once: the optimizer copies what is read
-    twice."""
-    body = F.nullif(_strip(F.regexp_extract(line, VALUES_LINE, 1)), F.lit(""))
-    raw = F.regexp_extract_all(body, F.lit(TOKEN), 0)
-    kept = F.filter(F.transform(raw, lambda t: _strip(t)), lambda t: t != "")
-    return F.transform(kept, lambda t: F.when(F.upper(t) != "NULL", F.when(
-        t.startswith("'") & t.endswith("'"), F.substring(t, 2, F.greatest(F.length(t) - 2, F.lit(0)))).otherwise(t)))
+    """Array of values of a VALUES line (NULL when the line is not one)."""
+    return F.transform(raw_tokens(line), token_value)
 
 
 def parse_dump(lines: DataFrame) -> DataFrame:
@@ -93,46 +104,95 @@ def parse_dump(lines: DataFrame) -> DataFrame:
     return lines.select("src_file", "src_pos", F.explode(found).alias("vals"))
 
 
-def _take(vals: Column, names: Sequence[str], start: int = 1) -> list[Column]:
-    return [F.get(vals, i + start - 1).alias(n) for i, n in enumerate(names)]
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """``(src_file, src_pos, raw, n_values, head)`` of every line: the raw
+    tokens of a VALUES line, their number, and the column list of an INSERT
+    INTO line."""
+    raw = raw_tokens(F.col("line"))
+    return lines.select("src_file", "src_pos", raw.alias("raw"), F.size(raw).alias("n_values"), _header(F.col("line")).alias("head"))
+
+
+def stage_parse(lines: DataFrame, name: str = "dump") -> DataFrame:
+    """:func:`parsed_lines`, written: lines are tokenised once, and layouts,
+    headers, the shift of a file, short rows and the rows themselves all read
+    this copy."""
+    return written(parsed_lines(lines), f"{name}-tokens")
+
+
+def _staged(rows: DataFrame) -> bool:
+    return "raw" in rows.columns
+
+
+def _count(rows: DataFrame) -> Column:
+    return F.col("n_values") if _staged(rows) else F.size("vals")
+
+
+def _value(rows: DataFrame, i: int | Column) -> Column:
+    """Value ``i`` (from 0) of a row, NULL beyond its end; staged tokens are
+    read here, so only the columns in use are."""
+    return token_value(F.get("raw", i)) if _staged(rows) else F.get("vals", i)
+
+
+def _values_rows(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("raw").isNotNull()) if _staged(rows) else rows
+
+
+def file_profile(parsed: DataFrame) -> DataFrame:
+    """One row a file: ``n_rows``, rows by width (``late`` 13 or more values,
+    ``early`` 11 or 12, ``eight`` 8 or more, ``seven``, ``short`` fewer), and of
+    the 7-value rows those with digits in column 2 and a ``DD`` number in column
+    5.  Partial counts merge, so a file may be split over any tasks."""
+    rows = _values_rows(parsed)
+    n, seven = _count(rows), _count(rows) == 7
+    return rows.groupBy("src_file").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(n >= 13).alias("late"), F.count_if((n >= 11) & (n < 13)).alias("early"),
+        F.count_if(n >= 8).alias("eight"), F.count_if(seven).alias("seven"), F.count_if(n < 7).alias("short"),
+        F.count_if(seven & _value(rows, 1).rlike(DIGITS)).alias("digits_col2"),
+        F.count_if(seven & _value(rows, 4).rlike(DD_PREFIX)).alias("dd_col5"))
 
 
 def file_layouts(parsed: DataFrame) -> DataFrame:
     """Per file, its order layout: 13 when at least as many rows have 13 or
     more values as have 11 or 12, else 11."""
-    n = F.size("vals")
-    late, early = F.count_if(n >= 13), F.count_if((n >= 11) & (n < 13))
-    return parsed.groupBy("src_file").agg(F.when(late >= early, 13).otherwise(11).alias("layout"))
+    return file_profile(parsed).select("src_file", F.when(F.col("late") >= F.col("early"), 13).otherwise(11).alias("layout"))
+
+
+def shifted_files(parsed: DataFrame, share: float = 0.5) -> DataFrame:
+    """Per file, whether columns 2 and 5 of its 7-value rows changed places."""
+    need = F.col("seven") * F.lit(share)
+    return file_profile(parsed).select("src_file", ((F.col("digits_col2") > need) & (F.col("dd_col5") > need)).alias("swapped"))
 
 
 def with_layout(parsed: DataFrame, layout: int | None = None) -> DataFrame:
     """Rows with their file's layout: given, or found by :func:`file_layouts`."""
+    rows = _values_rows(parsed)
     if layout is not None:
-        return parsed.withColumn("layout", F.lit(layout))
-    return parsed.join(file_layouts(parsed), "src_file")
+        return rows.withColumn("layout", F.lit(layout))
+    return rows.join(file_layouts(parsed), "src_file")
 
 
 def order_rows(parsed: DataFrame, layout: int | None = None) -> DataFrame:
     """Orders in the 13-column shape, by each file's layout.  An 11-column file
     gets NULL ``line_amount`` and ``channel_name2``; long rows are cut; short
     rows are left to :func:`rejected_rows`."""
-    v, late = F.col("vals"), F.col("layout") == 13
+    late = F.col("layout") == 13
     cols = []
     for name in ORDER_COLS_13:
-        c = F.when(late, F.get(v, ORDER_COLS_13.index(name)))
+        c = F.when(late, _value(parsed, ORDER_COLS_13.index(name)))
         if name in ORDER_COLS_11:
-            c = c.otherwise(F.get(v, ORDER_COLS_11.index(name)))
+            c = c.otherwise(_value(parsed, ORDER_COLS_11.index(name)))
         cols.append(c.alias(name))
-    return with_layout(parsed, layout).where(F.size("vals") >= F.col("layout")).select(*cols, "src_file", "src_pos")
+    return with_layout(parsed, layout).where(_count(parsed) >= F.col("layout")).select(*cols, "src_file", "src_pos")
 
 
 def rejected_rows(parsed: DataFrame, leg: str) -> DataFrame:
     """``(leg, src_file, src_pos, n_values, reason)`` of the VALUES rows that
     are too short for their layout."""
     need = F.col("layout") if leg == "orders" else F.lit(7)
-    rows = with_layout(parsed) if leg == "orders" else parsed
-    return rows.where(F.size("vals") < need).select(
-        F.lit(leg).alias("leg"), "src_file", "src_pos", F.size("vals").alias("n_values"),
+    rows = with_layout(parsed) if leg == "orders" else _values_rows(parsed)
+    n = _count(parsed)
+    return rows.where(n < need).select(
+        F.lit(leg).alias("leg"), "src_file", "src_pos", n.alias("n_values"),
         F.format_string("fewer than %d values", need.cast("int")).alias("reason"))
 
 
@@ -140,62 +200,77 @@ def delivery_rows(parsed: DataFrame) -> DataFrame:
     """Deliveries: 8 or more values -> 8-column layout (with ``main_no``),
     exactly 7 -> 7-column layout, fewer -> dropped.  Decided per row, so a
     file mixing both layouts is read correctly."""
-    v = F.col("vals")
-    n = F.size(v)
-    eight = n >= 8
+    eight = _count(parsed) >= 8
     cols = []
-    for name in DELIVERY_COLS_8:
-        i8 = DELIVERY_COLS_8.index(name)
-        c8 = F.get(v, i8)
+    for i, name in enumerate(DELIVERY_COLS_8):
+        c = F.when(eight, _value(parsed, i))
         if name in DELIVERY_COLS_7:
-            c7 = F.get(v, DELIVERY_COLS_7.index(name))
-            cols.append(F.when(eight, c8).otherwise(c7).alias(name))
-        else:
-            cols.append(F.when(eight, c8).alias(name))
-    return parsed.where(n >= 7).select(*cols, F.when(eight, 8).otherwise(7).alias("layout"),
-                                       "src_file", "src_pos")
+            c = c.otherwise(_value(parsed, DELIVERY_COLS_7.index(name)))
+        cols.append(c.alias(name))
+    return _values_rows(parsed).where(_count(parsed) >= 7).select(
+        *cols, F.when(eight, 8).otherwise(7).alias("layout"), "src_file", "src_pos")
+
+
+def repaired_delivery_rows(parsed: DataFrame, share: float = 0.5) -> DataFrame:
+    """:func:`delivery_rows` of a staged parse, columns 2 and 5 of 7-value rows
+    put right in every file that :func:`shifted_files` marks."""
+    rows = delivery_rows(parsed)
+    swap = F.col("swapped") & (F.col("layout") == 7)
+    return rows.join(shifted_files(parsed, share), "src_file").withColumns({
+        "order_no": F.when(swap, F.col("item_code")).otherwise(F.col("order_no")),
+        "item_code": F.when(swap, F.col("order_no")).otherwise(F.col("item_code"))}).select(rows.columns)
+
+
+def _header(line: Column) -> Column:
+    """Column list of an ``INSERT INTO t (a, b, ...)`` line, else NULL."""
+    start, end = F.instr(line, "("), F.instr(line, ")")
+    inner = F.substring(line, start + 1, end - start - 1)
+    ok = F.upper(line).contains("INSERT INTO") & (start > 1) & (end > start)
+    return F.when(ok, F.transform(F.split(inner, ","), lambda c: _strip(c)))
 
 
 def header_columns(lines: DataFrame) -> DataFrame:
     """Per file, the column list of an ``INSERT INTO t (a, b, ...)`` first
     line; NULL when the first line is not such a header."""
-    first = lines.groupBy("src_file").agg(F.min_by("line", "src_pos").alias("first_line"))
-    fl = F.col("first_line")
-    start, end = F.instr(fl, "("), F.instr(fl, ")")
-    inner = F.substring(fl, start + 1, end - start - 1)
-    cols = F.transform(F.split(inner, ","), lambda c: _strip(c))
-    ok = F.upper(fl).contains("INSERT INTO") & (start > 1) & (end > start)
-    return first.select("src_file", F.when(ok, cols).alias("columns"))
+    head = F.col("head") if _staged(lines) else _header(F.col("line"))
+    first = lines.select("src_file", "src_pos", F.struct(head.alias("columns")).alias("h")).groupBy("src_file").agg(F.min_by("h", "src_pos").alias("h"))
+    return first.select("src_file", "h.columns")
 
 
 def rows_with_header(spark: SparkSession, lines: DataFrame, default: Sequence[str],
                      pad_from: int | None = None) -> DataFrame:
-    """Rows named by each file's own header line (else ``default``).
-
-    Only the distinct headers are collected (usually one or two); files meet
-    their header by a join.  With ``pad_from`` (11, orders), a row shorter than
-    its header is kept from that many values on: exactly ``pad_from`` values
-    lack the tenth and the last column, others lack what is missing at the end."""
-    headers = header_columns(lines).select("src_file", F.coalesce(
-        "columns", F.array(*[F.lit(c) for c in default])).alias("columns"))
-    parsed = parse_dump(lines)
-    frames = []
-    for r in headers.select("columns").distinct().orderBy("columns").collect():
-        names = list(r["columns"])
-        files = headers.where(F.col("columns") == F.array(*[F.lit(c) for c in names])).select("src_file")
-        p = parsed.join(files, "src_file", "left_semi")
-        v, n = F.col("vals"), F.size("vals")
-        cols = [F.get(v, i).alias(c) for i, c in enumerate(names)]
-        keep = n >= len(names)
-        if pad_from is not None and len(names) > pad_from:
-            # the value each place takes in a row of exactly pad_from values
-            moved = [F.get(v, i if i < 9 else i - 1) if i != 9 and i <= pad_from else F.lit(None).cast("string") for i in range(len(names))]
-            cols = [F.when(n == pad_from, m).otherwise(F.get(v, i)).alias(c) for i, (c, m) in enumerate(zip(names, moved))]
-            keep = n >= pad_from
-        frames.append(p.where(keep).select(*cols, "src_file", "src_pos"))
-    if not frames:
-        return lines.where(F.lit(False)).select(*[F.lit(None).cast("string").alias(c) for c in default], "src_file", "src_pos")
-    out = frames[0]
-    for fr in frames[1:]:
-        out = out.unionByName(fr, allowMissingColumns=True)
-    return out
+    """Rows named by each file's own header line (else ``default``), in one
+    pass however many headers there are; columns that a file lacks are NULL.
+
+    The names of all headers are collected (metadata, a few lists).  Each file
+    then meets two short arrays by a join: the place of every name among its
+    values, and the place in a row of exactly ``pad_from`` values.  With
+    ``pad_from`` (11, orders), a row shorter than its header is kept from that
+    many values on: exactly ``pad_from`` values lack the tenth and the last
+    column, others lack what is missing at the end.
+
+    ``lines`` are lines or a staged parse of them (:func:`stage_parse`)."""
+    parsed = lines if _staged(lines) else stage_parse(lines)
+    heads = header_columns(parsed).select("src_file", F.coalesce("columns", F.array(*[F.lit(c) for c in default])).alias("columns"))
+    found = [tuple(r["columns"]) for r in heads.select("columns").distinct().orderBy("columns").collect()]
+    names = list(dict.fromkeys(n for columns in found for n in columns)) or list(default)
+
+    def places(short: bool) -> Column:
+        """Per header, the place of every name (-1: none)."""
+        out = F.lit(None).cast("array<int>")
+        for columns in found:
+            at = {c: i for i, c in reversed(list(enumerate(columns)))}
+            if short and len(columns) > pad_from:
+                at = {c: i if i < 9 else i - 1 for c, i in at.items() if i != 9 and i <= pad_from}
+            out = F.when(F.col("columns") == F.array(*map(F.lit, columns)), F.array(*[F.lit(at.get(n, -1)) for n in names])).otherwise(out)
+        return out
+
+    width = F.size("columns")
+    need = width if pad_from is None else F.when(width > pad_from, pad_from).otherwise(width)
+    heads = heads.select("src_file", need.alias("__need"), places(False).alias("__at"),
+                         (places(True) if pad_from is not None else F.lit(None).cast("array<int>")).alias("__short"))
+    rows = _values_rows(parsed).join(heads, "src_file").where(F.col("n_values") >= F.col("__need"))
+    at = F.col("__at") if pad_from is None else F.when(F.col("n_values") == pad_from, F.col("__short")).otherwise(F.col("__at"))
+    place = rows.withColumn("__at", at)
+    return place.select(*[token_value(F.get("raw", F.nullif(F.get("__at", i), F.lit(-1)))).alias(n) for i, n in enumerate(names)],
+                        "src_file", "src_pos")

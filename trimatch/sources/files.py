@@ -1,8 +1,9 @@
 """Where a row came from: file identity and a position that all runs agree on.
 
-A position is the struct (ordinal of the input path in the list given, block
-start inside the file, running number).  Comparing positions compares files
-first, in the order the caller listed them, then the place in the file, however
+A position is the struct (ordinal of the input path in the list given, path of
+the file if that input is a folder, block start inside the file, running
+number).  Comparing positions compares files first, in the order the caller
+listed them and by name inside a folder, then the place in the file, however
 Spark cuts and orders its splits.
 """
 
@@ -54,8 +55,14 @@ def ordinal(spark: SparkSession, paths: Sequence[str]) -> Column:
     return (F.array_position(F.transform(listed, lambda p: (here == p) | here.startswith(F.concat(p, F.lit("/")))), True) - 1).cast("int")
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def position(spark: SparkSession, paths: Sequence[str]) -> Column:
-    return F.struct(ordinal(spark, paths).alias("file_no"), F.col("_metadata.file_block_start").alias("block"),
+    inside = file_path() if any(is_folder(spark, p) for p in paths) else F.lit("")
+    return F.struct(ordinal(spark, paths).alias("file_no"), inside.alias("file"), F.col("_metadata.file_block_start").alias("block"),
                     F.monotonically_increasing_id().alias("row"))
 
 
