@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from trimatch.operators.classify import invoice_scene
+from trimatch.operators.date_forms import date_shapes, parse_dates
 from trimatch.operators.join import uninvoiced
 from trimatch.functions.dates import safe_timestamp
 from trimatch.operators.quality import check_schema, null_share, required_roles
@@ -41,6 +42,9 @@ from trimatch.sources.invoices import read_monthly_invoices
 from trimatch.sources.staging import by_period, read_back, stage_many
 
 
+ORDER_DATES, DELIVERY_DATES = ["create_time", "update_time"], ["biz_time"]
+
+
 def load_orders(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> DataFrame:
     return dump.order_rows(dump.stage_parse(dump.read_lines(spark, list(paths), charset), "orders"))
 
@@ -241,10 +245,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     lines = {leg: dump.read_lines(spark, paths, a.charset) for leg, paths in (("orders", a.orders), ("deliveries", a.deliveries))}
     parsed = stage_many(spark, {f"{name}/{leg}-tokens": partial(dump.parsed_lines, x) for leg, x in lines.items()}, refresh=a.refresh)
     po, pd = parsed[f"{name}/orders-tokens"], parsed[f"{name}/deliveries-tokens"]
-    o, d, i = stage_inputs(spark, name, dump.order_rows(po), dump.repaired_delivery_rows(pd).drop("layout"), invoices, refresh=a.refresh)
+    orders, deliveries = dump.order_rows(po), dump.repaired_delivery_rows(pd).drop("layout")
+    o, d, i = stage_inputs(spark, name, parse_dates(orders, ORDER_DATES), parse_dates(deliveries, DELIVERY_DATES), invoices, refresh=a.refresh)
     counts = run(spark, spec, o, d, i, a.out, a.format, labels=a.labels)
     _write(rejected(po, pd).withColumn("src_pos", F.to_json("src_pos")), f"{a.out}/rejected", a.format)
     _write(dump.file_profile(po).unionByName(dump.file_profile(pd)).coalesce(1), f"{a.out}/dump_profile", a.format)
+    dates = date_shapes(orders, ORDER_DATES).unionByName(date_shapes(deliveries, DELIVERY_DATES))
+    _write(dates.where("unread > 0").coalesce(1), f"{a.out}/unread_dates", a.format)
     if skipped:
         _write(spark.createDataFrame(skipped, "path string, reason string").coalesce(1), f"{a.out}/skipped", a.format)
         for path, reason in skipped:

@@ -500,6 +500,26 @@ Q["text_dates"] = with_() + """SELECT form, COUNT(*) AS n_rows, COUNT(*) FILTER
   UNION ALL SELECT 'compact', date_trunc('day', create_time) FROM ord
   UNION ALL SELECT 'day_first', NULL FROM ord) x GROUP BY form"""
 
+# the seven spellings cut an order date to the minute, the day or the month
+Q["text_dates_voted"] = with_("""
+spelled AS (
+  SELECT form, CASE WHEN form = 'month_only' THEN NULL WHEN form IN ('compact', 'day_first') THEN date_trunc('day', create_time)
+                    WHEN form = 'dot' THEN date_trunc('minute', create_time) ELSE create_time END AS t
+  FROM ord, unnest(['iso', 'dot', 'compact', 'stamp', 'day_first', 'month_first', 'month_only']) AS f(form))""") + """
+SELECT form, COUNT(*) AS n_rows, COUNT(t) AS n_read, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS earliest,
+  strftime(max(t), '%Y-%m-%d %H:%M:%S') AS latest, CAST(SUM(dayofyear(t)) AS BIGINT) AS days FROM spelled GROUP BY form"""
+
+Q["date_shapes"] = with_() + """SELECT form, 't' AS "column", shape, COUNT(create_time) AS n_rows,
+  CASE WHEN form = 'month_only' THEN COUNT(create_time) ELSE 0 END AS unread
+FROM ord, (VALUES ('iso', '9999-99-99 99:99:99'), ('dot', '9999.99.99 99:99'), ('compact', '99999999'), ('stamp', '99999999999999'),
+  ('day_first', '99-99-9999'), ('month_first', '99/99/9999 99:99:99'), ('month_only', '9999-99')) AS f(form, shape)
+GROUP BY form, shape"""
+
+Q["first_value_folder"] = with_("""
+filed AS (SELECT *, CASE WHEN src_pos % 97 = 0 THEN 1 WHEN src_pos % 7 = 0 THEN 2 ELSE 3 END * 1000000000000000000 + src_pos AS place FROM ord)""") + """
+SELECT sale_order_no AS order_no, arg_min(order_status, place) FILTER (WHERE order_status IS NOT NULL) AS first_status,
+  arg_min(item_code, place) AS first_item, COUNT(*) AS n_rows FROM filed GROUP BY sale_order_no"""
+
 Q["subcent_rounding"] = with_() + f"""SELECT order_type,
   {d('SUM(round(pay_amount + 0.004, 2))', 'rounded_lines')}, {d('round(SUM(pay_amount + 0.004), 2)', 'rounded_sum')}
 FROM ord GROUP BY order_type"""

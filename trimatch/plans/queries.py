@@ -24,7 +24,8 @@ from trimatch.operators.filters import (channel_contains, drop_status, filter_in
                                         filter_invoice_type_text, keep_types, of_category,
                                         period_filter, route_invoices)
 from trimatch.operators.join import map_dms_to_oms, uninvoiced
-from trimatch.operators.numbering import written
+from trimatch.operators.date_forms import date_shapes, parse_dates
+from trimatch.operators.numbering import work_path, written
 from trimatch.operators.quality import null_share
 from trimatch.operators.repair import repair_shift, shift_flags
 from trimatch.operators.resolve import resolve_invoice_columns
@@ -474,6 +475,41 @@ def text_dates(spark, sf_dir):
                                          F.min("ts").alias("earliest"), F.max("ts").alias("latest")))
 
 
+DATE_FORMS = {"iso": "yyyy-MM-dd HH:mm:ss", "dot": "yyyy.MM.dd HH:mm", "compact": "yyyyMMdd", "stamp": "yyyyMMddHHmmss", "day_first": "dd-MM-yyyy",
+              "month_first": "MM/dd/yyyy HH:mm:ss", "month_only": "yyyy-MM"}
+
+
+def _spelled_dates(spark, sf_dir):
+    o = _legs(spark, sf_dir).orders
+    return o.select(F.explode(F.array(*[F.struct(F.lit(k).alias("form"), F.date_format("create_time", f).alias("t"))
+                                        for k, f in DATE_FORMS.items()])).alias("x")).select("x.form", "x.t")
+
+
+def text_dates_voted(spark, sf_dir):
+    """Order dates in seven spellings, each read as most of its values ask."""
+    read = parse_dates(_spelled_dates(spark, sf_dir), ["t"], "form")
+    return edge(read.groupBy("form").agg(F.count(F.lit(1)).alias("n_rows"), F.count("t").alias("n_read"), F.min("t").alias("earliest"),
+                                         F.max("t").alias("latest"), F.sum(F.dayofyear("t")).alias("days")))
+
+
+def date_shapes_q(spark, sf_dir):
+    """The spellings met and what stays unread, by spelling."""
+    return date_shapes(_spelled_dates(spark, sf_dir), ["t"], "form")
+
+
+def first_value_folder(spark, sf_dir):
+    """First values of a folder of dumps of very different size: files by
+    name, then the place in the file."""
+    k = F.col("src_pos")
+    lines = L.values_lines(_legs(spark, sf_dir).orders, dump.ORDER_COLS_11).withColumn(
+        "f", F.when(k % 97 == 0, "01").when(k % 7 == 0, "02").otherwise("03"))
+    folder = work_path(spark, "months")
+    lines.repartition("f").sortWithinPartitions("f", "src_pos").select("f", "line").write.partitionBy("f").text(folder)
+    rows = dump.order_rows(dump.stage_parse(dump.read_lines(spark, folder), "months"), 11)
+    return rows.groupBy(F.col("sale_order_no").alias("order_no")).agg(
+        first_non_null("order_status").alias("first_status"), first_non_null("item_code").alias("first_item"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def subcent_rounding(spark, sf_dir):
     """Sums of amounts with a fraction of a cent, rounded before and after."""
     o = _legs(spark, sf_dir).orders.select("order_type", (F.col("pay_amount") + F.lit("0.004").cast("decimal(4,3)")).alias("v"))
@@ -526,6 +562,9 @@ QUERIES: dict[str, Query] = {
     "leg_accounting_mapped": leg_accounting_mapped,
     "norm_code_double": norm_code_double,
     "text_dates": text_dates,
+    "text_dates_voted": text_dates_voted,
+    "date_shapes": date_shapes_q,
+    "first_value_folder": first_value_folder,
     "subcent_rounding": subcent_rounding,
     "oms_strict_carried": oms_strict_carried,
     "column_resolution_oms": column_resolution_oms,
