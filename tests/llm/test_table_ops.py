@@ -224,6 +224,37 @@ def test_piece_encoder_equals_library(bpe):
         assert enc.encode(t) == enc.whole(t)
 
 
+def test_piece_encoder_keeps_to_what_it_knows(bpe, tmp_path):
+    """All characters in every place; tokenizers of other kinds go to the library."""
+    import json
+    enc = token_files.PieceEncoder(bpe, size=5000)
+    for c in [*range(1, 0x3100), *range(0x4E00, 0x9FA6, 50), *range(0x1F300, 0x1F700, 9)]:
+        t = f"a{chr(c)}1 {chr(c)}{chr(c)}b {chr(c)} x's{chr(c)}"
+        assert enc.encode(t) == enc.whole(t), hex(c)
+    settings = json.load(open(bpe))
+    assert enc.by_piece and token_files.splits_into_pieces(settings)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"pre_tokenizer": settings["pre_tokenizer"] | {"add_prefix_space": True}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(settings | change))
+        other = token_files.PieceEncoder(str(path))
+        assert not other.by_piece and all(other.encode(t) == other.whole(t) for t in [*ODD, "A Word a word"])
+
+
+def test_files_follow_ids_and_repeated_rows_are_each_written(spark, bpe, tmp_path):
+    rng = random.Random(19)
+    rows = [(i % 30 if i % 7 else None, prose(rng, 40), "x") for i in range(200)] + [(5, "same", "x")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, h string")
+    folder = f"file://{tmp_path}/many"
+    manifest = token_files.write_token_files(df, bpe, folder, frame_ids=300, file_ids=900)
+    assert len(manifest) > 12 and all(m["n_ids"] >= 900 or m["name"].rsplit("-", 1)[0] != n["name"].rsplit("-", 1)[0] for m, n in zip(manifest, manifest[1:]))
+    got = sorted(token_files.read_token_files(spark, folder, manifest).collect(), key=lambda r: r.start)
+    assert [r.doc_id is not None and r.doc_id for r in got] == sorted(i is not None and i for i, *_ in rows)
+    enc = token_files.PieceEncoder(bpe)
+    assert sorted(bytes(r.ids)[:-4] for r in got) == sorted(enc.whole(t) for _, t, _ in rows)
+    assert [r.start for r in got] == [0, *np.cumsum([len(r.ids) // 4 for r in got])[:-1].tolist()]
+
+
 def test_token_files_round_trip(spark, bpe, tmp_path):
     from tokenizers import Tokenizer
     rng = random.Random(9)

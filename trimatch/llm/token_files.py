@@ -14,7 +14,11 @@ writes no file; columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -36,6 +40,7 @@ SKIP_DOCS = 0x184D2A50
 CHECKSUM_FLAG = 0x80
 
 FRAME_IDS = 1 << 15
+FILE_IDS = 1 << 26
 NULL_ID = -(1 << 63)
 _DOC = np.dtype([("doc_id", "<i8"), ("frame", "<u4"), ("first", "<u4"), ("n", "<u4")])
 _SEEK = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
@@ -43,80 +48,81 @@ _SEEK = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
 # --- encoding ---------------------------------------------------------------
 
+def _letters(kind: str) -> str:
+    """Latin characters (below U+0250) of a Unicode category, for a class of a pattern."""
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c)).startswith(kind))
+
+
+def splits_into_pieces(settings: dict) -> bool:
+    """Whether a tokenizer file is a byte-level BPE whose pre-tokens follow from
+    the text alone, so that equal pre-tokens have equal ids everywhere."""
+    pre, model = settings.get("pre_tokenizer") or {}, settings["model"]
+    return (settings.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True)
+            and pre.get("use_regex", True) and model.get("type") == "BPE" and not model.get("dropout")
+            and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"))
+
+
 class PieceEncoder(dict):
     """Ids of pre-tokens, two generations of at most ``size`` entries.
 
-    A byte-level BPE never merges across the start of a white-space run, so a
-    text parts safely before a single space.  Keys are runs of Latin letters
-    with their leading space, or other runs; a piece of several runs is put
-    together from theirs.  A piece that itself touches other white space is
-    unsafe (None): its document is encoded whole.
+    The pre-tokens of a byte-level BPE are the matches of a published pattern;
+    each is encoded once while it is remembered.  The pattern's classes are
+    spelled out for Latin text; a text with other characters parts before
+    single spaces, where pre-tokens never join, and its foreign parts are
+    encoded by the library.  A text that holds an added token, and every text
+    of a tokenizer of another kind, is encoded whole.
     """
 
-    def __init__(self, path: str, size: int = 300_000) -> None:
-        import os
+    def __init__(self, path: str, size: int = 400_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tok, self.size, self.old = Tokenizer.from_file(path), size, {}
         self.model = self.tok.model
-        self.runs = regex.compile(r"\p{L}+|\p{N}+|\n|[^\s\p{L}\p{N}]+").findall
+        settings = json.loads(self.tok.to_str())
+        self.by_piece = splits_into_pieces(settings)
+        self.added = [t["content"] for t in settings.get("added_tokens") or []]
+        letter, number = _letters("L"), _letters("N")
+        # Fixed value: the published pattern of byte-level pre-tokens.
+        self.split = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+").findall
+        self.foreign = re.compile("[^\x00-\u024f]").search
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(keep)]
         self.bytes = {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.lead = self.bytes[32]
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _pretoken(self, text: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.bytes))]).tobytes()
-
-    def _keep(self, key: str, got: bytes) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
+        got = self.old.get(piece)
+        if got is None:
+            if piece.isascii() and piece.isprintable():
+                shown = piece.replace(" ", self.bytes[32])
+            else:
+                shown = piece.encode().decode("latin-1").translate(self.bytes)
+            got = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
-        self[key] = got
+        self[piece] = got
         return got
 
-    def run(self, text: str) -> bytes:
-        """One pre-token that is not a space-led run of letters; kept under a
-        key that no piece has."""
-        key = "\n " + text
-        got = self.get(key) or self.old.get(key)
-        return got if got is not None else self._keep(key, self._pretoken(text))
-
-    def __missing__(self, piece: str) -> bytes | None:
-        if piece.isalpha() and (piece.isascii() or max(piece) < "ɐ"):
-            got = self.old.get(piece)
-            if got is None:
-                got = self._pretoken(" " + piece)
-            return self._keep(piece, got)
-        stem = piece.rstrip(".,;:!?")
-        if stem is not piece and stem.isalpha() and (stem.isascii() or max(stem) < "ɐ"):
-            return self[stem] + self.run(piece[len(stem):])
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            return None
-        if "'" in piece or "<|" in piece or "\n\n" in piece or max(piece) >= "ɐ":
-            return self.whole(" " + piece)
-        if piece.split("\n") != piece.split():       # other white space inside
-            return self.whole(" " + piece)
-        first, *rest = self.runs(piece)
-        head = self[first] if first.isalpha() else self.run(" " + first)
-        return head + b"".join(map(self.run, rest))
+    def _latin(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        head, *rest = text.split(" ")
-        if not head or head[-1].isspace():
+        if not self.by_piece or any(t in text for t in self.added):
             return self.whole(text)
-        try:
-            return self.whole(head) + b"".join(map(self.__getitem__, rest))
-        except TypeError:               # an unsafe piece
+        if text.isascii() or not self.foreign(text):
+            return self._latin(text)
+        parts = text.split(" ")
+        if not all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
             return self.whole(text)
+        parts[1:] = [" " + p for p in parts[1:]]
+        return b"".join([self.whole(p) if self.foreign(p) else self._latin(p) for p in parts])
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -135,21 +141,27 @@ def _skippable(magic: int, body: bytes) -> bytes:
 
 
 class FrameWriter:
-    """Streams documents into frames; keeps one frame and the tables in memory."""
+    """Streams documents into frames; keeps one frame and the tables, 20 bytes
+    a document and 12 a frame, in memory."""
 
     def __init__(self, out, frame_ids: int = FRAME_IDS) -> None:
         self.out, self.frame_ids = out, frame_ids
         self.pack = zstandard.ZstdCompressor(level=3, write_checksum=True)
-        self.docs: list[tuple] = []
-        self.seek: list[tuple] = []
+        self.docs = {name: array(code) for name, code in (("doc_id", "q"), ("frame", "I"), ("first", "I"), ("n", "I"))}
+        self.seek = array("I")
         self.held: list[bytes] = []
-        self.n = self.total = 0
+        self.n = self.total = self.frames = 0
+
+    @property
+    def n_docs(self) -> int:
+        return len(self.docs["n"])
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         n = len(ids) // 4
         if self.n and self.n + n > self.frame_ids:
             self.flush()
-        self.docs.append((NULL_ID if doc_id is None else doc_id, len(self.seek), self.n, n))
+        for column, v in zip(self.docs.values(), (NULL_ID if doc_id is None else doc_id, self.frames, self.n, n), strict=True):
+            column.append(v)
         self.held.append(ids)
         self.n += n
         self.total += n
@@ -159,15 +171,18 @@ class FrameWriter:
             raw = b"".join(self.held)
             frame = self.pack.compress(raw)
             self.out.write(frame)
-            self.seek.append((len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
+            self.seek.extend((len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
+            self.frames += 1
             self.held, self.n = [], 0
 
     def close(self) -> None:
         self.flush()
-        body = zstandard.ZstdCompressor(level=3).compress(np.array(self.docs, _DOC).tobytes())
+        table = np.zeros(self.n_docs, _DOC)
+        for name, column in self.docs.items():
+            table[name] = np.frombuffer(column, column.typecode) if len(column) else 0
+        body = zstandard.ZstdCompressor(level=3).compress(table.tobytes())
         self.out.write(_skippable(SKIP_DOCS, body + struct.pack("<I", len(body))))
-        table = np.array(self.seek, _SEEK).tobytes()
-        self.out.write(_skippable(SKIP_SEEK, table + struct.pack("<IBI", len(self.seek), CHECKSUM_FLAG, SEEK_MAGIC)))
+        self.out.write(_skippable(SKIP_SEEK, self.seek.tobytes() + struct.pack("<IBI", self.frames, CHECKSUM_FLAG, SEEK_MAGIC)))
 
 
 class FrameReader:
@@ -216,12 +231,14 @@ def _open(uri: str):
 # --- Spark -------------------------------------------------------------------
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id",
-                      text_col: str = "text", end_id: int = 2, frame_ids: int = FRAME_IDS) -> list[dict]:
-    """Encode every text and write one file per range of ids; returns the
-    manifest, one small record per file, in id order.
+                      text_col: str = "text", end_id: int = 2, frame_ids: int = FRAME_IDS,
+                      file_ids: int = FILE_IDS) -> list[dict]:
+    """Encode every text and write files of about ``file_ids`` ids, one after
+    the other in each range of doc_id and text hash; returns the manifest, one
+    small record per file, in id order.
 
     A file gets its final name by a rename after it is complete, so a task
-    that is lost or run twice leaves the same file.  A file that was moved
+    that is lost or run twice leaves the same files.  A file that was moved
     already is overwritten with equal bytes.
     """
     spark = docs.sparkSession
@@ -230,28 +247,36 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, id_col: str
         from pyspark import TaskContext
         ctx = TaskContext.get()
         fs, base = _open(folder)
-        writer = temp = None
+        enc, end = encoder(tokenizer), struct.pack("<I", end_id)
+        writer, out, name, temp, number = None, None, "", "", 0
+
+        def close() -> pa.RecordBatch:
+            writer.close()
+            out.close()
+            fs.move(temp, f"{base}/{name}")
+            return pa.RecordBatch.from_pydict({"name": [name], "n_docs": [writer.n_docs], "n_ids": [writer.total],
+                                               "size": [fs.get_file_info(f"{base}/{name}").size]})
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if writer is not None and writer.total >= file_ids:
+                    yield close()
+                    writer, number = None, number + 1
                 if writer is None:
-                    name = f"part-{ctx.partitionId():06d}.zst"
+                    name = f"part-{ctx.partitionId():06d}-{number:06d}.zst"
                     temp = f"{base}/.{name}.{ctx.taskAttemptId()}"
                     out = fs.open_output_stream(temp, compression=None)
-                    enc, writer = encoder(tokenizer), FrameWriter(out, frame_ids)
-                    end = struct.pack("<I", end_id)
+                    writer = FrameWriter(out, frame_ids)
                 writer.add(doc_id, enc.encode(text.as_py() or "") + end)
         if writer is not None:
-            writer.close()
-            out.close()
-            fs.move(temp, f"{base}/{name}")
-            yield pa.RecordBatch.from_pydict({"name": [name], "n_docs": [len(writer.docs)], "n_ids": [writer.total],
-                                              "size": [fs.get_file_info(f"{base}/{name}").size]})
+            yield close()
 
     fs, base = _open(folder)
     fs.create_dir(base, recursive=True)
+    order = ["doc_id", "h", "text"]
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .repartitionByRange(parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-            .mapInArrow(write, "name string, n_docs long, n_ids long, size long"))
+            .withColumn("h", F.xxhash64("text")).repartitionByRange(parts(spark), "doc_id", "h").sortWithinPartitions(*order)
+            .select("doc_id", "text").mapInArrow(write, "name string, n_docs long, n_ids long, size long"))
     manifest, base_id = [], 0
     for r in sorted(rows.collect()):       # one record per file
         manifest.append(r.asDict() | {"base": base_id})
