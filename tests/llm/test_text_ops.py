@@ -136,13 +136,8 @@ def near_cases(n_base=12, copies=12):
 def test_components_equal_all_pairs(spark, k, percent, node):
     texts = near_cases()
     got = by_id(chosen_path.near_duplicates(documents(spark, texts, extra=True), k, percent, node=node))
-    want = plain_components(texts, k, percent)
-    have = {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()}
-    if node > 100:
-        assert have == want
-    else:       # tiny nodes force rounds and cells: nothing false, and hardly anything lost
-        assert all(have[i][0] == want[i][0] and have[i][1] >= want[i][1] for i in want)
-        assert sum(have[i] != want[i] for i in want) <= 0.1 * len(want)
+    # tiny nodes are tied, end in blocks of pairs or branch on
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == plain_components(texts, k, percent)
 
 
 def variants(n, words=300):

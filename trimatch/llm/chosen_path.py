@@ -18,11 +18,15 @@ that tie its verified components together, so a group of thousands of near
 copies gives thousands of links, and components follow by alternating
 large-star and small-star steps on tables.
 
-A node that still exceeds ``NODE`` after ``ROUNDS`` rounds holds sets that
-agree on dozens of minwise tokens.  It is cut into cells that all hold the
-node's smallest id; a set linked to that one is linked to all of them.  Then
-the node is cut into blocks, and every pair of blocks is compared but for
-those whose sets are all in one component by then: no pair is left out.
+Before a node over ``NODE`` branches, it is tied: cut into cells, each of
+which is compared together with the node's most central set (the one whose
+shingles are the most common in the node), so that the copies of one text fall
+into one component.  If that leaves at most ``NODE`` other sets, the node ends
+here: it is cut into blocks, and every pair of blocks is compared but for those
+whose sets are all in one component, which grows with the node and not with its
+square.  Other nodes branch, so near copies don't multiply paths.  A node that
+still exceeds ``NODE`` after ``ROUNDS`` rounds ends in the same way: no pair is
+left out.
 
 Edge cases: null and empty texts have an empty set and no links; a text of
 fewer words than a shingle is one shingle; a null doc_id is reported and
@@ -205,28 +209,47 @@ def node_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tu
     return out
 
 
+def _node_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[int, list[int], list[np.ndarray]]]:
+    """(node, ids, shingle sets) of nodes that come one after the other."""
+    unpack = zstandard.ZstdDecompressor()
+    now, ids, texts = None, [], []
+
+    def sets() -> list[np.ndarray]:
+        buf, offs = text_buffer(pa.array([unpack.decompress(t) for t in texts], pa.binary()).cast(pa.string()))
+        v, bounds = shingle_sets(buf, offs, k)
+        return [v[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    for b in batches:
+        for node, doc_id, z in zip(*(b.column(c).to_pylist() for c in ("node", "doc_id", "z")), strict=True):
+            if node != now and now is not None:
+                if len(ids) > 1:
+                    yield now, ids, sets()
+                ids, texts = [], []
+            now = node
+            ids.append(doc_id)
+            texts.append(z)
+    if len(ids) > 1:
+        yield now, ids, sets()
+
+
 def _compare(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        now, ids, texts = None, [], []
+        for _, ids, sets in _node_sets(batches, k):
+            found = node_links(np.array(ids), sets, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+    return run
 
-        def close() -> pa.RecordBatch:
-            buf, offs = text_buffer(pa.array([unpack.decompress(t) for t in texts], pa.binary()).cast(pa.string()))
-            v, bounds = shingle_sets(buf, offs, k)
-            found = node_links(np.array(ids), [v[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], percent)
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-        for b in batches:
-            for node, doc_id, z in zip(*(b.column(c).to_pylist() for c in ("node", "doc_id", "z")), strict=True):
-                if node != now and now is not None:
-                    if len(ids) > 1:
-                        yield close()
-                    ids, texts = [], []
-                now = node
-                ids.append(doc_id)
-                texts.append(z)
-        if len(ids) > 1:
-            yield close()
+
+def _central(k: int):
+    """Per node its most central set: the highest mean count of its shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, ids, sets in _node_sets(batches, k):
+            size = np.array([len(s) for s in sets])
+            _, inv, cnt = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            mean = np.add.reduceat(cnt[inv], np.cumsum(size) - size) / size / len(ids)
+            best = max(range(len(ids)), key=lambda i: (mean[i], size[i], -ids[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([ids[best]], pa.int64()), pa.array([float(mean[best])])],
+                                             names=["node", "doc_id", "mean"])
     return run
 
 
@@ -296,7 +319,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees:
     def nodes(p: DataFrame) -> DataFrame:
         return p.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x")).filter("n > 1")
 
-    small, over = [], None
+    text = rows.filter("doc_id is not null").mapInArrow(_squeeze, "doc_id long, z binary")
+
+    def dealt(members: DataFrame) -> DataFrame:
+        """The texts of (node, doc_id), one node after the other."""
+        wanted = members.groupBy("doc_id").agg(F.collect_set("node").alias("nodes"))    # a few nodes per tree and set
+        return (text.join(wanted, "doc_id").select(F.explode("nodes").alias("node"), "doc_id", "z")
+                .repartition("node").sortWithinPartitions("node", "doc_id"))
+
+    def compared(members: DataFrame) -> DataFrame:
+        return dealt(members).mapInArrow(_compare(shingle, percent), "a long, b long")
+
+    def tied(rest: DataFrame) -> DataFrame:
+        """Links inside the cells of oversized nodes (path, doc_id, n) and to
+        their most central sets."""
+        cells = F.ceil(F.col("n") / node).cast("int")
+        cell = staged(rest.select("path", "doc_id", cells.alias("cells"), F.xxhash64("path", F.pmod(F.xxhash64("doc_id"), cells).cast("int")).alias("node")), "cells")
+        hub = dealt(cell.select("node", "doc_id")).mapInArrow(_central(shingle), "node long, doc_id long, mean double")
+        place = cell.select("path", "cells", "node").distinct()
+        hub = hub.join(place, "node").groupBy("path").agg(F.max_by("doc_id", F.struct("mean", -F.col("doc_id"))).alias("doc_id"))
+        lead = place.select("path", "node").join(hub, "path")
+        return compared(cell.select("node", "doc_id").unionByName(lead.select("node", "doc_id")).distinct())
+
+    small, links, over = [], [], []
     one_sig = classes.select("doc_id", "sig")
     for level in range(ROUNDS + 1):
         size = staged(nodes(paths.distinct()), "nodes")
@@ -305,36 +350,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, trees:
         large = size.filter(F.col("n") > node)
         if large.isEmpty():
             break
-        rest = paths.distinct().join(large, "path")
-        if level == ROUNDS:
-            least = rest.groupBy("path").agg(F.min("doc_id").alias("doc_id"))
-            cells = F.ceil(F.col("n") / node).cast("int")
-            cell = rest.select("path", "doc_id", F.pmod(F.xxhash64("doc_id"), cells).cast("int").alias("cell"))
-            lead = least.join(large, "path").select("path", "doc_id", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"))
-            small.append(cell.unionByName(lead).distinct().select(F.xxhash64("path", "cell").alias("node"), "doc_id"))
-            over = rest.select("path", "doc_id")
+        # of nodes with equal members one is tied, and all branch
+        once = large.groupBy("n", "x").agg(F.min("path").alias("path"))
+        rest = staged(paths.distinct().join(once, "path").select("path", "doc_id", "n"), "rest")
+        links.append(staged(tied(rest), "ties"))
+        of = rest.join(components(links[-1]), "doc_id", "left").groupBy("path", "n", F.coalesce("component", "doc_id").alias("c")).agg(F.count("*").alias("m"))
+        most = of.groupBy("path", "n").agg(F.max("m").alias("m"))
+        ends = most if level == ROUNDS else most.filter(F.col("n") - F.col("m") <= node)
+        ends = staged(ends.select("path"), "ends")
+        over.append(rest.join(ends, "path").select("path", "doc_id"))
+        open_ = large.join(once.join(ends, "path").select("n", "x"), ["n", "x"], "left_anti").select("path")
+        grown = staged(paths.distinct().join(open_, "path"), "grown")
+        if grown.isEmpty():
             break
-        # the largest nodes grow on, and their sets in more trees, as the depth
+        # the other nodes grow on, and their sets in more trees, as the depth
         # asks for; the signature of each member comes along
-        depth = DEPTH + DEEPER * (level + 1)
-        grown, first = rest.select("path", "doc_id"), trees
+        depth, first = DEPTH + DEEPER * (level + 1), trees
         trees = max(trees, trees_for(percent, depth))
         longer = grown.join(one_sig, "doc_id").mapInArrow(_paths(second, DEEPER, trees), kind)
         if trees > first:
             longer = longer.unionByName(grown.select("doc_id").distinct().join(one_sig, "doc_id")
                                         .mapInArrow(_paths(second, depth, trees, first), kind))
         paths = staged(longer, "paths")
-    text = rows.filter("doc_id is not null").mapInArrow(_squeeze, "doc_id long, z binary")
-
-    def compared(members: DataFrame) -> DataFrame:
-        wanted = members.groupBy("doc_id").agg(F.collect_set("node").alias("nodes"))    # a few nodes per tree and set
-        return (text.join(wanted, "doc_id").select(F.explode("nodes").alias("node"), "doc_id", "z")
-                .repartition("node").sortWithinPartitions("node", "doc_id")
-                .mapInArrow(_compare(shingle, percent), "a long, b long"))
-
-    found = components(compared(union_all(small)))
-    if over is not None:
-        more = compared(block_pairs(over, found, node))
+    found = components(union_all([compared(union_all(small)), *links]))
+    if over:
+        more = compared(block_pairs(union_all(over), found, node))
         found = components(found.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).unionByName(more))
     of_class = classes.select("k1", "k2", F.col("doc_id").alias("rep")).join(
         found.withColumnRenamed("doc_id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
