@@ -242,6 +242,46 @@ def test_decontamination_empty_tables(spark):
     assert decontaminate.contamination(documents(spark, []), none).count() == 0
 
 
+@pytest.mark.parametrize("block", [2_000_000, 5, 60])
+def test_each_row_keeps_its_matches_at_any_block_size(spark, block):
+    items = [(f"q{i}", f"k{i} a{i} b{i} c{i}") for i in range(6)]
+    rows = [(1, "x k0 a0 b0 c0"), (1, "k1 a1 b1 c1 y"), (None, "k2 a2 b2 c2"), (None, "nothing at all"), (None, "k3, A3. b3 c3 k4 a4 b4 c4")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row_f"), bench, block_terms=block).collect()
+    assert sorted(((r.doc_id or 0), r.n_words, r.n_hit, r.n_items) for r in got) == [(0, 3, 0, 0), (0, 4, 4, 1), (0, 8, 8, 2), (1, 5, 4, 1), (1, 5, 4, 1)]
+
+
+def plain_near(texts, items, slack=20):
+    """Items with a window whose words all lie in some span of ``slack`` words."""
+    out = {}
+    for i, t in texts.items():
+        w, found = (t or "").lower().split(), set()
+        spans = [set(w[p:p + slack]) for p in range(len(w))]
+        for item, q in items:
+            b = q.lower().split()
+            n = min(10, len(b))
+            if any(set(b[s:s + n]) <= span for s in range(len(b) - n + 1 if n else 0) for span in spans):
+                found.add(item)
+        out[i] = len(found)
+    return out
+
+
+@pytest.mark.parametrize("block", [2_000_000, 150])
+def test_proximity_equals_plain(spark, block):
+    rng = random.Random(16)
+    items = [(f"q{i}", prose(rng, rng.randrange(1, 16), 25)) for i in range(15)]
+    texts = {i: prose(rng, rng.randrange(5, 120), 30) for i in range(40)} | {50: "", 51: None, 52: items[0][1]}
+    for i in range(60, 75):             # a window's words, shuffled and thinned out
+        w = items[i - 60][1].split()[:10]
+        w += [f"o{k}" for k in range(rng.randrange(0, 14))]
+        rng.shuffle(w)
+        texts[i] = " ".join(w)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = by_id(decontaminate.contamination(documents(spark, texts), bench, block_terms=block))
+    want = plain_near(texts, items)
+    assert {i: r.n_near_items for i, r in got.items()} == want and len(set(want.values())) > 3
+
+
 def test_proximity_finds_shuffled_items(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     mixed = "kappa iota theta x eta zeta epsilon y delta gamma beta alpha"
@@ -311,3 +351,12 @@ def test_language_model_is_a_distribution(spark):
 
 def test_language_model_empty(spark):
     assert maxent.model_scores(documents(spark, [])).count() == 0
+
+
+def test_repeated_and_null_ids_are_scored_each(spark):
+    rows = [(1, "w1 w2 w3"), (1, "w1 never seen"), (None, "w2 w2"), (None, "w2 w2"), (None, None)] + [(i, f"w{i % 9} w{i % 7} w3") for i in range(10, 40)]
+    got = maxent.model_scores(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row_i")).collect()
+    assert len(got) == len(rows)
+    mine = sorted((r.doc_id or 0, r.n_tokens) for r in got if r.doc_id in (1, None))
+    assert mine == [(0, 1), (0, 3), (0, 3), (1, 4), (1, 4)]
+    assert len({r.score for r in got if r.doc_id is None and r.n_tokens == 3}) == 1

@@ -42,6 +42,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_places(df: DataFrame, *cols: str, as_read: bool = False) -> DataFrame:
+    """``cols`` with ``row_f`` and ``row_i``, which tell all rows apart whatever
+    they hold: the file (hashed) and the row's index in it.  ``as_read`` says
+    that ``df`` is a Parquet table as it was read; else a written copy has them."""
+    df = df if as_read else staged(df.select(*cols), "rows")
+    return df.select(*cols, F.xxhash64("_metadata.file_path").alias("row_f"), F.col("_metadata.row_index").alias("row_i"))
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,13 +14,15 @@ costs more passes and no more memory.
 
 Edge cases: null or empty text has no words; a null item id takes part in
 windows and is left out of the id list; repeated items count once; an item
-of fewer words than a window is one window of all its words; empty tables
-give no matches; other columns are not read.
+of fewer words than a window is one window of all its words; rows that repeat
+a doc_id or have none are each reported; ties don't arise; empty tables give no
+matches; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NOT_WORD, list_array, lower, table, text_blocks, text_buffer, union_all, word_hashes, words
+from .common import NOT_WORD, list_array, lower, row_places, staged, table, text_blocks, text_buffer, union_all, word_hashes, words
 
 WINDOW = 10
 BLOCK_TERMS = 2_000_000
-_SCHEMA = "doc_id long, n_words long, hit_starts array<int>, hit_ends array<int>, items array<string>, near_items array<string>"
+#: Counts the words of an item; bytes lower() changes A-Z alone.
+_WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
+_SCHEMA = "row_f long, row_i long, doc_id long, n_words long, hit_starts array<int>, hit_ends array<int>, items array<string>, near_items array<string>"
 
 
 class Windows:
@@ -153,10 +157,10 @@ def _match(win: Windows, slack: int | None):
             cnt = np.bincount(owner_doc, minlength=len(n))
             local = found[:, 0] - first[owner_doc]
             yield pa.RecordBatch.from_arrays([
-                rows.column("doc_id"), pa.array(n, pa.int64()),
+                *(rows.column(c) for c in ("row_f", "row_i", "doc_id")), pa.array(n, pa.int64()),
                 list_array(local, cnt, pa.int32()), list_array(local + found[:, 1], cnt, pa.int32()),
                 _names(win.ids, pairs, len(n)), _names(win.ids, near, len(n))],
-                names=["doc_id", "n_words", "hit_starts", "hit_ends", "items", "near_items"])
+                names=["row_f", "row_i", "doc_id", "n_words", "hit_starts", "hit_ends", "items", "near_items"])
     return run
 
 
@@ -170,7 +174,7 @@ def _blocks(benchmark: DataFrame, width: int, item_col: str, item_text: str, blo
     block, size, none = [], 0, True
     for r in items.orderBy("id", "text").toLocalIterator():
         block.append((r.id, r.text))
-        size += width * len((r.text or "").split())
+        size += width * len(_WORDS((r.text or "").encode().lower()))
         if size >= block_terms:
             yield Windows(block, width)
             block, size, none = [], 0, False
@@ -183,15 +187,27 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW,
                     item_text: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
     """One row per document: word count, the occurrences of windows as word
     spans, the items they come from, and the items with a proximity match.
-    One benchmark block needs no shuffle; the rows of several are brought
-    together by document."""
+
+    One benchmark block needs no shuffle.  With more, the documents are written
+    once and each block's matches are written before the next block is built;
+    they come together by the place of their row, so repeated and null ids keep
+    a row each and the result is the same at any ``block_terms``."""
+    lists = ("hit_starts", "hit_ends", "items", "near_items")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    frames = [source.mapInArrow(_match(win, slack), _SCHEMA)
-              for win in _blocks(benchmark, width, item_col, item_text, block_terms)]
-    if len(frames) == 1:
-        return frames[0]
-    return union_all(frames).groupBy("doc_id", "n_words").agg(*(
-        F.flatten(F.collect_list(c)).alias(c) for c in ("hit_starts", "hit_ends", "items", "near_items")))
+    blocks = _blocks(benchmark, width, item_col, item_text, block_terms)
+    win, more = next(blocks), next(blocks, None)
+    if more is None:
+        nowhere = F.lit(None).cast("long")
+        return source.select(nowhere.alias("row_f"), nowhere.alias("row_i"), "*").mapInArrow(_match(win, slack), _SCHEMA).drop("row_f", "row_i")
+    rows = row_places(source, "doc_id", "text")
+    every = staged(rows.mapInArrow(_match(win, slack), _SCHEMA), "matches")
+    found = [every.select("row_f", "row_i", *lists)]
+    while more is not None:
+        part = rows.mapInArrow(_match(more, slack), _SCHEMA).select("row_f", "row_i", *lists)
+        found.append(staged(part.filter((F.size("items") > 0) | (F.size("near_items") > 0) | (F.size("hit_starts") > 0)), "matches"))
+        more = next(blocks, None)
+    merged = union_all(found).groupBy("row_f", "row_i").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in lists))
+    return every.drop(*lists).join(merged, ["row_f", "row_i"]).select("doc_id", "n_words", *lists)
 
 
 def flag_contaminated(docs: DataFrame, benchmark: DataFrame, flag: str = "contaminated", width: int = WINDOW,
@@ -203,8 +219,8 @@ def flag_contaminated(docs: DataFrame, benchmark: DataFrame, flag: str = "contam
     for win in _blocks(benchmark, width, item_col, item_text, block_terms):
         def run(batches: Iterator[pa.RecordBatch], match=_match(win, None)) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                slim = pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.int64()), b.column(text_col)],
-                                                  names=["doc_id", "text"])
+                slim = pa.RecordBatch.from_arrays([*[pa.nulls(b.num_rows, pa.int64())] * 3, b.column(text_col)],
+                                                  names=["row_f", "row_i", "doc_id", "text"])
                 hit = np.concatenate([np.diff(m.column("hit_starts").offsets.to_numpy()) > 0
                                       for m in match(iter([slim]))] or [np.zeros(0, bool)])
                 hit |= b.column(flag).to_numpy(zero_copy_only=False)
