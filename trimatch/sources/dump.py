@@ -105,36 +105,31 @@ def parse_dump(lines: DataFrame) -> DataFrame:
 
 
 def parsed_lines(lines: DataFrame) -> DataFrame:
-    """``(src_file, src_pos, raw, n_values, head)`` of every line: the raw
-    tokens of a VALUES line, their number, and the column list of an INSERT
-    INTO line."""
-    raw = raw_tokens(F.col("line"))
-    return lines.select("src_file", "src_pos", raw.alias("raw"), F.size(raw).alias("n_values"), _header(F.col("line")).alias("head"))
+    """``(src_file, src_pos, vals, n_values, head)`` of every line: the values
+    of a VALUES line and their number, else the column list of an INSERT INTO
+    line.  The explode (of one array) keeps the tokeniser in one place."""
+    cut = lines.select("src_file", "src_pos", "line", F.explode(F.array(raw_tokens(F.col("line")))).alias("raw"))
+    return cut.select("src_file", "src_pos", F.transform("raw", token_value).alias("vals"), F.size("raw").alias("n_values"),
+                      F.when(F.col("raw").isNull(), _header(F.col("line"))).alias("head"))
 
 
 def stage_parse(lines: DataFrame, name: str = "dump") -> DataFrame:
     """:func:`parsed_lines`, written: lines are tokenised once, and layouts,
     headers, the shift of a file, short rows and the rows themselves all read
     this copy."""
-    return written(parsed_lines(lines), f"{name}-tokens")
+    return written(parsed_lines(lines), f"{name}-values")
 
 
 def _staged(rows: DataFrame) -> bool:
-    return "raw" in rows.columns
+    return "n_values" in rows.columns
 
 
 def _count(rows: DataFrame) -> Column:
     return F.col("n_values") if _staged(rows) else F.size("vals")
 
 
-def _value(rows: DataFrame, i: int | Column) -> Column:
-    """Value ``i`` (from 0) of a row, NULL beyond its end; staged tokens are
-    read here, so only the columns in use are."""
-    return token_value(F.get("raw", i)) if _staged(rows) else F.get("vals", i)
-
-
 def _values_rows(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("raw").isNotNull()) if _staged(rows) else rows
+    return rows.where(F.col("vals").isNotNull()) if _staged(rows) else rows
 
 
 def file_profile(parsed: DataFrame) -> DataFrame:
@@ -147,8 +142,8 @@ def file_profile(parsed: DataFrame) -> DataFrame:
     return rows.groupBy("src_file").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(n >= 13).alias("late"), F.count_if((n >= 11) & (n < 13)).alias("early"),
         F.count_if(n >= 8).alias("eight"), F.count_if(seven).alias("seven"), F.count_if(n < 7).alias("short"),
-        F.count_if(seven & _value(rows, 1).rlike(DIGITS)).alias("digits_col2"),
-        F.count_if(seven & _value(rows, 4).rlike(DD_PREFIX)).alias("dd_col5"))
+        F.count_if(seven & F.get("vals", 1).rlike(DIGITS)).alias("digits_col2"),
+        F.count_if(seven & F.get("vals", 4).rlike(DD_PREFIX)).alias("dd_col5"))
 
 
 def file_layouts(parsed: DataFrame) -> DataFrame:
@@ -177,11 +172,11 @@ def order_rows(parsed: DataFrame, layout: int | None = None) -> DataFrame:
     rows are left to :func:`rejected_rows`."""
     late = F.col("layout") == 13
     cols = []
-    for name in ORDER_COLS_13:
-        c = F.when(late, _value(parsed, ORDER_COLS_13.index(name)))
+    for i, name in enumerate(ORDER_COLS_13):
+        at = F.when(late, i)                    # NULL, and so is the value, where an early file lacks the column
         if name in ORDER_COLS_11:
-            c = c.otherwise(_value(parsed, ORDER_COLS_11.index(name)))
-        cols.append(c.alias(name))
+            at = at.otherwise(ORDER_COLS_11.index(name))
+        cols.append(F.get("vals", at).alias(name))
     return with_layout(parsed, layout).where(_count(parsed) >= F.col("layout")).select(*cols, "src_file", "src_pos")
 
 
@@ -203,10 +198,10 @@ def delivery_rows(parsed: DataFrame) -> DataFrame:
     eight = _count(parsed) >= 8
     cols = []
     for i, name in enumerate(DELIVERY_COLS_8):
-        c = F.when(eight, _value(parsed, i))
+        at = F.when(eight, i)
         if name in DELIVERY_COLS_7:
-            c = c.otherwise(_value(parsed, DELIVERY_COLS_7.index(name)))
-        cols.append(c.alias(name))
+            at = at.otherwise(DELIVERY_COLS_7.index(name))
+        cols.append(F.get("vals", at).alias(name))
     return _values_rows(parsed).where(_count(parsed) >= 7).select(
         *cols, F.when(eight, 8).otherwise(7).alias("layout"), "src_file", "src_pos")
 
@@ -272,5 +267,5 @@ def rows_with_header(spark: SparkSession, lines: DataFrame, default: Sequence[st
     rows = _values_rows(parsed).join(heads, "src_file").where(F.col("n_values") >= F.col("__need"))
     at = F.col("__at") if pad_from is None else F.when(F.col("n_values") == pad_from, F.col("__short")).otherwise(F.col("__at"))
     place = rows.withColumn("__at", at)
-    return place.select(*[token_value(F.get("raw", F.nullif(F.get("__at", i), F.lit(-1)))).alias(n) for i, n in enumerate(names)],
+    return place.select(*[F.get("vals", F.get("__at", i)).alias(n) for i, n in enumerate(names)],
                         "src_file", "src_pos")
