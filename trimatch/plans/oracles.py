@@ -418,6 +418,9 @@ ORD_TEXT = ("platform_order_no, main_order_no, sale_order_no, order_type, order_
 Q["dump_orders"] = with_() + f"""SELECT {ORD_TEXT}, {d('line_amount')}, {d('pay_amount')}, {d('item_num')},
   channel_name2, src_file, src_pos FROM ord WHERE month(create_time) <= 9 OR src_pos % 101 <> 0"""
 
+Q["dump_utf16"] = with_() + f"""SELECT {ORD_TEXT.replace('channel_name', "CASE WHEN src_pos % 97 = 0 THEN channel_name || '\u0a05\u4e00' ELSE channel_name END AS channel_name")},
+  {d('line_amount')}, {d('pay_amount')}, {d('item_num')}, channel_name2, src_file FROM ord WHERE month(create_time) <= 9 OR src_pos % 101 <> 0"""
+
 Q["dump_rejected"] = with_() + """SELECT 'orders' AS leg, src_file, 12 AS n_values, 'fewer than 13 values' AS reason,
   COUNT(*) AS n_rows FROM ord WHERE month(create_time) > 9 AND src_pos % 101 = 0 GROUP BY src_file"""
 

@@ -398,6 +398,19 @@ def dump_orders(spark, sf_dir):
     return edge(_typed(dump.order_rows(_parsed_orders(spark, sf_dir)), ("line_amount", "pay_amount", "item_num"), ("create_time", "update_time")))
 
 
+def dump_utf16(spark, sf_dir):
+    """The order dumps as UTF-16 text; every 97th channel name holds two
+    characters whose bytes look like a line end."""
+    o = _legs(spark, sf_dir).orders
+    trap = F.when(F.col("src_pos") % 97 == 0, F.concat("channel_name", F.lit("\u0a05\u4e00"))).otherwise(F.col("channel_name"))
+    lines = L.order_dump(o.withColumn("channel_name", trap)).select(F.col("src_file").alias("f"), "line")
+    folder = work_path(spark, "utf16")
+    lines.write.partitionBy("f").option("encoding", "UTF-16LE").option("quote", "").option("sep", "\u0001").csv(folder)
+    read = dump.read_lines(spark, folder, "UTF-16LE").withColumn("src_file", F.regexp_extract("src_file", "f=([^/]+)", 1))
+    rows = dump.order_rows(dump.stage_parse(read, "utf16"))
+    return edge(_typed(rows, ("line_amount", "pay_amount", "item_num"), ("create_time", "update_time"))).drop("src_pos")
+
+
 def dump_rejected(spark, sf_dir):
     return dump.rejected_rows(_parsed_orders(spark, sf_dir), "orders").groupBy("leg", "src_file", "n_values", "reason").agg(
         F.count(F.lit(1)).alias("n_rows"))
@@ -551,6 +564,7 @@ def report_parts_q(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "report_parts": report_parts_q,
     "dump_orders": dump_orders,
+    "dump_utf16": dump_utf16,
     "dump_rejected": dump_rejected,
     "dump_profile": dump_profile,
     "dump_deliveries": dump_deliveries,

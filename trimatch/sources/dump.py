@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from trimatch.operators.numbering import written
 from trimatch.operators.repair import DD_PREFIX, DIGITS
-from trimatch.sources.files import file_path, position
+from trimatch.sources.charsets import canonical, narrow_lines, wide_lines
 
 # A token: runs of quoted segments (an unterminated quote runs to the end), of
 # characters that are neither quote nor comma nor blank, and of blanks inside it.
@@ -42,30 +42,15 @@ DELIVERY_COLS_8 = ("business_type", "main_no", "order_no", "external_order_no",
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str = "UTF-8") -> DataFrame:
-    """``(src_file, src_pos, line)`` for every line of the dump files.
-
-    * UTF-8: the text source (files split across tasks).
-    * Other ASCII-compatible charsets (Latin-1, GBK, ...): a line can be cut
-      at the ``\n`` byte, so the line-splitting CSV reader decodes them, still
-      split across tasks (one column, no quoting).  Legacy charsets such as
-      GBK need ``spark.sql.legacy.javaCharsets=true``.
-    * UTF-16/32 are refused: ``\n`` bytes occur inside characters, so such a
-      file can't be split; convert it to UTF-8 first.
+    """``(src_file, src_pos, line)`` for every line of the dump files, in any
+    charset, split across tasks; bytes that the charset does not know are
+    dropped (:mod:`trimatch.sources.charsets`).
 
     ``src_file`` is the full path; ``src_pos`` orders rows by the given list of
     paths, then by place in the file (:mod:`trimatch.sources.files`)."""
     paths = [path] if isinstance(path, str) else list(path)
-    cs = charset.upper().replace("_", "-")
-    if cs.startswith(("UTF-16", "UTF16", "UTF-32", "UTF32", "UCS")):
-        raise ValueError(f"{charset}: dumps in a multi-byte charset can't be split over tasks; convert them to UTF-8")
-    if cs.replace("-", "") == "UTF8":
-        df = spark.read.text(paths).withColumnRenamed("value", "line")
-    else:
-        df = (spark.read.schema("line string").option("encoding", charset).option("sep", "\u0001")
-              .option("quote", "").option("nullValue", None).option("maxCharsPerColumn", -1)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .csv(paths))
-    return df.select(file_path().alias("src_file"), position(spark, paths).alias("src_pos"), "line")
+    name = canonical(charset)
+    return wide_lines(spark, paths, name) if name.startswith(("UTF-16", "UTF-32")) else narrow_lines(spark, paths, name)
 
 
 def _strip(c: Column) -> Column:

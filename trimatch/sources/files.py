@@ -60,6 +60,35 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
+def data_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files under the given files, folders and patterns that a read sees
+    (names that begin with ``_`` or ``.`` are hidden)."""
+    out = []
+
+    def visit(fs, status) -> None:
+        if not status.isDirectory():
+            out.append(status.getPath().toString())
+            return
+        for s in fs.listStatus(status.getPath()):
+            if not s.getPath().getName().startswith(("_", ".")):
+                visit(fs, s)
+    for path in paths:
+        fs, p = _path(spark, path)
+        for status in fs.globStatus(p) or ():
+            visit(fs, status)
+    return out
+
+
+def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
+    fs, p = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        found = [stream.read() for _ in range(n)]
+    finally:
+        stream.close()
+    return bytes(b for b in found if b >= 0)
+
+
 def position(spark: SparkSession, paths: Sequence[str]) -> Column:
     inside = file_path() if any(is_folder(spark, p) for p in paths) else F.lit("")
     return F.struct(ordinal(spark, paths).alias("file_no"), inside.alias("file"), F.col("_metadata.file_block_start").alias("block"),
