@@ -121,6 +121,15 @@ def test_run_observes_the_accounting(spark, spec):
         assert {r.reason for r in want if r.leg == "invoices"} >= {"mapped", "unmapped"}
 
 
+def test_a_mapped_run_writes_the_allocation(spark, mk):
+    o = mk.orders([dict(sale_order_no=f"DD{k}", item_code="7", external_order_no="55", order_type="oem_order", item_num=2, pay_amount=4) for k in (1, 2)])
+    i = mk.invoices([dict(dms_order_no="55", item_code="7", qty=3, amount=6, invoice_no="a")])
+    out = tempfile.mkdtemp(prefix="trimatch-alloc-")
+    jobs.run(spark, S.OMS.with_(map_dms_invoices=True), o, mk.deliveries([]), i, out)
+    got = {(r.oms_order_no, r.status): (r.qty, r.amount) for r in spark.read.parquet(f"{out}/dms_allocation").collect()}
+    assert got == {("DD1", "allocated"): (2, 4), ("DD2", "allocated"): (1, 2)}
+
+
 def test_a_match_without_invoices_counts_its_legs_apart(spark, mk):
     o = mk.orders([dict(sale_order_no="DD1", item_code="1", pay_amount=1, item_num=1, external_order_no="1")])
     counts = jobs.run(spark, S.OMS, o, mk.deliveries([]), mk.invoices([]), tempfile.mkdtemp(prefix="trimatch-none-"))

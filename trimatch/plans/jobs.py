@@ -23,8 +23,10 @@ from functools import partial
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from trimatch.operators.allocate import allocate
 from trimatch.operators.classify import invoice_scene
 from trimatch.operators.date_forms import date_shapes, parse_dates
+from trimatch.operators.filters import filter_invoice_type_adaptive, route_invoices
 from trimatch.operators.join import uninvoiced
 from trimatch.functions.dates import safe_timestamp
 from trimatch.operators.quality import check_schema, null_share, required_roles
@@ -108,7 +110,8 @@ def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: Da
     """Reconcile and write every report; returns the class counts.  With
     ``labels`` the detail carries the original workbook headers.  Beside the
     reports: ``accounting`` (where every input row went) and ``set_aside``
-    (rows without a usable key).
+    (rows without a usable key), and with mapping ``dms_allocation`` (each DMS
+    line laid over the orders that share its DMS number and item).
 
     The accounting is observed by the match while it reads the legs; it is
     counted by jobs of its own only if stages of the match had to run again, or
@@ -133,6 +136,10 @@ def run(spark: SparkSession, spec: SourceSpec, orders: DataFrame, deliveries: Da
         d = R.oms_delivery_totals(deliveries, spec, carry=False)
         i = R.oms_invoice_totals(invoices, orders, spec, carry=False)
         _write(uninvoiced(o, d, i), f"{out}/uninvoiced", fmt)
+    if spec.map_dms_invoices:
+        _, to_map = route_invoices(filter_invoice_type_adaptive(invoices, "invoice_type"))
+        pieces = allocate(to_map, R.oms_filtered_orders(orders, spec), spec.normalize_codes)
+        _write(pieces.drop("src_pos") if fmt == "csv" else pieces, f"{out}/dms_allocation", fmt)
     if "invoice_type" in invoices.columns and "dms_order_no" in invoices.columns:
         flat = invoices.drop("src_pos") if fmt == "csv" else invoices
         write_by_label(invoice_scene(flat), "scene", f"{out}/scenes", fmt)

@@ -261,6 +261,27 @@ WHERE NOT EXISTS (SELECT 1 FROM oms_i i WHERE i.order_no = COALESCE(o.order_no,
 Q["dms_to_oms_mapping"] = with_(INV_F, OMS, TO_MAP) + f"""SELECT dms_order_no, item_code,
   mapped_oms_order_no AS oms_order_no, invoice_no, {d('amount')}, {d('qty')}, src_pos FROM mapped"""
 
+Q["dms_allocation"] = with_(INV_F, OMS, TO_MAP, """
+al_o AS (SELECT CAST(CAST(external_order_no AS BIGINT) // 32 AS VARCHAR) AS ext,
+                CAST(CAST(regexp_replace(item_code, '\\.0$', '') AS BIGINT) % 3 AS VARCHAR) AS item, sale_order_no AS sale,
+                SUM(item_num) AS r, MIN(src_pos) AS pos
+         FROM oms_of WHERE external_order_no IS NOT NULL GROUP BY 1, 2, 3 HAVING SUM(item_num) > 0),
+al_oi AS (SELECT *, SUM(r) OVER w - r AS o0, SUM(r) OVER w AS o1 FROM al_o WINDOW w AS (PARTITION BY ext, item ORDER BY pos, sale)),
+al_t AS (SELECT ext, item, MAX(o1) AS total FROM al_oi GROUP BY ext, item),
+al_i AS (SELECT CAST(CAST(dms_order_no AS BIGINT) // 32 AS VARCHAR) AS ext,
+                CAST(CAST(regexp_replace(item_code, '\\.0$', '') AS BIGINT) % 3 AS VARCHAR) AS item, invoice_no, src_pos, amount,
+                qty * CASE WHEN src_pos % 5 = 0 THEN -1 WHEN src_pos % 7 = 0 THEN 2 WHEN src_pos % 11 = 0 THEN 0 ELSE 1 END AS qty FROM to_map),
+al_iv AS (SELECT *, SUM(abs(qty)) OVER w - abs(qty) AS lo, SUM(abs(qty)) OVER w AS hi FROM al_i WHERE qty <> 0
+          WINDOW w AS (PARTITION BY ext, item, sign(qty) ORDER BY src_pos, invoice_no)),
+al_p AS (SELECT i.*, o.sale, 'allocated' AS status, greatest(lo, o0) AS a, least(hi, o1) AS b
+         FROM al_iv i JOIN al_oi o ON i.ext = o.ext AND i.item = o.item AND lo < o1 AND o0 < hi
+         UNION ALL SELECT i.*, NULL, CASE WHEN total IS NULL THEN 'unmapped' ELSE 'over' END, greatest(lo, COALESCE(total, 0)), hi
+         FROM al_iv i LEFT JOIN al_t t ON i.ext = t.ext AND i.item = t.item WHERE hi > COALESCE(total, 0)),
+al_c AS (SELECT *, CAST(amount * 100 AS HUGEINT) AS c, CAST(abs(qty) * 100 AS HUGEINT) AS q, CAST((a - lo) * 100 AS HUGEINT) AS u,
+                CAST((b - lo) * 100 AS HUGEINT) AS v FROM al_p)""") + """SELECT ext AS dms_order_no, item AS item_code, invoice_no, src_pos, sale AS oms_order_no, status,
+  CAST((b - a) * sign(qty) AS DOUBLE) AS qty, CAST(CAST(c * v // q - c * u // q AS DECIMAL(18,2)) / 100 AS DOUBLE) AS amount FROM al_c
+UNION ALL SELECT ext, item, invoice_no, src_pos, NULL, 'no quantity', 0.0, CAST(amount AS DOUBLE) FROM al_i WHERE COALESCE(qty, 0) = 0"""
+
 Q["invoice_routing"] = with_(INV_F, OMS, TO_MAP) + f"""SELECT route, COUNT(*) AS n_rows, {d('SUM(amount)', 'amount')} FROM (
   SELECT CASE WHEN oms_order_no IS NOT NULL THEN 'direct' WHEN dms_order_no IS NOT NULL THEN 'needs_map'
               ELSE 'unrouted' END AS route, amount FROM inv_f

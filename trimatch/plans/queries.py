@@ -23,6 +23,7 @@ from trimatch.operators.classify import invoice_scene, strict_not_test
 from trimatch.operators.filters import (channel_contains, drop_status, filter_invoice_type_adaptive,
                                         filter_invoice_type_text, keep_types, of_category,
                                         period_filter, route_invoices)
+from trimatch.operators.allocate import allocate
 from trimatch.operators.join import map_dms_to_oms, uninvoiced
 from trimatch.operators.date_forms import date_shapes, parse_dates
 from trimatch.operators.numbering import work_path, written
@@ -166,6 +167,21 @@ def dms_to_oms_mapping(spark, sf_dir):
                          "amount", "qty", "src_pos"))
 
 
+def dms_allocation(spark, sf_dir):
+    """DMS lines laid over the orders of collective DMS numbers (32 order keys
+    each) and coarse items, so that most belong to several orders; every fifth
+    line is a return and every seventh is invoiced twofold."""
+    lg = _legs(spark, sf_dir)
+
+    def coarse(df, number):
+        return df.withColumns({number: F.floor(F.col(number).cast("long") / 32).cast("string"), "item_code": (norm_code("item_code").cast("long") % 3).cast("string")})
+    _, to_map = route_invoices(filter_invoice_type_adaptive(lg.invoices, "invoice_type"))
+    k = F.col("src_pos")
+    factor = F.when(k % 5 == 0, -1).when(k % 7 == 0, 2).when(k % 11 == 0, 0).otherwise(1)
+    to_map = coarse(to_map, "dms_order_no").withColumn("qty", (F.col("qty") * factor).cast("decimal(18,2)"))
+    return edge(allocate(to_map, coarse(R.oms_filtered_orders(lg.orders), "external_order_no")))
+
+
 def invoice_routing(spark, sf_dir):
     """Type-filtered invoices by route (direct / needs a map / neither) plus
     the rows the distinct map produced, in one table."""
@@ -598,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "dms_invoice_agg": dms_invoice_agg,
     "uninvoiced_lines": uninvoiced_lines,
     "dms_to_oms_mapping": dms_to_oms_mapping,
+    "dms_allocation": dms_allocation,
     "invoice_routing": invoice_routing,
     "nottest_breakdown": nottest_breakdown_q,
     "oms_nottest_rows": oms_nottest_rows,
