@@ -339,3 +339,34 @@ def test_held_out_accuracy_on_the_tables(spark):
     sf = "/root/testdata/sf0.01"
     got = quality.op9_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").collect()
     assert len(got) > 50 and np.mean([r.predicted == r.quality for r in got]) > 0.9
+
+
+def test_dates_of_either_order_and_any_century():
+    change = pii.Pseudonymizer(b"key")
+    olds = ["12-31-2020", "31-12-2020", "12.31.2020", "12/31/2020", "31/12/2020", "1850-06-15", "06/15/1850", "31-01-0099", "2150-01-01", "9999-12-31"]
+    for old in olds:
+        new, spans = change.apply(f"on {old}.")
+        assert spans == [(3, 13, "date")] and new != f"on {old}."
+        years = [int(re.search(r"\d{4}", x).group()) for x in (old, new)]       # the year keeps to its span
+        assert len({y // 100 for y in years}) == 1 or all(1900 <= y <= 2099 for y in years)
+    assert change.apply("30-30-2020 00-12-2020 0000-01-01")[1] == []
+
+
+def test_dates_of_a_spelling_never_collide():
+    change = pii.Pseudonymizer(b"key")
+    for sep in "-./":
+        days = [f"{a:02d}{sep}{b:02d}{sep}1850" for a in range(1, 32) for b in range(1, 32)]
+        olds = [d for d in days if change.apply(d)[1]]
+        news = [change.apply(d)[0] for d in olds]
+        assert len(olds) > 365 and len(set(news)) == len(news) and all(change.apply(n)[1] for n in news)
+
+
+def test_the_session_names_the_key(spark):
+    df = documents(spark, ["born 1990-02-03"])
+    plain = by_id(pii.pseudonymize(df))
+    spark.conf.set(pii.KEY_SETTING, "another")
+    try:
+        own = by_id(pii.pseudonymize(df))
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert plain != own and own == by_id(pii.pseudonymize(df, b"another"))

@@ -6,7 +6,9 @@ their own format, permuted there by a keyed Feistel network (cycle walking
 keeps the permutation inside the set), and written back in the same format
 with a right check digit.  The permutation depends on the key and on the
 format alone, so equal values get equal pseudonyms in every document, on
-every executor, and unequal values never collide.
+every executor, and unequal values never collide, but for e-mail names with
+letters outside ASCII: those come out in a-z, so two such names (or one and a
+plain name) can get one pseudonym.
 
 Kinds: payment card, IBAN, social security number, phone number, IPv4
 address, calendar date, and, by the same permutation over their letters and
@@ -25,7 +27,8 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from math import isqrt
 
@@ -37,7 +40,8 @@ from .common import row_slices, table
 
 KEY = b"trimatch demonstration key"
 ROUNDS = 8
-DAY0, DAY1 = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
+SPANS = [(1900, 2099)]        # dates of these years keep to them, others to their century
+KEY_SETTING = "spark.trimatch.pii.key"
 
 
 def permute(value: int, n: int, key: bytes, tweak: bytes) -> int:
@@ -116,32 +120,38 @@ def ssn(m: str, key: bytes) -> str | None:
 def date(m: str, key: bytes) -> str | None:
     sep = re.search(r"\D", m).group()
     p = m.split(sep)
-    order = (0, 1, 2) if len(p[0]) == 4 else (2, 0, 1) if sep == "/" and int(p[0]) <= 12 else (2, 1, 0)
+    # year last: slashes are read month first, dots and dashes day first, and
+    # the other way round where the numbers allow no other reading
+    if len(p[0]) == 4:
+        order, usual = (0, 1, 2), True
+    elif sep == "/":
+        usual = int(p[0]) <= 12
+        order = (2, 0, 1) if usual else (2, 1, 0)
+    else:
+        usual = int(p[1]) <= 12
+        order = (2, 1, 0) if usual else (2, 0, 1)
     try:
         day = dt.date(*(int(p[i]) for i in order)).toordinal()
     except ValueError:
         return None
-    if not DAY0 <= day <= DAY1:
-        return None
-    # month-first and day-first dates of one spelling stay apart: a date whose
-    # order is told by its numbers must read the same way afterwards
-    if sep == "/" and len(p[0]) != 4:
-        first = order[1] == 0
-        days = _slash_days(first)
-        new = dt.date.fromordinal(days[0][permute(days[1][day], len(days[0]), key, b"date/%d" % first)])
-    else:
-        new = dt.date.fromordinal(DAY0 + permute(day - DAY0, DAY1 - DAY0 + 1, key, b"date"))
+    # a date stays in its span of years, and one whose order is told by its
+    # numbers must read the same way afterwards
+    year = int(p[order[0]])
+    first, last = next((s for s in SPANS if s[0] <= year <= s[1]), (max(1, year // 100 * 100), year // 100 * 100 + 99))
+    days = _days(usual, first, last)
+    new = dt.date.fromordinal(days[permute(bisect_left(days, day), len(days), key, b"date/%d/%d" % (usual, first))])
     out = [""] * 3
     for i, v in zip(order, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"), strict=True):
         out[i] = v
     return sep.join(out)
 
 
-@lru_cache(2)
-def _slash_days(month_first: bool) -> tuple[list[int], dict[int, int]]:
-    """Days that read month first, or those that can only be day first."""
-    days = [d for d in range(DAY0, DAY1 + 1) if month_first or dt.date.fromordinal(d).day > 12]
-    return days, {d: i for i, d in enumerate(days)}
+@lru_cache(64)
+def _days(usual: bool, first: int, last: int) -> Sequence[int]:
+    """Days of a span of years that read in the usual order of their spelling
+    (all), or those that can only be read the other way round."""
+    span = range(dt.date(first, 1, 1).toordinal(), dt.date(last, 12, 31).toordinal() + 1)
+    return span if usual else [d for d in span if dt.date.fromordinal(d).day > 12]
 
 
 def _spread(text: str, key: bytes, tweak: bytes, hexa: bool = False) -> str:
@@ -259,9 +269,17 @@ _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Str
                                   T.StructField("kind", T.StringType())]))
 
 
-def pseudonymize(docs: DataFrame, key: bytes = KEY, text_col: str = "text", spans_col: str = "pii") -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session names; without one, a demonstration key that
+    anyone can read here (so set one for real data)."""
+    return spark.conf.get(KEY_SETTING, "").encode() or KEY
+
+
+def pseudonymize(docs: DataFrame, key: bytes | None = None, text_col: str = "text", spans_col: str = "pii") -> DataFrame:
     """``docs`` with validated personal values replaced in ``text_col``, and
-    ``spans_col``: where the pseudonyms stand and of which kind they are."""
+    ``spans_col``: where the pseudonyms stand and of which kind they are.
+    Without ``key`` that of the session holds (:func:`session_key`)."""
+    key = key or session_key(docs.sparkSession)
     keep = docs.drop(spans_col)
     schema = T.StructType([*keep.schema.fields, T.StructField(spans_col, _SPAN)])
     at = [f.name for f in keep.schema.fields].index(text_col)
