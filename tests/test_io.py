@@ -187,6 +187,28 @@ def test_invoice_stream_stages_new_files_once(spark):
     assert {r["src_month"] for r in staged.select("src_month").distinct().collect()} == {"2025-01", "2025-02"}
 
 
+def test_streamed_months_keep_the_order_of_their_files(spark):
+    from trimatch.plans.reconcile import oms_invoice_totals
+    from trimatch.streaming.invoice_drop import staged_invoices
+    src, out, ck = (tempfile.mkdtemp(prefix=f"trimatch-{x}-") for x in ("drop", "staged", "ck"))
+    head = ["OMS销售单号", "物料编码", "实际金额", "开票数量", "备注"]
+    schema = ", ".join(f"`{c}` string" for c in head)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        for drop in (["2025-02-b", "2025-02-a"], ["2025-01"]):       # the earliest month comes last
+            for name in drop:
+                _csv(f"{src}/{name}.csv", head, [[f"DD{k}", "7", "1", "1", f"{name}/{k}/{n}"] for n in range(2) for k in range(300 if name == "2025-02-b" else 100)])
+            q = stage_invoice_stream(spark, src, schema, out, checkpoint=ck)
+            q.awaitTermination(120)
+            rows = oms_invoice_totals(staged_invoices(spark, out), carry={"inv_remark"}).collect()
+            first = drop[-1]
+            assert {r["order_no"]: r["inv_remark"] for r in rows} == {
+                f"DD{k}": f"{first}/{k}/0" if k < 100 else f"2025-02-b/{k}/0" for k in range(300)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(int(r["invoice_qty"]) for r in rows) == 1000
+
+
 def test_quality_checks(spark):
     lg = L.legs(spark, SF)
     early, late = L.order_extracts(lg.orders)
