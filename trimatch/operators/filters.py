@@ -49,10 +49,15 @@ def has_value(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull())
 
 
+def code_hit(col: str, pattern: str = S.INVOICE_CODE_PATTERN) -> Column:
+    """Whether a value fully matches ``pattern``; NULL does not."""
+    return F.coalesce(F.col(col).rlike(pattern), F.lit(False))
+
+
 def code_share(invoices: DataFrame, col: str, pattern: str = S.INVOICE_CODE_PATTERN) -> Column:
     """Share of all rows (NULLs count as non-matching) whose value fully
     matches ``pattern``, as a scalar subquery: evaluated once, one value."""
-    hit = F.coalesce(F.col(col).rlike(pattern), F.lit(False)).cast("double")
+    hit = code_hit(col, pattern).cast("double")
     return invoices.select(F.coalesce(F.avg(hit), F.lit(0.0))).scalar()
 
 

@@ -229,6 +229,8 @@ Q["oms_match_detail"] = with_(INV_F, OMS) + f"""SELECT order_no, item_code, {d('
   category, ord_order_status, {_ts('ord_create_time')}, dlv_order_no, {_ts('dlv_biz_time')},
   inv_sales_org, inv_invoice_no, inv_dms_order_no FROM oms_c"""
 
+Q["late_months"] = Q["oms_match_detail"]     # kept up to date or matched at once: the same rows
+
 Q["dms_match_detail"] = with_(DMS) + f"""SELECT order_no, item_code, {d('invoice_amount')}, {d('invoice_qty_sales')},
   {d('invoice_qty')}, {d('order_amount')}, {d('order_qty')}, {d('shipped_qty')},
   {d('invoice_minus_order_amount')}, {d('invoice_minus_order_qty')}, {d('invoice_minus_shipped_qty')},

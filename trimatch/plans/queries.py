@@ -9,6 +9,7 @@ form at the very end so the two engines compare value for value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from trimatch.operators.quality import null_share
 from trimatch.operators.repair import repair_shift, shift_flags
 from trimatch.operators.resolve import resolve_invoice_columns
 from trimatch.plans import ledger
+from trimatch.plans.late_months import Match
 from trimatch.plans import reconcile as R
 from trimatch.plans import spec as S
 from trimatch.plans.accounting import leg_accounting
@@ -95,6 +97,24 @@ def oms_match_detail(spark, sf_dir):
     return edge(_oms(spark, sf_dir, carry=DETAIL_OMS).select(*DETAIL_OMS))
 
 
+def late_months(spark, sf_dir):
+    """The OMS detail kept up to date over three updates; the legs of a key
+    arrive in different ones, so keys are matched again."""
+    lg = _legs(spark, sf_dir)
+    match = Match(spark, f"late-{uuid.uuid4().hex[:12]}", OMS)
+    last = lg.orders.agg(F.max("src_pos")).first()[0]
+    cuts = {"orders": (0.3, 0.6), "deliveries": (0.2, 0.5), "invoices": (0.5, 0.8)}
+
+    def part(leg: str, n: int) -> DataFrame:
+        lo, hi = [None, *(int(c * last) for c in cuts[leg]), None][n:n + 2]
+        df = getattr(lg, leg)
+        df = df if lo is None else df.where(F.col("src_pos") > lo)
+        return df if hi is None else df.where(F.col("src_pos") <= hi)
+    for n in range(3):
+        match.update(f"part {n}", *[part(leg, n) for leg in ("orders", "deliveries", "invoices")])
+    return edge(match.result().select(*DETAIL_OMS))
+
+
 def dms_match_detail(spark, sf_dir):
     return edge(_oms(spark, sf_dir, DMS, carry=DETAIL_DMS).select(*DETAIL_DMS))
 
@@ -602,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "dms_report": dms_report,
     "oms_category_summary": oms_category_summary,
     "oms_match_detail": oms_match_detail,
+    "late_months": late_months,
     "dms_match_detail": dms_match_detail,
     "dms_category_summary": dms_category_summary,
     "dms_norm_category_summary": dms_norm_category_summary,
