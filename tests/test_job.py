@@ -165,3 +165,17 @@ def test_cli_options_take_effect(spark, extracts, capsys):
     assert spark.read.option("header", True).csv(f"{d}/legacy/rejected").count() == 0
     with pytest.raises(ValueError, match="external_order_no"):
         jobs.main([*args, "--out", f"{d}/mapped", "--map-dms"])
+
+
+def test_cli_keeps_parsed_files(spark, extracts, capsys):
+    d, o1, o2, d1, d2, inv_paths = extracts
+    name = os.path.basename(d)
+
+    def run(orders, out):
+        jobs.main(["match", "OMS", "--orders", *orders, "--deliveries", d1, d2, "--invoices", *inv_paths, "--out", f"{d}/{out}", "--keep", name])
+        return dict(line.split("\t", 1) for line in capsys.readouterr().out.splitlines() if "\t" in line and not line.startswith("check"))
+    assert run([o1], "kept-early")["parsed"] == "5"
+    lines = run([o1, o2], "kept-all")
+    assert (lines["parsed"], lines[S.FULL_MATCH], lines[S.NOT_TEST], lines[S.ALL_DATA]) == ("1", "1076", "780", "2115")
+    with pytest.raises(SystemExit):
+        jobs.main(["match", "OMS", "--orders", o1, "--deliveries", d1, "--invoices", *inv_paths, "--out", d, "--keep", name, "--refresh"])

@@ -11,6 +11,7 @@ from trimatch.plans.late_months import Match
 from trimatch.sources import dump
 from trimatch.sources import increments
 from trimatch.sources import tpch_legs as L
+from trimatch.streaming.invoice_drop import match_invoice_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -145,3 +146,19 @@ def test_a_file_that_tips_the_type_rule_matches_every_key_again(spark, mk, tmp_p
     match.update("2", invoices=codes)
     assert sorted(r.order_no for r in match.result().collect()) == ["B", "C"]
     assert _rows(match.result()) == _rows(R.reconcile(o, d, texts.unionByName(codes), S.OMS))
+
+
+def test_streamed_invoices_are_matched_as_they_land(spark, mk, tmp_path):
+    o = mk.orders([{"sale_order_no": s, "item_code": "7", "pay_amount": 5, "item_num": 1} for s in ("A", "B")])
+    d = mk.deliveries([{"order_no": s, "item_code": "7", "shipped_qty": 1} for s in ("A", "B")])
+    match = Match(spark, "m", S.OMS, base=str(tmp_path))
+    place = "struct<file_no: int, file: string, block: bigint, row: bigint>"
+    match.update("legs", o, d, mk.invoices([]).withColumn("src_pos", F.lit(None).cast(place)))
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    heads = ["OMS销售单号", "物料编码", "实际金额", "开票数量（销售单位）", "开票数量（基本单位数量）", "发票类型"]
+    for month, order, classes in (("2025-01", "A", {"A"}), ("2025-02", "B", {"A", "B"})):
+        (drop / f"{month}.csv").write_text(",".join(heads) + f"\n{order},7,5,1,1,标准发票（2B)\n")
+        schema = ", ".join(f"`{h}` string" for h in heads)
+        match_invoice_stream(spark, str(drop), schema, match, checkpoint=str(tmp_path / "ck")).awaitTermination(120)
+        assert {r.order_no for r in match.result().where(F.col("category") == S.FULL_MATCH).collect()} == classes

@@ -40,7 +40,8 @@ from trimatch.plans.spec import DMS, DMS_PARTIAL, OMS, OMS_PARTIAL, SourceSpec
 from trimatch.plans.summary import nottest_breakdown
 from trimatch.sources import dump
 from trimatch.sources.files import inputs_digest
-from trimatch.sources.invoices import read_monthly_invoices
+from trimatch.sources.increments import stage_files
+from trimatch.sources.invoices import read_invoice_file, read_monthly_invoices
 from trimatch.sources.staging import by_period, read_back, stage_many
 
 
@@ -68,6 +69,20 @@ def load_invoices(spark: SparkSession, paths: Sequence[str], profile: str, chars
     return resolve_invoice_columns(read_monthly_invoices(spark, list(paths), charset=charset, skipped=skipped), profile)
 
 
+def kept_inputs(spark: SparkSession, name: str, orders: Sequence[str], deliveries: Sequence[str], invoices: Sequence[str],
+                profile: str, charset: str = "UTF-8") -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    """Parsed order and delivery dumps and the invoices, kept file by file
+    under ``name``: a later call parses only files that are new or changed.
+    The last value lists the files that this call parsed."""
+    def dump_file(path: str) -> DataFrame:
+        return dump.parsed_lines(dump.read_lines(spark, path, charset))
+    sets = {"orders": (orders, dump_file), "deliveries": (deliveries, dump_file),
+            "invoices": (invoices, lambda path: read_invoice_file(spark, path, charset=charset))}
+    kept = {leg: stage_files(spark, f"{name}/{leg}", paths, parse, (leg, charset)) for leg, (paths, parse) in sets.items()}
+    o, d, i = (kept[leg].read(spark) for leg in sets)
+    return o, d, resolve_invoice_columns(i, profile), [f for k in kept.values() for f in k.added]
+
+
 def stage_inputs(spark: SparkSession, name: str, orders: DataFrame, deliveries: DataFrame,
                  invoices: DataFrame, refresh: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stage the parsed legs once, as concurrent jobs (positions become fixed;
@@ -213,6 +228,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--labels", action="store_true", help="original workbook headers in the detail")
     m.add_argument("--partial", action="store_true", help="partial-year profile of the source")
     m.add_argument("--skip-unreadable", action="store_true", help="go on without invoice files that can't be read; they are listed in OUT/skipped")
+    m.add_argument("--keep", metavar="NAME", help="keep the parsed files under this name; later runs with it parse only new or changed files")
     m.add_argument("--refresh", action="store_true", help="re-parse even if staged legs exist")
     lg = sub.add_parser("ledger", help="order and delivery ledgers with totals")
     lg.add_argument("--orders", nargs="+", required=True)
@@ -246,12 +262,19 @@ def main(argv: Sequence[str] | None = None) -> None:
         spec = spec.with_(normalize_codes=a.normalize_codes == "on")
     spec = spec.with_(map_dms_invoices=a.map_dms, legacy_total=a.legacy_total)
     skipped: list[tuple[str, str]] | None = [] if a.skip_unreadable else None
-    invoices = load_invoices(spark, a.invoices, a.source, a.charset, skipped)
-    digest = inputs_digest(spark, [*a.orders, *a.deliveries, *a.invoices], len(a.orders), len(a.deliveries), a.source, a.charset, skipped)
+    if a.keep and (a.skip_unreadable or a.refresh):
+        ap.error("--keep takes neither --skip-unreadable nor --refresh")
+    invoices = None if a.keep else load_invoices(spark, a.invoices, a.source, a.charset, skipped)
+    digest = inputs_digest(spark, [*a.orders, *a.deliveries, *a.invoices], len(a.orders), len(a.deliveries), a.source, a.charset, skipped,
+                           *(["kept"] if a.keep else []))
     name = f"job-{a.source}-{digest}"
-    lines = {leg: dump.read_lines(spark, paths, a.charset) for leg, paths in (("orders", a.orders), ("deliveries", a.deliveries))}
-    parsed = stage_many(spark, {f"{name}/{leg}-tokens": partial(dump.parsed_lines, x) for leg, x in lines.items()}, refresh=a.refresh)
-    po, pd = parsed[f"{name}/orders-tokens"], parsed[f"{name}/deliveries-tokens"]
+    if a.keep:
+        po, pd, invoices, added = kept_inputs(spark, f"kept-{a.keep}", a.orders, a.deliveries, a.invoices, a.source, a.charset)
+        print(f"parsed\t{len(added)}")
+    else:
+        lines = {leg: dump.read_lines(spark, paths, a.charset) for leg, paths in (("orders", a.orders), ("deliveries", a.deliveries))}
+        parsed = stage_many(spark, {f"{name}/{leg}-tokens": partial(dump.parsed_lines, x) for leg, x in lines.items()}, refresh=a.refresh)
+        po, pd = parsed[f"{name}/orders-tokens"], parsed[f"{name}/deliveries-tokens"]
     orders, deliveries = dump.order_rows(po), dump.repaired_delivery_rows(pd).drop("layout")
     o, d, i = stage_inputs(spark, name, parse_dates(orders, ORDER_DATES), parse_dates(deliveries, DELIVERY_DATES), invoices, refresh=a.refresh)
     counts = run(spark, spec, o, d, i, a.out, a.format, labels=a.labels)

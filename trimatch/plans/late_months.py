@@ -199,7 +199,9 @@ class Match:
     def update(self, batch: str, orders: DataFrame | None = None, deliveries: DataFrame | None = None,
                invoices: DataFrame | None = None) -> int:
         """Add the rows of new files; returns the version that holds them.  The
-        first update needs all three legs (a leg without rows may be empty)."""
+        first update needs all three legs (a leg without rows may be empty).  A
+        leg's columns and ``src_pos`` have one type in all updates; a column may
+        be missing."""
         commits = self._commits()
         done = [c.version for c in commits if c.batch == batch]
         if done:

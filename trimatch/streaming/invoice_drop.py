@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trimatch.operators.resolve import resolve_invoice_columns
+from trimatch.plans.late_months import Match
 from trimatch.session import checkpoint_dir
 
 
@@ -40,6 +41,30 @@ def stage_invoice_stream(spark: SparkSession, source_dir: str, schema: StructTyp
     return tagged.writeStream.foreachBatch(add).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
 
 
+def match_invoice_stream(spark: SparkSession, source_dir: str, schema: StructType | str, match: Match, fmt: str = "csv",
+                         name: str = "invoice_match", checkpoint: str | None = None) -> StreamingQuery:
+    """Add invoice files to a kept match as they land: only the keys of the new
+    files are matched again.  The match must hold a first update with the
+    orders and deliveries.  A batch is one update under its number, so a batch
+    that is run again is counted once; "first" goes by arrival, then by path
+    and place in the file."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 12)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    stream = reader.format(fmt).load(source_dir)
+    tagged = stream.withColumns({"src_file": F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path"),
+                                 "__block": F.col("_metadata.file_block_start")})
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+
+    def add(batch: DataFrame, number: int) -> None:
+        place = F.struct(F.lit(0).alias("file_no"), F.col("__path").alias("file"), F.col("__block").alias("block"),
+                         F.monotonically_increasing_id().alias("row"))
+        match.update(f"{name} {number}", invoices=resolve_invoice_columns(
+            batch.withColumn("src_pos", place).drop("__path", "__block"), match.spec.name))
+
+    return tagged.writeStream.foreachBatch(add).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+
+
 def staged_invoices(spark: SparkSession, staged_path: str, profile: str = "OMS"):
     """The staged months as the invoice leg: earlier months come first."""
     df = spark.read.parquet(staged_path)
