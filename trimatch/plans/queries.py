@@ -441,7 +441,9 @@ def dump_utf16(spark, sf_dir):
     trap = F.when(F.col("src_pos") % 97 == 0, F.concat("channel_name", F.lit("\u0a05\u4e00"))).otherwise(F.col("channel_name"))
     lines = L.order_dump(o.withColumn("channel_name", trap)).select(F.col("src_file").alias("f"), "line")
     folder = work_path(spark, "utf16")
-    lines.write.partitionBy("f").option("encoding", "UTF-16LE").option("quote", "").option("sep", "\u0001").csv(folder)
+    # a compressed file is read by one task: many files of bounded size
+    lines.write.partitionBy("f").option("maxRecordsPerFile", 200_000).option("compression", "lz4").option("encoding", "UTF-16LE") \
+        .option("quote", "").option("sep", "\u0001").csv(folder)
     read = dump.read_lines(spark, folder, "UTF-16LE").withColumn("src_file", F.regexp_extract("src_file", "f=([^/]+)", 1))
     rows = dump.order_rows(dump.stage_parse(read, "utf16"))
     return edge(_typed(rows, ("line_amount", "pay_amount", "item_num"), ("create_time", "update_time"))).drop("src_pos")

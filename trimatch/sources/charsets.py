@@ -9,8 +9,8 @@ UTF-16 and UTF-32 need more care: the bytes of a line end also occur across
 two characters (U+0A05 U+4E00, little endian).  A cut is false exactly where
 the bytes before it in the file do not add up to whole code units, so the
 lengths of the pieces tell which ones belong together.  Sums are taken per
-split and then over the splits of a file; a file without a false cut (all
-pieces whole) is passed through as it is.
+split and then over the splits of a file; pieces that are whole are passed
+through as they are.
 """
 
 from __future__ import annotations
@@ -81,32 +81,48 @@ def _pieces(spark: SparkSession, files: Sequence[str], paths: Sequence[str], cha
 def whole_lines(pieces: DataFrame, charset: str, unit: int) -> DataFrame:
     """Pieces put together again where a file was cut inside a code unit.
 
-    Two passes over the pieces, the first one for their lengths.  Only files
-    with a piece that is not whole go through a shuffle, by split."""
-    rest = F.length("line") % unit
-    broken = pieces.groupBy("src_file").agg(F.max(rest).alias("r")).where("r > 0").select("src_file")
-    files = [r["src_file"] for r in broken.collect()]           # names of the files concerned
-    if not files:
+    A pass over the lengths gives the sums of the splits.  Only the pieces that
+    are not whole, and those between them inside a code unit, go through a
+    shuffle, by split; all others are passed through as they are read."""
+    rest, row = F.length("line") % unit, F.col("src_pos.row")
+    blocks = written(pieces.groupBy("src_file", F.col("src_pos.block").alias("block")).agg(
+        F.max(rest).alias("r"), (F.sum(rest) % unit).alias("sum"), F.min(row).alias("lo"), F.max(row).alias("hi")), "blocks")
+    if blocks.where("r > 0").isEmpty():
         return pieces
-    named = F.col("src_file").isin(files)
-    cut = written(pieces.where(named).select("*", F.col("src_pos.block").alias("block"), rest.alias("rest")), "pieces")
-    blocks = cut.groupBy("src_file", "block").agg((F.sum("rest") % unit).alias("sum"))
     earlier = Window.partitionBy("src_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("src_file", "block", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
-    here = Window.partitionBy("src_file", "block").orderBy("src_pos").rowsBetween(Window.unboundedPreceding, -1)
-    whole = (F.col("before") + F.coalesce(F.sum("rest").over(here), F.lit(0))) % unit == 0
-    cut = cut.join(blocks, ["src_file", "block"]).withColumn("head", F.when(whole, F.col("src_pos")))
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("sum").over(earlier), F.lit(0)) % unit)
+    cut = written(pieces.where(rest > 0).select("*", F.col("src_pos.block").alias("block"), row.alias("row"), rest.alias("rest")), "pieces")
+    here = Window.partitionBy("src_file", "block").orderBy("row")
+    after = (F.col("before") + F.sum("rest").over(here)) % unit
+    marks = cut.select("src_file", "block", "row", "rest").join(F.broadcast(blocks), ["src_file", "block"]).select(
+        "src_file", "block", "row", after.alias("after"), (F.pmod(after - F.col("rest"), F.lit(unit)) == 0).alias("whole"),
+        F.coalesce(F.lead("row").over(here) - 1, "hi").alias("upto"), F.lag("row").over(here).isNull().alias("first"))
+    marks = written(marks, "marks")
+    # rows inside a code unit that are no marks: after a mark, or before the first one of a split
+    heads = marks.where("first").select("src_file", "block", (F.col("row") - 1).alias("upto"))
+    starts = blocks.where("before > 0").join(heads, ["src_file", "block"], "left").select(
+        "src_file", (F.col("lo") - 1).alias("row"), F.coalesce("upto", "hi").alias("upto"))
+    gaps = marks.where("after > 0").select("src_file", "row", "upto").unionByName(starts).where("upto > row")
+    cut = cut.join(marks.select("src_file", "row", "whole"), ["src_file", "row"]).select(
+        "src_file", "src_pos", "line", "block", F.when(F.col("whole"), F.col("src_pos")).alias("head"))
+    kept = pieces.where(rest == 0)
+    if not gaps.isEmpty():
+        inside = written(gaps.select("src_file", F.explode(F.sequence(F.col("row") + 1, F.col("upto"))).alias("row")), "inside")
+        kept = kept.withColumn("row", row)
+        between = kept.join(inside, ["src_file", "row"]).select(
+            "src_file", "src_pos", "line", F.col("src_pos.block").alias("block"), F.lit(None).cast(cut.schema["head"].dataType).alias("head"))
+        kept = kept.join(inside, ["src_file", "row"], "left_anti").select(*pieces.columns)
+        cut = cut.unionByName(between)
     # a piece goes on the last one that began at a whole unit, in its split or before it
     last = cut.groupBy("src_file", "block").agg(F.max("head").alias("h"))
     last = last.select("src_file", "block", F.max("h").over(earlier).alias("carried"))
     upto = Window.partitionBy("src_file", "block").orderBy("src_pos").rowsBetween(Window.unboundedPreceding, 0)
-    cut = cut.withColumn("head", F.max("head").over(upto)).join(last, ["src_file", "block"])
-    cut = cut.withColumn("head", F.coalesce("head", "carried"))
+    cut = cut.withColumn("head", F.max("head").over(upto)).join(F.broadcast(last), ["src_file", "block"])
     end = F.lit("\n".encode(charset))
-    joined = cut.groupBy("src_file", "head").agg(F.sort_array(F.collect_list(F.struct("src_pos", "line"))).alias("x")).select(
+    joined = cut.groupBy("src_file", F.coalesce("head", "carried").alias("head")).agg(F.sort_array(F.collect_list(F.struct("src_pos", "line"))).alias("x")).select(
         "src_file", F.col("head").alias("src_pos"),
         F.aggregate(F.slice("x", 2, F.size("x")), F.element_at("x", 1)["line"], lambda a, p: F.concat(a, end, p["line"])).alias("line"))
-    return pieces.where(~named).unionByName(joined)
+    return kept.unionByName(joined)
 
 
 def wide_lines(spark: SparkSession, paths: Sequence[str], charset: str) -> DataFrame:
