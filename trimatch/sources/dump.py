@@ -148,7 +148,7 @@ def with_layout(parsed: DataFrame, layout: int | None = None) -> DataFrame:
     rows = _values_rows(parsed)
     if layout is not None:
         return rows.withColumn("layout", F.lit(layout))
-    return rows.join(file_layouts(parsed), "src_file")
+    return rows.join(F.broadcast(file_layouts(parsed)), "src_file")     # one row a file: no shuffle by file
 
 
 def order_rows(parsed: DataFrame, layout: int | None = None) -> DataFrame:
