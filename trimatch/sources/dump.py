@@ -196,7 +196,7 @@ def repaired_delivery_rows(parsed: DataFrame, share: float = 0.5) -> DataFrame:
     put right in every file that :func:`shifted_files` marks."""
     rows = delivery_rows(parsed)
     swap = F.col("swapped") & (F.col("layout") == 7)
-    return rows.join(shifted_files(parsed, share), "src_file").withColumns({
+    return rows.join(F.broadcast(shifted_files(parsed, share)), "src_file").withColumns({
         "order_no": F.when(swap, F.col("item_code")).otherwise(F.col("order_no")),
         "item_code": F.when(swap, F.col("order_no")).otherwise(F.col("item_code"))}).select(rows.columns)
 
