@@ -249,7 +249,7 @@ def rows_with_header(spark: SparkSession, lines: DataFrame, default: Sequence[st
     need = width if pad_from is None else F.when(width > pad_from, pad_from).otherwise(width)
     heads = heads.select("src_file", need.alias("__need"), places(False).alias("__at"),
                          (places(True) if pad_from is not None else F.lit(None).cast("array<int>")).alias("__short"))
-    rows = _values_rows(parsed).join(heads, "src_file").where(F.col("n_values") >= F.col("__need"))
+    rows = _values_rows(parsed).join(F.broadcast(heads), "src_file").where(F.col("n_values") >= F.col("__need"))
     at = F.col("__at") if pad_from is None else F.when(F.col("n_values") == pad_from, F.col("__short")).otherwise(F.col("__at"))
     place = rows.withColumn("__at", at)
     return place.select(*[F.get("vals", F.get("__at", i)).alias(n) for i, n in enumerate(names)],
