@@ -31,12 +31,12 @@ def shift_flags(df: DataFrame, col2: str = "order_no", col5: str = "item_code",
 def repair_shift(df: DataFrame, col2: str = "order_no", col5: str = "item_code",
                  file_col: str = "src_file", share: float = 0.5) -> DataFrame:
     """Swap columns 2 and 5 in every file the flags mark.  The flag table has
-    one row per input file; Spark broadcasts it when its size allows.  With a
+    one row per input file and is broadcast: rows are never shuffled by file.  With a
     ``layout`` column only the 7-value rows count and change, in one pass over
     the rows."""
     seven = F.col("layout") == 7 if "layout" in df.columns else F.lit(True)
     flags = shift_flags(df.where(seven), col2, col5, file_col, share).select(file_col, "swapped")
-    j = df.join(flags, file_col, "left")
+    j = df.join(F.broadcast(flags), file_col, "left")
     sw = F.coalesce(F.col("swapped"), F.lit(False)) & seven
     return j.withColumns({
         col2: F.when(sw, F.col(col5)).otherwise(F.col(col2)),
