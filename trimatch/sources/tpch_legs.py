@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trimatch.functions.numbers import MONEY
+from trimatch.operators.numbering import written
 from trimatch.sources.dump import DELIVERY_COLS_7, DELIVERY_COLS_8, ORDER_COLS_11, ORDER_COLS_13
 
 # Fixed values of the derivation (FIXTURES.md §3).
@@ -182,6 +183,15 @@ def legs(spark: SparkSession, sf_dir: str, type_codes: bool = False) -> Legs:
     return Legs(order_leg(base), delivery_leg(base), invoice_leg(base, type_codes))
 
 
+def shared_legs(spark: SparkSession, sf_dir: str, type_codes: bool = False) -> Legs:
+    """:func:`legs` for a query that reads several legs, or one several times:
+    the tables are joined once, into a written line table."""
+    if sf_dir in _STAGED:
+        return legs(spark, sf_dir, type_codes)
+    base = written(base_lines(spark, sf_dir), "lines")
+    return Legs(order_leg(base), delivery_leg(base), invoice_leg(base, type_codes))
+
+
 def stage_legs(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Legs:
     """Stage the legs as Parquet in the shared checkpoint folder, like staging
     the parsed extracts of a period: the tables are joined once into a line
@@ -273,43 +283,51 @@ def invoice_with_source_headers(invoices: DataFrame) -> DataFrame:
 
 # --- legs as dump lines -------------------------------------------------------
 
-def values_lines(df: DataFrame, cols: list[str] | tuple[str, ...], names=()) -> DataFrame:
-    """``(src_file, src_pos, line)``: rows as VALUES lines of the given columns."""
+def _with_tokens(df: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFrame:
+    """``df`` with the tokens of the given columns, each made once however many
+    kinds of line hold it."""
     kinds = dict(df.dtypes)
 
     def token(c: str) -> Column:
         v = F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kinds[c].startswith("timestamp") else F.col(c).cast("string")
-        return F.when(v.isNull(), F.lit("NULL")).otherwise(F.concat(F.lit("'"), v, F.lit("'")))
-    line = F.concat(F.lit("VALUES ("), F.concat_ws(", ", *[token(c) for c in cols]), F.lit(");"))
-    return df.select("src_file", "src_pos", line.alias("line"), *names)
+        return F.coalesce(F.concat(F.lit("'"), v, F.lit("'")), F.lit("NULL"))
+    return df.withColumns({f"__t_{c}": token(c) for c in cols})
+
+
+def _line(cols: list[str] | tuple[str, ...]) -> Column:
+    return F.concat(F.lit("VALUES ("), F.concat_ws(", ", *[F.col(f"__t_{c}") for c in cols]), F.lit(");"))
+
+
+def values_lines(df: DataFrame, cols: list[str] | tuple[str, ...], names=()) -> DataFrame:
+    """``(src_file, src_pos, line)``: rows as VALUES lines of the given columns."""
+    return _with_tokens(df, cols).select("src_file", "src_pos", _line(cols).alias("line"), *names)
 
 
 def order_dump(orders: DataFrame) -> DataFrame:
     """The two order files as lines; every late row whose position divides by
-    101 lacks its last value."""
-    early, late = order_extracts(orders)
-    full = values_lines(late, ORDER_COLS_13)
-    short = values_lines(late.where(F.col("src_pos") % 101 == 0), ORDER_COLS_13[:12])
-    return (values_lines(early, ORDER_COLS_11)
-            .unionByName(full.where(F.col("src_pos") % 101 != 0)).unionByName(short))
+    101 lacks its last value.  One pass over the orders."""
+    month, at = F.month("create_time"), F.col("src_pos")
+    line = F.when(month <= 9, _line(ORDER_COLS_11)).when(at % 101 == 0, _line(ORDER_COLS_13[:12])).otherwise(_line(ORDER_COLS_13))
+    rows = orders.where((month <= 9) | (month.isNotNull() & at.isNotNull()))
+    return _with_tokens(rows, ORDER_COLS_13).select("src_file", "src_pos", line.alias("line"))
 
 
 def delivery_dump(deliveries: DataFrame) -> DataFrame:
     """Deliveries as lines: 8 values with a main order number, else 7."""
-    eight = values_lines(deliveries.where(F.col("main_no").isNotNull()), DELIVERY_COLS_8)
-    return eight.unionByName(values_lines(deliveries.where(F.col("main_no").isNull()), DELIVERY_COLS_7))
+    line = F.when(F.col("main_no").isNotNull(), _line(DELIVERY_COLS_8)).otherwise(_line(DELIVERY_COLS_7))
+    return _with_tokens(deliveries, DELIVERY_COLS_8).select("src_file", "src_pos", line.alias("line"))
 
 
 def headed_dump(orders: DataFrame) -> DataFrame:
     """The order files, each with its own header line: the early one names its
     11 columns, the late one has none that names columns."""
-    spark = orders.sparkSession
-    early, late = order_extracts(orders)
+    spark, month = orders.sparkSession, F.month("create_time")
     heads = spark.createDataFrame(
         [("orders_01_09.sql", -1, f"INSERT INTO orders ({', '.join(ORDER_COLS_11)}) VALUES"),
          ("orders_10_12.sql", -1, "INSERT INTO orders VALUES")], "src_file string, src_pos long, line string")
-    return heads.unionByName(values_lines(early, ORDER_COLS_11)).unionByName(
-        values_lines(late, ORDER_COLS_13[:9] + ORDER_COLS_13[10:12]))
+    line = F.when(month <= 9, _line(ORDER_COLS_11)).otherwise(_line(ORDER_COLS_13[:9] + ORDER_COLS_13[10:12]))
+    rows = _with_tokens(orders.where(month.isNotNull()), ORDER_COLS_13).select("src_file", "src_pos", line.alias("line"))
+    return heads.unionByName(rows)
 
 
 def with_missing_keys(lg: Legs) -> Legs:
