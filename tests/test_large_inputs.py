@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from trimatch.operators.repair import repair_shift
 from trimatch.plans import queries as Q
-from trimatch.session import checkpoint_dir
 from trimatch.sources import dump
 from trimatch.sources import tpch_legs as L
 
@@ -21,8 +20,8 @@ def _set(spark, conf):
     return before
 
 
-def _folders(spark, name):
-    return set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/{name}-*"))
+def _folders(folder, name):
+    return [f for f in glob.glob(f"{folder}/{name}-*") if "values" not in f]
 
 
 def test_rows_are_not_shuffled_by_file(spark):
@@ -40,12 +39,12 @@ def test_rows_are_not_shuffled_by_file(spark):
         _set(spark, before)
 
 
-def test_folder_of_dumps_is_written_in_ranges(spark):
+def test_folder_of_dumps_is_written_in_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("trimatch.operators.numbering.checkpoint_dir", lambda _: str(tmp_path))
     before = _set(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"})
     try:
-        old = _folders(spark, "months")
         got = {tuple(r) for r in Q.first_value_folder(spark, SF).collect()}
-        (folder,) = (f for f in _folders(spark, "months") - old if "values" not in f)
+        (folder,) = _folders(tmp_path, "months")
         assert len(glob.glob(f"{folder}/f=03/part-*")) > 1          # no task holds a whole file
         k = F.col("src_pos")
         place = F.struct(F.when(k % 97 == 0, 1).when(k % 7 == 0, 2).otherwise(3), k)
@@ -56,14 +55,14 @@ def test_folder_of_dumps_is_written_in_ranges(spark):
         _set(spark, before)
 
 
-def test_only_false_cuts_are_shuffled(spark, tmp_path):
+def test_only_false_cuts_are_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("trimatch.operators.numbering.checkpoint_dir", lambda _: str(tmp_path / "work"))
     lines = [f"row {i} " + "x" * (i % 7) for i in range(4000)]
     lines[17] = f"a{TRAP}b"
     lines[2500] = f"a{TRAP}{TRAP}b"
     (tmp_path / "d.sql").write_bytes("".join(x + "\n" for x in lines).encode("UTF-16LE"))
-    old = _folders(spark, "pieces")
-    got = dump.read_lines(spark, str(tmp_path), "UTF-16LE").orderBy("src_pos").collect()
-    (pieces,) = _folders(spark, "pieces") - old
+    got = dump.read_lines(spark, str(tmp_path / "d.sql"), "UTF-16LE").orderBy("src_pos").collect()
+    (pieces,) = _folders(tmp_path / "work", "pieces")
     assert [r["line"] for r in got] == lines
     assert spark.read.parquet(pieces).count() == 4                  # of 4003: the two ends at each trapped line
 
@@ -88,3 +87,10 @@ def test_dump_builders_read_the_legs_once(spark):
     for df, of in ((L.order_dump(lg.orders), lg.orders), (L.delivery_dump(lg.deliveries), lg.deliveries), (L.headed_dump(lg.orders), lg.orders)):
         scans = [x._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") for x in (df, of)]
         assert scans[0] == scans[1]
+
+
+def test_shared_legs_join_the_tables_once(spark):
+    lg = L.shared_legs(spark, SF)
+    for df, want in zip((lg.orders, lg.deliveries, lg.invoices), (L.legs(spark, SF).orders, L.legs(spark, SF).deliveries, L.legs(spark, SF).invoices), strict=True):
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()

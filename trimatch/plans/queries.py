@@ -456,8 +456,9 @@ def dump_rejected(spark, sf_dir):
 
 def dump_profile(spark, sf_dir):
     """Widths and shift marks of the order and the shifted delivery files."""
-    orders = dump.file_profile(_parsed_orders(spark, sf_dir))
-    shifted = L.shifted_delivery_file(_legs(spark, sf_dir).deliveries)
+    lg = L.shared_legs(spark, sf_dir)
+    orders = dump.file_profile(dump.stage_parse(L.order_dump(lg.orders), "orders"))
+    shifted = L.shifted_delivery_file(lg.deliveries)
     return orders.unionByName(dump.file_profile(dump.stage_parse(L.values_lines(shifted, dump.DELIVERY_COLS_7), "deliveries")))
 
 
