@@ -71,7 +71,8 @@ def _legs(spark, sf_dir, type_codes=False):
 
 
 def _oms(spark, sf_dir, spec=OMS, carry=False):
-    lg = _legs(spark, sf_dir)
+    # attributes make the legs wide: then the tables are joined once for all three
+    lg = L.shared_legs(spark, sf_dir) if carry else _legs(spark, sf_dir)
     return R.reconcile(lg.orders, lg.deliveries, lg.invoices, spec, carry)
 
 
