@@ -349,6 +349,74 @@ def test_language_model_is_a_distribution(spark):
     assert total == pytest.approx(np.ones(9), abs=1e-3)
 
 
+def test_a_word_given_its_class_depends_on_the_context(spark):
+    # "wbar" and "vbar" end alike and are no class of their own: only the word before tells them apart
+    rng = random.Random(3)
+    fill = [f"f{k:02d}" for k in range(30)]
+    pair = lambda: [rng.choice(["one wbar", "two vbar"])] * (rng.random() < 0.2)
+    texts = {i: " ".join(w for _ in range(20) for w in (*pair(), *rng.sample(fill, 4))) for i in range(300)}
+    held = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    texts |= {held[0]: "one wbar", held[1]: "one vbar", held[2]: "two vbar", held[3]: "two wbar"}
+    got = by_id(maxent.model_scores(documents(spark, texts)))
+    right, wrong = got[held[0]].score + got[held[2]].score, got[held[1]].score + got[held[3]].score
+    assert right > wrong + 1
+    assert got[held[0]].base_score + got[held[2]].base_score == pytest.approx(got[held[1]].base_score + got[held[3]].base_score)
+
+
+@pytest.mark.parametrize("known", [1 << 18, 60, 1])
+def test_words_of_a_class_share_one_in_any_context(spark, known):
+    docs = documents(spark, lm_texts()).select("doc_id", "text")
+    counts = maxent.staged(maxent.count_words(docs), "test-counts")
+    vocab = maxent.vocabulary(counts, known)
+    by_class, by_word = maxent.two_tables(maxent.train(docs, vocab, rounds=1))
+    keys = maxent.context_keys(np.arange(5, dtype=np.uint64), np.zeros(5, np.int64))
+    # all leaves: the known words and the rest of each class that has one
+    own = vocab.classes(vocab.known, np.array([{r.wh: r.ending for r in counts.collect()}[int(h)] for h in vocab.known.view(np.int64)]))[0]
+    rest = np.flatnonzero(vocab.rest > 0)
+    leaf = np.concatenate([np.arange(len(own)), len(own) + rest])
+    cls = np.concatenate([own, rest])
+    assert vocab.rest.min() >= 0 and vocab.rest.sum() + vocab.count.sum() == vocab.total
+    unlike = 0
+    for k in range(5):
+        at, node, taken = vocab.steps(leaf)
+        rows = maxent.word_rows(np.repeat(keys[:, k:k + 1], len(leaf), axis=1), at, node)
+        p = maxent.softmax(by_word, vocab.node_bias[node], rows)
+        assert maxent.softmax_of(maxent.exponentials(by_word), np.exp(vocab.node_bias)[node], rows) == pytest.approx(p, abs=1e-3)
+        share = np.exp(np.bincount(at, np.log(p[np.arange(len(p)), taken]), len(leaf)))
+        total = np.bincount(cls, share, maxent.CLASSES)
+        assert total[np.unique(cls)] == pytest.approx(np.ones(len(np.unique(cls))), abs=1e-3)
+        unlike += not k or np.abs(share - before).max() > 0.01
+        before = share
+    assert unlike == 5 or known == 1
+    # the weights started from the words' frequencies
+    count = np.concatenate([vocab.count, vocab.rest[rest]])
+    at, node, taken = vocab.steps(leaf)
+    flat = np.exp(np.bincount(at, vocab.node_bias[node, taken], len(leaf)))
+    assert flat == pytest.approx(count / vocab.mass[cls], rel=1e-4)
+
+
+def test_known_words_are_found_at_any_number_of_them():
+    rng = np.random.default_rng(4)
+    none = np.zeros(0)
+    for n in (0, 1, 2, 3, 100, 5000):
+        known = np.sort(np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)))
+        vocab = maxent.Vocabulary(known, *[none] * 2, 0, 0, *[none] * 6)
+        h = np.concatenate([known, known + np.uint64(1), known - np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)])
+        at, there = vocab.look(h)
+        assert (there == np.isin(h, known)).all() and (not n or (known[at[there]] == h[there]).all())
+
+
+def test_sums_of_runs_of_any_length():
+    rng = np.random.default_rng(5)
+    n = maxent.LONG_RUN
+    count = np.array([5 * n, n + 1, 3 * n, n, n - 1, 7, 2, 2, 1])
+    rows = rng.random((count.sum(), 16)).astype(np.float32)
+    order = rng.permutation(len(rows))
+    begin = np.cumsum(count) - count
+    got = maxent._sum_runs(rows, order, begin, count, maxent.Room(16))
+    assert got == pytest.approx(np.add.reduceat(rows[order].astype(float), begin, axis=0), rel=1e-5)
+
+
 def test_language_model_empty(spark):
     assert maxent.model_scores(documents(spark, [])).count() == 0
 
