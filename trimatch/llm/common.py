@@ -115,13 +115,10 @@ BLANK = byte_set((0x20, 0x20), (0x09, 0x0D))
 #: Bytes that part alphanumeric words (all ASCII but digits and lower-case letters).
 NOT_WORD = byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-
 def lower(buf: np.ndarray) -> np.ndarray:
     """Lower-case A-Z only."""
-    return _LOWER[buf]
+    capital = (buf - np.uint8(65)) < np.uint8(26)
+    return buf + (capital.view(np.uint8) << np.uint8(5))
 
 
 def words(buf: np.ndarray, offs: np.ndarray, sep: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,7 +127,7 @@ def words(buf: np.ndarray, offs: np.ndarray, sep: np.ndarray = BLANK) -> tuple[n
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
     inside = np.zeros(len(buf) + 2, bool)
-    inside[1:-1] = ~sep[buf]
+    inside[1:-1] = np.take(~sep, buf)
     begin = inside[1:-1] & ~inside[:-2]
     end = inside[1:-1] & ~inside[2:]
     cut = offs[1:-1]

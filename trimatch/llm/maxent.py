@@ -67,6 +67,8 @@ BLOCK = 1 << 20
 _U = np.uint64
 END_HASH = _U(0x5BD1E9955BD1E995)
 START_HASH = _U(0x1B873593CC9E2D51)
+#: Ending class by a word's last byte and the one before it.
+_ENDING = ((np.arange(256)[:, None] * 131 + np.arange(256)) * 2654435761 >> 7).reshape(-1) % ENDINGS
 
 
 def tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,9 +86,8 @@ def tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     h[last] = END_HASH
     h[is_word] = word_hashes(buf, starts, ends)
     if len(starts):
-        one = buf[ends - 1].astype(np.int64)
-        two = np.where(ends - starts > 1, buf[ends - 2], 0).astype(np.int64)
-        ending[is_word] = ((one * 131 + two) * 2654435761 >> 7) % ENDINGS
+        two = np.where(ends - starts > 1, np.take(buf, ends - 2, mode="clip"), 0)
+        ending[is_word] = np.take(_ENDING, np.take(buf, ends - 1).astype(np.int64) << 8 | two)
     return h, ending, doc, np.concatenate([[0], last + 1])
 
 
@@ -96,8 +97,7 @@ def context_keys(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     for lag in (1, 2, 3):
         b = np.full(len(h), START_HASH)
         if len(h) > lag:
-            same = doc[lag:] == doc[:-lag]
-            b[lag:][same] = h[:-lag][same]
+            b[lag:] = np.where(doc[lag:] == doc[:-lag], h[:-lag], START_HASH)
         back.append(b)
     p1, p2, p3 = back
     return np.stack([mix(k) for k in (p1, p1 * _U(0x9E3779B97F4A7C15) + p2, p2 + _U(1), p3 + _U(2))])
@@ -183,10 +183,10 @@ class Vocabulary:
         """All steps from leaves up to their class: token, node and branch taken."""
         token, found = np.arange(len(leaf)), []
         while len(leaf):
-            node = self.up[leaf]
-            on = node >= 0
-            token, node, leaf = token[on], node[on], leaf[on]
-            found.append((token, node, self.branch[leaf]))
+            node = np.take(self.up, leaf)
+            on = np.flatnonzero(node >= 0)
+            token, node, leaf = np.take(token, on), np.take(node, on), np.take(leaf, on)
+            found.append((token, node, np.take(self.branch, leaf)))
             leaf = node + (len(self.known) + CLASSES)
         none = np.zeros(0, np.int64)
         token, node, taken = map(np.concatenate, zip(*found)) if found else (none, none, none)
@@ -395,7 +395,7 @@ def descend(weights: np.ndarray, visits: np.ndarray, bias: np.ndarray, rows: np.
             room: Room) -> None:
     """One gradient step on a minibatch; ``weights`` change in place.
     ``bias``: one for all, or one for each column of ``rows``."""
-    width, size = weights.shape[1], len(weights) // len(rows)
+    width = weights.shape[1]
     err = room.get("err", len(y))
     some = SLICE * CLASSES // width
     for k in range(0, len(y), some):
@@ -403,22 +403,22 @@ def descend(weights: np.ndarray, visits: np.ndarray, bias: np.ndarray, rows: np.
         softmax(weights, bias if bias.ndim == 1 else bias[s], rows[:, s], err[s], room.get("part", len(y[s])))
     err.reshape(-1)[np.arange(0, err.size, width) + y] -= 1
     whole = weights.view(f"V{weights.itemsize * width}")[:, 0]     # a row as one value: set faster
-    for feature, f in enumerate(rows):
-        f = (f - feature * size).astype(np.uint16)
-        order = np.argsort(f, kind="stable")
-        f = f[order]
-        begin = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-        cnt = np.diff(np.append(begin, len(f)))
-        longest = np.argsort((LONG_RUN - np.minimum(cnt, LONG_RUN)).astype(np.uint8), kind="stable")
-        begin, cnt = begin[longest], cnt[longest]
-        u = f[begin].astype(np.int64) + feature * size
-        g = _sum_runs(err, order, begin, cnt, room)
-        seen = visits[u] + cnt
-        visits[u] = seen
-        g *= (rate / np.sqrt(cnt * (1 + seen / 64.0))).astype(np.float32)[:, None]
-        new = np.take(weights, u, axis=0, mode="clip", out=room.get("part", len(u)))
-        new -= g
-        whole[u] = new.view(whole.dtype)[:, 0]
+    f = rows.reshape(-1).astype(np.uint16)         # at most 65536 rows
+    order = np.argsort(f, kind="stable")
+    f = np.take(f, order)
+    order = np.take(np.tile(np.arange(len(y)), len(rows)), order)
+    begin = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
+    cnt = np.diff(np.append(begin, len(f)))
+    longest = np.argsort((LONG_RUN - np.minimum(cnt, LONG_RUN)).astype(np.uint8), kind="stable")
+    begin, cnt = begin[longest], cnt[longest]
+    u = f[begin].astype(np.int64)
+    g = _sum_runs(err, order, begin, cnt, room)
+    seen = visits[u] + cnt
+    visits[u] = seen
+    g *= (rate / np.sqrt(cnt * (1 + seen / 64.0))).astype(np.float32)[:, None]
+    new = np.take(weights, u, axis=0, mode="clip", out=room.get("part", len(u)))
+    new -= g
+    whole[u] = new.view(whole.dtype)[:, 0]
 
 
 def train_block(weights: np.ndarray, visits: tuple[np.ndarray, np.ndarray], vocab: Vocabulary, keys: np.ndarray,
