@@ -178,7 +178,10 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return np.zeros(0, np.uint64)
     up, down = _BYTES.get(len(buf) + 1)
     pre = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((buf.astype(np.uint64) + _U(1)) * up[:-1], out=pre[1:])
+    each = buf.astype(np.uint64)
+    each += _U(1)
+    each *= up[:-1]
+    np.cumsum(each, out=pre[1:])
     return mix((pre[ends] - pre[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _BASE)
 
 

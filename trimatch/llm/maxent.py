@@ -36,7 +36,7 @@ read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 from heapq import heapify, heappop, heappush
 
@@ -164,18 +164,24 @@ class Vocabulary:
     @cached_property
     def _first(self) -> tuple[np.uint64, np.ndarray]:
         """First known word (clipped) at or above each value of the top bits."""
-        bits = len(self.known).bit_length() + 1
+        bits = len(self.known).bit_length()
         shift = _U(64 - bits)
         n = np.bincount((self.known >> shift).astype(np.int64), minlength=1 << bits)
-        return shift, np.minimum(np.cumsum(n) - n, len(self.known) - 1)
+        return shift, np.minimum(np.cumsum(n) - n, len(self.known) - 1).astype(np.int32)
 
     def classes(self, h: np.ndarray, ending: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, there = self.look(h)
         cls = np.where(ending < 0, 0, 1 + SINGLES + ending)
-        own = self.single[at] if len(self.single) else np.zeros(len(h), np.int64)
+        own = self.single[at] if len(self.single) else np.zeros(len(h), np.int8)
         cls = np.where(there & (own > 0), own, cls)
         return cls, at, there
 
+    def without_words(self) -> Vocabulary:
+        """What the classes need: only words of a class of their own are known."""
+        own = self.single > 0
+        return replace(self, known=self.known[own], count=self.count[own], single=self.single[own], up=self.up[:0],
+                       branch=self.branch[:0], node_bias=self.node_bias[:0])
+
     def leaves(self, cls: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
         return np.where(there, at, len(self.known) + cls)
 
@@ -241,16 +247,15 @@ def softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, out: np.nda
     return z
 
 
-def softmax_of(factors: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The same from the exponentials of fixed weights and bias, as a product;
-    weights are held within +-16 (``exponentials``)."""
+def products(factors: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the exponentials of fixed weights and bias, as products
+    and their sums; weights are held within +-16 (``exponentials``)."""
     z = np.take(factors, rows[0], axis=0, mode="clip")
     part = np.empty_like(z)
     for r in rows[1:]:
         z *= np.take(factors, r, axis=0, out=part, mode="clip")
     z *= bias
-    z *= (1 / (z @ _ONES[:z.shape[1]]))[:, None]
-    return z
+    return z, z @ _ONES[:z.shape[1]]
 
 
 def exponentials(weights: np.ndarray) -> np.ndarray:
@@ -345,7 +350,7 @@ def vocabulary(counts: DataFrame, known: int = KNOWN) -> Vocabulary:
     for r in by_ending:
         k = 0 if r.ending < 0 else 1 + SINGLES + r.ending
         mass[k], once[k] = r.c, r.once
-    single = np.zeros(len(wh), np.int64)
+    single = np.zeros(len(wh), np.int8)
     chosen = [i for i in range(min(len(wh), SINGLES + 1)) if ending[i] >= 0][:SINGLES]
     for k, i in enumerate(chosen, 1):
         single[i] = k
@@ -367,6 +372,7 @@ class Room:
 
     def __init__(self, width: int) -> None:
         self.width, self.held = width, {}
+        self.some = SLICE * CLASSES // width        # rows that stay in the processor's cache
 
     def get(self, name: str, n: int) -> np.ndarray:
         if name not in self.held or len(self.held[name]) < n:
@@ -397,9 +403,8 @@ def descend(weights: np.ndarray, visits: np.ndarray, bias: np.ndarray, rows: np.
     ``bias``: one for all, or one for each column of ``rows``."""
     width = weights.shape[1]
     err = room.get("err", len(y))
-    some = SLICE * CLASSES // width
-    for k in range(0, len(y), some):
-        s = slice(k, k + some)
+    for k in range(0, len(y), room.some):
+        s = slice(k, k + room.some)
         softmax(weights, bias if bias.ndim == 1 else bias[s], rows[:, s], err[s], room.get("part", len(y[s])))
     err.reshape(-1)[np.arange(0, err.size, width) + y] -= 1
     whole = weights.view(f"V{weights.itemsize * width}")[:, 0]     # a row as one value: set faster
@@ -482,7 +487,8 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float
     fan = max(1, int(trainers ** 0.5))
     kind = "chunk int, grp int, v binary"
     for k in range(rounds):
-        sums = text.coalesce(trainers).mapInArrow(_train(vocab, weights, rate / (k + 1), fan, k == 0), kind) \
+        known = vocab if k == 0 else vocab.without_words()
+        sums = text.coalesce(trainers).mapInArrow(_train(known, weights, rate / (k + 1), fan, k == 0), kind) \
             .groupBy("chunk", "grp").applyInArrow(_add_up, kind) \
             .groupBy("chunk").applyInArrow(_add_up, kind)
         weights = weights.copy()
@@ -511,19 +517,16 @@ def _score(vocab: Vocabulary, weights: np.ndarray):
             cls, at, there = vocab.classes(h, ending)
             keys, leaf = context_keys(h, doc), vocab.leaves(cls, at, there)
             a, u = np.empty(len(h)), np.empty(len(h))
-            for i in range(0, len(h), SLICE):
-                s = slice(i, i + SLICE)
-                p = softmax_of(by_class, bias, class_rows(keys[:, s]))
-                a[s] = p[np.arange(len(p)), cls[s]]
-                u[s] = p @ share
-            a, u = np.log10(np.maximum(a, 1e-30)), np.log10(np.maximum(u, 1e-30))
-            a += keep[cls]
             for i in range(0, len(h), 2 * SLICE):
                 s = slice(i, i + 2 * SLICE)
+                p, total = products(by_class, bias, class_rows(keys[:, s]))
+                own = p[np.arange(len(p)), cls[s]] / total
+                u[s] = p @ share / total
                 token, node, taken = vocab.steps(leaf[s])
-                p = softmax_of(by_word, np.take(node_bias, node, axis=0), word_rows(keys[:, s], token, node))
-                p = np.maximum(p[np.arange(len(p)), taken], 1e-30)
-                a[s] += np.bincount(token, np.log10(p), len(a[s]))
+                p, total = products(by_word, np.take(node_bias, node, axis=0), word_rows(keys[:, s], token, node))
+                p = p[np.arange(len(p)), taken] / total
+                a[s] = np.log10(np.maximum(own, 1e-30)) + np.bincount(token, np.log10(np.maximum(p, 1e-30)), len(own))
+            a += keep[cls]
             a -= np.where(there, 0, log_rest[cls])
             n = len(offs) - 1
             # documents: all that the known words add
@@ -547,7 +550,7 @@ def _score(vocab: Vocabulary, weights: np.ndarray):
                 yield pa.RecordBatch.from_arrays([
                     rows.column("row_f").take(place), rows.column("row_i").take(place), pa.nulls(len(begin), pa.int64()), pa.array(rh[begin].view(np.int64)),
                     pa.array(cls[rare][begin].astype(np.int32)), pa.array(m), pa.array(np.zeros(len(begin), np.int64)), zero,
-                    pa.array(np.add.reduceat(a[rare], begin)), pa.array(np.add.reduceat(u[rare], begin))], names=own.schema.names)
+                    pa.array(np.add.reduceat(a[rare], begin)), pa.array(np.add.reduceat(np.log10(np.maximum(u[rare], 1e-30)), begin))], names=own.schema.names)
     return run
 
 
