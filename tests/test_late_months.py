@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from trimatch.plans import late_months
 from trimatch.plans import reconcile as R
 from trimatch.plans import spec as S
 from trimatch.plans.late_months import Match
@@ -162,3 +163,59 @@ def test_streamed_invoices_are_matched_as_they_land(spark, mk, tmp_path):
         schema = ", ".join(f"`{h}` string" for h in heads)
         match_invoice_stream(spark, str(drop), schema, match, checkpoint=str(tmp_path / "ck")).awaitTermination(120)
         assert {r.order_no for r in match.result().where(F.col("category") == S.FULL_MATCH).collect()} == classes
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_dealt_once(spark, mk, tmp_path):
+    """Only the rows of an update are shuffled; what merges, matches and reads
+    the stored totals goes by buckets."""
+    def legs(*orders):
+        return [mk.orders([{"sale_order_no": s, "item_code": "i", "pay_amount": 5, "item_num": 1} for s in orders]),
+                mk.deliveries([{"order_no": s, "item_code": "i", "shipped_qty": 1} for s in orders]),
+                mk.invoices([{"oms_order_no": s, "item_code": "i", "amount": 5, "qty": 1} for s in orders])]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        match = Match(spark, "m", S.OMS, base=str(tmp_path))
+        match.update("1", *legs(*"ABC"))
+        match.update("2", *legs(*"BD"))
+        commits = match._commits()
+        changed = match._layers("changed", [commits[0].result], [2], commits[-1].buckets).select("order_no", "item_code")
+        assert "Exchange" not in _plan(match.result()) and "Exchange" not in _plan(match._match(commits, changed))
+        assert sorted((r.order_no, int(r.invoice_qty)) for r in match.result().collect()) == [("A", 1), ("B", 2), ("C", 1), ("D", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    stored = [f for _, _, names in os.walk(tmp_path) for f in names if f.endswith(".parquet") and "_0" in f]
+    assert stored and all(".zstd." in f for f in stored)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("trimatch")]
+
+
+@pytest.mark.parametrize("shown", [(256, 64), (1, 3)], ids=["even", "hot"])
+def test_first_values_of_rows_that_hold_different_attributes(spark, mk, tmp_path, monkeypatch, shown):
+    monkeypatch.setattr(late_months, "SHOWN", shown)        # (1, 3): three rows make a key hot
+    at = iter(range(100))
+
+    def order(s, item, **kw):
+        return {"sale_order_no": s, "item_code": item, "pay_amount": 5, "item_num": 1, "src_pos": next(at), **kw}
+    first = [order("A", "7.0", order_status=None, main_order_no=None), order("A", "7", order_status="s1", main_order_no="m"),
+             order("A", "7", order_status="s2", platform_order_no="A"), order("A", "7.0", platform_order_no="P"),
+             order("B", "8", channel_name=None, order_status=None), order("C", None)]
+    later = [order("A", "7", main_order_no="late"), order("B", "8.0", channel_name="c", order_status="s3", platform_order_no="B"),
+             order("B", "8", order_status="s4"), order("B", "8", platform_order_no="Q")]
+    dlv = [{"order_no": o, "main_no": m, "item_code": "7", "shipped_qty": 1, "src_pos": n}
+           for n, (o, m) in enumerate([("A", None), ("SUB", "DDA"), ("A", "x"), ("DDA", None), ("B", None)])]
+    inv = [{"oms_order_no": o, "item_code": i, "amount": 5, "qty": 1, "src_pos": n, "remark": r, "item_name": w}
+           for n, (o, i, r, w) in enumerate([("A", "7", None, "w"), ("A", "7.0", "r", None), ("A", "7", "q", "v"), ("B", "8", None, None), ("DDA", "7", "r", "w")])]
+    legs = mk.orders(first), mk.deliveries(dlv), mk.invoices(inv)
+    match = Match(spark, "m", S.OMS, base=str(tmp_path))
+    match.update("1", *legs)
+    match.update("2", orders=mk.orders(later))
+    assert _rows(match.result()) == _rows(R.reconcile(mk.orders(first + later), *legs[1:], S.OMS))
+    totals = late_months.partial_totals(legs[0], "orders", S.OMS, 1, 8)
+    assert ("BroadcastHashJoin" in _plan(totals)) == (shown[0] == 1)
+    # a key's own text is not kept twice
+    assert totals.where("a_ord_sale_order_no IS NOT NULL").isEmpty()
+    assert totals.where("a_ord_platform_order_no = order_no OR a_ord_item_code = item_code").isEmpty()

@@ -23,11 +23,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later jobs see the
-    same rows in the same files, whichever executor is lost."""
+    same rows in the same files, whichever executor is lost.  ``codec`` is for
+    copies of whole inputs; without it the session's holds."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,12 +2,17 @@
 invoices change only the keys that they hold.
 
 Each update aggregates the new rows alone, to leg totals that still merge
-(sums before their last rounding, the earliest value of an attribute with its
-position), and stores them as a delta.  The keys of the delta are then merged
-over all deltas, matched and classified, and stored as newer rows of the
-result; :meth:`Match.result` takes the newest row of each key.  After
-``compact_after`` updates the deltas and the result are written as one again,
-so a read never meets more than that many layers.
+(sums before their last rounding, the earliest attributes with their position),
+and stores them as a delta.  The sums of the delta's keys are then merged over
+all deltas, matched and classified, and stored as newer rows of the result;
+:meth:`Match.result` takes the newest row of each key and adds the attributes,
+merged over the deltas when they are read.  After ``compact_after`` updates the
+deltas and the result are written as one again, so a read never meets more than
+that many layers.
+
+Rows move once, when a delta is made: deltas, changed keys and result rows are
+written in buckets of the key, as many as there were shuffle partitions at the
+first update, and what reads them merges and joins bucket by bucket.
 
 The result equals :func:`trimatch.plans.reconcile.reconcile` over all rows so
 far, updates standing in the order of their arrival.  The OMS invoice-type
@@ -24,13 +29,17 @@ late order can map any earlier invoice.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from trimatch.functions.codes import delivery_order_no
 from trimatch.functions.numbers import safe_number
@@ -41,13 +50,21 @@ from trimatch.operators.join import KEYS, three_way_match, uninvoiced
 from trimatch.plans import reconcile as R
 from trimatch.plans import spec as S
 from trimatch.plans.spec import SourceSpec
+from trimatch.sources.files import qualified
 from trimatch.sources.increments import committed
 from trimatch.sources.staging import stage_path
 
 LEGS = ("orders", "deliveries", "invoices")
 COMMIT = ("version int, batch string, code_rows long, type_rows long, totals_from int, result_from int, "
-          "orders string, deliveries string, invoices string")
+          "orders string, deliveries string, invoices string, result string, buckets int")
 RULES = ["by_code", "by_text"]
+ATTRIBUTES = ("ord_", "dlv_", "inv_")
+CARRY = {"OMS": dict(zip(LEGS, (R.ORDER_CARRY_OMS, R.DELIVERY_CARRY_OMS, R.INVOICE_CARRY_OMS), strict=True)),
+         "DMS": dict(zip(LEGS, (R.ORDER_CARRY_DMS, R.DELIVERY_CARRY_DMS, R.INVOICE_CARRY_DMS), strict=True))}
+# One row in so many is looked at for keys with many rows; so many of them make one.
+SHOWN = (256, 64)
+# The key that a column's text mostly is.
+KEY_OF = dict.fromkeys(("sale_order_no", "platform_order_no", "order_no", "main_no", "external_order_no", "oms_order_no"), "order_no") | {"item_code": "item_code"}
 
 
 @dataclass(frozen=True)
@@ -95,10 +112,18 @@ def _invoices(df: DataFrame, spec: SourceSpec) -> Leg:
 PLANS = {"orders": _orders, "deliveries": _deliveries, "invoices": _invoices}
 
 
-def partial_totals(df: DataFrame, leg: str, spec: SourceSpec, version: int) -> DataFrame:
-    """Totals of new rows, one row a key (and rule), that can be merged:
-    rounded lines as whole cents, others as decimals; an attribute as its
-    earliest (position, value).  Positions start with the version."""
+def partial_totals(df: DataFrame, leg: str, spec: SourceSpec, version: int, buckets: int) -> DataFrame:
+    """Totals of new rows that can be merged: rounded lines as whole cents,
+    others as decimals; the attributes of the earliest row with its position,
+    which starts with the version.  One row a key (and rule); where each
+    attribute is to be the first that is not NULL, one row a key, rule and set
+    of attributes that are ``held``: among rows that hold the same ones, the
+    earliest row has the earliest value of each.  There, the text of a column
+    that the key is made of is left out where it equals the key.
+
+    Rows are dealt by the key alone, as the buckets are, and then aggregated:
+    few keys have several.  Those that show up often among a few of the rows
+    are aggregated where they are read, before they are dealt."""
     plan = PLANS[leg](df, spec)
     missing = [m for m in plan.sums.values() if m not in plan.rows.columns]
     if missing:
@@ -109,37 +134,68 @@ def partial_totals(df: DataFrame, leg: str, spec: SourceSpec, version: int) -> D
     for out, col in plan.sums.items():
         v = safe_number(col, types[col])
         measure[out] = (F.round(v, 2) * 100).cast("long") if spec.round_before_sum else v
-    rules = RULES if leg == "invoices" else []
-    keyed = plan.rows.select(plan.order_no.alias("order_no"), R._item(spec, plan.rows).alias("item_code"), *rules,
-                             *[v.alias(f"m_{out}") for out, v in measure.items()], *[F.col(c).alias(f"a_{out}") for out, c in carry.items()],
-                             F.struct(F.lit(version).alias("version"), F.col("src_pos").alias("at")).alias("pos"))
+    by = list(RULES) if leg == "invoices" else []
+    key = {"order_no": plan.order_no, "item_code": R._item(spec, plan.rows)}
+    values = {out: F.col(col) for out, col in carry.items()}
+    held = []
+    if plan.first == "non_null":
+        held = [reduce(add, [F.when(values[out].isNotNull(), bit).otherwise(0) for out, bit in _bits(plan.carry).items() if out in carry], F.lit(0)).alias("held")]
+        by.append("held")
+        values |= {out: F.nullif(values[out], key[KEY_OF[col]]) for out, col in carry.items() if col in KEY_OF and types[col] == StringType()}
+    keyed = plan.rows.select(*[c.alias(name) for name, c in key.items()], *(RULES if leg == "invoices" else []), *held,
+                             *[v.alias(f"m_{out}") for out, v in measure.items()], *[v.alias(f"a_{out}") for out, v in values.items()],
+                             F.col("src_pos").alias("pos"))
     keyed = keyed.where(F.col("order_no").isNotNull() & F.col("item_code").isNotNull())
-    sums = [F.sum(f"m_{out}").alias(f"m_{out}") for out in measure]
-    return keyed.groupBy(*KEYS, *rules).agg(*sums, *_earliest(carry, plan.first))
+    few = keyed.where(F.pmod(F.xxhash64("pos"), F.lit(SHOWN[0])) == 0)
+    hot = few.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHOWN[1]).select(*KEYS)
+    found = hot.collect()       # at most one key in 16,384 rows
+    if not found:
+        out = merged_totals(keyed.repartition(buckets, *KEYS), by)
+    else:
+        hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+        rest = merged_totals(keyed.join(hot, KEYS, "left_anti").repartition(buckets, *KEYS), by)
+        out = rest.unionByName(merged_totals(keyed.join(hot, KEYS, "left_semi"), by))
+    return out.withColumn("pos", F.struct(F.lit(version).alias("version"), F.col("pos").alias("at")))
 
 
-def _earliest(carry: Sequence[str], first: str) -> list[Column]:
-    if first == "row":
-        return [F.min(F.struct("pos", *[F.col(f"a_{out}") for out in carry])).alias("row")] if carry else []
-    return [F.min(F.when(F.col(f"a_{out}").isNotNull(), F.struct("pos", F.col(f"a_{out}").alias("value")))).alias(f"a_{out}") for out in carry]
+def _bits(carry: Sequence[str]) -> dict[str, int]:
+    """The bit of ``held`` that says that an attribute is not NULL."""
+    return {out: 1 << n for n, out in enumerate(carry)}
 
 
-def merged_totals(deltas: DataFrame, spec: SourceSpec, by: Sequence[str] = ()) -> DataFrame:
+def merged_totals(deltas: DataFrame, by: Sequence[str]) -> DataFrame:
     """Deltas as one, still mergeable."""
-    out = [c for c in deltas.columns if c.startswith(("m_", "a_", "row"))]
-    return deltas.groupBy(*KEYS, *by).agg(*[(F.sum(c) if c.startswith("m_") else F.min(c)).alias(c) for c in out])
+    types = dict(deltas.dtypes)
+    measures = [c for c in types if c.startswith("m_")]
+    sums = [F.sum(c) for c in measures]     # of decimals as wide as they get, so that layers have one type
+    sums = [(v.cast(f"decimal(38,{types[c].rstrip(')').split(',')[1]})") if types[c].startswith("decimal") else v).alias(c)
+            for c, v in zip(measures, sums, strict=True)]
+    first = F.min(F.struct("pos", *[c for c in types if c.startswith("a_")])).alias("row")
+    return deltas.groupBy(*KEYS, *by).agg(*sums, first).select(*KEYS, *by, *measures, "row.*")
 
 
-def leg_totals(merged: DataFrame, spec: SourceSpec) -> DataFrame:
+def leg_totals(deltas: DataFrame, leg: str, spec: SourceSpec) -> DataFrame:
     """What :func:`trimatch.operators.aggregate.aggregate_leg` gives."""
+    types = {f.name: f.dataType for f in deltas.schema.fields}
+    sums = [c for c in types if c.startswith("m_")]
+    carry = [c for c in types if c.startswith("a_")]
+    columns = CARRY[spec.name][leg]
+
     def total(c: str) -> Column:
         v = F.col(c).cast("decimal(28,0)") * F.lit(Decimal("0.01")) if spec.round_before_sum else F.round(F.col(c), 2)
         return F.coalesce(v, F.lit(0)).cast(SUM_TYPE).alias(c[2:])
-    cols = [total(c) for c in merged.columns if c.startswith("m_")]
-    cols += [F.col(f"{c}.value").alias(c[2:]) for c in merged.columns if c.startswith("a_")]
-    if "row" in merged.columns:
-        cols += [F.col(f"row.{f}").alias(f[2:]) for f in merged.schema["row"].dataType.fieldNames() if f != "pos"]
-    return merged.select(*KEYS, *cols)
+
+    def earliest(c: str) -> Column:
+        there, value, key = F.col(c).isNotNull(), F.col(c), KEY_OF.get(columns[c[2:]])
+        if key and types[c] == StringType():
+            there, value = F.col("held").bitwiseAND(_bits(columns)[c[2:]]) != 0, F.coalesce(c, key)
+        return F.min(F.when(there, F.struct("pos", value.alias("value")))).alias(c)
+    if "held" in types:
+        first, values = [earliest(c) for c in carry], [F.col(f"{c}.value").alias(c[2:]) for c in carry]
+    else:
+        first, values = [F.min(F.struct("pos", *carry)).alias("row")], [F.col(f"row.{c}").alias(c[2:]) for c in carry]
+    merged = deltas.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in sums], *first)
+    return merged.select(*KEYS, *[total(c) for c in sums], *values)
 
 
 class Match:
@@ -154,18 +210,45 @@ class Match:
     def _commits(self) -> list:
         versions = committed(self.spark, f"{self.root}/commit")
         paths = [f"{self.root}/commit/v={v}" for v in versions]
-        return sorted(self.spark.read.schema(COMMIT).parquet(*paths).collect()) if paths else []
-
-    def _put(self, df: DataFrame, kind: str, version: int) -> DataFrame:
-        path = f"{self.root}/{kind}/v={version}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        commits = sorted(self.spark.read.schema(COMMIT).parquet(*paths).collect()) if paths else []
+        if any(c.buckets is None for c in commits):
+            raise ValueError(f"{self.root} was kept in an older layout, without buckets: match its files anew")
+        return commits
+
+    def _put(self, df: DataFrame, kind: str, version: int, buckets: int) -> str:
+        """Write rows in buckets of the key; returns their columns."""
+        name = f"trimatch_{uuid.uuid4().hex}"
+        try:
+            df.write.mode("overwrite").option("path", qualified(self.spark, f"{self.root}/{kind}/v={version}")).option(
+                "compression", "zstd").bucketBy(buckets, *KEYS).saveAsTable(name, format="parquet")
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")      # the name alone: the files lie outside the warehouse
+        return df.schema.json()
+
+    def _layers(self, kind: str, columns: Sequence[str], versions: Sequence[int], buckets: int) -> DataFrame:
+        """Rows that :meth:`_put` wrote for the given versions, with their
+        version ``v``, as one scan by buckets; columns that a version lacks are
+        NULL.  Only a table can say that files are buckets, so the folder gets a
+        name for as long as it takes to read it.  (A union of scans would not
+        do: Spark counts it as dealt by the key, also where it runs it as it
+        comes.)"""
+        types = {f.name: f.dataType.simpleString() for c in columns for f in StructType.fromJson(json.loads(c))}
+        name, conf = f"trimatch_{uuid.uuid4().hex}", "spark.sql.hive.manageFilesourcePartitions"
+        at = qualified(self.spark, f"{self.root}/{kind}").replace("\\", "\\\\").replace("'", "\\'")
+        before = self.spark.conf.get(conf)
+        self.spark.conf.set(conf, "false")          # the folder says which versions there are, and is listed now
+        try:
+            self.spark.sql(f"CREATE TABLE {name} ({', '.join(f'`{c}` {t}' for c, t in types.items())}, v INT) USING parquet "
+                           f"PARTITIONED BY (v) CLUSTERED BY ({', '.join(KEYS)}) INTO {buckets} BUCKETS LOCATION '{at}'")
+            return self.spark.table(name).where(F.col("v").isin(*versions))
+        finally:
+            self.spark.conf.set(conf, before)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def _deltas(self, leg: str, commits: list) -> DataFrame | None:
-        """The leg's stored totals; columns that a file lacks are NULL."""
+        """The leg's stored totals."""
         live = [c for c in commits if c.version >= commits[-1].totals_from and c[leg]]
-        frames = [self.spark.read.parquet(f"{self.root}/{leg}/v={c.version}") for c in live]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+        return self._layers(leg, [c[leg] for c in live], [c.version for c in live], live[0].buckets) if live else None
 
     def _totals(self, leg: str, commits: list, keys: DataFrame | None = None) -> DataFrame:
         deltas = self._deltas(leg, commits)
@@ -177,7 +260,7 @@ class Match:
             deltas = deltas.where("by_code" if by_code else "by_text")
         if keys is not None:
             deltas = deltas.join(keys, KEYS, "left_semi")
-        return leg_totals(merged_totals(deltas, self.spec), self.spec)
+        return leg_totals(deltas, leg, self.spec)
 
     def totals(self, leg: str) -> DataFrame:
         """Totals of a leg over all updates, attributes included."""
@@ -190,11 +273,14 @@ class Match:
         return uninvoiced(o, d, i)
 
     def _match(self, commits: list, keys: DataFrame | None) -> DataFrame:
+        """Sums, variances and class; attributes are left to :meth:`result`."""
         o, d, i = (self._totals(leg, commits, keys) for leg in LEGS)
         if self.spec.name == "DMS":
-            return classify_dms(dms_variances(three_way_match(i, o, d)), self.spec.amount_tol, self.spec.qty_tol)
-        out = classify_oms(oms_variances(three_way_match(i, d, o)), self.spec.amount_tol, self.spec.qty_tol)
-        return strict_not_test(out) if self.spec.strict else out
+            out = classify_dms(dms_variances(three_way_match(i, o, d)), self.spec.amount_tol, self.spec.qty_tol)
+        else:
+            out = classify_oms(oms_variances(three_way_match(i, d, o)), self.spec.amount_tol, self.spec.qty_tol)
+            out = strict_not_test(out) if self.spec.strict else out
+        return out.drop(*(c for c in out.columns if c.startswith(ATTRIBUTES)))
 
     def update(self, batch: str, orders: DataFrame | None = None, deliveries: DataFrame | None = None,
                invoices: DataFrame | None = None) -> int:
@@ -217,41 +303,50 @@ class Match:
             codes, typed = codes + n.codes, typed + n.n
         tipped = bool(last) and (2 * codes > typed) != (2 * last.code_rows > last.type_rows)
         compact = bool(last) and version - last.totals_from >= self.compact_after
-        new = {leg: self._put(partial_totals(df, leg, self.spec, version), leg, version) for leg, df in given.items()}
-        names = {leg: leg if leg in new else None for leg in LEGS}
+        buckets = last.buckets if last else int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        names = dict.fromkeys(LEGS)
+        for leg, df in given.items():
+            names[leg] = self._put(partial_totals(df, leg, self.spec, version, buckets), leg, version, buckets)
 
-        def commit(totals_from: int, result_from: int):
-            row = (version, batch, codes, typed, totals_from, result_from, *[names[leg] for leg in LEGS])
+        def commit(totals_from: int, result_from: int, result: str | None = None):
+            row = (version, batch, codes, typed, totals_from, result_from, *[names[leg] for leg in LEGS], result, buckets)
             return self.spark.createDataFrame([row], COMMIT)
         whole = not last or tipped or compact
         here = [*commits, commit(last.totals_from if last else version, version if whole else last.result_from).first()]
-        changed = reduce(DataFrame.union, [df.select(*KEYS) for df in new.values()]).distinct()
-        changed = self._put(changed, "changed", version)
-        self._put(self._match(here, None if whole else changed), "result", version)
+        changed = None
+        if not whole:
+            keys = [self._layers(leg, [names[leg]], [version], buckets).select(*KEYS) for leg in given]
+            columns = self._put(reduce(DataFrame.union, keys), "changed", version, buckets)
+            changed = self._layers("changed", [columns], [version], buckets).drop("v")
+        result = self._put(self._match(here, changed), "result", version, buckets)
         totals_from = here[-1].totals_from
         if compact:
             # all layers into a folder of its own, then in place of this version's delta
             for leg in LEGS:
-                one = self._put(merged_totals(self._deltas(leg, here), self.spec, RULES if leg == "invoices" else ()), f"{leg}-compact", version)
-                self._put(one, leg, version)
-                names[leg] = leg
+                deltas = self._deltas(leg, here)
+                one = merged_totals(deltas, [c for c in deltas.columns if c in (*RULES, "held")])
+                columns = self._put(one, f"{leg}-compact", version, buckets)
+                names[leg] = self._put(self._layers(f"{leg}-compact", [columns], [version], buckets).drop("v"), leg, version, buckets)
             totals_from = version
-        self._put(commit(totals_from, here[-1].result_from).coalesce(1), "commit", version)
+        commit(totals_from, here[-1].result_from, result).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commit/v={version}")
         return version
 
     def result(self) -> DataFrame:
-        """The classified match over all updates: of each key the newest row."""
+        """The classified match over all updates: of each key the newest row,
+        with the attributes that the totals hold."""
         commits = self._commits()
         if not commits:
             raise ValueError("no update yet")
-        base = commits[-1].result_from
-        versions = [c.version for c in commits if c.version >= base]
-
-        def layers(kind: str, of: Sequence[int]) -> DataFrame:
-            frames = [self.spark.read.parquet(f"{self.root}/{kind}/v={v}").withColumn("__v", F.lit(v)) for v in of]
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-        rows = layers("result", versions)
-        if len(versions) == 1:
-            return rows.drop("__v")
-        newest = layers("changed", versions[1:]).groupBy(*KEYS).agg(F.max("__v").alias("__newest"))
-        return rows.join(newest, KEYS, "left").where(F.col("__v") == F.coalesce("__newest", F.lit(base))).drop("__v", "__newest")
+        base, buckets = commits[-1].result_from, commits[-1].buckets
+        live = [c for c in commits if c.version >= base]
+        rows = self._layers("result", [c.result for c in live], [c.version for c in live], buckets)
+        if len(live) > 1:
+            keys = StructType([f for f in StructType.fromJson(json.loads(live[0].result)) if f.name in KEYS]).json()
+            newest = self._layers("changed", [keys], [c.version for c in live[1:]], buckets).groupBy(*KEYS).agg(F.max("v").alias("__newest"))
+            rows = rows.join(newest, KEYS, "left").where(F.col("v") == F.coalesce("__newest", F.lit(base))).drop("__newest")
+        rows, names = rows.drop("v"), list(KEYS)
+        for leg in ("invoices", "orders", "deliveries") if self.spec.name == "DMS" else ("invoices", "deliveries", "orders"):
+            totals = self._totals(leg, commits)
+            names += totals.columns[len(KEYS):]
+            rows = rows.join(totals.select(*KEYS, *(c for c in totals.columns if c.startswith(ATTRIBUTES))), KEYS, "left")
+        return rows.select(*names, *(c for c in rows.columns if c not in names))

@@ -188,7 +188,7 @@ def shared_legs(spark: SparkSession, sf_dir: str, type_codes: bool = False) -> L
     the tables are joined once, into a written line table."""
     if sf_dir in _STAGED:
         return legs(spark, sf_dir, type_codes)
-    base = written(base_lines(spark, sf_dir), "lines")
+    base = written(base_lines(spark, sf_dir), "lines", "zstd")
     return Legs(order_leg(base), delivery_leg(base), invoice_leg(base, type_codes))
 
 
