@@ -1,6 +1,7 @@
 """What must not grow with the input in one task or on disk."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
@@ -55,6 +56,18 @@ def test_folder_of_dumps_is_written_in_ranges(spark, tmp_path, monkeypatch):
         _set(spark, before)
 
 
+def test_folder_of_dumps_and_their_parse_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("trimatch.operators.numbering.checkpoint_dir", lambda _: str(tmp_path))
+    rows = Q.first_value_folder(spark, SF)
+    (folder,) = _folders(tmp_path, "months")
+    files = glob.glob(f"{folder}/f=*/part-*")
+    lines = spark.read.text(folder)
+    assert files and sum(os.path.getsize(f) for f in files) < 0.5 * lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    assert max(r["n"] for r in lines.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) <= 200_000     # each is read whole
+    assert all(".zstd." in f for f in glob.glob(f"{tmp_path}/months-values-*/part-*"))
+    assert rows.agg(F.sum("n_rows")).first()[0] == lines.count()
+
+
 def test_only_false_cuts_are_shuffled(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("trimatch.operators.numbering.checkpoint_dir", lambda _: str(tmp_path / "work"))
     lines = [f"row {i} " + "x" * (i % 7) for i in range(4000)]

@@ -557,8 +557,9 @@ def first_value_folder(spark, sf_dir):
     lines = L.values_lines(_legs(spark, sf_dir).orders, dump.ORDER_COLS_11).withColumn(
         "f", F.when(k % 97 == 0, "01").when(k % 7 == 0, "02").otherwise("03"))
     folder = work_path(spark, "months")
-    # ranges of the order: a file is cut into parts, whose names keep it
-    lines.repartitionByRange("f", "src_pos").sortWithinPartitions("f", "src_pos").select("f", "line").write.partitionBy("f").text(folder)
+    # ranges of the order: a file is cut into parts, whose names keep it; a compressed one is read by one task, so parts are of bounded size
+    lines.repartitionByRange("f", "src_pos").sortWithinPartitions("f", "src_pos").select("f", "line").write.partitionBy("f").option(
+        "maxRecordsPerFile", 200_000).option("compression", "lz4").text(folder)
     rows = dump.order_rows(dump.stage_parse(dump.read_lines(spark, folder), "months"), 11)
     return rows.groupBy(F.col("sale_order_no").alias("order_no")).agg(
         first_non_null("order_status").alias("first_status"), first_non_null("item_code").alias("first_item"), F.count(F.lit(1)).alias("n_rows"))

@@ -102,7 +102,7 @@ def stage_parse(lines: DataFrame, name: str = "dump") -> DataFrame:
     """:func:`parsed_lines`, written: lines are tokenised once, and layouts,
     headers, the shift of a file, short rows and the rows themselves all read
     this copy."""
-    return written(parsed_lines(lines), f"{name}-values")
+    return written(parsed_lines(lines), f"{name}-values", "zstd")
 
 
 def _staged(rows: DataFrame) -> bool:
