@@ -219,3 +219,20 @@ def test_first_values_of_rows_that_hold_different_attributes(spark, mk, tmp_path
     # a key's own text is not kept twice
     assert totals.where("a_ord_sale_order_no IS NOT NULL").isEmpty()
     assert totals.where("a_ord_platform_order_no = order_no OR a_ord_item_code = item_code").isEmpty()
+
+
+def test_an_update_cut_short_is_written_over(spark, mk, tmp_path):
+    def orders(*keys):
+        return mk.orders([{"sale_order_no": s, "item_code": "i", "pay_amount": 5, "item_num": 1} for s in keys])
+    match = Match(spark, "m", S.OMS, base=str(tmp_path))
+    match.update("1", orders("A"), mk.deliveries([]), mk.invoices([{"oms_order_no": s, "item_code": "i", "amount": 5, "qty": 1} for s in "AB"]))
+    buckets = match._commits()[0].buckets
+    match._put(late_months.partial_totals(orders("A", "B", "Z"), "orders", S.OMS, 2, buckets), "orders", 2, buckets)     # no commit
+    want = _rows(match.result())
+    assert _rows(match.totals("orders").select("order_no", "order_qty")) == ["('A', Decimal('1.00'))"] and len(want) == 2
+    match.update("2", orders=orders("A"))
+    assert {(r.order_no, r.order_qty) for r in match.result().collect()} == {("A", 2), ("B", None)}
+    with pytest.raises(ValueError, match="older layout"):
+        path = f"{tmp_path}/stage/m/commit/v=3"
+        spark.createDataFrame([(3, "3", 0, 0, 1, 1, "orders", None, None, None, None)], late_months.COMMIT).write.parquet(path)
+        match.result()
